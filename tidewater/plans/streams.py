@@ -1 +1,238 @@
-"""placeholder"""
+"""Streaming queries.  Each runs its stream with ``availableNow`` into a fresh
+folder under the shared checkpoint root and returns the batch read of the sink
+(the stream's output is what gets compared)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from tidewater.functions.timefn import to_rest
+from tidewater.operators import views as V
+from tidewater.operators.conform import conform_user_activity
+from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelope
+from tidewater.plans.oracle_base import SD, UA, WUA, with_
+from tidewater.plans.registry import query
+from tidewater.session import run_dir
+from tidewater.sources.broker import publish, read_events
+from tidewater.streaming import ingest as I
+from tidewater.streaming import windows as W
+
+NOW = I.TEST_TRIGGER
+
+UA_SINK_COLS = ["user_id", "event_type", "event_time", "session_id", "ip_address", "user_agent", "page_url",
+                "referrer", "time_spent", "element_id", "search_query", "results_count", "order_id",
+                "product_ids", "total_amount", "currency", "event_date"]
+SD_SINK_COLS = ["sensor_id", "sensor_type", "event_time", "latitude", "longitude", "facility",
+                "battery_level", "reading", "unit", "event_date"]
+
+
+def _ua_table_out(df):
+    return df.select(*[F.array_join("product_ids", ",").alias(c) if c == "product_ids" else F.col(c)
+                       for c in UA_SINK_COLS])
+
+
+UA_TABLE_ORACLE = """SELECT user_id, event_type, event_time, session_id, ip_address, user_agent, page_url,
+       referrer, time_spent, element_id, search_query, results_count, order_id,
+       array_to_string(product_ids, ',') AS product_ids, total_amount, currency,
+       CAST(event_time AS DATE) AS event_date
+FROM ua"""
+
+
+def _topic(spark, sf_dir, family, run, corrupt_every=None):
+    path = os.path.join(run, "topics", family)
+    env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
+    publish(env, path)
+    return path
+
+
+def _ingest_once(spark, family, topic_path, table, ckpt):
+    q = I.start_ingest(read_events(spark, family, topic_path), family, table, ckpt, trigger=NOW)
+    I.run_to_end(q)
+    return q
+
+
+@query("ingest_user_activity", with_(UA) + UA_TABLE_ORACLE)
+def q_ingest_user_activity(spark, sf_dir):
+    run = run_dir(spark, "ingest_ua")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    table = os.path.join(run, "tables", "user_activity")
+    _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt"))
+    return _ua_table_out(spark.read.parquet(table))
+
+
+@query("ingest_sensor_data", with_(SD) + """
+SELECT sensor_id, sensor_type, event_time, latitude, longitude, facility, battery_level, reading, unit,
+       CAST(event_time AS DATE) AS event_date FROM sd""")
+def q_ingest_sensor_data(spark, sf_dir):
+    run = run_dir(spark, "ingest_sd")
+    topic = _topic(spark, sf_dir, "sensor_data", run)
+    table = os.path.join(run, "tables", "sensor_data")
+    _ingest_once(spark, "sensor_data", topic, table, os.path.join(run, "ckpt"))
+    return spark.read.parquet(table).select(*SD_SINK_COLS)
+
+
+@query("ingest_sql_user_activity", with_(UA) + UA_TABLE_ORACLE)
+def q_ingest_sql_user_activity(spark, sf_dir):
+    run = run_dir(spark, "ingest_sql")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    table = os.path.join(run, "tables", "user_activity")
+    rows = I.ingest_sql(spark, read_events(spark, "user_activity", topic), "user_activity",
+                        "user_activity_decoded_" + os.path.basename(run).replace("-", "_"))
+    q = (rows.writeStream.format("parquet").outputMode("append").partitionBy("event_date")
+         .option("path", table).option("checkpointLocation", os.path.join(run, "ckpt"))
+         .trigger(**NOW).start())
+    I.run_to_end(q)
+    return _ua_table_out(spark.read.parquet(table))
+
+
+@query("restart_no_duplicates", with_(UA) + UA_TABLE_ORACLE)
+def q_restart_no_duplicates(spark, sf_dir):
+    """Same checkpoint started twice: the second run finds nothing new."""
+    run = run_dir(spark, "restart")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    table, ckpt = os.path.join(run, "tables", "user_activity"), os.path.join(run, "ckpt")
+    _ingest_once(spark, "user_activity", topic, table, ckpt)
+    _ingest_once(spark, "user_activity", topic, table, ckpt)
+    return _ua_table_out(spark.read.parquet(table))
+
+
+@query("stream_equals_batch", with_(WUA) + """
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
+def q_stream_equals_batch(spark, sf_dir):
+    """The batch view over the table the stream writes equals the view over the source."""
+    run = run_dir(spark, "stream_batch")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    table = os.path.join(run, "tables", "user_activity")
+    _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt"))
+    return V.hourly_user_activity(conform_user_activity(spark.read.parquet(table)))
+
+
+@query("sink_csv_roundtrip", with_(UA) + UA_TABLE_ORACLE)
+def q_sink_csv_roundtrip(spark, sf_dir):
+    run = run_dir(spark, "csv")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    out = os.path.join(run, "tables", "user_activity_csv")
+    q = I.start_csv_sink(read_events(spark, "user_activity", topic), "user_activity", out,
+                         os.path.join(run, "ckpt"), trigger=NOW)
+    I.run_to_end(q)
+    from tidewater.schemas import USER_ACTIVITY_SINK
+    schema = ", ".join(f"{f.name} {'string' if f.name == 'product_ids' else f.dataType.simpleString()}"
+                       for f in USER_ACTIVITY_SINK.fields) + ", event_date date"
+    back = (spark.read.schema(schema).option("header", "true")
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(out))
+    back = back.withColumn("product_ids", F.from_json("product_ids", "array<string>"))
+    return _ua_table_out(back)
+
+
+@query("dead_letter_stream", f"""
+SELECT CAST(user_id AS VARCHAR) AS key, 'user-activity' AS topic, event_id AS offset,
+       '{{"user_id"' AS value, 'malformed JSON' AS error
+FROM events WHERE event_id % {CORRUPT_EVERY} = 0""")
+def q_dead_letter_stream(spark, sf_dir):
+    run = run_dir(spark, "dlq")
+    topic = _topic(spark, sf_dir, "user_activity", run, CORRUPT_EVERY)
+    path = os.path.join(run, "tables", "dead_letters")
+    q = I.start_dead_letters(read_events(spark, "user_activity", topic), "user_activity", path,
+                             os.path.join(run, "ckpt"), trigger=NOW)
+    I.run_to_end(q)
+    return spark.read.parquet(path).select("key", "topic", "offset", "value", "error")
+
+
+# ---- windows ---------------------------------------------------------------------------
+
+def _windows_oracle(value_aggs: bool, where: str = "TRUE") -> str:
+    extra = (f", round(AVG(reading), {R}) AS avg_value, MIN(reading) AS min_value, MAX(reading) AS max_value"
+             if value_aggs else "")
+    return with_(SD) + f"""
+SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start,
+       time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end,
+       COUNT(*) AS message_count{extra}
+FROM sd WHERE {where}
+GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds'
+       <= (SELECT MAX(event_time) FROM sd WHERE {where}) - INTERVAL '5 seconds'"""
+
+
+def _sensor_windows(spark, sf_dir, value_aggs: bool):
+    run = run_dir(spark, "tumble")
+    topic = _topic(spark, sf_dir, "sensor_data", run)
+    dec = I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None)
+    out = os.path.join(run, "tables", "windows")
+    stats = W.event_time_window_stats(dec, "timestamp", value_col="reading" if value_aggs else None)
+    q = W.start_append(stats, out, os.path.join(run, "ckpt"), NOW)
+    I.run_to_end(q)
+    res = spark.read.parquet(out)
+    return res.withColumn("avg_value", F.round("avg_value", R)) if value_aggs else res
+
+
+@query("tumbling_count_event_time", _windows_oracle(False))
+def q_tumbling_count_event_time(spark, sf_dir):
+    return _sensor_windows(spark, sf_dir, False)
+
+
+@query("tumbling_stats_event_time", _windows_oracle(True))
+def q_tumbling_stats_event_time(spark, sf_dir):
+    return _sensor_windows(spark, sf_dir, True)
+
+
+def wave_bounds(spark, events):
+    """Split points of the three-wave replay: 50 % and 90 % of the event_id range."""
+    r = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    span = r["hi"] - r["lo"] + 1
+    return r["lo"] + span * 5 // 10, r["lo"] + span * 9 // 10
+
+
+WAVE_SQL = ("event_id >= (SELECT MIN(event_id) + (MAX(event_id) - MIN(event_id) + 1) * 5 // 10 FROM events)")
+
+
+def _three_waves(spark, sf_dir, run, family):
+    """Publish the topic in three waves: ids [50 %, 90 %), then [90 %, 100 %], then
+    the oldest half [0, 50 %) last -- it arrives after the watermark has passed it."""
+    from tidewater.sources import bindings as B
+    ev = B.read_table(spark, sf_dir, "events")
+    t50, t90 = wave_bounds(spark, ev)
+    env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
+    path = os.path.join(run, "topics", family)
+    waves = [(F.col("offset") >= t50) & (F.col("offset") < t90), F.col("offset") >= t90, F.col("offset") < t50]
+    return path, [(lambda c=c: publish(env.where(c), path)) for c in waves]
+
+
+@query("tumbling_late_drop", _windows_oracle(False, WAVE_SQL))
+def q_tumbling_late_drop(spark, sf_dir):
+    """Event-time windows over a late replay: each wave is one restart of the same
+    query; the oldest half arrives behind the watermark and is dropped."""
+    run = run_dir(spark, "late")
+    topic, waves = _three_waves(spark, sf_dir, run, "sensor_data")
+    out, ckpt = os.path.join(run, "tables", "windows"), os.path.join(run, "ckpt")
+    for publish_wave in waves:
+        publish_wave()
+        dec = I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None)
+        I.run_to_end(W.start_append(W.event_time_window_stats(dec, "timestamp"), out, ckpt, NOW))
+    return spark.read.parquet(out)
+
+
+@query("watermark_passthrough", with_(UA) + UA_TABLE_ORACLE)
+def q_watermark_passthrough(spark, sf_dir):
+    """The same late replay through the stateless ingest: every row is kept."""
+    run = run_dir(spark, "passthrough")
+    topic, waves = _three_waves(spark, sf_dir, run, "user_activity")
+    table, ckpt = os.path.join(run, "tables", "user_activity"), os.path.join(run, "ckpt")
+    for publish_wave in waves:
+        publish_wave()
+        _ingest_once(spark, "user_activity", topic, table, ckpt)
+    return _ua_table_out(spark.read.parquet(table))
+
+
+@query("tumbling_count_proctime")
+def q_tumbling_count_proctime(spark, sf_dir):
+    """Processing-time 10 s windows (no oracle: window bounds are wall-clock time;
+    the message counts sum to the number of decodable messages)."""
+    run = run_dir(spark, "proctime")
+    topic = _topic(spark, sf_dir, "sensor_data", run)
+    out = os.path.join(run, "tables", "message_counts")
+    q = W.start_complete_snapshot(W.processing_time_window_count(read_events(spark, "sensor_data", topic)),
+                                  out, os.path.join(run, "ckpt"), NOW)
+    I.run_to_end(q)
+    return spark.read.parquet(out)
