@@ -1 +1,92 @@
-"""placeholder"""
+"""Detection queries: z-scores, anomalies, view->purchase pattern, range check, alerts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import detect as D
+from tidewater.operators import views as V
+from tidewater.plans.batch import R, warehouse_user_activity
+from tidewater.plans.oracle_base import SD, UA, WUA, with_
+from tidewater.plans.registry import query
+from tidewater.sources import bindings as B
+
+N_PREV = 20
+Z_THRESHOLD = 2.0
+
+ZSCORE_SQL = with_(SD) + f"""
+, s AS (
+  SELECT event_id, sensor_id, event_time, reading,
+         COUNT(reading) OVER w AS prev_count, AVG(reading) OVER w AS prev_mean,
+         STDDEV_SAMP(reading) OVER w AS prev_std
+  FROM sd
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY event_time, event_id ROWS BETWEEN {N_PREV} PRECEDING AND 1 PRECEDING)
+), z AS (
+  SELECT *, CASE WHEN prev_std > 0 THEN (reading - prev_mean) / prev_std END AS z_score FROM s
+)
+SELECT event_id, sensor_id, event_time, reading, prev_count, round(prev_mean, {R}) AS prev_mean,
+       round(prev_std, {R}) AS prev_std, round(z_score, {R}) AS z_score FROM z"""
+
+
+def _zscores(spark, sf_dir):
+    sd = B.sensor_data(spark, sf_dir).select("event_id", "sensor_id", "event_time", "reading")
+    return D.sensor_zscores(sd, N_PREV)
+
+
+def _round_z(df):
+    return df.select("event_id", "sensor_id", "event_time", "reading", "prev_count",
+                     *[F.round(c, R).alias(c) for c in ("prev_mean", "prev_std", "z_score")])
+
+
+@query("sensor_zscores", ZSCORE_SQL)
+def q_sensor_zscores(spark, sf_dir):
+    return _round_z(_zscores(spark, sf_dir))
+
+
+@query("sensor_anomalies", ZSCORE_SQL + f" WHERE abs(z_score) >= {Z_THRESHOLD}")
+def q_sensor_anomalies(spark, sf_dir):
+    return _round_z(_zscores(spark, sf_dir).where(F.abs(F.col("z_score")) >= Z_THRESHOLD))
+
+
+@query("view_then_purchase", with_(UA) + """
+, s AS (
+  SELECT event_id, user_id, event_type, event_time,
+         MAX(CASE WHEN event_type = 'view' THEN event_time END) OVER (
+           PARTITION BY user_id ORDER BY event_time, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_view_time
+  FROM ua WHERE event_type IN ('view', 'purchase')
+)
+SELECT event_id, user_id, event_time AS purchase_time, last_view_time FROM s
+WHERE event_type = 'purchase' AND last_view_time IS NOT NULL
+  AND event_time - last_view_time <= INTERVAL '30 minutes'""")
+def q_view_then_purchase(spark, sf_dir):
+    return D.view_then_purchase(B.user_activity(spark, sf_dir))
+
+
+# Nominal reading range per bound sensor type (parameters of this binding).
+DRIVER_RANGES = [("click", 0.0, 400.0), ("error", 0.0, 300.0), ("purchase", 0.0, 350.0),
+                 ("signup", 0.0, 300.0), ("view", 0.0, 300.0)]
+
+
+def _ranges_sql():
+    return "(VALUES " + ", ".join(f"('{t}', {lo}, {hi})" for t, lo, hi in DRIVER_RANGES) + ") AS l(sensor_type, lo, hi)"
+
+
+@query("out_of_range", with_(SD) + f"""
+SELECT sd.event_id, sd.sensor_id, sd.sensor_type, sd.event_time, sd.reading, l.lo, l.hi
+FROM sd JOIN {_ranges_sql()} ON sd.sensor_type = l.sensor_type
+WHERE sd.reading < l.lo OR sd.reading > l.hi""")
+def q_out_of_range(spark, sf_dir):
+    limits = spark.createDataFrame(DRIVER_RANGES, "sensor_type string, lo double, hi double")
+    sd = B.sensor_data(spark, sf_dir).select("event_id", "sensor_id", "sensor_type", "event_time", "reading")
+    return D.out_of_range(sd, limits)
+
+
+ALERT_THRESHOLD = 5
+
+
+@query("hourly_alerts", with_(WUA) + f"""
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count
+FROM wua GROUP BY 1, 2 HAVING COUNT(*) > {ALERT_THRESHOLD}""")
+def q_hourly_alerts(spark, sf_dir):
+    return D.hourly_alerts(V.hourly_user_activity(warehouse_user_activity(spark, sf_dir)), ALERT_THRESHOLD)
