@@ -1,0 +1,100 @@
+"""Properties: key co-location, rollup consistency, window sums, and the bucketed
+previous-N statistics against a brute-force window on skewed data."""
+
+import datetime as dt
+import math
+import random
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tests.conftest import SF_SMALL
+from tidewater.functions.codec import partition_by_key
+from tidewater.operators import detect as D
+from tidewater.operators import keys as K
+from tidewater.operators import views as V
+from tidewater.operators.conform import conform_user_activity
+from tidewater.sources import bindings as B
+
+
+def test_equal_keys_share_a_partition(spark):
+    env = B.user_activity(spark, SF_SMALL).select(F.col("user_id").alias("key"))
+    parts = partition_by_key(env, 7).select("key", F.spark_partition_id().alias("p"))
+    assert parts.groupBy("key").agg(F.countDistinct("p").alias("n")).where("n > 1").count() == 0
+
+
+def test_rollup_totals_agree_at_every_grain(spark):
+    r = V.activity_rollup(conform_user_activity(B.user_activity(spark, SF_SMALL)))
+    totals = {row["grain"]: row["s"] for row in r.groupBy("grain").agg(F.sum("event_count").alias("s")).collect()}
+    assert len(set(totals.values())) == 1 and set(totals) == {0, 1, 3, 7}
+    assert totals[7] == 1000
+
+
+def _skewed_readings(spark, n_rows=3000, seed=7):
+    """One hot sensor with ~1/3 of rows, bursts inside single hours, sparse hours,
+    and ties on event_time broken by event_id."""
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(n_rows):
+        sensor = "hot" if rnd.random() < 0.34 else f"s{rnd.randint(1, 12)}"
+        if rnd.random() < 0.3:
+            t = base + dt.timedelta(hours=5, seconds=rnd.randint(0, 59))
+        else:
+            t = base + dt.timedelta(seconds=rnd.randint(0, 3 * 24 * 3600))
+        val = None if rnd.random() < 0.02 else rnd.uniform(-5, 5) if sensor != "hot" else rnd.uniform(0, 1000)
+        rows.append((i, sensor, t, val))
+    return spark.createDataFrame(rows, "event_id long, sensor_id string, event_time timestamp_ntz, reading double")
+
+
+def test_previous_rows_stats_equals_brute_force(spark):
+    df = _skewed_readings(spark)
+    for n in (1, 3, 20):
+        got = {r["event_id"]: r for r in D.previous_rows_stats(df, "sensor_id", "reading", n).collect()}
+        w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id").rowsBetween(-n, -1)
+        ref = df.select("event_id", F.count("reading").over(w).alias("c"), F.avg("reading").over(w).alias("m"),
+                        F.stddev_samp("reading").over(w).alias("s")).collect()
+        assert len(got) == len(ref) == 3000
+        for r in ref:
+            g = got[r["event_id"]]
+            assert g["prev_count"] == r["c"]
+            for a, b in ((g["prev_mean"], r["m"]), (g["prev_std"], r["s"])):
+                assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_view_then_purchase_equals_brute_force(spark):
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        user = "u0" if rnd.random() < 0.35 else f"u{rnd.randint(1, 20)}"
+        t = base + dt.timedelta(seconds=rnd.randint(0, 2 * 24 * 3600))
+        rows.append((i, user, rnd.choice(["view", "purchase", "click"]), t))
+    # exact-boundary pair: view exactly 30 minutes before a purchase
+    rows += [(5000, "edge", "view", base), (5001, "edge", "purchase", base + dt.timedelta(minutes=30)),
+             (5002, "edge", "purchase", base + dt.timedelta(minutes=30, microseconds=1) + dt.timedelta(hours=5))]
+    df = spark.createDataFrame(rows, "event_id long, user_id string, event_type string, event_time timestamp_ntz")
+    got = {(r["event_id"], r["last_view_time"]) for r in D.view_then_purchase(df).collect()}
+    w = Window.partitionBy("user_id").orderBy("event_time", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    ref = (df.where(F.col("event_type").isin("view", "purchase"))
+           .withColumn("lv", F.max(F.when(F.col("event_type") == "view", F.col("event_time"))).over(w))
+           .where((F.col("event_type") == "purchase") & F.col("lv").isNotNull()
+                  & (F.col("event_time") <= F.col("lv") + F.expr("INTERVAL 30 MINUTES"))))
+    expect = {(r["event_id"], r["lv"]) for r in ref.collect()}
+    assert got == expect and (5001, base) in got
+
+
+def test_latest_by_key_handles_hot_key(spark):
+    df = _skewed_readings(spark)
+    got = {r["sensor_id"]: r["event_id"] for r in K.latest_by_key(df, ["sensor_id"]).collect()}
+    w = Window.partitionBy("sensor_id").orderBy(F.col("event_time").desc(), F.col("event_id").desc())
+    ref = {r["sensor_id"]: r["event_id"]
+           for r in df.withColumn("rn", F.row_number().over(w)).where("rn = 1").collect()}
+    assert got == ref
+
+
+def test_window_counts_sum_to_rows(spark):
+    from tidewater.streaming.windows import event_time_window_stats
+    sd = B.sensor_data(spark, SF_SMALL)
+    w = event_time_window_stats(sd, "event_time")
+    assert w.agg(F.sum("message_count")).first()[0] == sd.count()

@@ -16,7 +16,7 @@ def estimated_size(df: DataFrame) -> int | None:
     """Optimizer size estimate of a frame (the statistic Catalyst itself uses for
     broadcast decisions); None when not available."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())  # noqa: SLF001
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
     except Exception:  # noqa: BLE001 - e.g. a Connect session
         return None
 

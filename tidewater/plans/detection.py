@@ -90,3 +90,21 @@ SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_cou
 FROM wua GROUP BY 1, 2 HAVING COUNT(*) > {ALERT_THRESHOLD}""")
 def q_hourly_alerts(spark, sf_dir):
     return D.hourly_alerts(V.hourly_user_activity(warehouse_user_activity(spark, sf_dir)), ALERT_THRESHOLD)
+
+
+# ---- synthetic payloads (rows-only check: the draws are hash based) --------------------
+
+@query("synth_user_activity")
+def q_synth_user_activity(spark, sf_dir):
+    from tidewater.sources.synth import synth_user_activity
+    return synth_user_activity(B.read_table(spark, sf_dir, "events")) \
+        .withColumn("product_ids", F.array_join("product_ids", ","))
+
+
+@query("synth_sensor_data")
+def q_synth_sensor_data(spark, sf_dir):
+    from tidewater.sources.synth import synth_sensor_data
+    return synth_sensor_data(B.read_table(spark, sf_dir, "events")).select(
+        "sensor_id", "sensor_type", "timestamp", F.col("location.lat").alias("latitude"),
+        F.col("location.lon").alias("longitude"), F.col("location.facility").alias("facility"),
+        "battery_level", "reading", "unit", "event_id")

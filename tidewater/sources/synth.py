@@ -1,0 +1,83 @@
+"""Synthetic event payloads in the shape of the reference generator's two
+families, one payload per input row (the row's id seeds every draw and its
+timestamp is the event time).  Partition-parallel: no driver loop, no sleeps.
+
+Dictionary text (names, words, agents) is not reproduced; short word lists of
+our own stand in for it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewater.functions import rand as Rn
+from tidewater.operators.quality import SENSOR_RANGES, SENSOR_TYPES, USER_EVENT_TYPES
+
+WORDS = ["alpha", "basin", "cedar", "delta", "ember", "fjord", "grove", "harbor", "inlet", "jetty",
+         "kelp", "lagoon", "marsh", "nectar", "orchard", "prairie", "quarry", "ridge", "shoal", "tundra"]
+AGENTS = ["Mozilla/5.0 (X11; Linux x86_64)", "Mozilla/5.0 (Windows NT 10.0; Win64; x64)",
+          "Mozilla/5.0 (Macintosh; Intel Mac OS X 13_0)", "Mozilla/5.0 (iPhone; CPU iPhone OS 17_0)"]
+FACILITIES = ["North Plant", "South Depot", "East Works", "West Yard", "Central Lab"]
+
+
+def _uri(i, salt):
+    return F.concat(F.lit("https://"), Rn.choice(i, salt, WORDS), F.lit(".example/"),
+                    Rn.choice(i, salt + 1, WORDS))
+
+
+def synth_user_activity(rows: DataFrame, id_col: str = "event_id", ts_col: str = "ts") -> DataFrame:
+    i = F.col(id_col)
+    et = Rn.choice(i, 2, USER_EVENT_TYPES)
+    base = rows.select(i.alias("_id"), F.col(ts_col).alias("timestamp"), et.alias("event_type"))
+    i = F.col("_id")
+    et = F.col("event_type")
+    n_words = Rn.randint(i, 40, 1, 5)
+    n_products = Rn.randint(i, 50, 1, 5)
+    sentence = F.concat(F.initcap(F.array_join(F.transform(
+        F.sequence(F.lit(1), n_words), lambda k: F.element_at(F.array(*[F.lit(w) for w in WORDS]),
+                                                               (F.pmod(F.xxhash64(i, k), F.lit(len(WORDS))) + 1).cast("int"))),
+        " ")), F.lit("."))
+    return base.select(
+        Rn.randint(i, 1, 1, 1000).cast("string").alias("user_id"),
+        et,
+        "timestamp",
+        Rn.uuid_like(i, 3).alias("session_id"),
+        Rn.ipv4(i, 10).alias("ip_address"),
+        Rn.choice(i, 20, AGENTS).alias("user_agent"),
+        F.when(et.isin("page_view", "click"), _uri(i, 30)).alias("page_url"),
+        F.when(et == "page_view", Rn.maybe_null(i, 33, _uri(i, 34), 0.3)).alias("referrer"),
+        F.when(et == "page_view", Rn.randint(i, 36, 5, 300)).alias("time_spent"),
+        F.when(et == "click", F.concat(F.lit("btn-"), Rn.choice(i, 38, WORDS))).alias("element_id"),
+        F.when(et == "search", sentence).alias("search_query"),
+        F.when(et == "search", Rn.randint(i, 42, 0, 100)).alias("results_count"),
+        F.when(et == "purchase", Rn.uuid_like(i, 44)).alias("order_id"),
+        F.when(et == "purchase", F.transform(F.sequence(F.lit(1), n_products),
+                                             lambda k: F.lower(F.hex(F.xxhash64(i, k, F.lit(52)))))).alias("product_ids"),
+        F.when(et == "purchase", F.round(Rn.uniform(i, 54, 10.0, 500.0), 2)).alias("total_amount"),
+        F.when(et == "purchase", F.lit("USD")).alias("currency"),
+        i.alias("event_id"),
+    )
+
+
+def synth_sensor_data(rows: DataFrame, id_col: str = "event_id", ts_col: str = "ts") -> DataFrame:
+    i = F.col(id_col)
+    base = rows.select(i.alias("_id"), F.col(ts_col).alias("timestamp"),
+                       Rn.choice(i, 61, SENSOR_TYPES).alias("sensor_type"))
+    i, st = F.col("_id"), F.col("sensor_type")
+    reading = F.lit(None).cast("double")
+    unit = F.lit(None).cast("string")
+    for name, (lo, hi, u) in SENSOR_RANGES.items():
+        val = (Rn.randint(i, 70, 0, 1).cast("double") if name == "motion"
+               else F.round(Rn.uniform(i, 71, lo, hi), 1))
+        reading = F.when(st == name, val).otherwise(reading)
+        unit = F.when(st == name, F.lit(u)).otherwise(unit)
+    return base.select(
+        F.concat(F.lit("sensor-"), Rn.randint(i, 60, 1, 100).cast("string")).alias("sensor_id"),
+        st, "timestamp",
+        F.struct(F.round(Rn.uniform(i, 62, -90.0, 90.0), 6).alias("lat"),
+                 F.round(Rn.uniform(i, 63, -180.0, 180.0), 6).alias("lon"),
+                 Rn.choice(i, 64, FACILITIES).alias("facility")).alias("location"),
+        Rn.uniform(i, 65, 0.0, 100.0).alias("battery_level"),
+        reading.alias("reading"), unit.alias("unit"),
+        i.alias("event_id"),
+    )
