@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidewater.functions.codec import ERR_MALFORMED, ERR_NOT_OBJECT, ERR_NULL, dead_letters, decode, valid_rows
+from tidewater.functions.codec import ERR_MALFORMED, ERR_NOT_OBJECT, ERR_NULL, dead_letters, decode, decode_valid, split_dead_letters, valid_rows
 from tidewater.functions.timefn import parse_iso_local
 from tidewater.schemas import LOCATION, SENSOR_PAYLOAD, USER_ACTIVITY_PAYLOAD
 
@@ -18,7 +18,7 @@ def _decode(spark, payloads):
 
 
 def test_field_level_leniency(spark):
-    rows = {r["offset"]: r for r in valid_rows(_decode(spark, [
+    payloads = [
         '{"reading":"bad","time_spent":5,"page_url":"u"}',
         '{"reading":"1.5","time_spent":"7"}',
         '{"time_spent":99999999999,"page_url":"u"}',
@@ -29,8 +29,12 @@ def test_field_level_leniency(spark):
         '{"page_url":null}',
         '{}',
         '{"page_url":"x","extra":{"deep":[1,2]}}',
-    ]), SCHEMA, keep=("offset",)).collect()}
+    ]
+    rows = {r["offset"]: r for r in valid_rows(_decode(spark, payloads), SCHEMA, keep=("offset",)).collect()}
     assert len(rows) == 10
+    df = spark.createDataFrame(list(enumerate(payloads)), "offset long, value string")
+    single = {r["offset"]: r for r in decode_valid(df, SCHEMA, keep=("offset",)).collect()}
+    assert single == rows
     assert rows[0]["reading"] is None and rows[0]["time_spent"] == 5 and rows[0]["page_url"] == "u"
     assert rows[1]["reading"] == 1.5 and rows[1]["time_spent"] == 7
     assert rows[2]["time_spent"] is None and rows[2]["page_url"] == "u"
@@ -48,7 +52,10 @@ def test_message_level_dead_letters(spark):
     bad = ["{bad", "", "   ", "null", "[1]", '[{"page_url":"a"}]', "5", '"s"', None]
     dec = _decode(spark, bad + ['{"page_url":"ok"}'])
     assert valid_rows(dec, SCHEMA, keep=("offset",)).count() == 1
-    dl = {r["offset"]: r["error"] for r in dead_letters(dec).collect()}
+    dl = {r["offset"]: r["error"] for r in split_dead_letters(dec).collect()}
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(bad + ['{"page_url":"ok"}'])], "offset long, value string")
+    assert {r["offset"]: r["error"] for r in dead_letters(df, SCHEMA, keep=("offset",)).collect()} == dl
+    assert [r["offset"] for r in decode_valid(df, SCHEMA, keep=("offset",)).collect()] == [len(bad)]
     assert len(dl) == len(bad)
     assert dl[0] == ERR_MALFORMED and dl[1] == ERR_MALFORMED
     assert dl[3] == ERR_NOT_OBJECT and dl[4] == ERR_NOT_OBJECT and dl[7] == ERR_NOT_OBJECT
@@ -70,7 +77,7 @@ def test_encode_decode_round_trip(spark):
     from tests.conftest import SF_SMALL
     payload = B.family_payload(spark, SF_SMALL, "sensor_data")
     env = envelope(payload, "sensor_data")
-    back = valid_rows(decode(env, SENSOR_PAYLOAD), SENSOR_PAYLOAD).drop("key", "topic", "partition") \
+    back = decode_valid(env, SENSOR_PAYLOAD).drop("key", "topic", "partition") \
         .withColumnRenamed("offset", "event_id") \
         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     assert back.exceptAll(payload.select(*back.columns)).count() == 0

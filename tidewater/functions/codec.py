@@ -8,15 +8,15 @@ Lenient decode semantics (per message / per field):
     NULL and its neighbours survive; missing fields are NULL; extra fields are
     ignored; numeric text ("1.5", "7") is read as the number.
 
-Implementation: ``try_parse_json`` to a VARIANT once per message, then one
-``try_variant_get`` per declared field -- all JVM-side expressions, no UDF.
+Implementation: ``try_parse_json`` to a VARIANT once per message, cast to the
+declared struct with ``try_variant_get`` -- JVM-side expressions, no UDF.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tidewater.functions.timefn import format_iso_local, parse_iso_local
 
@@ -30,42 +30,83 @@ ERR_MALFORMED = "malformed JSON"
 ERR_NOT_OBJECT = "not a JSON object"
 
 
-def _path(name: str) -> str:
-    return "$['" + name.replace("'", "\\'") + "']"
+def is_record(value: Column) -> Column:
+    """True when the message is a JSON object (the counter's only test)."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
 
 
-def field_expr(variant: Column, name: str, dtype) -> Column:
-    """Read one declared field from a VARIANT object; NULL when absent or unreadable."""
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        txt = F.try_variant_get(variant, _path(name), "string")
-        ts = parse_iso_local(txt)
-        return ts if isinstance(dtype, TimestampType) else ts.cast("timestamp_ntz")
-    return F.try_variant_get(variant, _path(name), dtype.simpleString())
+def wire_type(schema: StructType) -> StructType:
+    """The declared schema as read off the wire: timestamps arrive as text."""
+    return StructType([StructField(f.name, StringType() if isinstance(f.dataType, (TimestampType, TimestampNTZType))
+                                   else f.dataType) for f in schema.fields])
 
 
-def with_variant(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse once; add validity and error text.  The variant is kept as a column so
-    every field extraction reads the same parsed value."""
-    v = F.try_parse_json(F.col(value_col))
-    out = df.withColumn(VARIANT_COL, v)
-    is_obj = F.coalesce(F.schema_of_variant(F.col(VARIANT_COL)).startswith("OBJECT"), F.lit(False))
-    err = (F.when(F.col(value_col).isNull(), F.lit(ERR_NULL))
-           .when(F.col(VARIANT_COL).isNull(), F.lit(ERR_MALFORMED))
-           .when(~is_obj, F.lit(ERR_NOT_OBJECT)))
-    return out.withColumn(ERROR_COL, err).withColumn(VALID_COL, F.col(ERROR_COL).isNull())
+def record(value: Column, schema: StructType) -> Column:
+    """One message -> the declared record, or NULL when the message is not a JSON
+    object.  Casting the parsed VARIANT to the whole struct applies the lenient
+    rules field by field (a bad field is NULL, its neighbours survive)."""
+    return F.try_variant_get(F.try_parse_json(value), "$", wire_type(schema).simpleString())
+
+
+def _typed_fields(schema: StructType) -> list[Column]:
+    out = []
+    for f in schema.fields:
+        if isinstance(f.dataType, TimestampType):
+            out.append(parse_iso_local(f.name).alias(f.name))
+        elif isinstance(f.dataType, TimestampNTZType):
+            out.append(parse_iso_local(f.name).cast("timestamp_ntz").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return out
+
+
+def _one_or_none(c: Column) -> Column:
+    """Emit 0 or 1 rows per input row.  Used instead of a Filter: Catalyst pushes a
+    Filter on a computed column below the projection that computes it, which
+    would parse every message twice."""
+    return F.inline(F.array_compact(F.array(c)))
+
+
+def decode_valid(df: DataFrame, schema: StructType, value_col: str = "value",
+                 keep: tuple[str, ...] = ("key", "topic", "partition", "offset")) -> DataFrame:
+    """Valid messages only: (kept envelope columns, declared fields...).  Each
+    message is parsed exactly once."""
+    kept = [c for c in keep if c in df.columns]
+    with_rec = df.select(*kept, record(F.col(value_col), schema).alias("_r"))
+    row = F.when(F.col("_r").isNotNull(), F.struct(*[F.col(c) for c in kept], F.col("_r")))
+    return with_rec.select(_one_or_none(row)).select(*kept, "_r.*").select(*kept, *_typed_fields(schema))
+
+
+def _error_text(value: Column, variant: Column, rec: Column) -> Column:
+    return (F.when(value.isNull(), F.lit(ERR_NULL))
+            .when(variant.isNull(), F.lit(ERR_MALFORMED))
+            .when(rec.isNull(), F.lit(ERR_NOT_OBJECT)))
+
+
+def dead_letters(df: DataFrame, schema: StructType, value_col: str = "value",
+                 keep: tuple[str, ...] = ("key", "topic", "partition", "offset")) -> DataFrame:
+    """Invalid messages only: (kept envelope columns, value, error)."""
+    kept = [c for c in keep if c in df.columns]
+    parsed = df.select(*kept, F.col(value_col).alias("value"), F.try_parse_json(F.col(value_col)).alias(VARIANT_COL))
+    v = F.col(VARIANT_COL)
+    err = _error_text(F.col("value"), v, F.try_variant_get(v, "$", wire_type(schema).simpleString()))
+    row = F.when(err.isNotNull(), F.struct(*[F.col(c) for c in kept], F.col("value"), err.alias("error")))
+    return parsed.select(_one_or_none(row))
 
 
 def decode(df: DataFrame, schema: StructType, value_col: str = "value",
            keep: tuple[str, ...] = ("key", "topic", "partition", "offset")) -> DataFrame:
-    """Envelope -> (kept envelope columns, _valid, _error, declared fields...).
-
-    Invalid rows are kept (all fields NULL) so the caller can route them; use
-    :func:`valid_rows` / :func:`dead_letters` to split."""
-    parsed = with_variant(df, value_col)
+    """Every message with ``_valid`` and ``_error`` plus the declared fields (NULL
+    for invalid messages), for callers that route both kinds from one frame."""
+    kept = [c for c in keep if c in df.columns]
+    parsed = df.select(*kept, F.col(value_col), F.try_parse_json(F.col(value_col)).alias(VARIANT_COL))
     v = F.col(VARIANT_COL)
-    fields = [field_expr(v, f.name, f.dataType).alias(f.name) for f in schema.fields]
-    kept = [F.col(c) for c in keep if c in df.columns]
-    return parsed.select(*kept, value_col, F.col(VALID_COL), F.col(ERROR_COL), *fields)
+    with_rec = parsed.select(*kept, value_col, v,
+                             F.try_variant_get(v, "$", wire_type(schema).simpleString()).alias("_r"))
+    err = _error_text(F.col(value_col), v, F.col("_r"))
+    flat = with_rec.select(*kept, value_col, err.alias(ERROR_COL), "_r.*")
+    return flat.select(*kept, value_col, F.col(ERROR_COL).isNull().alias(VALID_COL), ERROR_COL,
+                       *_typed_fields(schema))
 
 
 def valid_rows(decoded: DataFrame, schema: StructType,
@@ -74,8 +115,8 @@ def valid_rows(decoded: DataFrame, schema: StructType,
     return decoded.where(F.col(VALID_COL)).select(*kept, *[f.name for f in schema.fields])
 
 
-def dead_letters(decoded: DataFrame, value_col: str = "value") -> DataFrame:
-    """Undecodable messages with their error text (the dead-letter side output)."""
+def split_dead_letters(decoded: DataFrame, value_col: str = "value") -> DataFrame:
+    """Dead letters out of a :func:`decode` frame."""
     kept = [c for c in ("key", "topic", "partition", "offset") if c in decoded.columns]
     return decoded.where(~F.col(VALID_COL)).select(
         *kept, F.col(value_col).alias("value"), F.col(ERROR_COL).alias("error"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.codec import dead_letters, decode, valid_rows
+from tidewater.functions.codec import dead_letters, decode_valid
 from tidewater.operators import conform as C
 from tidewater.operators import enrich as E
 from tidewater.operators import views as V
@@ -12,6 +12,7 @@ from tidewater.plans.oracle_base import SD, UA, WSD, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.schemas import SENSOR_PAYLOAD, USER_ACTIVITY_PAYLOAD
 from tidewater.sources import bindings as B
+from tidewater.session import ensure_parallelism
 from tidewater.sources.broker import envelope, truncate_every
 
 R = 6  # decimals kept for floating aggregates compared across engines
@@ -126,13 +127,18 @@ def q_hourly_cross_source(spark, sf_dir):
 
 # ---- codec: publish, decode, dead letters ---------------------------------------------
 
+def _events(spark, sf_dir):
+    """events, spread over all cores for the CPU-heavy encode/decode paths."""
+    return ensure_parallelism(B.read_table(spark, sf_dir, "events"))
+
+
 def user_envelope(spark, sf_dir, corrupt_every: int | None = None):
-    env = envelope(B.family_payload(spark, sf_dir, "user_activity"), "user_activity")
+    env = envelope(B.user_activity_payload(_events(spark, sf_dir)), "user_activity")
     return truncate_every(env, corrupt_every) if corrupt_every else env
 
 
 def sensor_envelope(spark, sf_dir, corrupt_every: int | None = None):
-    env = envelope(B.family_payload(spark, sf_dir, "sensor_data"), "sensor_data")
+    env = envelope(B.sensor_payload(_events(spark, sf_dir)), "sensor_data")
     return truncate_every(env, corrupt_every) if corrupt_every else env
 
 
@@ -165,15 +171,14 @@ def _ua_decoded_out(df):
 
 @query("src_user_activity", with_(UA) + f"SELECT {UA_DECODED_COLS} FROM ua")
 def q_src_user_activity(spark, sf_dir):
-    dec = decode(user_envelope(spark, sf_dir), USER_ACTIVITY_PAYLOAD)
-    return _ua_decoded_out(valid_rows(dec, USER_ACTIVITY_PAYLOAD))
+    return _ua_decoded_out(decode_valid(user_envelope(spark, sf_dir), USER_ACTIVITY_PAYLOAD))
 
 
 @query("src_sensor_data", with_(SD) + """
 SELECT event_id AS offset, sensor_id, sensor_type, event_time, latitude, longitude, facility,
        battery_level, reading, unit FROM sd""")
 def q_src_sensor_data(spark, sf_dir):
-    dec = valid_rows(decode(sensor_envelope(spark, sf_dir), SENSOR_PAYLOAD), SENSOR_PAYLOAD)
+    dec = decode_valid(sensor_envelope(spark, sf_dir), SENSOR_PAYLOAD)
     return _sensor_out(dec)
 
 
@@ -189,8 +194,7 @@ CORRUPT_EVERY = 50  # fixture: every 50th message is cut to its first 10 charact
 
 @query("decode_lenient", with_(UA) + f"SELECT {UA_DECODED_COLS} FROM ua WHERE event_id % {CORRUPT_EVERY} <> 0")
 def q_decode_lenient(spark, sf_dir):
-    dec = decode(user_envelope(spark, sf_dir, CORRUPT_EVERY), USER_ACTIVITY_PAYLOAD)
-    return _ua_decoded_out(valid_rows(dec, USER_ACTIVITY_PAYLOAD))
+    return _ua_decoded_out(decode_valid(user_envelope(spark, sf_dir, CORRUPT_EVERY), USER_ACTIVITY_PAYLOAD))
 
 
 @query("dead_letter", f"""
@@ -198,5 +202,4 @@ SELECT CAST(user_id AS VARCHAR) AS key, 'user-activity' AS topic, event_id AS of
        '{{"user_id"' AS value, 'malformed JSON' AS error
 FROM events WHERE event_id % {CORRUPT_EVERY} = 0""")
 def q_dead_letter(spark, sf_dir):
-    dec = decode(user_envelope(spark, sf_dir, CORRUPT_EVERY), USER_ACTIVITY_PAYLOAD)
-    return dead_letters(dec).drop("partition")
+    return dead_letters(user_envelope(spark, sf_dir, CORRUPT_EVERY), USER_ACTIVITY_PAYLOAD).drop("partition")

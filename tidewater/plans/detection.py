@@ -97,14 +97,16 @@ def q_hourly_alerts(spark, sf_dir):
 @query("synth_user_activity")
 def q_synth_user_activity(spark, sf_dir):
     from tidewater.sources.synth import synth_user_activity
-    return synth_user_activity(B.read_table(spark, sf_dir, "events")) \
+    from tidewater.session import ensure_parallelism
+    return synth_user_activity(ensure_parallelism(B.read_table(spark, sf_dir, "events"))) \
         .withColumn("product_ids", F.array_join("product_ids", ","))
 
 
 @query("synth_sensor_data")
 def q_synth_sensor_data(spark, sf_dir):
     from tidewater.sources.synth import synth_sensor_data
-    return synth_sensor_data(B.read_table(spark, sf_dir, "events")).select(
+    from tidewater.session import ensure_parallelism
+    return synth_sensor_data(ensure_parallelism(B.read_table(spark, sf_dir, "events"))).select(
         "sensor_id", "sensor_type", "timestamp", F.col("location.lat").alias("latitude"),
         F.col("location.lon").alias("longitude"), F.col("location.facility").alias("facility"),
         "battery_level", "reading", "unit", "event_id")

@@ -43,7 +43,7 @@ FROM ua"""
 def _topic(spark, sf_dir, family, run, corrupt_every=None):
     path = os.path.join(run, "topics", family)
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
-    publish(env, path)
+    publish(env, path, num_files=spark.sparkContext.defaultParallelism)
     return path
 
 
@@ -196,7 +196,8 @@ def _three_waves(spark, sf_dir, run, family):
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
     path = os.path.join(run, "topics", family)
     waves = [(F.col("offset") >= t50) & (F.col("offset") < t90), F.col("offset") >= t90, F.col("offset") < t50]
-    return path, [(lambda c=c: publish(env.where(c), path)) for c in waves]
+    n = spark.sparkContext.defaultParallelism
+    return path, [(lambda c=c: publish(env.where(c), path, num_files=n)) for c in waves]
 
 
 @query("tumbling_late_drop", _windows_oracle(False, WAVE_SQL))

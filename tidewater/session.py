@@ -59,3 +59,14 @@ def shared_root(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared root for one run of one job."""
     return os.path.join(shared_root(spark), "runs", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a CPU-heavy stage over the cluster when its input has fewer splits
+    than cores (e.g. one small file).  Inputs that are already split finely are
+    left alone, so at scale this adds no shuffle.  Round-robin, not by key: a
+    hot key cannot make one task hot."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

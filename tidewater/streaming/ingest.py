@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.functions.codec import dead_letters, decode, valid_rows
+from tidewater.functions.codec import dead_letters, decode_valid
 from tidewater.functions.timefn import event_date, to_rest
 from tidewater.operators.conform import sensor_sink_row, user_activity_sink_row
 from tidewater.schemas import FAMILIES, SENSOR_DATA_PARTITIONS, USER_ACTIVITY_PARTITIONS
@@ -28,7 +28,7 @@ PARTITIONS = {"user_activity": USER_ACTIVITY_PARTITIONS, "sensor_data": SENSOR_D
 def decoded_events(env: DataFrame, family: str, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
     """Valid decoded payloads with the event-time watermark declared on ``timestamp``."""
     schema = FAMILIES[family]["payload"]
-    dec = valid_rows(decode(env, schema), schema)
+    dec = decode_valid(env, schema)
     return dec.withWatermark("timestamp", watermark) if watermark else dec
 
 
@@ -78,8 +78,7 @@ def start_dead_letters(env: DataFrame, family: str, path: str, checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
     """Side output: undecodable messages with their error text, to their own
     Parquet table (exactly-once like the main sink, own checkpoint)."""
-    dec = decode(env, FAMILIES[family]["payload"])
-    return (dead_letters(dec).withColumn("failed_at", to_rest(F.current_timestamp()))
+    return (dead_letters(env, FAMILIES[family]["payload"]).withColumn("failed_at", to_rest(F.current_timestamp()))
             .writeStream.format("parquet").outputMode("append")
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or PRODUCTION_TRIGGER)).start())
