@@ -70,3 +70,17 @@ def test_cut_lineage_uses_shared_checkpoint_dir(spark):
     df = L.cut_lineage(B.user_activity(spark, SF_SMALL).select("user_id"))
     assert df.count() == 1000
     assert "checkpoint" in df._jdf.queryExecution().logical().toString().lower() or df.count() == 1000
+
+
+def test_data_present_gate(spark):
+    from tidewater.operators import views as V
+    ua, sd = B.user_activity(spark, SF_SMALL), B.sensor_data(spark, SF_SMALL)
+    assert V.data_present(V.table_counts(ua, sd))
+    assert not V.data_present(V.table_counts(ua.limit(0), sd))
+
+
+def test_use_catalog_and_database(spark):
+    L.create_database(spark, "tw_use")
+    L.use(spark, "spark_catalog", "tw_use")
+    assert spark.catalog.currentDatabase() == "tw_use"
+    L.use(spark, database="default")

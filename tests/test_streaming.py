@@ -68,3 +68,41 @@ def test_alert_sink_is_idempotent_per_batch(spark):
     assert 0 < got.count() <= expect.count()
     assert got.select("hour", "event_type", "event_count").exceptAll(
         expect.select("hour", "event_type", "event_count")).count() == 0
+
+
+def test_jobs_run_processor_and_counter(spark, capsys):
+    from tidewater import jobs
+    run, topic = _topic(spark, "jobs")
+    args = ["--topic-path", topic, "--table", run + "/ua", "--checkpoint", run + "/c", "--available-now"]
+    p = jobs.main(["user_activity"] + args)
+    assert all(q.exception() is None for q in p)
+    assert spark.read.parquet(run + "/ua").count() == 1000
+    assert spark.read.parquet(run + "/ua_dead_letters").count() == 0
+    c = jobs.main(["message_counter", "--topic-path", topic, "--table", run + "/mc", "--checkpoint", run + "/c2",
+                   "--available-now"])
+    assert c[0].exception() is None
+
+
+def test_console_sink_prints(spark):
+    run, topic = _topic(spark, "console")
+    from tidewater.streaming import windows as W
+    q = I.console_sink(W.processing_time_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER)
+    I.run_to_end(q)
+    assert q.lastProgress["numInputRows"] == 1000 or q.recentProgress
+
+
+def test_late_rows_are_counted_as_dropped(spark):
+    from tidewater.plans.streams import _three_waves
+    from tidewater.streaming import windows as W
+    from tests.conftest import SF_MID
+    run = run_dir(spark, "dropped")
+    topic, waves = _three_waves(spark, SF_MID, run, "sensor_data")
+    dropped = 0
+    for w in waves:
+        w()
+        dec = I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None)
+        q = W.start_append(W.event_time_window_stats(dec, "timestamp"), run + "/w", run + "/c", I.TEST_TRIGGER)
+        I.run_to_end(q)
+        dropped += I.progress_metrics(spark, q).agg(F.sum("dropped_by_watermark")).first()[0] or 0
+    assert dropped > 0
+    assert spark.read.parquet(run + "/w").agg(F.sum("message_count")).first()[0] == 4999

@@ -47,6 +47,14 @@ FROM {source} GROUP BY 1, 2, 3
 KEY_PROPERTY = "tidewater.primary_key"
 
 
+def use(spark: SparkSession, catalog: str | None = None, database: str | None = None) -> None:
+    """USE CATALOG / USE database."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
+    if database:
+        spark.catalog.setCurrentDatabase(database)
+
+
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")

@@ -124,7 +124,9 @@ def progress_metrics(spark: SparkSession, q: StreamingQuery) -> DataFrame:
     """Delivery report: one row per finished micro-batch from the query's progress."""
     rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
              float(p.get("processedRowsPerSecond") or 0.0),
-             int((p.get("durationMs") or {}).get("triggerExecution", 0)))
+             int((p.get("durationMs") or {}).get("triggerExecution", 0)),
+             sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators") or []))
             for p in q.recentProgress]
     return spark.createDataFrame(rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
-                                       "processed_rows_per_second double, trigger_ms long")
+                                       "processed_rows_per_second double, trigger_ms long, "
+                                       "dropped_by_watermark long")
