@@ -26,6 +26,8 @@ def _source(spark, family, args, group):
     cfg = load_config(args.env)
     if args.kafka:
         cfg["source"] = "kafka"
+    if args.max_offsets_per_trigger:
+        cfg["maxOffsetsPerTrigger"] = args.max_offsets_per_trigger
     return read_events(spark, family, args.topic_path, cfg=cfg, group_id=group,
                        max_files_per_trigger=args.max_files_per_trigger)
 
@@ -64,10 +66,14 @@ def main(argv=None):
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--interval", default="60 seconds")
     ap.add_argument("--available-now", action="store_true")
-    ap.add_argument("--max-files-per-trigger", type=int)
+    ap.add_argument("--max-files-per-trigger", type=int, help="bound on files per micro-batch")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="bound on broker messages per micro-batch")
     args = ap.parse_args(argv)
     from tidewater.session import get_spark
-    spark = get_spark()
+    # State of the windowed jobs lives in RocksDB (off-heap, spills to local disk,
+    # snapshots to the checkpoint) rather than on the JVM heap.
+    spark = get_spark(extra={"spark.sql.streaming.stateStore.providerClass":
+                             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
     queries = message_counter(spark, args) if args.job == "message_counter" else processor(spark, args.job, args)
     for q in queries:
         q.awaitTermination()

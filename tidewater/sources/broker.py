@@ -62,8 +62,10 @@ def read_events(spark: SparkSession, family: str, path: str | None = None,
     """The envelope of one topic, as a stream (default) or a bounded frame."""
     if cfg and cfg.get("source") == "kafka":
         reader = spark.readStream if stream else spark.read
-        raw = (reader.format("kafka")
-               .options(**kafka_source_options(cfg, family, group_id or f"{family}-processor")).load())
+        opts = kafka_source_options(cfg, family, group_id or f"{family}-processor")
+        if stream and cfg.get("maxOffsetsPerTrigger"):
+            opts["maxOffsetsPerTrigger"] = str(cfg["maxOffsetsPerTrigger"])
+        raw = reader.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"),
                           "topic", "partition", "offset", "timestamp")
     if stream:
