@@ -237,3 +237,20 @@ def q_tumbling_count_proctime(spark, sf_dir):
                                   out, os.path.join(run, "ckpt"), NOW)
     I.run_to_end(q)
     return spark.read.parquet(out)
+
+
+@query("stream_from_table", with_(WUA) + """
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
+def q_stream_from_table(spark, sf_dir):
+    """The lake table the processor writes, consumed again as a stream: a
+    streaming hourly rollup (complete mode, kept as a snapshot) over it equals
+    the batch view."""
+    run = run_dir(spark, "table_stream")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    table = os.path.join(run, "tables", "user_activity")
+    _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt_ingest"))
+    rows = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
+    out = os.path.join(run, "tables", "hourly")
+    I.run_to_end(W.start_complete_snapshot(V.hourly_user_activity(conform_user_activity(rows)), out,
+                                           os.path.join(run, "ckpt_rollup"), NOW))
+    return spark.read.parquet(out)
