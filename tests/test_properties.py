@@ -49,8 +49,9 @@ def _skewed_readings(spark, n_rows=3000, seed=7):
 
 def test_previous_rows_stats_equals_brute_force(spark):
     df = _skewed_readings(spark)
-    for n in (1, 3, 20):
-        got = {r["event_id"]: r for r in D.previous_rows_stats(df, "sensor_id", "reading", n).collect()}
+    for n, target in ((1, 7), (3, 50), (20, 5), (20, 100000)):
+        got = {r["event_id"]: r for r in D.previous_rows_stats(df, "sensor_id", "reading", n,
+                                                                target_rows=target).collect()}
         w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id").rowsBetween(-n, -1)
         ref = df.select("event_id", F.count("reading").over(w).alias("c"), F.avg("reading").over(w).alias("m"),
                         F.stddev_samp("reading").over(w).alias("s")).collect()
@@ -74,7 +75,8 @@ def test_view_then_purchase_equals_brute_force(spark):
     rows += [(5000, "edge", "view", base), (5001, "edge", "purchase", base + dt.timedelta(minutes=30)),
              (5002, "edge", "purchase", base + dt.timedelta(minutes=30, microseconds=1) + dt.timedelta(hours=5))]
     df = spark.createDataFrame(rows, "event_id long, user_id string, event_type string, event_time timestamp_ntz")
-    got = {(r["event_id"], r["last_view_time"]) for r in D.view_then_purchase(df).collect()}
+    got = {(r["event_id"], r["last_view_time"]) for r in D.view_then_purchase(df, target_rows=9).collect()}
+    assert got == {(r["event_id"], r["last_view_time"]) for r in D.view_then_purchase(df).collect()}
     w = Window.partitionBy("user_id").orderBy("event_time", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     ref = (df.where(F.col("event_type").isin("view", "purchase"))
            .withColumn("lv", F.max(F.when(F.col("event_type") == "view", F.col("event_time"))).over(w))
@@ -84,6 +86,19 @@ def test_view_then_purchase_equals_brute_force(spark):
     assert got == expect and (5001, base) in got
 
 
+def test_adaptive_buckets_split_hot_key(spark):
+    df = _skewed_readings(spark)
+    b = D.adaptive_buckets(df, "sensor_id", "event_time", target_rows=50)
+    sizes = b.groupBy("sensor_id", "_b").count()
+    hot = sizes.where("sensor_id = 'hot'")
+    assert hot.count() >= 10  # ~1000 hot rows cut into many groups
+    # bucket order is time order within a key
+    w = Window.partitionBy("sensor_id").orderBy("_b")
+    bounds = b.groupBy("sensor_id", "_b").agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+    prev_hi = bounds.withColumn("prev_hi", F.lag("hi").over(w))
+    assert prev_hi.where("prev_hi > lo").count() == 0
+
+
 def test_latest_by_key_handles_hot_key(spark):
     df = _skewed_readings(spark)
     got = {r["sensor_id"]: r["event_id"] for r in K.latest_by_key(df, ["sensor_id"]).collect()}

@@ -3,9 +3,11 @@
 Per-entity sequence operators (previous N readings of a sensor, last view of
 a user) are not run as one window per entity: an entity may hold a third of all
 rows, and there are only ~100 sensors.  Instead rows are split into
-(entity, time-bucket) groups and each group gets exactly the rows it needs
-from earlier buckets (a bounded carry), so parallelism follows time, not the
-number of entities.
+(entity, time-bucket) groups and each group gets exactly what it needs from
+earlier buckets (a bounded carry), so parallelism follows the data, not the
+number of entities.  Bucket widths adapt per entity (from a one-row-per-entity
+aggregate) so that a bucket holds about ``target_rows`` rows: a hot entity gets
+narrow buckets, a sparse one wide buckets (little carry).
 """
 
 from __future__ import annotations
@@ -17,28 +19,54 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 HOUR_US = 3_600_000_000
+TARGET_ROWS = 200_000  # rows per (entity, bucket) group; a window task handles one group
+MIN_WIDTH_US = 1_000   # buckets never narrower than 1 ms
 
 
-def time_bucket(ts: str | Column, width_us: int) -> Column:
+def _micros(ts: str | Column) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(width_us)).cast("long")
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def time_bucket(ts: str | Column, width_us: int) -> Column:
+    return F.floor(_micros(ts) / F.lit(width_us)).cast("long")
+
+
+def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET_ROWS,
+                     min_width_us: int = MIN_WIDTH_US) -> DataFrame:
+    """Adds ``_b``: a per-key time bucket whose width is the key's time span
+    divided by (its row count / target_rows), so each bucket holds about
+    ``target_rows`` rows.  Buckets are consecutive time intervals of one key, so
+    ordering by ``_b`` within a key is time order.  The per-key statistics are a
+    partial aggregate (one row per key), joined back by size-checked broadcast."""
+    from tidewater.operators.enrich import maybe_broadcast
+    m = _micros(ts)
+    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_t0"), F.max(m).alias("_t1"))
+          .select(F.col(key).alias("_bk"), "_t0",
+                  F.greatest(F.lit(min_width_us),
+                             F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(target_rows) / F.col("_n")))
+                  .cast("long").alias("_w")))
+    j = df.join(maybe_broadcast(st), df[key].eqNullSafe(st["_bk"]), "left")
+    b = F.floor((m - F.col("_t0")) / F.col("_w")).cast("long")
+    return j.withColumn("_b", b).drop("_bk", "_t0", "_w")
 
 
 def previous_rows_stats(df: DataFrame, key: str, value: str, n: int = 20,
                         order: Sequence[str] = ("event_time", "event_id"),
-                        bucket_us: int = HOUR_US) -> DataFrame:
+                        target_rows: int = TARGET_ROWS) -> DataFrame:
     """Adds prev_count, prev_mean, prev_std: count, mean and sample standard
     deviation of ``value`` over the previous ``n`` rows of the same ``key``
     (ordered by ``order``), exactly as a ROWS BETWEEN n PRECEDING AND 1 PRECEDING
     window partitioned by ``key`` would.
 
-    Plan: rows are grouped by (key, hour).  The last n rows of each group are
-    carried into each later group whose start they are within n rows of (found
-    from per-group counts, a small aggregate), then one window runs per
-    (key, hour) group.  Work per task is bounded by a group plus n carried rows.
+    Plan: rows are grouped by (key, adaptive time bucket).  The last n rows of
+    each group are carried into each later group whose start they are within n
+    rows of (found from per-group counts, a small aggregate), then one window
+    runs per (key, bucket) group.  Work per task is bounded by a group plus n
+    carried rows; one full shuffle (the final window), the tails take a
+    map-side group limit, the counts a partial aggregate.
     """
-    t = order[0]
-    x = df.withColumn("_b", time_bucket(t, bucket_us))
+    x = adaptive_buckets(df, key, order[0], target_rows)
 
     # Per-(key, bucket) counts -> pairs (source bucket s, target bucket t) with the
     # number of rows strictly between them, for targets fewer than n rows later.
@@ -84,26 +112,32 @@ def sensor_anomalies(sd: DataFrame, threshold: float = 2.0, n: int = 20, value:
 
 
 def view_then_purchase(ua: DataFrame, within_us: int = 30 * 60 * 1_000_000,
-                       view: str = "view", purchase: str = "purchase") -> DataFrame:
+                       view: str = "view", purchase: str = "purchase",
+                       target_rows: int = TARGET_ROWS) -> DataFrame:
     """Purchases preceded by a view of the same user at most ``within`` earlier:
     (event_id, user_id, purchase_time, last_view_time).
 
-    Buckets of width ``within``: the last qualifying view of a purchase in
-    bucket b lies in b (before it) or in b-1.  The b-1 candidate is the latest
-    view of that bucket (a partial aggregate, joined on (user, bucket)); the
-    same-bucket candidate is a running max inside the (user, bucket) group."""
+    The last view before a purchase is either earlier in the purchase's own
+    (user, bucket) group -- a running max inside the group -- or the latest
+    view of any earlier bucket of that user -- a running max over the
+    per-(user, bucket) latest views, a small aggregate.  Exact for any bucket
+    width; widths adapt per user so a hot user is split into many groups."""
     ev = (ua.where(F.col("event_type").isin(view, purchase))
-          .select("event_id", "user_id", "event_type", "event_time")
-          .withColumn("_b", time_bucket("event_time", within_us)))
-    prev_bucket = (ev.where(F.col("event_type") == view)
-                   .groupBy("user_id", (F.col("_b") + 1).alias("_b"))
-                   .agg(F.max("event_time").alias("_prev_view")))
+          .select("event_id", "user_id", "event_type", "event_time"))
+    ev = adaptive_buckets(ev, "user_id", "event_time", target_rows)
+    # One row per (user, bucket): the bucket's latest view (NULL if none); the
+    # running max over a user's earlier buckets is the latest earlier view.
+    per_bucket = ev.groupBy("user_id", "_b").agg(
+        F.max(F.when(F.col("event_type") == view, F.col("event_time"))).alias("_bucket_last_view"))
+    earlier = per_bucket.select("user_id", "_b", F.max("_bucket_last_view").over(
+        Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_prev_view"))
     w = (Window.partitionBy("user_id", "_b").orderBy("event_time", "event_id")
          .rowsBetween(Window.unboundedPreceding, -1))
     same = ev.withColumn("_same_view", F.max(F.when(F.col("event_type") == view, F.col("event_time"))).over(w))
-    p = same.where(F.col("event_type") == purchase).join(prev_bucket, ["user_id", "_b"], "left")
+    p = same.where(F.col("event_type") == purchase).join(earlier, ["user_id", "_b"], "left")
     last = F.greatest("_same_view", "_prev_view")
-    gap_ok = F.unix_micros(F.col("event_time").cast("timestamp")) - F.unix_micros(last.cast("timestamp")) <= within_us
+    gap_ok = _micros("event_time") - _micros(last) <= within_us
     return (p.withColumn("last_view_time", last).where(F.col("last_view_time").isNotNull() & gap_ok)
             .select("event_id", "user_id", F.col("event_time").alias("purchase_time"), "last_view_time"))
 
