@@ -21,12 +21,25 @@ def estimated_size(df: DataFrame) -> int | None:
         return None
 
 
-def maybe_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``dim`` only when its estimated size is known and under ``max_bytes``."""
-    size = estimated_size(dim)
+def maybe_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+    """Broadcast ``dim`` only when its size (estimated, or given by the caller) is
+    known and under ``max_bytes``."""
+    size = estimated_size(dim) if size is None else size
     return F.broadcast(dim) if size is not None and size <= max_bytes else dim
 
 
+DIM_COLS = ("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+
+
+def dimension_size(customer: DataFrame) -> int | None:
+    """Size of the customer dimension: the projected customer scan.  (Catalyst
+    estimates a join as the product of its inputs, so the joined dimension's own
+    estimate is useless; the lookups on nation/region keep one row per customer
+    and add two short names.)"""
+    s = estimated_size(customer.select(*DIM_COLS))
+    return None if s is None else s * 2
+
+
 def customer_dimension(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """customer -> (c_custkey, c_name, c_mktsegment, n_name, r_name).  nation and
     region are fixed 25/5-row tables, broadcast after the size check."""
@@ -36,10 +49,12 @@ def customer_dimension(customer: DataFrame, nation: DataFrame, region: DataFrame
             .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name"))
 
 
-def enrich_user_activity(ua: DataFrame, dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def enrich_user_activity(ua: DataFrame, dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
+                         dim_size: int | None = None) -> DataFrame:
     """Left join of events with the customer dimension on user_id = c_custkey.
-    Works unchanged on a streaming ``ua`` (stream-static join)."""
-    d = maybe_broadcast(dim, max_bytes)
+    Broadcast when the dimension is small, else a shuffle join (AQE splits
+    skewed event partitions).  Works unchanged on a streaming ``ua``."""
+    d = maybe_broadcast(dim, max_bytes, dim_size)
     joined = ua.join(d, ua.user_id.cast("long") == d.c_custkey, "left")
     return joined.drop("c_custkey")
 
