@@ -113,3 +113,13 @@ def test_window_counts_sum_to_rows(spark):
     sd = B.sensor_data(spark, SF_SMALL)
     w = event_time_window_stats(sd, "event_time")
     assert w.agg(F.sum("message_count")).first()[0] == sd.count()
+
+
+def test_adaptive_buckets_long_span_no_overflow(spark):
+    df = spark.createDataFrame([(1, "k", dt.datetime(1990, 1, 1)), (2, "k", dt.datetime(2030, 6, 1)),
+                                (3, "k", dt.datetime(2030, 6, 1, 0, 0, 1))],
+                               "event_id long, sensor_id string, event_time timestamp_ntz")
+    got = D.adaptive_buckets(df, "sensor_id", "event_time").collect()
+    assert len(got) == 3 and all(r["_b"] == 0 for r in got)
+    got = D.adaptive_buckets(df, "sensor_id", "event_time", target_rows=1).orderBy("event_id").collect()
+    assert [r["_b"] for r in got] == [0, 2, 2]

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HOUR_US = 3_600_000_000
 TARGET_ROWS = 200_000  # rows per (entity, bucket) group; a window task handles one group
 MIN_WIDTH_US = 1_000   # buckets never narrower than 1 ms
 
@@ -28,10 +27,6 @@ def _micros(ts: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def time_bucket(ts: str | Column, width_us: int) -> Column:
-    return F.floor(_micros(ts) / F.lit(width_us)).cast("long")
-
-
 def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET_ROWS,
                      min_width_us: int = MIN_WIDTH_US) -> DataFrame:
     """Adds ``_b``: a per-key time bucket whose width is the key's time span
@@ -43,8 +38,10 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET
     m = _micros(ts)
     st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_t0"), F.max(m).alias("_t1"))
           .select(F.col(key).alias("_bk"), "_t0",
-                  F.greatest(F.lit(min_width_us),
-                             F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(target_rows) / F.col("_n")))
+                  # in double: span (µs) x target overflows a long beyond ~1.5 years
+                  F.greatest(F.lit(min_width_us).cast("double"),
+                             F.ceil((F.col("_t1") - F.col("_t0") + 1).cast("double") * float(target_rows)
+                                    / F.col("_n")).cast("double"))
                   .cast("long").alias("_w")))
     j = df.join(maybe_broadcast(st), df[key].eqNullSafe(st["_bk"]), "left")
     b = F.floor((m - F.col("_t0")) / F.col("_w")).cast("long")
