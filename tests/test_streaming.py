@@ -126,3 +126,15 @@ def test_interrupted_ingest_resumes_without_loss_or_duplicates(spark):
     t = spark.read.parquet(run + "/t")
     assert t.count() == 1000
     assert t.groupBy("user_id", "event_time").count().where("count > 1").count() == 0
+
+
+def test_stream_plan_parses_each_message_once(spark):
+    run, topic = _topic(spark, "plan")
+    q = I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", run + "/t", run + "/c",
+                       trigger=I.TEST_TRIGGER)
+    I.run_to_end(q)
+    plan = q._jsq.explainInternal(False)  # the text q.explain() prints
+    assert plan.count("parseJson") == 1, plan
+    assert "Filter" not in plan.split("parseJson")[0].split("\n")[-1]
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
+        assert node not in plan
