@@ -203,3 +203,18 @@ SELECT CAST(user_id AS VARCHAR) AS key, 'user-activity' AS topic, event_id AS of
 FROM events WHERE event_id % {CORRUPT_EVERY} = 0""")
 def q_dead_letter(spark, sf_dir):
     return dead_letters(user_envelope(spark, sf_dir, CORRUPT_EVERY), USER_ACTIVITY_PAYLOAD).drop("partition")
+
+
+@query("sensor_stats_sql", with_(WSD) + f"""
+SELECT date_trunc('hour', event_time) AS hour, sensor_type, facility,
+       COUNT(*) AS reading_count, round(AVG(sensor_value), {R}) AS avg_value,
+       MIN(sensor_value) AS min_value, MAX(sensor_value) AS max_value
+FROM wsd GROUP BY 1, 2, 3""")
+def q_sensor_stats_sql(spark, sf_dir):
+    """The views through their SQL text: the warehouse rows registered as temp
+    views, the two views created over them with CREATE OR REPLACE TEMP VIEW."""
+    from tidewater.sources import lake as L
+    warehouse_user_activity(spark, sf_dir).createOrReplaceTempView("warehouse_user_activity")
+    warehouse_sensor_data(spark, sf_dir).createOrReplaceTempView("warehouse_sensor_data")
+    L.create_views(spark, temp=True, user_source="warehouse_user_activity", sensor_source="warehouse_sensor_data")
+    return spark.table("sensor_stats").withColumn("avg_value", F.round("avg_value", R))
