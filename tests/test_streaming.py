@@ -73,13 +73,14 @@ def test_alert_sink_is_idempotent_per_batch(spark):
 def test_jobs_run_processor_and_counter(spark, capsys):
     from tidewater import jobs
     run, topic = _topic(spark, "jobs")
-    args = ["--topic-path", topic, "--table", run + "/ua", "--checkpoint", run + "/c", "--available-now"]
+    args = ["--topic-path", topic, "--table", run + "/ua", "--checkpoint", run + "/c", "--available-now",
+            "--profile", "local"]
     p = jobs.main(["user_activity"] + args)
     assert all(q.exception() is None for q in p)
     assert spark.read.parquet(run + "/ua").count() == 1000
     assert spark.read.parquet(run + "/ua_dead_letters").count() == 0
     c = jobs.main(["message_counter", "--topic-path", topic, "--table", run + "/mc", "--checkpoint", run + "/c2",
-                   "--available-now"])
+                   "--available-now", "--profile", "local"])
     assert c[0].exception() is None
 
 

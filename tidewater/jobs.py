@@ -66,14 +66,17 @@ def main(argv=None):
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--interval", default="60 seconds")
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     ap.add_argument("--max-files-per-trigger", type=int, help="bound on files per micro-batch")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound on broker messages per micro-batch")
     args = ap.parse_args(argv)
-    from tidewater.session import get_spark
+    from tidewater.session import STREAMING_STATE_PARTITIONS, get_spark
     # State of the windowed jobs lives in RocksDB (off-heap, spills to local disk,
     # snapshots to the checkpoint) rather than on the JVM heap.
-    spark = get_spark(extra={"spark.sql.streaming.stateStore.providerClass":
-                             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
+    spark = get_spark(profile=args.profile, shuffle_partitions=None, extra={
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.shuffle.partitions": STREAMING_STATE_PARTITIONS if args.profile == "cluster" else "8"})
     queries = message_counter(spark, args) if args.job == "message_counter" else processor(spark, args.job, args)
     for q in queries:
         q.awaitTermination()

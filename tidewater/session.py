@@ -26,13 +26,35 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
-              app: str = "tidewater", extra: dict | None = None) -> SparkSession:
+# Large-cluster profile (hundreds of executors, ~100 TB inputs).  Shuffles start
+# wide and AQE coalesces them to ~256 MB partitions, so no reducer holds more
+# than fits in executor memory; skewed join partitions (5x the median and
+# > 512 MB) are split; scans read 256 MB splits.  Streaming jobs fix their state
+# partition count at first start, so they take their own, smaller value.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+STREAMING_STATE_PARTITIONS = "400"
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
+              app: str = "tidewater", extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` applies CLUSTER_CONF (no master: spark-submit sets it)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
