@@ -8,7 +8,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.timefn import to_rest
 from tidewater.operators import views as V
 from tidewater.operators.conform import conform_user_activity
 from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelope
