@@ -42,9 +42,12 @@ def truncate_every(env: DataFrame, n: int, keep_chars: int = 10) -> DataFrame:
 def publish(env: DataFrame, path: str, mode: str = "append", cfg: dict | None = None,
             family: str | None = None, num_files: int | None = None, by_key: bool = False) -> None:
     """Write envelope rows to a topic: the broker if configured (it partitions by
-    key itself), else a Parquet topic directory of ``num_files`` files.  Files
-    are balanced round-robin by default; ``by_key`` keeps each key's messages
-    in one file (per-key order, at the price of a hot file for a hot key)."""
+    key itself), else a Parquet topic directory of ``num_files`` files.  By
+    default each file holds a contiguous offset range, as a topic folder that
+    accumulates files over time does (balanced, and a consumer task then covers
+    a short stretch of event time, so partitioned sinks get few files);
+    ``by_key`` keeps each key's messages in one file (per-key order, at the
+    price of a hot file for a hot key)."""
     if cfg and cfg.get("source") == "kafka":
         (env.select("key", "value").write.format("kafka")
          .options(**kafka_sink_options(cfg, family)).save())
@@ -52,7 +55,7 @@ def publish(env: DataFrame, path: str, mode: str = "append", cfg: dict | None =
     if by_key:
         env = env.repartition(num_files or env.sparkSession.sparkContext.defaultParallelism, "key")
     elif num_files:
-        env = env.repartition(num_files)
+        env = env.repartitionByRange(num_files, "offset")
     env.write.mode(mode).parquet(path)
 
 
