@@ -1,7 +1,9 @@
 """Long-running jobs: the two processors (topic -> lake table, plus dead
-letters) and the message counter, runnable with spark-submit:
+letters) and the message counter:
 
-    spark-submit -m tidewater.jobs user_activity --topic-path ... --table ... --checkpoint ...
+    python -m tidewater.jobs user_activity --topic-path ... --table ... --checkpoint ...
+    # on a cluster: zip the package and ship it with the driver script
+    spark-submit --py-files tidewater.zip tidewater/jobs.py sensor_data --table ... --checkpoint ...
 
 Each job owns its checkpoint folder (its independent consumer progress).
 Broker sources are used when ``--kafka`` is given and the connector is on the
@@ -84,4 +86,6 @@ def main(argv=None):
 
 
 if __name__ == "__main__":
+    import sys
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     main()
