@@ -20,6 +20,13 @@ from tidewater.streaming import windows as W
 
 NOW = I.TEST_TRIGGER
 
+
+def _parallelism(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
 UA_SINK_COLS = ["user_id", "event_type", "event_time", "session_id", "ip_address", "user_agent", "page_url",
                 "referrer", "time_spent", "element_id", "search_query", "results_count", "order_id",
                 "product_ids", "total_amount", "currency", "event_date"]
@@ -42,7 +49,7 @@ FROM ua"""
 def _topic(spark, sf_dir, family, run, corrupt_every=None):
     path = os.path.join(run, "topics", family)
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
-    publish(env, path, num_files=spark.sparkContext.defaultParallelism)
+    publish(env, path, num_files=_parallelism(spark))
     return path
 
 
@@ -195,7 +202,7 @@ def _three_waves(spark, sf_dir, run, family):
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
     path = os.path.join(run, "topics", family)
     waves = [(F.col("offset") >= t50) & (F.col("offset") < t90), F.col("offset") >= t90, F.col("offset") < t50]
-    n = spark.sparkContext.defaultParallelism
+    n = _parallelism(spark)
     return path, [(lambda c=c: publish(env.where(c), path, num_files=n)) for c in waves]
 
 

@@ -65,16 +65,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
 
 def shared_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only if none is configured."""
-    jsc = spark.sparkContext._jsc  # noqa: SLF001 - public getter lives on the Java context
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, read the setting
+        sc = None
+    if sc is None:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir
+    jsc = sc._jsc  # noqa: SLF001 - the getter lives on the Java context
     current = jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        sc.setCheckpointDir(conf_dir)
         return jsc.sc().getCheckpointDir().get()
-    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")  # unset: local runs and tests only
+    sc.setCheckpointDir(local)
     return jsc.sc().getCheckpointDir().get()
 
 
@@ -88,7 +97,10 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     than cores (e.g. one small file).  Inputs that are already split finely are
     left alone, so at scale this adds no shuffle.  Round-robin, not by key: a
     hot key cannot make one task hot."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; leave the plan alone
         return df
     return df.repartition(target)
