@@ -64,7 +64,7 @@ def q_sensor_type_avg(spark, sf_dir):
 
 @query("activity_rollup", with_(WUA) + """
 SELECT date_trunc('day', event_time) AS day, date_trunc('hour', event_time) AS hour, event_type,
-       CAST(grouping(date_trunc('day', event_time), date_trunc('hour', event_time), event_type) AS INTEGER) AS grain,
+       CAST(grouping(date_trunc('day', event_time), date_trunc('hour', event_time), event_type) AS BIGINT) AS grain,
        COUNT(*) AS event_count
 FROM wua
 GROUP BY ROLLUP (date_trunc('day', event_time), date_trunc('hour', event_time), event_type)""")

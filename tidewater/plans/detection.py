@@ -69,7 +69,8 @@ DRIVER_RANGES = [("click", 0.0, 400.0), ("error", 0.0, 300.0), ("purchase", 0.0,
 
 
 def _ranges_sql():
-    return "(VALUES " + ", ".join(f"('{t}', {lo}, {hi})" for t, lo, hi in DRIVER_RANGES) + ") AS l(sensor_type, lo, hi)"
+    return ("(VALUES " + ", ".join(f"('{t}', CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE))" for t, lo, hi in DRIVER_RANGES)
+            + ") AS l(sensor_type, lo, hi)")
 
 
 @query("out_of_range", with_(SD) + f"""
