@@ -139,3 +139,14 @@ def test_stream_plan_parses_each_message_once(spark):
     assert "Filter" not in plan.split("parseJson")[0].split("\n")[-1]
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
         assert node not in plan
+
+
+def test_wait_for_rows_is_bounded(spark):
+    import pytest
+    run, topic = _topic(spark, "wait")
+    with pytest.raises(TimeoutError):
+        I.wait_for_rows(spark, run + "/t", timeout_s=0.5, poll_s=0.1)
+    q = I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", run + "/t", run + "/c",
+                       trigger=I.TEST_TRIGGER)
+    assert I.wait_for_rows(spark, run + "/t", min_rows=1000, timeout_s=120, poll_s=0.5) == 1000
+    I.run_to_end(q)

@@ -120,6 +120,25 @@ def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
     return q
 
 
+def wait_for_rows(spark: SparkSession, path: str, min_rows: int = 1, timeout_s: float = 60.0,
+                  poll_s: float = 2.0) -> int:
+    """Bounded wait until a lake table is queryable and holds at least
+    ``min_rows`` rows; returns the count, raises TimeoutError at the deadline.
+    Each poll is one count job (a scalar back to the driver)."""
+    import time
+    deadline = time.monotonic() + timeout_s
+    while True:
+        try:
+            n = spark.read.parquet(path).count()
+        except Exception:  # noqa: BLE001 - table folder not created yet
+            n = 0
+        if n >= min_rows:
+            return n
+        if time.monotonic() >= deadline:
+            raise TimeoutError(f"{path}: {n} rows after {timeout_s}s, wanted {min_rows}")
+        time.sleep(poll_s)
+
+
 def progress_metrics(spark: SparkSession, q: StreamingQuery) -> DataFrame:
     """Delivery report: one row per finished micro-batch from the query's progress."""
     rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
