@@ -1,4 +1,4 @@
-"""tidewater: a Spark-native event pipeline and analytics layer.
+"""tidewater: Spark-native event ingestion and analytics.
 
 Keyed JSON events are decoded leniently against declared schemas, watermarked,
 reshaped and appended with exactly-once checkpoints to date-partitioned Parquet
