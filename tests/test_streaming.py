@@ -87,7 +87,8 @@ def test_jobs_run_processor_and_counter(spark, capsys):
 def test_console_sink_prints(spark):
     run, topic = _topic(spark, "console")
     from tidewater.streaming import windows as W
-    q = I.console_sink(W.processing_time_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER)
+    q = I.console_sink(W.processing_time_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER,
+                       output_mode="complete")
     I.run_to_end(q)
     assert q.lastProgress["numInputRows"] == 1000 or q.recentProgress
 

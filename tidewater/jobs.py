@@ -53,7 +53,7 @@ def message_counter(spark: SparkSession, args) -> list[StreamingQuery]:
     """Processing-time 10 s counts of decodable sensor messages."""
     counts = W.processing_time_window_count(_source(spark, "sensor_data", args, "message-counter-job"))
     if args.console:
-        return [I.console_sink(counts, _trigger(args))]
+        return [I.console_sink(counts, _trigger(args), output_mode="complete")]
     return [W.start_complete_snapshot(counts, args.table, os.path.join(args.checkpoint, "counter"), _trigger(args))]
 
 

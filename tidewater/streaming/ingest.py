@@ -95,18 +95,11 @@ def start_csv_sink(env: DataFrame, family: str, path: str, checkpoint: str,
             .trigger(**(trigger or PRODUCTION_TRIGGER)).start())
 
 
-def console_sink(df: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-    """Print sink (``SELECT * FROM view`` printed per micro-batch)."""
-    return df.writeStream.format("console").outputMode(
-        "complete" if df.isStreaming and _is_aggregate(df) else "append") \
-        .trigger(**(trigger or PRODUCTION_TRIGGER)).start()
-
-
-def _is_aggregate(df: DataFrame) -> bool:
-    try:
-        return "Aggregate" in df._jdf.queryExecution().logical().toString()  # noqa: SLF001
-    except Exception:  # noqa: BLE001
-        return False
+def console_sink(df: DataFrame, trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
+    """Print sink (``SELECT * FROM view`` printed per micro-batch); aggregated
+    streams without a watermark use ``output_mode="complete"``."""
+    return (df.writeStream.format("console").outputMode(output_mode)
+            .trigger(**(trigger or PRODUCTION_TRIGGER)).start())
 
 
 def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
