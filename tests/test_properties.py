@@ -123,3 +123,18 @@ def test_adaptive_buckets_long_span_no_overflow(spark):
     assert len(got) == 3 and all(r["_b"] == 0 for r in got)
     got = D.adaptive_buckets(df, "sensor_id", "event_time", target_rows=1).orderBy("event_id").collect()
     assert [r["_b"] for r in got] == [0, 2, 2]
+
+
+def test_previous_rows_stats_null_times_sort_first(spark):
+    rows = [(i, "k" if i % 3 else "j", None if i % 7 == 0 else BASE_T + dt.timedelta(seconds=i * 37 % 500), float(i))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id long, sensor_id string, event_time timestamp_ntz, reading double")
+    got = {r["event_id"]: r for r in D.previous_rows_stats(df, "sensor_id", "reading", 4, target_rows=3).collect()}
+    w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id").rowsBetween(-4, -1)
+    for r in df.select("event_id", F.count("reading").over(w).alias("c"), F.avg("reading").over(w).alias("m")).collect():
+        assert got[r["event_id"]]["prev_count"] == r["c"]
+        assert (got[r["event_id"]]["prev_mean"] is None and r["m"] is None) or \
+            math.isclose(got[r["event_id"]]["prev_mean"], r["m"], rel_tol=1e-12)
+
+
+BASE_T = dt.datetime(2024, 1, 1)

@@ -32,7 +32,7 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET
     """Adds ``_b``: a per-key time bucket whose width is the key's time span
     divided by (its row count / target_rows), so each bucket holds about
     ``target_rows`` rows.  Buckets are consecutive time intervals of one key, so
-    ordering by ``_b`` within a key is time order.  The per-key statistics are a
+    ordering by ``_b`` within a key is time order (NULL times: bucket -1, first).  The per-key statistics are a
     partial aggregate (one row per key), joined back by size-checked broadcast."""
     from tidewater.operators.enrich import maybe_broadcast
     m = _micros(ts)
@@ -44,7 +44,8 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET
                                     / F.col("_n")).cast("double"))
                   .cast("long").alias("_w")))
     j = df.join(maybe_broadcast(st), df[key].eqNullSafe(st["_bk"]), "left")
-    b = F.floor((m - F.col("_t0")) / F.col("_w")).cast("long")
+    # rows without a time sort first in a window (NULLS FIRST): bucket -1
+    b = F.coalesce(F.floor((m - F.col("_t0")) / F.col("_w")).cast("long"), F.lit(-1).cast("long"))
     return j.withColumn("_b", b).drop("_bk", "_t0", "_w")
 
 
