@@ -82,3 +82,17 @@ def test_encode_decode_round_trip(spark):
         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     assert back.exceptAll(payload.select(*back.columns)).count() == 0
     assert payload.select(*back.columns).exceptAll(back).count() == 0
+
+
+def test_hour_trunc_ignores_session_zone(spark):
+    import datetime as dt
+    from tidewater.functions.timefn import day_trunc, hour_trunc
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 5, 7),), (None,)], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is in the DST gap
+    try:
+        got = df.select(hour_trunc("t").alias("h"), day_trunc("t").alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0]["h"] == dt.datetime(2024, 3, 10, 2) and got[0]["d"] == dt.datetime(2024, 3, 10)
+    assert got[1]["h"] is None

@@ -37,12 +37,15 @@ def to_rest(ts) -> Column:
 
 
 def hour_trunc(ts) -> Column:
-    """date_trunc('hour') that keeps NTZ input NTZ."""
-    return F.date_trunc("hour", col_(ts)).cast("timestamp_ntz")
+    """Hour truncation of an NTZ timestamp, built from its fields so no time zone
+    is involved (date_trunc would round-trip through the session zone and shift
+    wall-clock hours that fall in a daylight-saving gap)."""
+    c = col_(ts)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
 def day_trunc(ts) -> Column:
-    return F.date_trunc("day", col_(ts)).cast("timestamp_ntz")
+    return F.to_date(col_(ts)).cast("timestamp_ntz")
 
 
 def event_date(ts) -> Column:
