@@ -67,9 +67,15 @@ def test_memory_table(spark):
 
 
 def test_cut_lineage_uses_shared_checkpoint_dir(spark):
+    import os
+    from tidewater.session import shared_root
+    root = shared_root(spark).replace("file:", "", 1)
+    before = set(os.listdir(root))
     df = L.cut_lineage(B.user_activity(spark, SF_SMALL).select("user_id"))
     assert df.count() == 1000
-    assert "checkpoint" in df._jdf.queryExecution().logical().toString().lower() or df.count() == 1000
+    new = set(os.listdir(root)) - before
+    assert any(n.startswith("rdd-") for n in new), new  # reliable checkpoint files in the shared folder
+    assert "parquet" not in df._jdf.queryExecution().optimizedPlan().toString().lower()  # lineage cut
 
 
 def test_data_present_gate(spark):
