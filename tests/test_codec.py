@@ -96,3 +96,11 @@ def test_hour_trunc_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got[0]["h"] == dt.datetime(2024, 3, 10, 2) and got[0]["d"] == dt.datetime(2024, 3, 10)
     assert got[1]["h"] is None
+
+
+def test_duplicate_keys_keep_last_value(spark):
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "true"
+    df = spark.createDataFrame([(1, '{"page_url":"a","page_url":"b","time_spent":3}')], "offset long, value string")
+    rows = decode_valid(df, SCHEMA, keep=("offset",)).collect()
+    assert [(r["page_url"], r["time_spent"]) for r in rows] == [("b", 3)]
+    assert dead_letters(df, SCHEMA, keep=("offset",)).count() == 0

@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+    # lenient decode: a repeated object key keeps its last value (instead of
+    # sending the whole message to the dead-letter table)
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
