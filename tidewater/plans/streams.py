@@ -27,6 +27,7 @@ def _parallelism(spark) -> int:
     except Exception:  # noqa: BLE001 - Spark Connect
         return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
+
 UA_SINK_COLS = ["user_id", "event_type", "event_time", "session_id", "ip_address", "user_agent", "page_url",
                 "referrer", "time_spent", "element_id", "search_query", "results_count", "order_id",
                 "product_ids", "total_amount", "currency", "event_date"]
