@@ -88,7 +88,7 @@ def test_console_sink_prints(spark):
     run, topic = _topic(spark, "console")
     from tidewater.streaming import windows as W
     q = I.console_sink(W.processing_time_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER,
-                       output_mode="complete")
+                       output_mode="update")
     I.run_to_end(q)
     assert q.lastProgress["numInputRows"] == 1000 or q.recentProgress
 
@@ -151,3 +151,16 @@ def test_wait_for_rows_is_bounded(spark):
                        trigger=I.TEST_TRIGGER)
     assert I.wait_for_rows(spark, run + "/t", min_rows=1000, timeout_s=120, poll_s=0.5) == 1000
     I.run_to_end(q)
+
+
+def test_processing_time_counter_update_log_over_many_batches(spark):
+    from tidewater.streaming import windows as W
+    run, topic = _topic(spark, "counter_log")
+    counts = W.processing_time_window_count(read_events(spark, "sensor_data", topic, max_files_per_trigger=1))
+    q = W.start_update_log(counts, run + "/log", run + "/c", I.TEST_TRIGGER)
+    I.run_to_end(q)
+    batches = spark.read.parquet(run + "/log").select("batch_id").distinct().count()
+    assert batches >= 2
+    current = W.read_update_log(spark, run + "/log", ["window_start", "window_end"])
+    assert current.agg(F.sum("message_count")).first()[0] == 1000
+    assert current.count() == current.select("window_start").distinct().count()

@@ -50,11 +50,12 @@ def processor(spark: SparkSession, family: str, args) -> list[StreamingQuery]:
 
 
 def message_counter(spark: SparkSession, args) -> list[StreamingQuery]:
-    """Processing-time 10 s counts of decodable sensor messages."""
+    """Processing-time 10 s counts of decodable sensor messages; each batch emits
+    the windows it changed (update mode), old windows leave the state."""
     counts = W.processing_time_window_count(_source(spark, "sensor_data", args, "message-counter-job"))
     if args.console:
-        return [I.console_sink(counts, _trigger(args), output_mode="complete")]
-    return [W.start_complete_snapshot(counts, args.table, os.path.join(args.checkpoint, "counter"), _trigger(args))]
+        return [I.console_sink(counts, _trigger(args), output_mode="update")]
+    return [W.start_update_log(counts, args.table, os.path.join(args.checkpoint, "counter"), _trigger(args))]
 
 
 def main(argv=None):

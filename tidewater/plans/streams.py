@@ -251,10 +251,10 @@ def _proctime_counts(spark, sf_dir):
     run = run_dir(spark, "proctime")
     topic = _topic(spark, sf_dir, "sensor_data", run)
     out = os.path.join(run, "tables", "message_counts")
-    q = W.start_complete_snapshot(W.processing_time_window_count(read_events(spark, "sensor_data", topic)),
-                                  out, os.path.join(run, "ckpt"), NOW)
+    q = W.start_update_log(W.processing_time_window_count(read_events(spark, "sensor_data", topic)),
+                           out, os.path.join(run, "ckpt"), NOW)
     I.run_to_end(q)
-    return spark.read.parquet(out)
+    return W.read_update_log(spark, out, ["window_start", "window_end"])
 
 
 @query("stream_from_table", with_(WUA) + """

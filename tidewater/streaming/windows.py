@@ -33,9 +33,15 @@ def event_time_window_stats(events: DataFrame, time_col: str = "timestamp", dura
                     *[c for c in g.columns if c != "w"])
 
 
-def processing_time_window_count(env: DataFrame, duration: str = WINDOW) -> DataFrame:
-    """Processing-time tumbling count: the window of each row is the micro-batch time."""
+def processing_time_window_count(env: DataFrame, duration: str = WINDOW,
+                                 state_ttl: str | None = WINDOW) -> DataFrame:
+    """Processing-time tumbling count: the window of each row is the micro-batch
+    time.  ``state_ttl`` is a watermark on processing time, so windows that can
+    no longer change leave the state store (a long-running counter keeps a
+    bounded state)."""
     stamped = decodable_messages(env).withColumn("proc_time", F.current_timestamp())
+    if state_ttl:
+        stamped = stamped.withWatermark("proc_time", state_ttl)
     g = stamped.groupBy(F.window("proc_time", duration).alias("w")).agg(
         F.count(F.lit(1)).alias("message_count"))
     return g.select(to_rest("w.start").alias("window_start"), to_rest("w.end").alias("window_end"),
@@ -47,6 +53,22 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> St
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def start_update_log(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Update mode: each micro-batch writes only the rows it changed, with its
+    batch id, to ``<path>/batch_id=<n>`` (overwrite, so a replayed batch is
+    harmless).  Output per batch stays proportional to that batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return (df.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def read_update_log(spark, path: str, keys: list[str]) -> DataFrame:
+    """Current result of an update log: the latest batch's row for every key."""
+    from tidewater.operators.keys import latest_by_key
+    return latest_by_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
+
+
 def start_complete_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Complete-mode result kept as a Parquet snapshot: each batch overwrites the
     folder with the whole current result, so a replayed batch is harmless."""
