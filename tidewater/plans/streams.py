@@ -261,17 +261,20 @@ def _proctime_counts(spark, sf_dir):
 SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
 def q_stream_from_table(spark, sf_dir):
     """The lake table the processor writes, consumed again as a stream: a
-    streaming hourly rollup (complete mode, kept as a snapshot) over it equals
+    streaming hourly rollup over it (event-time windows with a watermark, so
+    finished hours leave the state; update mode into a per-batch log) equals
     the batch view."""
     run = run_dir(spark, "table_stream")
     topic = _topic(spark, sf_dir, "user_activity", run)
     table = os.path.join(run, "tables", "user_activity")
     _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt_ingest"))
+    from tidewater.functions.timefn import to_event_time
+    from tidewater.streaming.alerts import streaming_hourly_counts
     rows = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
+    hourly = streaming_hourly_counts(rows.withColumn("_et", to_event_time("event_time")), "_et", watermark="1 hour")
     out = os.path.join(run, "tables", "hourly")
-    I.run_to_end(W.start_complete_snapshot(V.hourly_user_activity(conform_user_activity(rows)), out,
-                                           os.path.join(run, "ckpt_rollup"), NOW))
-    return spark.read.parquet(out)
+    I.run_to_end(W.start_update_log(hourly, out, os.path.join(run, "ckpt_rollup"), NOW))
+    return W.read_update_log(spark, out, ["hour", "event_type"])
 
 
 @query("enrich_stream", with_(UA) + """

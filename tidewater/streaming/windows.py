@@ -1,5 +1,5 @@
 """Tumbling windows over event time (watermarked, append mode) and over
-processing time (complete mode).  Windows are epoch-aligned and [start, end)."""
+processing time (watermarked state, update mode).  Windows are epoch-aligned and [start, end)."""
 
 from __future__ import annotations
 
@@ -67,12 +67,3 @@ def read_update_log(spark, path: str, keys: list[str]) -> DataFrame:
     """Current result of an update log: the latest batch's row for every key."""
     from tidewater.operators.keys import latest_by_key
     return latest_by_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
-
-
-def start_complete_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Complete-mode result kept as a Parquet snapshot: each batch overwrites the
-    folder with the whole current result, so a replayed batch is harmless."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return (df.writeStream.outputMode("complete").foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
