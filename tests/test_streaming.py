@@ -164,3 +164,18 @@ def test_processing_time_counter_update_log_over_many_batches(spark):
     current = W.read_update_log(spark, run + "/log", ["window_start", "window_end"])
     assert current.agg(F.sum("message_count")).first()[0] == 1000
     assert current.count() == current.select("window_start").distinct().count()
+
+
+def test_files_per_partition_bounds_sink_files(spark):
+    import glob
+    run, topic = _topic(spark, "cluster_sink")
+    root = run.replace("file:", "", 1)
+    I.run_to_end(I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", run + "/plain",
+                                run + "/c1", trigger=I.TEST_TRIGGER))
+    I.run_to_end(I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", run + "/clustered",
+                                run + "/c2", trigger=I.TEST_TRIGGER, files_per_partition=2))
+    per_day = [len(glob.glob(d + "/*.parquet")) for d in glob.glob(root + "/clustered/event_date=*")]
+    plain = [len(glob.glob(d + "/*.parquet")) for d in glob.glob(root + "/plain/event_date=*")]
+    assert per_day and max(per_day) <= 2 and sum(per_day) < sum(plain)
+    a, b = spark.read.parquet(run + "/plain"), spark.read.parquet(run + "/clustered")
+    assert a.drop("processing_time").exceptAll(b.drop("processing_time")).count() == 0 and b.count() == 1000

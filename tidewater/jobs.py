@@ -43,7 +43,8 @@ def processor(spark: SparkSession, family: str, args) -> list[StreamingQuery]:
     messages -> dead-letter table."""
     group = f"{family.replace('_', '-')}-processor"
     main = I.start_ingest(_source(spark, family, args, group), family, args.table,
-                          os.path.join(args.checkpoint, "ingest"), trigger=_trigger(args), query_name=group)
+                          os.path.join(args.checkpoint, "ingest"), trigger=_trigger(args), query_name=group,
+                          files_per_partition=args.files_per_partition)
     dlq = I.start_dead_letters(_source(spark, family, args, group), family, args.table.rstrip("/") + "_dead_letters",
                                os.path.join(args.checkpoint, "dead_letters"), trigger=_trigger(args))
     return [main, dlq]
@@ -72,6 +73,8 @@ def main(argv=None):
     ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     ap.add_argument("--max-files-per-trigger", type=int, help="bound on files per micro-batch")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound on broker messages per micro-batch")
+    ap.add_argument("--files-per-partition", type=int,
+                    help="bound on files per table partition per micro-batch (adds one shuffle; for backfills)")
     args = ap.parse_args(argv)
     from tidewater.session import STREAMING_STATE_PARTITIONS, get_spark
     # State of the windowed jobs lives in RocksDB (off-heap, spills to local disk,

@@ -43,10 +43,23 @@ def ingest_frame(env: DataFrame, family: str, watermark: str | None = WATERMARK_
     return sink_rows(decoded_events(env, family, watermark), family)
 
 
+def cluster_for_sink(rows: DataFrame, partition_cols, files_per_partition: int) -> DataFrame:
+    """Shuffle a micro-batch so each table partition (e.g. one day) is written by
+    at most ``files_per_partition`` tasks: hash of (partition values, salt), the
+    salt spreading a hot partition over that many tasks instead of one."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(files_per_partition))
+    return rows.repartition(*[F.col(c) for c in partition_cols], salt)
+
+
 def start_ingest(env: DataFrame, family: str, table_path: str, checkpoint: str,
                  trigger: dict | None = None, watermark: str | None = WATERMARK_DELAY,
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, files_per_partition: int | None = None) -> StreamingQuery:
+    """Processor: topic -> sink rows -> partitioned Parquet.  Map-only by default;
+    ``files_per_partition`` adds one shuffle per micro-batch to bound the files
+    written per partition (for backfills spanning many days)."""
     rows = ingest_frame(env, family, watermark)
+    if files_per_partition:
+        rows = cluster_for_sink(rows, PARTITIONS[family], files_per_partition)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .partitionBy(*PARTITIONS[family])
          .option("path", table_path).option("checkpointLocation", checkpoint)
