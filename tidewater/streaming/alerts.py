@@ -27,7 +27,7 @@ def streaming_hourly_counts(events: DataFrame, time_col: str = "timestamp",
 def start_hourly_alerts(events: DataFrame, threshold: int, path: str, checkpoint: str,
                         trigger: dict, time_col: str = "timestamp") -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.where(F.col("event_count") > threshold).withColumn("batch_id", F.lit(batch_id))
+        (batch.where(F.col("event_count") > threshold)
          .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
     return (streaming_hourly_counts(events, time_col).writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
