@@ -299,3 +299,23 @@ def q_enrich_stream(spark, sf_dir):
     I.run_to_end(out.writeStream.format("parquet").option("path", path)
                  .option("checkpointLocation", os.path.join(run, "ckpt")).trigger(**NOW).start())
     return spark.read.parquet(path)
+
+
+ALERT_THRESHOLD_STREAM = 5
+
+
+@query("hourly_alerts_stream", with_(UA) + f"""
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count
+FROM ua GROUP BY 1, 2
+HAVING COUNT(*) > {ALERT_THRESHOLD_STREAM}
+   AND date_trunc('hour', event_time) + INTERVAL '1 hour' <= (SELECT MAX(event_time) FROM ua) - INTERVAL '5 seconds'""")
+def q_hourly_alerts_stream(spark, sf_dir):
+    """Threshold alerts over a streaming hourly rollup: an hour is final (and
+    alerted at most once) when the watermark passes its end."""
+    from tidewater.streaming import alerts as A
+    run = run_dir(spark, "alerts")
+    topic = _topic(spark, sf_dir, "user_activity", run)
+    events = I.decoded_events(read_events(spark, "user_activity", topic), "user_activity")
+    path = os.path.join(run, "tables", "alerts")
+    I.run_to_end(A.start_hourly_alerts(events, ALERT_THRESHOLD_STREAM, path, os.path.join(run, "ckpt"), NOW))
+    return spark.read.parquet(path).drop("batch_id")
