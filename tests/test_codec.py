@@ -104,3 +104,10 @@ def test_duplicate_keys_keep_last_value(spark):
     rows = decode_valid(df, SCHEMA, keep=("offset",)).collect()
     assert [(r["page_url"], r["time_spent"]) for r in rows] == [("b", 3)]
     assert dead_letters(df, SCHEMA, keep=("offset",)).count() == 0
+
+
+def test_counter_counts_only_decodable_messages(spark):
+    from tidewater.streaming.windows import decodable_messages
+    vals = ['{"sensor_id":"s1"}', "{}", '{"message":5}', "{bad", "", "null", "[1]", "5", None]
+    df = spark.createDataFrame(list(enumerate(vals)), "offset long, value string")
+    assert sorted(r["offset"] for r in decodable_messages(df).collect()) == [0, 1, 2]

@@ -57,6 +57,10 @@ SENSOR_PAYLOAD = StructType([
     StructField("unit", StringType()),
 ])
 
+# The counter's declared source row: one column no payload carries, so only
+# whether a message decodes matters.
+COUNTER_PAYLOAD = StructType([StructField("message", StringType())])
+
 # Lake (sink) rows: 17 and 10 columns.  Timestamps are NTZ at rest.
 USER_ACTIVITY_SINK = StructType(
     [StructField("user_id", StringType()), StructField("event_type", StringType()),

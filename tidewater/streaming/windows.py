@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.codec import is_record
+from tidewater.schemas import COUNTER_PAYLOAD
 from tidewater.functions.timefn import to_rest
 
 WINDOW = "10 seconds"
@@ -15,7 +16,7 @@ WINDOW = "10 seconds"
 
 def decodable_messages(env: DataFrame) -> DataFrame:
     """The counter's input: messages that decode to a JSON object; no field is read."""
-    return env.where(is_record(F.col("value"))).select("offset")
+    return env.where(is_record(F.col("value"), COUNTER_PAYLOAD)).select("offset")
 
 
 def event_time_window_stats(events: DataFrame, time_col: str = "timestamp", duration: str = WINDOW,
