@@ -90,3 +90,12 @@ def test_use_catalog_and_database(spark):
     L.use(spark, "spark_catalog", "tw_use")
     assert spark.catalog.currentDatabase() == "tw_use"
     L.use(spark, database="default")
+
+
+def test_union_evolving_fills_missing_columns(spark):
+    ua = B.user_activity(spark, SF_SMALL)
+    v1 = ua.select("event_id", "user_id").where("event_id < 500")
+    v2 = ua.select("event_id", "user_id", "total_amount").where("event_id >= 500")
+    u = L.union_evolving(v1, v2)
+    assert u.columns == ["event_id", "user_id", "total_amount"] and u.count() == 1000
+    assert u.where("event_id < 500 AND total_amount IS NOT NULL").count() == 0

@@ -179,3 +179,23 @@ def test_files_per_partition_bounds_sink_files(spark):
     assert per_day and max(per_day) <= 2 and sum(per_day) < sum(plain)
     a, b = spark.read.parquet(run + "/plain"), spark.read.parquet(run + "/clustered")
     assert a.drop("processing_time").exceptAll(b.drop("processing_time")).count() == 0 and b.count() == 1000
+
+
+def test_out_of_range_on_a_stream_equals_batch(spark):
+    from tidewater.operators import detect as D
+    from tidewater.plans.batch import sensor_envelope
+    from tidewater.plans.detection import DRIVER_RANGES
+    run = run_dir(spark, "range_stream")
+    publish(sensor_envelope(spark, SF_SMALL), run + "/topic")
+    limits = spark.createDataFrame(DRIVER_RANGES, "sensor_type string, lo double, hi double")
+    ev = I.decoded_events(read_events(spark, "sensor_data", run + "/topic"), "sensor_data")
+    rows = ev.select(F.col("offset").alias("event_id"), "sensor_id", "sensor_type",
+                     F.col("timestamp").cast("timestamp_ntz").alias("event_time"), "reading")
+    q = (D.out_of_range(rows, limits).writeStream.format("parquet").option("path", run + "/out")
+         .option("checkpointLocation", run + "/c").trigger(availableNow=True).start())
+    I.run_to_end(q)
+    got = spark.read.parquet(run + "/out")
+    batch = D.out_of_range(B.sensor_data(spark, SF_SMALL).select("event_id", "sensor_id", "sensor_type",
+                                                                 "event_time", "reading"), limits)
+    assert got.count() == batch.count()
+    assert got.select(*batch.columns).exceptAll(batch).count() == 0
