@@ -47,11 +47,21 @@ UA_TABLE_ORACLE = """SELECT user_id, event_type, event_time, session_id, ip_addr
 FROM ua"""
 
 
+_TOPICS: dict[tuple, str] = {}
+
+
 def _topic(spark, sf_dir, family, run, corrupt_every=None):
-    path = os.path.join(run, "topics", family)
-    env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
-    publish(env, path, num_files=_parallelism(spark))
-    return path
+    """The topic folder of one family, published once per (shared root, tables,
+    fixture) and then consumed by every streaming query, each with its own
+    checkpoint -- as independent jobs consume one broker topic."""
+    from tidewater.session import shared_root
+    key = (shared_root(spark), os.path.abspath(sf_dir), family, corrupt_every)
+    if key not in _TOPICS:
+        path = os.path.join(run_dir(spark, "topic"), family)
+        env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
+        publish(env, path, num_files=_parallelism(spark))
+        _TOPICS[key] = path
+    return _TOPICS[key]
 
 
 def _ingest_once(spark, family, topic_path, table, ckpt):
