@@ -138,3 +138,22 @@ def test_previous_rows_stats_null_times_sort_first(spark):
 
 
 BASE_T = dt.datetime(2024, 1, 1)
+
+
+def test_adaptive_buckets_without_broadcast_gives_same_result(spark, monkeypatch):
+    import tidewater.operators.enrich as EN
+    df = _skewed_readings(spark, n_rows=800)
+    ref = {r["event_id"]: (r["prev_count"], r["prev_mean"]) for r in
+           D.previous_rows_stats(df, "sensor_id", "reading", 5, target_rows=20).collect()}
+    monkeypatch.setattr(EN, "MAX_BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = D.previous_rows_stats(df, "sensor_id", "reading", 5, target_rows=20)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        assert "BroadcastExchange" not in out._jdf.queryExecution().explainString(mode)
+        got = {r["event_id"]: (r["prev_count"], r["prev_mean"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got.keys() == ref.keys()
+    for k, (c, m) in ref.items():
+        assert got[k][0] == c and ((m is None and got[k][1] is None) or math.isclose(got[k][1], m, rel_tol=1e-12))

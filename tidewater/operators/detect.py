@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 TARGET_ROWS = 200_000  # rows per (entity, bucket) group; a window task handles one group
 MIN_WIDTH_US = 1_000   # buckets never narrower than 1 ms
+KEY_STATS_ROW_BYTES = 128  # generous in-memory size of one (key, t0, width) row
 
 
 def _micros(ts: str | Column) -> Column:
@@ -33,8 +34,11 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET
     divided by (its row count / target_rows), so each bucket holds about
     ``target_rows`` rows.  Buckets are consecutive time intervals of one key, so
     ordering by ``_b`` within a key is time order (NULL times: bucket -1, first).  The per-key statistics are a
-    partial aggregate (one row per key), joined back by size-checked broadcast."""
-    from tidewater.operators.enrich import maybe_broadcast
+    partial aggregate (one row per key).  Their size is measured, not estimated
+    (Catalyst sizes an aggregate like its input): they are cached and counted,
+    then broadcast only if keys x row width fits ``MAX_BROADCAST_BYTES``, else
+    joined by shuffle (AQE splits a hot key's partitions)."""
+    from tidewater.operators.enrich import MAX_BROADCAST_BYTES
     m = _micros(ts)
     st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_t0"), F.max(m).alias("_t1"))
           .select(F.col(key).alias("_bk"), "_t0",
@@ -43,7 +47,11 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET
                              F.ceil((F.col("_t1") - F.col("_t0") + 1).cast("double") * float(target_rows)
                                     / F.col("_n")).cast("double"))
                   .cast("long").alias("_w")))
-    j = df.join(maybe_broadcast(st), df[key].eqNullSafe(st["_bk"]), "left")
+    st = st.cache()  # one row per key; recomputed from lineage if an executor is lost
+    n_keys = st.count()
+    if n_keys * KEY_STATS_ROW_BYTES <= MAX_BROADCAST_BYTES:
+        st = F.broadcast(st)
+    j = df.join(st, df[key].eqNullSafe(st["_bk"]), "left")
     # rows without a time sort first in a window (NULLS FIRST): bucket -1
     b = F.coalesce(F.floor((m - F.col("_t0")) / F.col("_w")).cast("long"), F.lit(-1).cast("long"))
     return j.withColumn("_b", b).drop("_bk", "_t0", "_w")
