@@ -111,3 +111,17 @@ def test_counter_counts_only_decodable_messages(spark):
     vals = ['{"sensor_id":"s1"}', "{}", '{"message":5}', "{bad", "", "null", "[1]", "5", None]
     df = spark.createDataFrame(list(enumerate(vals)), "offset long, value string")
     assert sorted(r["offset"] for r in decodable_messages(df).collect()) == [0, 1, 2]
+
+
+def test_zone_window_offset_aligns_to_local_hours(spark):
+    from tidewater.functions.timefn import zone_window_offset
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = {}
+        for tz in ("UTC", "Asia/Kolkata", "Asia/Kathmandu", "America/St_Johns", "GMT+05:45"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got[tz] = zone_window_offset(spark, 3600)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {"UTC": "0 seconds", "Asia/Kolkata": "1800 seconds", "Asia/Kathmandu": "900 seconds",
+                   "America/St_Johns": "1800 seconds", "GMT+05:45": "900 seconds"}

@@ -55,3 +55,22 @@ def event_date(ts) -> Column:
 
 def epoch_micros(ts) -> Column:
     return F.unix_micros(col_(ts).cast("timestamp"))
+
+
+def zone_window_offset(spark, duration_s: int) -> str:
+    """``startTime`` that aligns ``window(ts, duration)`` to wall-clock boundaries
+    of the session zone.  Windows are epoch (UTC) aligned; a zone whose offset is
+    not a multiple of the duration (e.g. +05:30 for hourly windows) needs this
+    shift.  Whole-hour daylight-saving changes keep the alignment."""
+    import datetime as dt
+    import re
+    name = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        from zoneinfo import ZoneInfo
+        off = ZoneInfo(name).utcoffset(dt.datetime(2024, 1, 1))
+        secs = int(off.total_seconds())
+    except Exception:  # noqa: BLE001 - e.g. "GMT+05:30" / "+05:30"
+        m = re.search(r"([+-])(\d{1,2}):?(\d{2})?", name or "")
+        secs = 0 if not m else (1 if m.group(1) == "+" else -1) * (int(m.group(2)) * 3600 + int(m.group(3) or 0) * 60)
+    # local boundary L = UTC instant U + offset; L on the grid <=> U = -offset (mod duration)
+    return f"{(-secs) % duration_s} seconds"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.functions.timefn import to_rest
+from tidewater.functions.timefn import to_rest, zone_window_offset
 
 
 def streaming_hourly_counts(events: DataFrame, time_col: str = "timestamp",
@@ -19,7 +19,8 @@ def streaming_hourly_counts(events: DataFrame, time_col: str = "timestamp",
     """Hourly counts per event type over an event-time (TIMESTAMP) column.  Pass
     ``watermark`` only if the stream does not declare one already."""
     src = events.withWatermark(time_col, watermark) if watermark else events
-    g = src.groupBy(F.window(time_col, "1 hour").alias("w"), "event_type").agg(
+    hour = F.window(time_col, "1 hour", startTime=zone_window_offset(events.sparkSession, 3600))
+    g = src.groupBy(hour.alias("w"), "event_type").agg(
         F.count(F.lit(1)).alias("event_count"))
     return g.select(to_rest("w.start").alias("hour"), "event_type", "event_count")
 
