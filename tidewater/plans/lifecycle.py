@@ -25,9 +25,22 @@ SELECT user_id, event_type, event_time, session_id, ip_address, user_agent, page
 FROM wua WHERE event_time >= TIMESTAMP '{RANGE_LO}' AND event_time < TIMESTAMP '{RANGE_HI}'""")
 def q_partition_pruned_range(spark, sf_dir):
     """Warehouse table written partitioned by day; the range read prunes days."""
-    path = os.path.join(run_dir(spark, "warehouse"), "user_activity")
-    L.write_partitioned(conform_user_activity(B.user_activity(spark, sf_dir)), path)
-    return L.read_range(spark.read.parquet(path), RANGE_LO, RANGE_HI)
+    return L.read_range(spark.read.parquet(_warehouse_table(spark, sf_dir)), RANGE_LO, RANGE_HI)
+
+
+_WAREHOUSE: dict[tuple, str] = {}
+
+
+def _warehouse_table(spark, sf_dir):
+    """The day-partitioned warehouse user-activity table, written once per
+    (shared root, tables) and then read by every range query."""
+    from tidewater.session import shared_root
+    key = (shared_root(spark), os.path.abspath(sf_dir))
+    if key not in _WAREHOUSE:
+        path = os.path.join(run_dir(spark, "warehouse"), "user_activity")
+        L.write_partitioned(conform_user_activity(B.user_activity(spark, sf_dir)), path)
+        _WAREHOUSE[key] = path
+    return _WAREHOUSE[key]
 
 
 AS_OF = "2024-01-12 12:00:00"
