@@ -199,3 +199,18 @@ def test_out_of_range_on_a_stream_equals_batch(spark):
                                                                  "event_time", "reading"), limits)
     assert got.count() == batch.count()
     assert got.select(*batch.columns).exceptAll(batch).count() == 0
+
+
+def test_job_cli_runs_in_its_own_process(spark):
+    import subprocess
+    import sys as _sys
+    from tests.conftest import ROOT
+    run, topic = _topic(spark, "cli")
+    cmd = [_sys.executable, "-m", "tidewater.jobs", "user_activity", "--topic-path", topic, "--table", run + "/ua",
+           "--checkpoint", run + "/c", "--available-now", "--profile", "local"]
+    res = subprocess.run(cmd, cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    table = spark.read.parquet(run + "/ua")
+    assert table.count() == 1000 and table.columns[-1] == "event_date"
+    assert table.where("user_id IS NULL OR event_time IS NULL").count() == 0
+    assert spark.read.parquet(run + "/ua_dead_letters").count() == 0
