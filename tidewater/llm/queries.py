@@ -6,13 +6,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe_count, decontam, pieces, sharding, urlfilter
-from tidewater.llm.common import table
+from tidewater.llm import bpe_count, decontam, interp_lm, pieces, sharding, simhash, urlfilter
+from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op2_simhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     verdict = urlfilter.url_verdict(spark, F.col("url"), URL_RULES)
@@ -50,8 +56,15 @@ def op9_decontamination(spark, sf_dir):
         (F.col("h.n_hit") > 0).alias("contaminated"))
 
 
+def op10_interpolated_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out"))
+    model = interp_lm.InterpolatedModel(docs.withColumn("learn", ~F.col("held_out")))
+    return model.score(["doc_id", "held_out"])
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_url_filter, op4_lookup_sharding, op6_piece_codec, op8_token_count, op9_decontamination)}
+    op2_simhash, op3_url_filter, op4_lookup_sharding, op6_piece_codec, op8_token_count,
+    op9_decontamination, op10_interpolated_lm)}
 
 ORACLE = {
     "op3_url_filter": r"""
