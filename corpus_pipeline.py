@@ -1,12 +1,60 @@
 """Corpus pipeline over ``documents``: each stage calls one training-data operator and works
-on what the stage before it kept; the driver writes each result as Parquet and rereads it."""
+on what the stage before it kept; ``run`` writes each result as Parquet below the shared
+checkpoint folder and rereads it.
 
-STAGES = []
-ORACLE_SQL = None
+Stages: documents whose language is undetermined or hardly told go; documents judged toxic
+go; of each near-duplicate group the least id stays; documents holding a passage of the
+benchmark go; the last stage encodes what is left.  Edge cases are those of the operators:
+a null or letterless text has no language and goes with the first stage, rows without an id
+are judged like others, extra columns are kept, empty tables give empty results.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidewater.llm import decontam, langid, pieces, simhash, toxicity
+from tidewater.llm.common import keep_where, table
+from tidewater.session import run_dir
+
+MIN_LANGUAGE_SCORE = 0.26  # with four languages, a quarter tells nothing
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    found = langid.language(F.col("text"), model, docs)
+    return keep_where(docs, (found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return keep_where(docs, toxicity.toxicity(F.col("text"), model, docs) < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the packed ids and their number."""
+    coded = pieces.round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.select("doc_id", coded["ids"].alias("ids")).withColumn(
+        "n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
+STAGES = [("language_id", identify_language), ("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates),
+          ("decontamination", drop_contaminated), ("sentencepiece", encode)]
+ORACLE_SQL = None  # kernels, models and fingerprints are beyond SQL; tests hold it against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), run_dir(spark, "corpus_pipeline")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe_count, decontam, interp_lm, pieces, sharding, simhash, urlfilter
+from tidewater.llm import bpe_count, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
 from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -30,6 +30,13 @@ def op4_lookup_sharding(spark, sf_dir):
     return sharding.place(docs, F.col("doc_id"))
 
 
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
+    model = langid.fit(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
+    return docs.select("doc_id", "held_out", langid.language(F.col("text"), model, docs).alias("l")).select(
+        "doc_id", "held_out", "l.lang_pred", "l.score")
+
+
 def op6_piece_codec(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -39,6 +46,15 @@ def op6_piece_codec(spark, sf_dir):
         F.sha2(F.col("c.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    return docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+                       toxicity.toxicity(F.col("text"), model, docs).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_token_count(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n = bpe_count.token_count(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -63,8 +79,8 @@ def op10_interpolated_lm(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_url_filter, op4_lookup_sharding, op6_piece_codec, op8_token_count,
-    op9_decontamination, op10_interpolated_lm)}
+    op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
+    op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm)}
 
 ORACLE = {
     "op3_url_filter": r"""
