@@ -6,13 +6,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe_count, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
+from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
 from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op1_multiprobe_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op2_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -79,7 +84,7 @@ def op10_interpolated_lm(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
+    op1_multiprobe_ann, op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
     op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm)}
 
 ORACLE = {
