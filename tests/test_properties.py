@@ -86,19 +86,6 @@ def test_view_then_purchase_equals_brute_force(spark):
     assert got == expect and (5001, base) in got
 
 
-def test_adaptive_buckets_split_hot_key(spark):
-    df = _skewed_readings(spark)
-    b = D.adaptive_buckets(df, "sensor_id", "event_time", target_rows=50)
-    sizes = b.groupBy("sensor_id", "_b").count()
-    hot = sizes.where("sensor_id = 'hot'")
-    assert hot.count() >= 10  # ~1000 hot rows cut into many groups
-    # bucket order is time order within a key
-    w = Window.partitionBy("sensor_id").orderBy("_b")
-    bounds = b.groupBy("sensor_id", "_b").agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
-    prev_hi = bounds.withColumn("prev_hi", F.lag("hi").over(w))
-    assert prev_hi.where("prev_hi > lo").count() == 0
-
-
 def test_latest_by_key_handles_hot_key(spark):
     df = _skewed_readings(spark)
     got = {r["sensor_id"]: r["event_id"] for r in K.latest_by_key(df, ["sensor_id"]).collect()}
@@ -115,16 +102,6 @@ def test_window_counts_sum_to_rows(spark):
     assert w.agg(F.sum("message_count")).first()[0] == sd.count()
 
 
-def test_adaptive_buckets_long_span_no_overflow(spark):
-    df = spark.createDataFrame([(1, "k", dt.datetime(1990, 1, 1)), (2, "k", dt.datetime(2030, 6, 1)),
-                                (3, "k", dt.datetime(2030, 6, 1, 0, 0, 1))],
-                               "event_id long, sensor_id string, event_time timestamp_ntz")
-    got = D.adaptive_buckets(df, "sensor_id", "event_time").collect()
-    assert len(got) == 3 and all(r["_b"] == 0 for r in got)
-    got = D.adaptive_buckets(df, "sensor_id", "event_time", target_rows=1).orderBy("event_id").collect()
-    assert [r["_b"] for r in got] == [0, 2, 2]
-
-
 def test_previous_rows_stats_null_times_sort_first(spark):
     rows = [(i, "k" if i % 3 else "j", None if i % 7 == 0 else BASE_T + dt.timedelta(seconds=i * 37 % 500), float(i))
             for i in range(60)]
@@ -140,20 +117,53 @@ def test_previous_rows_stats_null_times_sort_first(spark):
 BASE_T = dt.datetime(2024, 1, 1)
 
 
-def test_adaptive_buckets_without_broadcast_gives_same_result(spark, monkeypatch):
-    import tidewater.operators.enrich as EN
-    df = _skewed_readings(spark, n_rows=800)
-    ref = {r["event_id"]: (r["prev_count"], r["prev_mean"]) for r in
-           D.previous_rows_stats(df, "sensor_id", "reading", 5, target_rows=20).collect()}
-    monkeypatch.setattr(EN, "MAX_BROADCAST_BYTES", 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = D.previous_rows_stats(df, "sensor_id", "reading", 5, target_rows=20)
-        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-        assert "BroadcastExchange" not in out._jdf.queryExecution().explainString(mode)
-        got = {r["event_id"]: (r["prev_count"], r["prev_mean"]) for r in out.collect()}
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got.keys() == ref.keys()
-    for k, (c, m) in ref.items():
-        assert got[k][0] == c and ((m is None and got[k][1] is None) or math.isclose(got[k][1], m, rel_tol=1e-12))
+def _group_sizes(df, target):
+    x = D.cut(df, "sensor_id", ("event_time", "event_id"), target, carry=20)
+    return x.groupBy("sensor_id", "_b").agg(F.count_if(~F.col("_carry")).alias("own"), F.count_if("_carry").alias("carried"),
+                                            F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+
+
+def test_stray_time_does_not_undo_the_split(spark):
+    """100,000 rows of one sensor and one reading from 1970."""
+    rows = spark.range(100_000).select(F.col("id").alias("event_id"), F.lit("s").alias("sensor_id"), F.when(
+        F.col("id") == 5, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).otherwise(
+        F.timestamp_add("SECOND", F.col("id") * 26, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))).alias("event_time"))
+    sizes = _group_sizes(rows, 1000).agg(F.max("own"), F.count("*"), F.max("carried")).first()
+    assert sizes[0] <= 2000 and sizes[1] >= 80 and sizes[2] <= 1000
+
+
+def test_bursts_ties_and_null_times_are_split(spark):
+    """A third of the rows in one second, a third at one instant, a sixth without time."""
+    t = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    i = F.col("id")
+    at = (F.when(i % 6 < 2, F.timestamp_add("MICROSECOND", i, t)).when(i % 6 < 4, F.timestamp_add("DAY", F.lit(3), t))
+          .when(i % 6 == 4, F.timestamp_add("SECOND", i * 20, t)))
+    rows = spark.range(60_000).select(i.alias("event_id"), F.lit(None).cast("string").alias("sensor_id"), at.alias("event_time"))
+    sizes = _group_sizes(rows, 1000).agg(F.max("own"), F.count("*"), F.sum("own")).first()
+    assert sizes[0] <= 2500 and sizes[1] >= 30 and sizes[2] == 60_000
+
+
+def test_buckets_follow_row_order(spark):
+    b = D.cut(_skewed_readings(spark), "sensor_id", ("event_time", "event_id"), 50)
+    w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id")
+    assert b.withColumn("before", F.lag("_b").over(w)).where("before > _b").count() == 0
+    assert b.where("sensor_id = 'hot'").select("_b").distinct().count() >= 10
+
+
+def test_sequence_plan_has_one_full_shuffle_and_keeps_no_cache(spark):
+    df = B.sensor_data(spark, SF_SMALL).select("event_id", "sensor_id", "event_time", "reading")
+    out = D.previous_rows_stats(df, "sensor_id", "reading", target_rows=20)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    text = out._jdf.queryExecution().explainString(mode)
+    assert "InMemoryTableScan" not in text and text.count("CartesianProduct") == 0
+    main = text.split("Subqueries")[0]
+    # the window's exchange carries the readings; the others carry counts
+    assert sum("hashpartitioning(sensor_id" in line and "_b" in line for line in main.splitlines()) == 1
+    assert out.count() == df.count() and not spark._jsparkSession.sharedState().cacheManager().cachedData().nonEmpty()
+
+
+def test_view_then_purchase_with_null_users(spark):
+    rows = [(i, None if i % 2 else "u", "view" if i % 5 == 0 else "purchase", BASE_T + dt.timedelta(minutes=i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, user_id string, event_type string, event_time timestamp_ntz")
+    want = sorted(map(tuple, D.view_then_purchase(df).collect()), key=repr)
+    assert len(want) > 300 and want == sorted(map(tuple, D.view_then_purchase(df, target_rows=5).collect()), key=repr)

@@ -2,12 +2,17 @@
 
 Per-entity sequence operators (previous N readings of a sensor, last view of
 a user) are not run as one window per entity: an entity may hold a third of all
-rows, and there are only ~100 sensors.  Instead rows are split into
-(entity, time-bucket) groups and each group gets exactly what it needs from
-earlier buckets (a bounded carry), so parallelism follows the data, not the
-number of entities.  Bucket widths adapt per entity (from a one-row-per-entity
-aggregate) so that a bucket holds about ``target_rows`` rows: a hot entity gets
-narrow buckets, a sparse one wide buckets (little carry).
+rows, and there are only ~100 sensors.  Instead an entity with more than
+``target_rows`` rows is cut, in row order, into buckets of about that many rows,
+and each (entity, bucket) group gets exactly what it needs from earlier rows,
+so parallelism follows the data, not the number of entities.
+
+The cuts come from two aggregates.  The first takes each entity's row count and
+quantiles of its times; the second counts the rows of the hot entities' cells
+(a quantile interval, divided evenly), and buckets are runs of cells.  Buckets
+therefore follow the rows, whatever the density: a stray or bursty timestamp
+changes nothing.  Rows without a time come first and are cut by their id, as are
+instants that hold many rows.  The results do not depend on the cuts.
 """
 
 from __future__ import annotations
@@ -19,42 +24,94 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 TARGET_ROWS = 200_000  # rows per (entity, bucket) group; a window task handles one group
-MIN_WIDTH_US = 1_000   # buckets never narrower than 1 ms
-KEY_STATS_ROW_BYTES = 128  # generous in-memory size of one (key, t0, width) row
-
-
-def _micros(ts: str | Column) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
-
-
-def adaptive_buckets(df: DataFrame, key: str, ts: str, target_rows: int = TARGET_ROWS,
-                     min_width_us: int = MIN_WIDTH_US) -> DataFrame:
-    """Adds ``_b``: a per-key time bucket whose width is the key's time span
-    divided by (its row count / target_rows), so each bucket holds about
-    ``target_rows`` rows.  Buckets are consecutive time intervals of one key, so
-    ordering by ``_b`` within a key is time order (NULL times: bucket -1, first).  The per-key statistics are a
-    partial aggregate (one row per key).  Their size is measured, not estimated
-    (Catalyst sizes an aggregate like its input): they are cached and counted,
-    then broadcast only if keys x row width fits ``MAX_BROADCAST_BYTES``, else
-    joined by shuffle (AQE splits a hot key's partitions)."""
-    from tidewater.operators.enrich import MAX_BROADCAST_BYTES
-    m = _micros(ts)
-    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_t0"), F.max(m).alias("_t1"))
-          .select(F.col(key).alias("_bk"), "_t0",
-                  # in double: span (µs) x target overflows a long beyond ~1.5 years
-                  F.greatest(F.lit(min_width_us).cast("double"),
-                             F.ceil((F.col("_t1") - F.col("_t0") + 1).cast("double") * float(target_rows)
-                                    / F.col("_n")).cast("double"))
-                  .cast("long").alias("_w")))
-    st = st.cache()  # one row per key; recomputed from lineage if an executor is lost
-    n_keys = st.count()
-    if n_keys * KEY_STATS_ROW_BYTES <= MAX_BROADCAST_BYTES:
-        st = F.broadcast(st)
-    j = df.join(st, df[key].eqNullSafe(st["_bk"]), "left")
-    # rows without a time sort first in a window (NULLS FIRST): bucket -1
-    b = F.coalesce(F.floor((m - F.col("_t0")) / F.col("_w")).cast("long"), F.lit(-1).cast("long"))
-    return j.withColumn("_b", b).drop("_bk", "_t0", "_w")
+MAX_CUTS = 4_000       # at most so many targets in all rows: beyond, the target grows
+# Quantiles of the times: denser at the ends, so that outliers get intervals of their own.
+FRACTIONS = [0.0, 0.0005, 0.005, *[k / 40 for k in range(1, 40)], 0.995, 0.9995, 1.0]
+CELLS_PER_TARGET = 4
+
+
+def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Adds ``_timed`` (has a time; rows without sort first, as in a window) and ``_at``:
+    microseconds from a fixed local origin, which no time zone touches, or the id."""
+    time, tie = F.col(order[0]), F.col(order[1]).cast("long")
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return df.withColumns({"_timed": time.isNotNull(), "_tie": tie, "_at": F.coalesce(
+        F.timestamp_diff("MICROSECOND", origin, time.cast("timestamp_ntz")), tie, F.lit(0))})
+
+
+def _hot(rows: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """One or two rows (with and without time) for each key of more than the target.  The
+    target grows with the input so that there are at most 2 * MAX_CUTS of them."""
+    stats = rows.groupBy(key, "_timed").agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_at", FRACTIONS).alias("_edges"),
+        F.min("_tie").alias("_tie0"), F.max("_tie").alias("_tie1"))
+    total = rows.agg(F.count(F.lit(1)).alias("n"))  # a scan of no columns
+    target = F.greatest(F.lit(target_rows).cast("double"), total.scalar() / MAX_CUTS)
+    whole = F.sum("_n").over(Window.partitionBy(key))
+    return (stats.withColumns({"_whole": whole, "_target": target}).where(F.col("_whole") > F.col("_target"))
+            .select(F.col(key).alias("_hk"), F.col("_timed").alias("_ht"), "_edges", "_tie0", "_tie1", "_target",
+                    F.ceil(CELLS_PER_TARGET * F.col("_n") / F.col("_target")).alias("_cells")))
+
+
+def _celled(rows: DataFrame, hot: DataFrame, key: str, how: str) -> DataFrame:
+    """Adds ``_cell`` and ``_sub``: in row order of a hot key, NULL for the others."""
+    j = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["_hk"]) & (rows["_timed"] == hot["_ht"]), how)
+    edges, at = F.col("_edges"), F.col("_at")
+    i = F.size(F.filter(edges, lambda e: e <= at))
+    low, high = F.get(edges, i - 1), F.get(edges, i)
+    parts = F.ceil(F.col("_cells") / 40)
+    inside = F.least(parts - 1, F.floor((at - low).cast("double") / (high - low) * parts))
+    tied = F.size(F.filter(edges, lambda e: e == at)) >= 2
+    spread = (F.col("_tie1") - F.col("_tie0") + 1).cast("double")
+    return j.withColumns({
+        # a crowded instant is the least of its interval: it comes before the interval's first cell
+        "_cell": F.when(edges.isNotNull(), F.when(tied, 2 * i * parts).otherwise(
+            2 * (i * parts + F.coalesce(inside, F.lit(0))) + 1)).cast("long"),
+        "_sub": F.when(edges.isNotNull(), F.when(tied, F.coalesce(F.floor(
+            (F.col("_tie") - F.col("_tie0")) / spread * F.col("_cells")), F.lit(-1))).otherwise(0)).cast("long"),
+    }).drop("_hk", "_ht", "_edges", "_tie0", "_tie1", "_cells")
+
+
+def cut(df: DataFrame, key: str, order: Sequence[str], target_rows: int = TARGET_ROWS, carry: int = 0,
+        latest: Column | None = None) -> DataFrame:
+    """``df`` with ``_b``, the bucket of each row within its key.  ``carry``: later buckets
+    that begin within so many rows after the row's cell also get the row, marked ``_carry``.
+    ``latest``: ``_before`` is the largest value of that column in earlier buckets.
+
+    Both tables joined are broadcast: the hot keys are at most 2 * MAX_CUTS, and their cells
+    some 50 a key, 5 a target, and 4 a target for each of at most 40 crowded instants."""
+    rows = _placed(df, order)
+    hot = _hot(rows, key, target_rows)
+    cell = ["_timed", "_cell", "_sub"]
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.first("_target").alias("_target")]
+    aggs += [F.max(latest).alias("_latest")] if latest is not None else []
+    in_order = Window.partitionBy(key).orderBy(*cell)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    cells = (_celled(rows, hot, key, "inner").groupBy(key, *cell).agg(*aggs)
+             .withColumn("_end", F.sum("_cnt").over(so_far))
+             .withColumn("_b", F.floor((F.col("_end") - F.col("_cnt")) / F.col("_target"))))
+    added = {}
+    if carry:
+        next_b = F.lead("_b").over(in_order)
+        cells = cells.withColumn("_next", F.when(next_b != F.col("_b"), next_b))
+        added["_later"] = F.collect_list("_next").over(
+            Window.partitionBy(key).orderBy("_end").rangeBetween(0, carry - 1))
+    if latest is not None:
+        cells = cells.withColumn("_earlier", F.max("_latest").over(
+            in_order.rowsBetween(Window.unboundedPreceding, -1)))
+        added["_before"] = F.first("_earlier").over(Window.partitionBy(key, "_b").orderBy(*cell))
+    cells = cells.select(F.col(key).alias("_ck"), *[F.col(c).alias(f"_c{c}") for c in cell], "_b",
+                         *[c.alias(name) for name, c in added.items()])
+    x = _celled(rows, hot, key, "left")
+    x = x.join(F.broadcast(cells), x[key].eqNullSafe(cells["_ck"])
+               & (x["_timed"] == cells["_c_timed"]) & (x["_cell"] == cells["_c_cell"]) & (x["_sub"] == cells["_c_sub"]), "left")
+    own = F.coalesce("_b", F.lit(0)).cast("long")
+    x = x.withColumn("_b", own)
+    if carry:
+        place = F.concat(F.array(F.struct(F.col("_b"), F.lit(False).alias("_carry"))), F.transform(
+            F.coalesce("_later", F.array().cast("array<bigint>")), lambda b: F.struct(b.cast("long").alias("_b"), F.lit(True).alias("_carry"))))
+        x = x.select(*df.columns, F.inline(place))
+    return x.select(*df.columns, "_b", *(["_carry"] if carry else []), *(["_before"] if latest is not None else []))
 
 
 def previous_rows_stats(df: DataFrame, key: str, value: str, n: int = 20,
@@ -62,45 +119,20 @@ def previous_rows_stats(df: DataFrame, key: str, value: str, n: int = 20,
                         target_rows: int = TARGET_ROWS) -> DataFrame:
     """Adds prev_count, prev_mean, prev_std: count, mean and sample standard
     deviation of ``value`` over the previous ``n`` rows of the same ``key``
-    (ordered by ``order``), exactly as a ROWS BETWEEN n PRECEDING AND 1 PRECEDING
-    window partitioned by ``key`` would.
-
-    Plan: rows are grouped by (key, adaptive time bucket).  The last n rows of
-    each group are carried into each later group whose start they are within n
-    rows of (found from per-group counts, a small aggregate), then one window
-    runs per (key, bucket) group.  Work per task is bounded by a group plus n
-    carried rows; one full shuffle (the final window), the tails take a
-    map-side group limit, the counts a partial aggregate.
-    """
-    x = adaptive_buckets(df, key, order[0], target_rows)
-
-    # Per-(key, bucket) counts -> pairs (source bucket s, target bucket t) with the
-    # number of rows strictly between them, for targets fewer than n rows later.
-    counts = x.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    kw = Window.partitionBy(key).orderBy("_b")
-    counts = counts.withColumn("_cum", F.sum("_cnt").over(kw.rowsBetween(Window.unboundedPreceding, 0)))
-    nxt = F.collect_list(F.struct(F.col("_b").alias("t"), (F.col("_cum") - F.col("_cnt")).alias("before")))
-    pairs = (counts.withColumn("_next", nxt.over(kw.rowsBetween(1, n)))
-             .select(key, F.col("_b").alias("_src"), "_cum", F.explode("_next").alias("_n"))
-             .select(key, "_src", F.col("_n.t").alias("_dst"), (F.col("_n.before") - F.col("_cum")).alias("_gap"))
-             .where(F.col("_gap") < n))
-
-    # Last n rows of every bucket, ranked from the end.
-    gw = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
-    tails = x.withColumn("_r", F.row_number().over(gw)).where(F.col("_r") <= n)
-    carry = (tails.join(pairs, (tails[key] == pairs[key]) & (tails["_b"] == pairs["_src"]))
-             .where(F.col("_r") + F.col("_gap") <= n)
-             .select(*[tails[c] for c in x.columns if c != "_b"], F.col("_dst").alias("_b"),
-                     F.lit(True).alias("_carry")))
-
-    allrows = x.withColumn("_carry", F.lit(False)).unionByName(carry)
+    (ordered by ``order``: a time, then a numeric id), exactly as a ROWS BETWEEN n
+    PRECEDING AND 1 PRECEDING window partitioned by ``key`` would; NULL is a key
+    like any other.
+
+    Plan: the cells that hold the last n rows before a bucket are copied to it
+    with the shuffle by (key, bucket); one window runs per group and the copies
+    are dropped.  Three scans, one full shuffle, one sort."""
+    x = cut(df, key, order, target_rows, carry=n)
     w = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(-n, -1)
     v = F.col(value)
-    out = (allrows.withColumn("prev_count", F.count(v).over(w))
-           .withColumn("prev_mean", F.avg(v).over(w))
-           .withColumn("prev_std", F.stddev_samp(v).over(w))
-           .where(~F.col("_carry")).drop("_carry", "_b"))
-    return out
+    return (x.withColumn("prev_count", F.count(v).over(w))
+            .withColumn("prev_mean", F.avg(v).over(w))
+            .withColumn("prev_std", F.stddev_samp(v).over(w))
+            .where(~F.col("_carry")).drop("_carry", "_b"))
 
 
 def zscore(df: DataFrame, value: str) -> DataFrame:
@@ -125,34 +157,25 @@ def view_then_purchase(ua: DataFrame, within_us: int = 30 * 60 * 1_000_000,
 
     The last view before a purchase is either earlier in the purchase's own
     (user, bucket) group -- a running max inside the group -- or the latest
-    view of any earlier bucket of that user -- a running max over the
-    per-(user, bucket) latest views, a small aggregate.  Exact for any bucket
-    width; widths adapt per user so a hot user is split into many groups."""
+    view of any earlier bucket, which the cells' aggregate already has."""
     ev = (ua.where(F.col("event_type").isin(view, purchase))
           .select("event_id", "user_id", "event_type", "event_time"))
-    ev = adaptive_buckets(ev, "user_id", "event_time", target_rows)
-    # One row per (user, bucket): the bucket's latest view (NULL if none); the
-    # running max over a user's earlier buckets is the latest earlier view.
-    per_bucket = ev.groupBy("user_id", "_b").agg(
-        F.max(F.when(F.col("event_type") == view, F.col("event_time"))).alias("_bucket_last_view"))
-    earlier = per_bucket.select("user_id", "_b", F.max("_bucket_last_view").over(
-        Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_prev_view"))
+    viewed = F.when(F.col("event_type") == view, F.col("event_time"))
+    x = cut(ev, "user_id", ("event_time", "event_id"), target_rows, latest=viewed)
     w = (Window.partitionBy("user_id", "_b").orderBy("event_time", "event_id")
          .rowsBetween(Window.unboundedPreceding, -1))
-    same = ev.withColumn("_same_view", F.max(F.when(F.col("event_type") == view, F.col("event_time"))).over(w))
-    p = same.where(F.col("event_type") == purchase).join(earlier, ["user_id", "_b"], "left")
-    last = F.greatest("_same_view", "_prev_view")
-    gap_ok = _micros("event_time") - _micros(last) <= within_us
-    return (p.withColumn("last_view_time", last).where(F.col("last_view_time").isNotNull() & gap_ok)
+    last = F.greatest(F.col("_same"), F.col("_before"))
+    gap = F.timestamp_diff("MICROSECOND", F.col("last_view_time").cast("timestamp_ntz"), F.col("event_time").cast("timestamp_ntz"))
+    return (x.withColumn("_same", F.max(viewed).over(w)).where(F.col("event_type") == purchase)
+            .withColumn("last_view_time", last).where(gap <= within_us)
             .select("event_id", "user_id", F.col("event_time").alias("purchase_time"), "last_view_time"))
 
 
 def out_of_range(sd: DataFrame, limits: DataFrame, type_col: str = "sensor_type",
                  value: str = "reading") -> DataFrame:
-    """Readings outside their type's nominal [lo, hi].  ``limits`` is one row per
-    type (a fixed handful), so it is broadcast; works on a stream as well."""
-    lim = F.broadcast(limits.select(F.col("sensor_type").alias("_t"), "lo", "hi"))
+    """Readings outside their type's nominal [lo, hi].  ``limits`` (one row per type) is
+    broadcast if the optimizer sees that it is small; works on a stream as well."""
+    lim = limits.select(F.col("sensor_type").alias("_t"), "lo", "hi")
     j = sd.join(lim, sd[type_col] == lim["_t"])
     return j.where((F.col(value) < F.col("lo")) | (F.col(value) > F.col("hi"))).drop("_t")
 
