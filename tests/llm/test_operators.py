@@ -201,35 +201,41 @@ def test_language_and_toxicity_without_labels(spark, empty, awkward):
     assert {r[0] for r in docs.select(toxicity.toxicity(F.col("text"), None, docs)).collect()} == {0.0}
 
 
-def test_kneser_ney_sums_to_one():
-    counts = pd.DataFrame([("abab", 0, 3), ("abc", 1, 2), ("bca", 0, 1)], columns=["word", "toxic", "n"])
-    rows, _ = toxicity.windows(counts["word"].tolist())
-    _, first = np.unique(toxicity.keys(rows), return_index=True)
-    rows = rows[first]
+def test_kneser_ney():
+    grams, n = toxicity.gram_counts(["abab"] * 3 + ["bca"])
+    assert dict(zip(grams, n))["\x01" * 5 + "a"] == 3 and sum(n) == 3 * 5 + 4
+    more, m = toxicity.gram_counts(["abc"] * 2)
+    every = sorted({*grams, *more})
+    ordinary, toxic = (np.array([dict(zip(g, c)).get(x, 0) for x in every]) for g, c in ((grams, n), (more, m)))
+    rows = np.frombuffer("".join(every).encode("utf-32-le"), dtype="<u4").reshape(-1, toxicity.ORDER)
     p = toxicity.shared_backoff(rows)
     assert ((p > 0) & (p < 1)).all()
     tails, at = np.unique(rows[:, 1:], axis=0, return_index=True)
     _, prefix = np.unique(tails[:, :-1], axis=0, return_inverse=True)
     assert (np.bincount(prefix.ravel(), weights=p[at]) <= 1 + 1e-9).all()
-    model = toxicity.ToxicityModel(counts)
-    assert model.of_words(["zzzz"])[0] == pytest.approx(0, abs=2) and np.isfinite(model.of_words(["abab", "abc"])).all()
+    model = toxicity.ToxicityModel(every, ordinary, toxic)
+    score = dict(zip(["abc", "abab", "zzzz"], model.of_words(["abc", "abab", "zzzz"])))
+    assert score["abc"] > 0 > score["abab"] and np.isfinite(score["zzzz"])
 
 
 def test_lm_slices_words_and_blocks(spark, monkeypatch):
     texts = ["A b  c", "", None, "x\n a b c d é", "a" * 50 + " b", " "]
-    flat, sizes = interp_lm.tokens(texts)
+    raw = [(t or "").encode() for t in texts]
+    flat, sizes = interp_lm.tokens(raw)
     assert sizes.tolist() == [len(brute.ascii_words(t)) + 1 for t in texts]
     monkeypatch.setattr(interp_lm, "SLICE", 4)
-    again, same = interp_lm.tokens(texts)
+    again, same = interp_lm.tokens(raw)
     assert (flat == again).all() and (sizes == same).all()
     words = [w for t in texts for w in [*brute.ascii_words(t), None]]
     assert len(set(flat.tolist())) == len(set(words))
     monkeypatch.undo()
     docs = spark.createDataFrame([(i, fixtures.prose(i, 50 + i), i % 4 != 0) for i in range(60)], "doc_id long, text string, learn boolean")
-    one = interp_lm.InterpolatedModel(docs).score(["doc_id"]).toPandas().sort_values("doc_id")
-    many_model = interp_lm.InterpolatedModel(docs, block_bytes=1500, shard_bytes=900)
-    many = many_model.score(["doc_id"]).toPandas().sort_values("doc_id")
-    assert many_model.blocks > 5 and many_model.shard_bits >= 4
+    one = interp_lm.InterpolatedModel(docs.coalesce(1), ["doc_id"]).score().toPandas().sort_values("doc_id")
+    many_model = interp_lm.InterpolatedModel(docs.withColumn("score", F.lit("own")), ["doc_id", "score"], block_bytes=900, shard_bytes=900)
+    many = many_model.score()
+    assert many.columns == ["doc_id", "score", "n_tokens", "n_known", "train_tokens", "base_score", "score_"]
+    many = many.toPandas().drop(columns="score").rename(columns={"score_": "score"}).sort_values("doc_id")
+    assert many_model.blocks.count() > 10 and many_model.shard_bits >= 4
     assert np.allclose(one["score"], many["score"]) and np.allclose(one["base_score"], many["base_score"])
     w = many_model.weights
     assert np.allclose(w.sum(axis=1), 1) and (w[:, 2] > 0).all() and w[0, 0] == 0
@@ -240,7 +246,7 @@ def test_lm_score_by_definition(spark):
     from collections import Counter
     from math import log10
     rows = [(i, fixtures.prose(i, 30 + i), i % 5 != 0) for i in range(40)]
-    model = interp_lm.InterpolatedModel(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"))
+    model = interp_lm.InterpolatedModel(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"), ["doc_id"])
     one, two, ends = Counter(), Counter(), 0
     for _, t, learn in rows:
         if learn:
@@ -250,7 +256,7 @@ def test_lm_score_by_definition(spark):
             ends += 1
     n, v = sum(one.values()), len(one)
     assert (model.n, model.v) == (n, v)
-    for r in model.score(["doc_id"]).collect():
+    for r in model.score().collect():
         ws, total = [*brute.ascii_words(rows[r["doc_id"]][1]), None], 0.0
         for a, b in zip(["<"] + ws, ws):
             c = ends if a == "<" else one[a]

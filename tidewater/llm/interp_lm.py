@@ -7,18 +7,20 @@ counts: a seventh of the learning documents is held out, the others are counted,
 held-out token enters, by bucket, with its two maximum-likelihood estimates rounded to an
 eighth of an octave.  Scoring then uses the counts of all learning documents.
 
-On Spark: documents are dealt to blocks of about ``BLOCK_BYTES`` of text.  A block sends
-each shard of the key space its sorted distinct n-gram keys (hashes) with its own counts,
-packed in one binary value; shards add up the counts of all blocks and send each block the
-totals in the order it asked, so frequent n-grams cross the shuffle once a block.  The
-totals are written to the shared checkpoint folder; learning and scoring join them to the
-blocks again.  Nothing of the corpus but the weights' histogram, of fixed size, is
-collected.  Block and shard counts follow the size of the input.
-
-Edge cases: null counts as the empty text: one token, the end.  Null ids are fold zero.
+On Spark: each task gathers its documents in blocks of about ``BLOCK_BYTES`` of text, which
+are written, compressed, to the shared checkpoint folder.  A block sends each shard of the
+key space its sorted distinct n-gram keys (hashes) with its own counts, packed in one
+binary value; shards add up the counts of all blocks and send each block the totals in the
+order it asked, so frequent n-grams cross the shuffle once a block.  The totals are
+checkpointed too; learning and scoring join them to the blocks.  Nothing of the corpus but
+the weights' histogram, of fixed size, is collected.  The number of shards follows the size
+of the input.
+
+Edge cases: null counts as the empty text: one token, the end.  Null ids hash like others.
 Very long texts and words are read whole, in slices.  Repeated rows are scored, and
-counted, each.  Rows equal in id and text share a block.  Without learning documents N and
-V are zero and every token has the probability 1.  Empty tables give no rows.
+counted, each.  Result columns whose names the caller's columns have get free names.
+Without learning documents N and V are zero and every token has the probability 1.  Empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +31,14 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import checkpointed
+from tidewater.llm.common import checkpointed, free_name
 
 BLOCK_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SLICE = 1 << 20
 STEPS, OCTAVES = 8, 48  # per octave; estimates below 2^-48 share the last cell
 CELLS = STEPS * OCTAVES + 1
@@ -90,7 +95,7 @@ def slices(data: bytes) -> Iterator[bytes]:
 
 
 def tokens(texts) -> tuple[np.ndarray, np.ndarray]:
-    """The token hashes of all texts, ends included, and the tokens of each text."""
+    """The token hashes of all texts (bytes), ends included, and the tokens of each text."""
     parts, sizes, held, waiting = [], [], [], 0
 
     def flush():
@@ -99,7 +104,7 @@ def tokens(texts) -> tuple[np.ndarray, np.ndarray]:
         held.clear()
 
     for text in texts:
-        data = (text or "").encode("utf-8", "surrogatepass").lower()
+        data = text.lower()
         for piece in slices(data):
             held.append(piece)
             waiting += len(piece)
@@ -144,15 +149,18 @@ class Block:
         return np.bincount(index[np.repeat(of_text, self.sizes)], minlength=len(keys))
 
 
-def pack(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :-(-width // 8)]).tobytes()
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, in as many bytes as the largest needs."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    size = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([size]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
 
 
-def unpack(data: bytes, width: int) -> np.ndarray:
-    size = -(-width // 8)
+def unpack(data: bytes) -> np.ndarray:
+    size = data[0]
     rows = np.zeros((len(data) // size, 8), dtype=np.uint8)
-    rows[:, :size] = np.frombuffer(data, dtype=np.uint8).reshape(-1, size)
-    return rows.view("<u8").ravel()
+    rows[:, :size] = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(-1, size)
+    return np.cumsum(rows.view("<u8").ravel(), dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
@@ -164,44 +172,76 @@ def unpack_counts(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, dtype="<u8" if n and len(raw) == 8 * n else "<u4").astype(np.int64)
 
 
-def ask(block: int, frame: pd.DataFrame, shard_bits: int) -> pd.DataFrame:
-    """A block's keys and counts, a row for each shard and kind of key."""
-    b, role, rows = Block(frame["text"], shard_bits), frame["role"].to_numpy(), []
-    for kind, index, keys in (("uni", b.word, b.uni), ("bi", b.pair, b.bi)):
-        kept, deleted = (b.counts(index, keys, role == r) for r in (KEPT, DELETED))
-        shard = keys >> np.uint64(b.width)
-        cuts = np.flatnonzero(np.diff(shard)) + 1
-        low = keys & np.uint64((1 << b.width) - 1)
-        for s, k, c, d in zip(shard[np.concatenate([[0], cuts]).astype(int)].tolist() if len(keys) else [],
-                              np.split(low, cuts), np.split(kept, cuts), np.split(deleted, cuts)):
-            rows.append((block, kind, s, len(k), pack(k, b.width), pack_counts(c), pack_counts(d)))
-    return pd.DataFrame(rows, columns=["block", "kind", "shard", "n", "keys", "kept", "deleted"])
-
-
-def answer(frame: pd.DataFrame, width: int) -> pd.DataFrame:
+def gathered(batches: Iterator[pd.DataFrame], returned: int, block_bytes: int) -> Iterator[pd.DataFrame]:
+    """Rows (deleted, role, text, c0, c1, ...) as blocks, one row each; deleted documents
+    have blocks of their own, so that learning reads only those."""
+    task, made = TaskContext.get().partitionId(), 0
+    columns = [f"c{k}" for k in range(returned)]
+    held: dict[bool, list] = {False: [], True: []}
+    size = {False: 0, True: 0}
+
+    def block(deleted: bool) -> pd.DataFrame:
+        nonlocal made
+        rows, texts = held[deleted], [r[1] for r in held[deleted]]
+        out = {"block": (task << 32) + made, "deleted": deleted, "bytes": size[deleted],
+               "data": zstandard.compress(b"".join(texts), 3), "sizes": [len(t) for t in texts], "roles": [r[0] for r in rows],
+               **{c: [r[2 + k] for r in rows] for k, c in enumerate(columns)}}
+        made += 1
+        held[deleted], size[deleted] = [], 0
+        return pd.DataFrame({name: [value] for name, value in out.items()})
+
+    for frame in batches:
+        frame = frame.astype(object).where(frame.notna(), None)
+        for deleted, role, text, *own in frame[["deleted", "role", "text", *columns]].itertuples(index=False, name=None):
+            held[deleted].append((role, (text or "").encode("utf-8", "surrogatepass"), *own))
+            size[deleted] += len(held[deleted][-1][1])
+            if size[deleted] >= block_bytes:
+                yield block(deleted)
+    for deleted in (False, True):
+        if held[deleted]:
+            yield block(deleted)
+
+
+def texts_of(data: bytes, sizes) -> list[bytes]:
+    raw, ends = zstandard.decompress(data), np.cumsum(sizes).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def ask(frame: pd.DataFrame, shard_bits: int) -> Iterator[pd.DataFrame]:
+    """The blocks' keys and counts, a row for each shard and kind of key."""
+    for block, deleted, data, sizes, roles in frame[["block", "deleted", "data", "sizes", "roles"]].itertuples(index=False, name=None):
+        b, learned = Block(texts_of(data, sizes), shard_bits), np.asarray(roles) != OTHER
+        rows = []
+        for kind, index, keys in (("uni", b.word, b.uni), ("bi", b.pair, b.bi)):
+            counts, shard = b.counts(index, keys, learned), keys >> np.uint64(b.width)
+            cuts = np.flatnonzero(np.diff(shard)) + 1
+            low = keys & np.uint64((1 << b.width) - 1)
+            for s, k, c in zip(shard[np.concatenate([[0], cuts]).astype(int)].tolist(), np.split(low, cuts), np.split(counts, cuts)):
+                rows.append((block, deleted, kind, s, len(k), pack(k), pack_counts(c)))
+        yield pd.DataFrame(rows, columns=["block", "deleted", "kind", "shard", "n", "keys", "counts"])
+
+
+def answer(frame: pd.DataFrame) -> pd.DataFrame:
     """The totals of one shard's keys, for each block in its own order; the row of block -1
     has the shard's distinct and summed counts."""
-    sizes = frame["n"].tolist()
-    keys = np.concatenate([unpack(k, width) for k in frame["keys"]])
-    found, index = np.unique(keys, return_inverse=True)
-    total = {}
-    for what in ("kept", "deleted"):
-        each = np.concatenate([unpack_counts(c, n) for c, n in zip(frame[what], sizes)])
-        total[what] = np.bincount(index, weights=each, minlength=len(found)).astype(np.int64)
-    kept, every = total["kept"], total["kept"] + total["deleted"]
-    kind, shard = frame["kind"].iloc[0], frame["shard"].iloc[0]
+    sizes, deleted = frame["n"].tolist(), frame["deleted"].to_numpy()
+    found, index = np.unique(np.concatenate([unpack(k) for k in frame["keys"]]), return_inverse=True)
+    each = np.concatenate([unpack_counts(c, n) for c, n in zip(frame["counts"], sizes)])
+    out = np.repeat(deleted, sizes)
+    kept, gone = (np.bincount(index[m], weights=each[m], minlength=len(found)).astype(np.int64) for m in (~out, out))
+    every, kind, shard = kept + gone, frame["kind"].iloc[0], frame["shard"].iloc[0]
     rows, at = [], 0
-    for block, n in zip(frame["block"].tolist(), sizes):
+    for block, d, n in zip(frame["block"].tolist(), deleted, sizes):
         i = index[at:at + n]
-        rows.append((block, kind, shard, n, pack_counts(kept[i]), pack_counts(every[i]), 0, 0, 0, 0))
+        rows.append((block, d, kind, shard, n, pack_counts(kept[i]) if d else None, pack_counts(every[i]), 0, 0, 0, 0))
         at += n
-    rows.append((-1, kind, shard, 0, b"", b"", int((kept > 0).sum()), int(kept.sum()),
+    rows.append((-1, False, kind, shard, 0, None, None, int((kept > 0).sum()), int(kept.sum()),
                  int((every > 0).sum()), int(every.sum())))
-    return pd.DataFrame(rows, columns=["block", "kind", "shard", "n", "kept", "every",
+    return pd.DataFrame(rows, columns=["block", "deleted", "kind", "shard", "n", "kept", "every",
                                        "v_kept", "n_kept", "v_every", "n_every"])
 
 
-ANSWER = ("block long, kind string, shard long, n long, kept binary, every binary, "
+ANSWER = ("block long, deleted boolean, kind string, shard long, n long, kept binary, every binary, "
           "v_kept long, n_kept long, v_every long, n_every long")
 
 
@@ -254,41 +294,40 @@ def learn(histogram: np.ndarray, v: int, rounds: int = EM_ROUNDS) -> np.ndarray:
 
 
 class InterpolatedModel:
-    """Counts of ``docs`` (doc_id, text, learn, and what else ``score`` is to return),
-    gathered on Spark, and the learned weights."""
+    """Counts of ``docs`` (doc_id, text, learn), gathered on Spark, and the learned weights.
+    ``returned``: the columns that ``score`` gives back."""
 
-    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES):
-        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        self.blocks = max(1, ceil(size / block_bytes))
-        self.shard_bits = bits = max(0, ceil(size / shard_bytes) - 1).bit_length()
-        width = max(48, 64 - bits) if bits > 16 else 48
+    def __init__(self, docs: DataFrame, returned: list[str], block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES):
+        self.returned, kinds = returned, [docs.schema[c].dataType.simpleString() for c in returned]
         role = F.when(~F.col("learn"), OTHER).when(F.pmod(F.xxhash64("doc_id"), F.lit(7)) == 3, DELETED).otherwise(KEPT)
-        block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.blocks))
-        # held-out documents have blocks of their own, so that learning reads only those
-        self.docs = docs.withColumn("role", role).withColumn(
-            "block", block + F.when(F.col("role") == DELETED, self.blocks).otherwise(0))
-        asked = self.docs.select("block", "text", "role").groupBy("block").applyInPandas(
-            lambda key, frame: ask(int(key[0]), frame, bits),
-            "block long, kind string, shard long, n long, keys binary, kept binary, deleted binary")
-        answers = asked.groupBy("kind", "shard").applyInPandas(lambda frame: answer(frame, width), ANSWER)
-        self.answers = checkpointed(answers)
+        rows = docs.select((role == DELETED).alias("deleted"), role.alias("role"), "text",
+                           *[F.col(c).alias(f"c{k}") for k, c in enumerate(returned)])
+        self.blocks = checkpointed(rows.mapInPandas(
+            lambda batches: gathered(batches, len(returned), block_bytes),
+            "block long, deleted boolean, bytes long, data binary, sizes array<long>, roles array<int>"
+            + "".join(f", c{k} array<{t}>" for k, t in enumerate(kinds))))
+        size = self.blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+        self.shard_bits = bits = max(0, ceil(size / shard_bytes) - 1).bit_length()
+        asked = self.blocks.select("block", "deleted", "data", "sizes", "roles").mapInPandas(
+            lambda batches: (part for frame in batches for part in ask(frame, bits)),
+            "block long, deleted boolean, kind string, shard long, n long, keys binary, counts binary")
+        self.answers = checkpointed(asked.groupBy("kind", "shard").applyInPandas(answer, ANSWER))
         uni = self.answers.where("block = -1 AND kind = 'uni'").agg(*[
             F.coalesce(F.sum(c), F.lit(0)) for c in ("v_kept", "n_kept", "v_every", "n_every")]).first()
         self.v_kept, self.n_kept, self.v, self.n = uni
         self.weights = self.learned()
 
-    def joined(self, docs: DataFrame, columns: list[str], fn, schema: str) -> DataFrame:
-        """``fn(docs frame, answers frame)`` for each block."""
-        theirs = self.answers.where("block >= 0").select("block", "kind", "shard", "n", *columns)
-        return docs.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(fn, schema)
+    def joined(self, which: str, totals: str, columns: list[str], fn, schema: str) -> DataFrame:
+        """``fn(block frame, answers frame)`` for each block that ``which`` selects."""
+        ours = self.blocks.where(which).select("block", "data", "sizes", *columns)
+        theirs = self.answers.where(f"block >= 0 AND {which}").select("block", "kind", "shard", "n", totals)
+        return ours.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(fn, schema)
 
     def learned(self) -> np.ndarray:
         bits, n_kept = self.shard_bits, self.n_kept
 
         def events(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-            if not len(frame):
-                return pd.DataFrame({"cell": [], "n": []})
-            b = Block(frame["text"], bits)
+            b = Block(texts_of(frame["data"].iloc[0], frame["sizes"].iloc[0]), bits)
             uni, bi = totals(answers, "uni", "kept"), totals(answers, "bi", "kept")
             before = uni[b.before]
             cell = (bucket_of(before) * CELLS + cell_of(ratio(bi[b.pair], before))) * CELLS + cell_of(
@@ -296,38 +335,34 @@ class InterpolatedModel:
             found, n = np.unique(cell, return_counts=True)
             return pd.DataFrame({"cell": found, "n": n})
 
-        held = self.docs.where(F.col("role") == DELETED).select("block", "text")
-        cells = self.joined(held, ["kept"], events, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        cells = (self.joined("deleted", "kept", [], events, "cell long, n long")
+                 .groupBy("cell").agg(F.sum("n").alias("n")))
         histogram = np.zeros(BUCKETS * CELLS * CELLS)
         for row in cells.toLocalIterator():  # at most BUCKETS * CELLS^2 cells, whatever the corpus
             histogram[row["cell"]] = row["n"]
         return learn(histogram.reshape(BUCKETS, CELLS, CELLS), self.v_kept)
 
-    def score(self, returned: list[str]) -> DataFrame:
-        """For every document the columns ``returned`` and n_tokens, n_known, train_tokens,
+    def score(self) -> DataFrame:
+        """For every document the returned columns and n_tokens, n_known, train_tokens,
         base_score (add-one unigrams) and score, in log10."""
         bits, weights, n, v = self.shard_bits, self.weights, self.n, self.v
-        source = self.docs.select("block", "text", *returned)
-        names = [*returned, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        columns = [f"c{k}" for k in range(len(self.returned))]
 
         def scored(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-            if not len(frame):
-                return pd.DataFrame(columns=names)
-            b = Block(frame["text"], bits)
+            block = frame.iloc[0]
+            b = Block(texts_of(block["data"], block["sizes"]), bits)
             uni, bi = totals(answers, "uni", "every"), totals(answers, "bi", "every")
-            one = uni[b.word]
-            before = uni[b.before]
+            one, before = uni[b.word], uni[b.before]
             w = weights[bucket_of(before)]
-            p = (w[:, 0] * ratio(bi[b.pair], before) + w[:, 1] * ratio(one, max(n, 1)) + w[:, 2] / (v + 1))
+            p = w[:, 0] * ratio(bi[b.pair], before) + w[:, 1] * ratio(one, max(n, 1)) + w[:, 2] / (v + 1)
             at = np.concatenate([[0], np.cumsum(b.sizes)[:-1]]).astype(np.int64)
-            out = frame[returned].copy()
-            out["n_tokens"] = b.sizes
-            out["n_known"] = np.add.reduceat((one > 0).astype(np.int64), at)
-            out["train_tokens"] = n
-            out["base_score"] = np.add.reduceat(np.log10((one + 1) / (n + v + 1)), at)
-            out["score"] = np.add.reduceat(np.log10(p), at)
-            return out[names]
-
-        kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.select(*returned).schema)
-        return self.joined(source, ["every"], scored, kept + ", n_tokens long, n_known long, train_tokens long, "
-                           "base_score double, score double")
+            return pd.DataFrame({
+                **{c: pd.Series(list(block[c]), dtype=object) for c in columns}, "n_tokens": b.sizes,
+                "n_known": np.add.reduceat((one > 0).astype(np.int64), at), "train_tokens": n,
+                "base_score": np.add.reduceat(np.log10((one + 1) / (n + v + 1)), at),
+                "score": np.add.reduceat(np.log10(p), at)})
+
+        kinds = [self.blocks.schema[c].dataType.elementType.simpleString() for c in columns]
+        out = self.joined("true", "every", columns, scored, "".join(f"{c} {t}, " for c, t in zip(columns, kinds))
+                          + "n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        return out.toDF(*self.returned, *[free_name(self.returned, c) for c in RESULTS])

@@ -79,8 +79,8 @@ def op9_decontamination(spark, sf_dir):
 
 def op10_interpolated_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out"))
-    model = interp_lm.InterpolatedModel(docs.withColumn("learn", ~F.col("held_out")))
-    return model.score(["doc_id", "held_out"])
+    model = interp_lm.InterpolatedModel(docs.withColumn("learn", ~F.col("held_out")), ["doc_id", "held_out"])
+    return model.score()
 
 
 QUERIES = {f.__name__: f for f in (
