@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import rand as Rn
+from tests import rand as Rn
 from tidewater.operators.quality import SENSOR_RANGES, SENSOR_TYPES, USER_EVENT_TYPES
 
 WORDS = ["alpha", "basin", "cedar", "delta", "ember", "fjord", "grove", "harbor", "inlet", "jetty",

@@ -12,7 +12,7 @@ from tidewater.sources import lake as L
 def test_load_config_local():
     cfg = load_config("local", environ={})
     assert cfg["topics"]["user_activity"]["name"] == "user-activity"
-    assert cfg["topics"]["sensor_data"] == {"name": "sensor-data", "partitions": 1, "replication": 1}
+    assert cfg["topics"]["sensor_data"] == {"name": "sensor-data", "partitions": 1, "replicas": 1}
     assert cfg["bootstrap.servers"] == "localhost:9092"
     assert load_config("local", environ={"BOOTSTRAP_SERVERS": "b:1"})["bootstrap.servers"] == "b:1"
 
@@ -26,9 +26,10 @@ def test_properties_parser(tmp_path):
 def test_kafka_options_per_consumer_group():
     cfg = load_config("local", environ={})
     a = kafka_source_options(cfg, "sensor_data", "sensor-data-processor")
-    b = kafka_source_options(cfg, "sensor_data", "message-counter-job")
+    b = kafka_source_options(cfg, "sensor_data", "message-counter-job", stream=False)
     assert a["subscribe"] == b["subscribe"] == "sensor-data" and a["startingOffsets"] == "earliest"
-    assert a["kafka.group.id"] != b["kafka.group.id"]
+    assert "kafka.group.id" not in a and a["groupIdPrefix"] != b["groupIdPrefix"]
+    assert a["kafka.security.protocol"] == "PLAINTEXT" and int(a["maxOffsetsPerTrigger"]) > 0 and "maxOffsetsPerTrigger" not in b
     assert kafka_sink_options(cfg, "user_activity")["topic"] == "user-activity"
 
 
@@ -66,18 +67,6 @@ def test_memory_table(spark):
     assert not spark.catalog.tableExists("tw_mem")
 
 
-def test_cut_lineage_uses_shared_checkpoint_dir(spark):
-    import os
-    from tidewater.session import shared_root
-    root = shared_root(spark).replace("file:", "", 1)
-    before = set(os.listdir(root))
-    df = L.cut_lineage(B.user_activity(spark, SF_SMALL).select("user_id"))
-    assert df.count() == 1000
-    new = set(os.listdir(root)) - before
-    assert any(n.startswith("rdd-") for n in new), new  # reliable checkpoint files in the shared folder
-    assert "parquet" not in df._jdf.queryExecution().optimizedPlan().toString().lower()  # lineage cut
-
-
 def test_data_present_gate(spark):
     from tidewater.operators import views as V
     ua, sd = B.user_activity(spark, SF_SMALL), B.sensor_data(spark, SF_SMALL)
@@ -92,10 +81,31 @@ def test_use_catalog_and_database(spark):
     L.use(spark, database="default")
 
 
-def test_union_evolving_fills_missing_columns(spark):
-    ua = B.user_activity(spark, SF_SMALL)
-    v1 = ua.select("event_id", "user_id").where("event_id < 500")
-    v2 = ua.select("event_id", "user_id", "total_amount").where("event_id >= 500")
-    u = L.union_evolving(v1, v2)
-    assert u.columns == ["event_id", "user_id", "total_amount"] and u.count() == 1000
-    assert u.where("event_id < 500 AND total_amount IS NOT NULL").count() == 0
+def test_compaction_bounds_files_and_keeps_rows(spark):
+    import glob
+    root = run_dir(spark, "compact")
+    rows = B.user_activity(spark, SF_SMALL).select("event_id", "event_time", F.to_date("event_time").alias("event_date"))
+    for i in range(4):
+        rows.where(F.col("event_id") % 4 == i).repartition(3).write.partitionBy("event_date").parquet(f"{root}/log/batch_id={i}")
+    log = spark.read.parquet(root + "/log").drop("batch_id")
+    for _ in range(2):  # a repeated run changes nothing
+        L.compact(spark, log, root + "/small", "2024-01-20", files_per_partition=2)
+    files = glob.glob(root.replace("file:", "", 1) + "/small/event_date=*")
+    assert files and max(len(glob.glob(d + "/*.parquet")) for d in files) <= 2
+    whole = L.with_compacted(log, spark.read.parquet(root + "/small"), "2024-01-20")
+    assert whole.select(*rows.columns).exceptAll(rows).count() == 0 and whole.count() == rows.count()
+
+
+def test_no_shared_folder_off_local_is_an_error():
+    import pytest
+    from tidewater import session
+
+    class Context:
+        master = "spark://h:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(RuntimeError):
+        session.shared_root(type("Session", (), {"sparkContext": Context()})())

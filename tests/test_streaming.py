@@ -18,7 +18,7 @@ from tidewater.streaming import ingest as I
 def _topic(spark, label):
     run = run_dir(spark, label)
     path = os.path.join(run, "topic")
-    publish(user_envelope(spark, SF_SMALL), path)
+    publish(user_envelope(spark, SF_SMALL), path, max_records_per_file=300)
     return run, path
 
 
@@ -79,6 +79,15 @@ def test_jobs_run_processor_and_counter(spark, capsys):
     assert all(q.exception() is None for q in p)
     assert spark.read.parquet(run + "/ua").count() == 1000
     assert spark.read.parquet(run + "/ua_dead_letters").count() == 0
+    jobs.main(["warehouse", "--source", run + "/ua", "--table", run + "/wh", "--checkpoint", run + "/c3", "--available-now",
+               "--profile", "local"])
+    jobs.main(["compact", "--source", run + "/wh", "--table", run + "/small", "--before", "2024-01-10", "--profile", "local"])
+    assert 0 < spark.read.parquet(run + "/small").count() < spark.read.parquet(run + "/wh").count() == 1000
+    common = ["--topic-path", topic, "--available-now", "--profile", "local"]
+    jobs.main(["alerts", *common, "--table", run + "/al", "--checkpoint", run + "/c4", "--threshold", "1"])
+    assert spark.read.parquet(run + "/al").where("event_count <= 1").count() == 0
+    jobs.main(["enrich", *common, "--source", SF_SMALL, "--table", run + "/en", "--checkpoint", run + "/c5"])
+    assert spark.read.parquet(run + "/en").where("c_name IS NOT NULL").count() == 1000
     c = jobs.main(["message_counter", "--topic-path", topic, "--table", run + "/mc", "--checkpoint", run + "/c2",
                    "--available-now", "--profile", "local"])
     assert c[0].exception() is None
@@ -87,7 +96,7 @@ def test_jobs_run_processor_and_counter(spark, capsys):
 def test_console_sink_prints(spark):
     run, topic = _topic(spark, "console")
     from tidewater.streaming import windows as W
-    q = I.console_sink(W.processing_time_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER,
+    q = I.console_sink(W.arrival_window_count(read_events(spark, "sensor_data", topic)), I.TEST_TRIGGER,
                        output_mode="update")
     I.run_to_end(q)
     assert q.lastProgress["numInputRows"] == 1000 or q.recentProgress
@@ -153,17 +162,84 @@ def test_wait_for_rows_is_bounded(spark):
     I.run_to_end(q)
 
 
-def test_processing_time_counter_update_log_over_many_batches(spark):
+def test_arrival_counts_do_not_depend_on_batches(spark):
     from tidewater.streaming import windows as W
     run, topic = _topic(spark, "counter_log")
-    counts = W.processing_time_window_count(read_events(spark, "sensor_data", topic, max_files_per_trigger=1))
-    q = W.start_update_log(counts, run + "/log", run + "/c", I.TEST_TRIGGER)
+    keys = ["window_start", "window_end"]
+    got = []
+    for name, files in (("one", None), ("many", 1)):
+        I.run_to_end(W.start_partial_log(read_events(spark, "sensor_data", topic, max_files_per_trigger=files),
+                                         W.arrival_window_count, f"{run}/{name}", f"{run}/c_{name}", I.TEST_TRIGGER))
+        got.append(sorted(map(tuple, W.read_partial_log(spark, f"{run}/{name}", keys, ["message_count"]).collect())))
+    assert spark.read.parquet(run + "/many").select("batch_id").distinct().count() >= 3
+    assert got[0] == got[1] and sum(r[2] for r in got[0]) == 1000
+    assert all((b - a).total_seconds() == 10 and a.second % 10 == 0 for a, b, _ in got[0])
+    for _ in range(2):
+        W.fold_partial_log(spark, run + "/many", keys, ["message_count"], upto=1)
+    folded = W.read_partial_log(spark, run + "/many", keys, ["message_count"], upto=1)
+    assert sorted(map(tuple, folded.collect())) == got[0]
+
+
+def test_rollup_over_a_table_does_not_depend_on_batches(spark):
+    from tidewater.operators.views import hourly_user_activity
+    from tidewater.plans.streams import hourly_from_table
+    run, topic = _topic(spark, "table_rollup")
+    I.run_to_end(I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", run + "/t", run + "/c", trigger=I.TEST_TRIGGER))
+    got = hourly_from_table(spark, run + "/t", run, max_files_per_trigger=1)
+    want = hourly_user_activity(B.user_activity(spark, SF_SMALL))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_rewritten_table_gives_the_new_result(spark):
+    from tidewater.plans.lifecycle import q_partition_pruned_range
+    folder = run_dir(spark, "rewritten").replace("file:", "", 1)
+    os.makedirs(folder)
+    events = B.read_table(spark, SF_SMALL, "events")
+    counts = []
+    for n in (1, 2):
+        events.where(F.col("event_id") % 2 < n).write.mode("overwrite").parquet(folder + "/events.parquet")
+        counts.append(q_partition_pruned_range(spark, folder).count())
+    assert 0 < counts[0] < counts[1]
+
+
+def test_processor_survives_a_failure_between_its_two_writes(spark, monkeypatch):
+    """The rows of a batch are written, the dead letters fail; a restart repeats the batch."""
+    import pytest
+    run = run_dir(spark, "two_writes")
+    topic = run + "/topic"
+    publish(user_envelope(spark, SF_SMALL, 50), topic, max_records_per_file=300)
+    source = lambda: read_events(spark, "user_activity", topic, max_files_per_trigger=2)
+    start = lambda: I.start_processor(source(), "user_activity", run + "/t", run + "/d", run + "/c", I.TEST_TRIGGER)
+    split = I.split_dead_letters
+
+    def fails(parsed):
+        raise OSError("killed here")
+
+    monkeypatch.setattr(I, "split_dead_letters", fails)
+    with pytest.raises(Exception, match="killed here"):
+        I.run_to_end(start())
+    assert spark.read.parquet(run + "/t").count() > 0
+    monkeypatch.setattr(I, "split_dead_letters", split)
+    I.run_to_end(start())
+    rows, dead = I.read_batches(spark, run + "/t"), I.read_batches(spark, run + "/d")
+    assert rows.count() == 980 and dead.count() == 20
+    assert rows.select("user_id", "event_time").exceptAll(B.user_activity(spark, SF_SMALL).select("user_id", "event_time")).count() == 0
+
+
+def test_non_numeric_ids_are_not_poison(spark):
+    from tidewater.sources.broker import envelope
+    run = run_dir(spark, "poison")
+    payload = B.user_activity_payload(B.read_table(spark, SF_SMALL, "events").limit(20)).withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, "abc").when(F.col("event_id") % 3 == 1, None).otherwise(F.col("user_id")))
+    publish(envelope(payload, "user_activity"), run + "/topic")
+    customer = B.read_table(spark, SF_SMALL, "customer")
+    dim = EN.customer_dimension(customer, B.read_table(spark, SF_SMALL, "nation"), B.read_table(spark, SF_SMALL, "region"))
+    rows = I.ingest_frame(read_events(spark, "user_activity", run + "/topic"), "user_activity")
+    q = (EN.enrich_user_activity(rows.select("user_id"), dim).writeStream.format("parquet").option("path", run + "/e")
+         .option("checkpointLocation", run + "/c").trigger(availableNow=True).start())
     I.run_to_end(q)
-    batches = spark.read.parquet(run + "/log").select("batch_id").distinct().count()
-    assert batches >= 2
-    current = W.read_update_log(spark, run + "/log", ["window_start", "window_end"])
-    assert current.agg(F.sum("message_count")).first()[0] == 1000
-    assert current.count() == current.select("window_start").distinct().count()
+    got = spark.read.parquet(run + "/e")
+    assert got.count() == 20 and got.where("c_name IS NOT NULL").count() == payload.where("user_id RLIKE '^[0-9]+$'").count()
 
 
 def test_files_per_partition_bounds_sink_files(spark):
@@ -211,6 +287,6 @@ def test_job_cli_runs_in_its_own_process(spark):
     res = subprocess.run(cmd, cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert res.returncode == 0, res.stderr[-2000:]
     table = spark.read.parquet(run + "/ua")
-    assert table.count() == 1000 and table.columns[-1] == "event_date"
+    assert table.count() == 1000 and {"batch_id", "event_date"} <= set(table.columns)
     assert table.where("user_id IS NULL OR event_time IS NULL").count() == 0
     assert spark.read.parquet(run + "/ua_dead_letters").count() == 0

@@ -10,7 +10,7 @@ from tidewater.operators import quality as Q
 from tidewater.operators import views as V
 from tidewater.sources import bindings as B
 from tidewater.sources.broker import envelope, publish
-from tidewater.sources.synth import synth_sensor_data, synth_user_activity
+from tests.synth import synth_sensor_data, synth_user_activity
 from tidewater.session import run_dir
 from tidewater.streaming.ingest import decoded_events, sink_rows
 

@@ -9,6 +9,12 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
+# The property files' topic keys; each also has .partitions and .replicas.
+TOPIC_KEYS = {"user_activity": "topic.user-activity", "sensor_data": "topic.sensor-data"}
+
+# A first start at the earliest offset takes the backlog in batches of this size.
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
+
 CONF_ROOT = Path(__file__).resolve().parent.parent / "conf"
 
 
@@ -37,33 +43,41 @@ def load_config(env: str = "local", conf_root: str | os.PathLike | None = None,
     topics = read_properties(d / "topics.properties") if (d / "topics.properties").exists() else {}
     cfg = {"env": env, "bootstrap.servers": environ.get("BOOTSTRAP_SERVERS",
                                                         kafka.get("bootstrap.servers", "")),
-           "topics": {}}
-    for fam in ("user_activity", "sensor_data"):
-        if f"{fam}.topic" in topics:
+           "security.protocol": kafka.get("security.protocol", "PLAINTEXT"),
+           "maxOffsetsPerTrigger": MAX_OFFSETS_PER_TRIGGER, "topics": {}}
+    for fam, key in TOPIC_KEYS.items():
+        if key in topics:
             cfg["topics"][fam] = {
-                "name": topics[f"{fam}.topic"],
-                "partitions": int(topics.get(f"{fam}.partitions", "1")),
-                "replication": int(topics.get(f"{fam}.replication", "1")),
+                "name": topics[key],
+                "partitions": int(topics.get(f"{key}.partitions", "1")),
+                "replicas": int(topics.get(f"{key}.replicas", "1")),
             }
     return cfg
 
 
-def kafka_source_options(cfg: dict, family: str, group_id: str,
-                         starting: str = "earliest") -> dict[str, str]:
-    """Options for ``spark.readStream.format("kafka")``: one topic, earliest offsets.
-    Progress is tracked by the query's checkpoint; ``group.id`` only labels it."""
+def _kafka_connection(cfg: dict) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": cfg["bootstrap.servers"],
+            "kafka.security.protocol": cfg.get("security.protocol", "PLAINTEXT")}
+
+
+def kafka_source_options(cfg: dict, family: str, group_prefix: str,
+                         starting: str = "earliest", stream: bool = True) -> dict[str, str]:
+    """Options of a Kafka source: one topic, earliest offsets.  Progress is the query's
+    checkpoint.  No group id is set: each query makes its own, unique one, as two queries
+    sharing a group would each read only part of the topic; the prefix names the job."""
+    bound = {"maxOffsetsPerTrigger": str(cfg.get("maxOffsetsPerTrigger", MAX_OFFSETS_PER_TRIGGER))} if stream else {}
     return {
-        "kafka.bootstrap.servers": cfg["bootstrap.servers"],
+        **_kafka_connection(cfg),
         "subscribe": cfg["topics"][family]["name"],
         "startingOffsets": starting,
-        "kafka.group.id": group_id,
+        "groupIdPrefix": group_prefix,
         "failOnDataLoss": "true",
+        **bound,
     }
 
 
 def kafka_sink_options(cfg: dict, family: str) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": cfg["bootstrap.servers"],
-            "topic": cfg["topics"][family]["name"]}
+    return {**_kafka_connection(cfg), "topic": cfg["topics"][family]["name"]}
 
 
 def catalog_conf(name: str, uri: str, warehouse: str, *, catalog_type: str = "rest",

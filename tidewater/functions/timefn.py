@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: ISO-8601 local date-time, fraction optional (it is omitted when 0).
-ISO_LOCAL_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+ISO_LOCAL_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]"
 ISO_LOCAL_WRITE_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -17,8 +17,8 @@ def col_(c) -> Column:
 
 
 def parse_iso_local(s) -> Column:
-    """ISO-8601 local text -> TIMESTAMP; anything else (space separator, zone suffix,
-    junk) -> NULL instead of an error."""
+    """ISO-8601 local text, up to nine fraction digits (cut to microseconds) -> TIMESTAMP;
+    anything else (space separator, zone suffix, junk) -> NULL instead of an error."""
     return F.try_to_timestamp(col_(s), F.lit(ISO_LOCAL_PATTERN))
 
 
@@ -44,6 +44,12 @@ def hour_trunc(ts) -> Column:
     return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
+def hour_sql(column: str) -> str:
+    """:func:`hour_trunc` as SQL text."""
+    return (f"make_timestamp_ntz(year({column}), month({column}), dayofmonth({column}), "
+            f"hour({column}), 0, 0)")
+
+
 def day_trunc(ts) -> Column:
     return F.to_date(col_(ts)).cast("timestamp_ntz")
 
@@ -53,10 +59,6 @@ def event_date(ts) -> Column:
     return F.to_date(col_(ts))
 
 
-def epoch_micros(ts) -> Column:
-    return F.unix_micros(col_(ts).cast("timestamp"))
-
-
 def zone_window_offset(spark, duration_s: int) -> str:
     """``startTime`` that aligns ``window(ts, duration)`` to wall-clock boundaries
     of the session zone.  Windows are epoch (UTC) aligned; a zone whose offset is

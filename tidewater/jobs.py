@@ -1,5 +1,10 @@
-"""Long-running jobs: the two processors (topic -> lake table, plus dead
-letters) and the message counter:
+"""Long-running jobs:
+
+* ``user_activity``, ``sensor_data``: processors, topic -> lake table and dead letters;
+* ``message_counter``: 10 s counts of a topic's messages by arrival time;
+* ``warehouse``: a processor's table -> the warehouse table the views read;
+* ``compact``: closed days of a warehouse table -> few files (runs once);
+* ``alerts``: hourly counts above a threshold; ``enrich``: events with their customer.
 
     python -m tidewater.jobs user_activity --topic-path ... --table ... --checkpoint ...
     # on a cluster: zip the package and ship it with the driver script
@@ -19,56 +24,124 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.config import load_config
+from tidewater.operators import conform as C
+from tidewater.operators import enrich as EN
+from tidewater.sources import bindings as B
+from tidewater.sources import lake as L
 from tidewater.sources.broker import read_events
+from tidewater.streaming import alerts as A
 from tidewater.streaming import ingest as I
 from tidewater.streaming import windows as W
 
 
-def _source(spark, family, args, group):
+COUNTER_INTERVAL = "5 seconds"  # below the counter's 10 s window
+
+
+def _source(spark, family, args, job):
     cfg = load_config(args.env)
     if args.kafka:
         cfg["source"] = "kafka"
     if args.max_offsets_per_trigger:
         cfg["maxOffsetsPerTrigger"] = args.max_offsets_per_trigger
-    return read_events(spark, family, args.topic_path, cfg=cfg, group_id=group,
+    return read_events(spark, family, args.topic_path, cfg=cfg, group_prefix=job,
                        max_files_per_trigger=args.max_files_per_trigger)
 
 
-def _trigger(args) -> dict:
-    return I.TEST_TRIGGER if args.available_now else {"processingTime": args.interval}
+def _trigger(args, interval: str | None = None) -> dict:
+    return I.TEST_TRIGGER if args.available_now else {"processingTime": args.interval or interval or "60 seconds"}
+
+
+def _checkpoint(args, name: str) -> str:
+    return os.path.join(args.checkpoint, name)
 
 
 def processor(spark: SparkSession, family: str, args) -> list[StreamingQuery]:
-    """Topic -> decoded, watermarked sink rows -> partitioned Parquet; undecodable
-    messages -> dead-letter table."""
-    group = f"{family.replace('_', '-')}-processor"
-    main = I.start_ingest(_source(spark, family, args, group), family, args.table,
-                          os.path.join(args.checkpoint, "ingest"), trigger=_trigger(args), query_name=group,
-                          files_per_partition=args.files_per_partition)
-    dlq = I.start_dead_letters(_source(spark, family, args, group), family, args.table.rstrip("/") + "_dead_letters",
-                               os.path.join(args.checkpoint, "dead_letters"), trigger=_trigger(args))
-    return [main, dlq]
+    """Topic -> sink rows -> partitioned Parquet; undecodable messages -> dead-letter
+    table; one read and one parse for both."""
+    job = f"{family.replace('_', '-')}-processor"
+    return [I.start_processor(_source(spark, family, args, job), family, args.table,
+                              args.table.rstrip("/") + "_dead_letters", _checkpoint(args, "ingest"),
+                              trigger=_trigger(args), query_name=job, files_per_partition=args.files_per_partition)]
 
 
 def message_counter(spark: SparkSession, args) -> list[StreamingQuery]:
-    """Processing-time 10 s counts of decodable sensor messages; each batch emits
-    the windows it changed (update mode), old windows leave the state."""
-    counts = W.processing_time_window_count(_source(spark, "sensor_data", args, "message-counter-job"))
+    """10 s counts of decodable sensor messages by arrival time; each batch logs its own."""
+    source, trigger = _source(spark, "sensor_data", args, "message-counter-job"), _trigger(args, COUNTER_INTERVAL)
     if args.console:
-        return [I.console_sink(counts, _trigger(args), output_mode="update")]
-    return [W.start_update_log(counts, args.table, os.path.join(args.checkpoint, "counter"), _trigger(args))]
+        return [I.console_sink(W.arrival_window_count(source), trigger, output_mode="update")]
+    return [W.start_partial_log(source, W.arrival_window_count, args.table, _checkpoint(args, "counter"), trigger)]
+
+
+CONFORM = {"user_activity": C.conform_user_activity, "sensor_data": C.conform_sensor_data}
+
+
+def start_warehouse(spark: SparkSession, family: str, source: str, table: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """A processor's table, as a stream of files, conformed and appended to the warehouse
+    table, a folder per micro-batch."""
+    rows = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+
+    def write(batch, batch_id: int) -> None:
+        (CONFORM[family](batch, with_partition=True).write.mode("overwrite")
+         .partitionBy(*I.PARTITIONS[family]).parquet(f"{table}/batch_id={batch_id}"))
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def warehouse(spark: SparkSession, args) -> list[StreamingQuery]:
+    return [start_warehouse(spark, args.family, args.source, args.table, _checkpoint(args, "warehouse"), _trigger(args))]
+
+
+def compact(spark: SparkSession, args) -> list[StreamingQuery]:
+    L.compact(spark, I.read_batches(spark, args.source), args.table, args.before, I.PARTITIONS[args.family],
+              args.files_per_partition or 1)
+    return []
+
+
+def alerts(spark: SparkSession, args) -> list[StreamingQuery]:
+    events = I.decoded_events(_source(spark, "user_activity", args, "alerts-job"), "user_activity")
+    return [A.start_hourly_alerts(events, args.threshold, args.table, _checkpoint(args, "alerts"), _trigger(args))]
+
+
+def enrich(spark: SparkSession, args) -> list[StreamingQuery]:
+    """``--source``: the folder of the customer, nation and region tables."""
+    customer, nation, region = (B.read_table(spark, args.source, t) for t in ("customer", "nation", "region"))
+    rows = I.ingest_frame(_source(spark, "user_activity", args, "enrich-job"), "user_activity")
+    out = EN.enrich_user_activity(rows, EN.customer_dimension(customer, nation, region), dim_size=EN.dimension_size(customer))
+    return [out.writeStream.format("parquet").outputMode("append").partitionBy("event_date").option("path", args.table)
+            .option("checkpointLocation", _checkpoint(args, "enrich")).trigger(**_trigger(args)).start()]
+
+
+JOBS = {"message_counter": message_counter, "warehouse": warehouse, "compact": compact, "alerts": alerts, "enrich": enrich,
+        **{f: (lambda spark, args, f=f: processor(spark, f, args)) for f in CONFORM}}
+
+
+def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Wait for every query; if one fails, stop the others and raise its error."""
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+    finally:
+        for q in queries:
+            q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
 
 
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="tidewater.jobs")
-    ap.add_argument("job", choices=["user_activity", "sensor_data", "message_counter"])
+    ap.add_argument("job", choices=sorted(JOBS))
     ap.add_argument("--topic-path")
     ap.add_argument("--table", required=True)
-    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--checkpoint", help="folder of the job's progress; needed by all jobs but compact")
+    ap.add_argument("--source", help="input table of warehouse and compact; dimension folder of enrich")
+    ap.add_argument("--family", choices=sorted(CONFORM), default="user_activity")
+    ap.add_argument("--before", help="compact: the first day (yyyy-mm-dd) that is still open")
+    ap.add_argument("--threshold", type=int, default=1000, help="alerts: events an hour")
     ap.add_argument("--env", default="local")
     ap.add_argument("--kafka", action="store_true")
     ap.add_argument("--console", action="store_true")
-    ap.add_argument("--interval", default="60 seconds")
+    ap.add_argument("--interval", help="trigger interval; 60 seconds, for the counter 5 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     ap.add_argument("--max-files-per-trigger", type=int, help="bound on files per micro-batch")
@@ -76,6 +149,8 @@ def main(argv=None):
     ap.add_argument("--files-per-partition", type=int,
                     help="bound on files per table partition per micro-batch (adds one shuffle; for backfills)")
     args = ap.parse_args(argv)
+    if args.job != "compact" and not args.checkpoint:
+        ap.error("--checkpoint is needed")
     from tidewater.session import STREAMING_STATE_PARTITIONS, get_spark
     # State of the windowed jobs lives in RocksDB (off-heap, spills to local disk,
     # snapshots to the checkpoint) rather than on the JVM heap.
@@ -83,9 +158,8 @@ def main(argv=None):
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.shuffle.partitions": STREAMING_STATE_PARTITIONS if args.profile == "cluster" else "8"})
-    queries = message_counter(spark, args) if args.job == "message_counter" else processor(spark, args.job, args)
-    for q in queries:
-        q.awaitTermination()
+    queries = JOBS[args.job](spark, args)
+    await_all(spark, queries)
     return queries
 
 

@@ -53,9 +53,10 @@ def enrich_user_activity(ua: DataFrame, dim: DataFrame, max_bytes: int = MAX_BRO
                          dim_size: int | None = None) -> DataFrame:
     """Left join of events with the customer dimension on user_id = c_custkey.
     Broadcast when the dimension is small, else a shuffle join (AQE splits
-    skewed event partitions).  Works unchanged on a streaming ``ua``."""
+    skewed event partitions).  An id that is not a number finds no customer.
+    Works unchanged on a streaming ``ua``."""
     d = maybe_broadcast(dim, max_bytes, dim_size)
-    joined = ua.join(d, ua.user_id.cast("long") == d.c_custkey, "left")
+    joined = ua.join(d, ua.user_id.try_cast("long") == d.c_custkey, "left")
     return joined.drop("c_custkey")
 
 

@@ -11,27 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.timefn import day_trunc, hour_trunc
-
-# SQL text of the two views, for use over registered tables/temp views.
-HOURLY_USER_ACTIVITY_SQL = """
-SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP_NTZ) AS hour,
-       event_type,
-       COUNT(*) AS event_count
-FROM {table}
-GROUP BY 1, 2
-"""
-
-SENSOR_STATS_SQL = """
-SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP_NTZ) AS hour,
-       sensor_type,
-       facility,
-       COUNT(*) AS reading_count,
-       AVG(sensor_value) AS avg_value,
-       MIN(sensor_value) AS min_value,
-       MAX(sensor_value) AS max_value
-FROM {table}
-GROUP BY 1, 2, 3
-"""
+from tidewater.sources.lake import read_range
 
 
 def hourly_user_activity(ua: DataFrame) -> DataFrame:
@@ -87,12 +67,11 @@ def filter_drilldown(sd: DataFrame, lo: str, hi: str, sensor_type: str | None =
                      facility: str | None = None, value_col: str = "sensor_value") -> DataFrame:
     """Drill-down: ``sensor_stats`` restricted to hours in [lo, hi) (hour-aligned
     bounds) and optionally one type and facility.  The predicates are put on the
-    raw rows so the time and type bounds reach the Parquet scan (PushedFilters)
-    and, on a partitioned table, prune directories."""
-    cond = ((F.col("event_time") >= F.lit(lo).cast("timestamp_ntz"))
-            & (F.col("event_time") < F.lit(hi).cast("timestamp_ntz")))
+    raw rows so the time and type bounds reach the Parquet scan (PushedFilters);
+    on a table partitioned by day and type both prune directories."""
+    rows = read_range(sd, lo, hi)
     if sensor_type is not None:
-        cond &= F.col("sensor_type") == sensor_type
+        rows = rows.where(F.col("sensor_type") == sensor_type)
     if facility is not None:
-        cond &= F.col("facility") == facility
-    return sensor_stats(sd.where(cond), value_col)
+        rows = rows.where(F.col("facility") == facility)
+    return sensor_stats(rows, value_col)

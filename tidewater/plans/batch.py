@@ -11,9 +11,10 @@ from tidewater.operators import views as V
 from tidewater.plans.oracle_base import SD, UA, WSD, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.schemas import SENSOR_PAYLOAD, USER_ACTIVITY_PAYLOAD
+from tidewater.session import run_dir
 from tidewater.sources import bindings as B
-from tidewater.session import ensure_parallelism
-from tidewater.sources.broker import envelope, truncate_every
+from tidewater.sources import lake as L
+from tidewater.sources.broker import envelope, publish, read_events, truncate_every
 
 R = 6  # decimals kept for floating aggregates compared across engines
 
@@ -128,8 +129,7 @@ def q_hourly_cross_source(spark, sf_dir):
 # ---- codec: publish, decode, dead letters ---------------------------------------------
 
 def _events(spark, sf_dir):
-    """events, spread over all cores for the CPU-heavy encode/decode paths."""
-    return ensure_parallelism(B.read_table(spark, sf_dir, "events"))
+    return B.read_table(spark, sf_dir, "events")
 
 
 def user_envelope(spark, sf_dir, corrupt_every: int | None = None):
@@ -171,15 +171,30 @@ def _ua_decoded_out(df):
 
 @query("src_user_activity", with_(UA) + f"SELECT {UA_DECODED_COLS} FROM ua")
 def q_src_user_activity(spark, sf_dir):
-    return _ua_decoded_out(decode_valid(user_envelope(spark, sf_dir), USER_ACTIVITY_PAYLOAD))
+    return _ua_decoded_out(decode_valid(_published(spark, "user_activity", user_envelope(spark, sf_dir)), USER_ACTIVITY_PAYLOAD))
+
+
+def _published(spark, family, env):
+    """A bounded scan of a topic that ``env`` has been published to."""
+    path = run_dir(spark, "topic") + "/" + family
+    publish(env, path)
+    return read_events(spark, family, path, stream=False)
+
+
+@query("topic_key_partitions", """
+SELECT CAST(user_id AS VARCHAR) AS key, COUNT(*) AS messages, 1::BIGINT AS partitions FROM events GROUP BY 1""")
+def q_topic_key_partitions(spark, sf_dir):
+    """Messages of one key share one partition of the topic."""
+    topic = _published(spark, "user_activity", user_envelope(spark, sf_dir))
+    per = topic.groupBy("key", "partition").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("key").agg(F.sum("n").alias("messages"), F.count(F.lit(1)).alias("partitions"))
 
 
 @query("src_sensor_data", with_(SD) + """
 SELECT event_id AS offset, sensor_id, sensor_type, event_time, latitude, longitude, facility,
        battery_level, reading, unit FROM sd""")
 def q_src_sensor_data(spark, sf_dir):
-    dec = decode_valid(sensor_envelope(spark, sf_dir), SENSOR_PAYLOAD)
-    return _sensor_out(dec)
+    return _sensor_out(decode_valid(_published(spark, "sensor_data", sensor_envelope(spark, sf_dir)), SENSOR_PAYLOAD))
 
 
 def _sensor_out(dec):
@@ -213,8 +228,19 @@ FROM wsd GROUP BY 1, 2, 3""")
 def q_sensor_stats_sql(spark, sf_dir):
     """The views through their SQL text: the warehouse rows registered as temp
     views, the two views created over them with CREATE OR REPLACE TEMP VIEW."""
-    from tidewater.sources import lake as L
+    _create_views(spark, sf_dir)
+    return spark.table("sensor_stats").withColumn("avg_value", F.round("avg_value", R))
+
+
+@query("hourly_user_activity_sql", with_(WUA) + """
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count
+FROM wua GROUP BY 1, 2""")
+def q_hourly_user_activity_sql(spark, sf_dir):
+    _create_views(spark, sf_dir)
+    return spark.table("hourly_user_activity")
+
+
+def _create_views(spark, sf_dir):
     warehouse_user_activity(spark, sf_dir).createOrReplaceTempView("warehouse_user_activity")
     warehouse_sensor_data(spark, sf_dir).createOrReplaceTempView("warehouse_sensor_data")
     L.create_views(spark, temp=True, user_source="warehouse_user_activity", sensor_source="warehouse_sensor_data")
-    return spark.table("sensor_stats").withColumn("avg_value", F.round("avg_value", R))

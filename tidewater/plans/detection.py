@@ -28,9 +28,8 @@ SELECT event_id, sensor_id, event_time, reading, prev_count, round(prev_mean, {R
        round(prev_std, {R}) AS prev_std, round(z_score, {R}) AS z_score FROM z"""
 
 
-def _zscores(spark, sf_dir):
-    sd = B.sensor_data(spark, sf_dir).select("event_id", "sensor_id", "event_time", "reading")
-    return D.sensor_zscores(sd, N_PREV)
+def _readings(spark, sf_dir):
+    return B.sensor_data(spark, sf_dir).select("event_id", "sensor_id", "event_time", "reading")
 
 
 def _round_z(df):
@@ -40,12 +39,12 @@ def _round_z(df):
 
 @query("sensor_zscores", ZSCORE_SQL)
 def q_sensor_zscores(spark, sf_dir):
-    return _round_z(_zscores(spark, sf_dir))
+    return _round_z(D.sensor_zscores(_readings(spark, sf_dir), N_PREV))
 
 
 @query("sensor_anomalies", ZSCORE_SQL + f" WHERE abs(z_score) >= {Z_THRESHOLD}")
 def q_sensor_anomalies(spark, sf_dir):
-    return _round_z(_zscores(spark, sf_dir).where(F.abs(F.col("z_score")) >= Z_THRESHOLD))
+    return _round_z(D.sensor_anomalies(_readings(spark, sf_dir), Z_THRESHOLD, N_PREV))
 
 
 @query("view_then_purchase", with_(UA) + """
@@ -91,23 +90,3 @@ SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_cou
 FROM wua GROUP BY 1, 2 HAVING COUNT(*) > {ALERT_THRESHOLD}""")
 def q_hourly_alerts(spark, sf_dir):
     return D.hourly_alerts(V.hourly_user_activity(warehouse_user_activity(spark, sf_dir)), ALERT_THRESHOLD)
-
-
-# ---- synthetic payloads (rows-only check: the draws are hash based) --------------------
-
-@query("synth_user_activity")
-def q_synth_user_activity(spark, sf_dir):
-    from tidewater.sources.synth import synth_user_activity
-    from tidewater.session import ensure_parallelism
-    return synth_user_activity(ensure_parallelism(B.read_table(spark, sf_dir, "events"))) \
-        .withColumn("product_ids", F.array_join("product_ids", ","))
-
-
-@query("synth_sensor_data")
-def q_synth_sensor_data(spark, sf_dir):
-    from tidewater.sources.synth import synth_sensor_data
-    from tidewater.session import ensure_parallelism
-    return synth_sensor_data(ensure_parallelism(B.read_table(spark, sf_dir, "events"))).select(
-        "sensor_id", "sensor_type", "timestamp", F.col("location.lat").alias("latitude"),
-        F.col("location.lon").alias("longitude"), F.col("location.facility").alias("facility"),
-        "battery_level", "reading", "unit", "event_id")

@@ -28,31 +28,40 @@ def q_partition_pruned_range(spark, sf_dir):
     return L.read_range(spark.read.parquet(_warehouse_table(spark, sf_dir)), RANGE_LO, RANGE_HI)
 
 
-_WAREHOUSE: dict[tuple, str] = {}
-
-
 def _warehouse_table(spark, sf_dir):
-    """The day-partitioned warehouse user-activity table, written once per
-    (shared root, tables) and then read by every range query."""
-    from tidewater.session import shared_root
-    key = (shared_root(spark), os.path.abspath(sf_dir))
-    if key not in _WAREHOUSE:
-        path = os.path.join(run_dir(spark, "warehouse"), "user_activity")
-        L.write_partitioned(conform_user_activity(B.user_activity(spark, sf_dir)), path)
-        _WAREHOUSE[key] = path
-    return _WAREHOUSE[key]
+    """The day-partitioned warehouse user-activity table, written for this run."""
+    path = os.path.join(run_dir(spark, "warehouse"), "user_activity")
+    L.write_partitioned(conform_user_activity(B.user_activity(spark, sf_dir)), path)
+    return path
 
 
-AS_OF = "2024-01-12 12:00:00"
+FIRST_HALF_SQL = "event_id < (SELECT MIN(event_id) + (MAX(event_id) - MIN(event_id) + 1) // 2 FROM events)"
 
 
 @query("as_of_read", with_(UA) + f"""
-SELECT event_id, user_id, event_type, event_time, processing_time FROM ua
-WHERE processing_time <= TIMESTAMP '{AS_OF}'""")
+SELECT user_id, event_type, event_time, order_id FROM ua WHERE {FIRST_HALF_SQL}""")
 def q_as_of_read(spark, sf_dir):
-    ua = B.user_activity(spark, sf_dir).select("event_id", "user_id", "event_type", "event_time",
-                                               "processing_time")
-    return L.as_of(ua, AS_OF)
+    """Two waves go through ingest; the read as of the moment between them, over a table
+    partitioned by the day of landing, gives the first."""
+    from tidewater.plans.batch import user_envelope
+    from tidewater.sources.broker import publish, read_events
+    from tidewater.streaming import ingest as I
+    run = run_dir(spark, "as_of")
+    topic, table = os.path.join(run, "topic"), os.path.join(run, "table")
+    env, split = user_envelope(spark, sf_dir), _middle(spark, sf_dir)
+    moments = []
+    for wave in (F.col("offset") < split, F.col("offset") >= split):
+        publish(env.where(wave), topic)
+        I.run_to_end(I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", table,
+                                    os.path.join(run, "ckpt"), trigger=I.TEST_TRIGGER, ingest_date=True))
+        moments.append(spark.sql("SELECT CAST(CAST(current_timestamp() AS TIMESTAMP_NTZ) AS STRING)").first()[0])
+    rows = spark.read.parquet(table)
+    return L.as_of(rows, moments[0]).select("user_id", "event_type", "event_time", "order_id")
+
+
+def _middle(spark, sf_dir):
+    r = B.read_table(spark, sf_dir, "events").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    return r["lo"] + (r["hi"] - r["lo"] + 1) // 2 if r["lo"] is not None else 0
 
 
 EVOLVE_SPLIT_SQL = "(SELECT MIN(event_id) + (MAX(event_id) - MIN(event_id) + 1) // 2 FROM events)"
@@ -64,19 +73,16 @@ SELECT event_id, user_id, event_type, event_time, page_url,
        CASE WHEN event_id >= {EVOLVE_SPLIT_SQL} THEN currency END AS currency
 FROM ua""")
 def q_schema_evolution(spark, sf_dir):
-    """Older files lack the columns added later; a merged-schema read returns NULL
-    for them on old rows and the values on new rows."""
-    ua = B.user_activity(spark, sf_dir)
-    r = ua.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    split = r["lo"] + (r["hi"] - r["lo"] + 1) // 2
+    """Older files lack the columns added later; a read by the declared current schema
+    returns NULL for them on old rows and the values on new rows."""
+    ua, split = B.user_activity(spark, sf_dir), _middle(spark, sf_dir)
     path = os.path.join(run_dir(spark, "evolve"), "user_activity")
     v1 = ua.where(F.col("event_id") < split).select("event_id", "user_id", "event_type", "event_time", "page_url")
     v2 = ua.where(F.col("event_id") >= split).select("event_id", "user_id", "event_type", "event_time",
                                                       "page_url", "total_amount", "currency")
     v1.write.parquet(path)
     v2.write.mode("append").parquet(path)
-    return L.read_evolving(spark, path).select("event_id", "user_id", "event_type", "event_time", "page_url",
-                                               "total_amount", "currency")
+    return L.read_evolving(spark, path, v2.schema)
 
 
 @query("latest_by_key", with_(SD) + """

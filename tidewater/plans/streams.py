@@ -13,7 +13,9 @@ from tidewater.operators.conform import conform_user_activity
 from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelope
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
+from tidewater.schemas import SENSOR_SINK, USER_ACTIVITY_SINK
 from tidewater.session import run_dir
+from tidewater.sources import lake as L
 from tidewater.sources.broker import publish, read_events
 from tidewater.streaming import ingest as I
 from tidewater.streaming import windows as W
@@ -21,18 +23,8 @@ from tidewater.streaming import windows as W
 NOW = I.TEST_TRIGGER
 
 
-def _parallelism(spark) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
-UA_SINK_COLS = ["user_id", "event_type", "event_time", "session_id", "ip_address", "user_agent", "page_url",
-                "referrer", "time_spent", "element_id", "search_query", "results_count", "order_id",
-                "product_ids", "total_amount", "currency", "event_date"]
-SD_SINK_COLS = ["sensor_id", "sensor_type", "event_time", "latitude", "longitude", "facility",
-                "battery_level", "reading", "unit", "event_date"]
+UA_SINK_COLS = [f.name for f in USER_ACTIVITY_SINK.fields if f.name != "processing_time"] + ["event_date"]
+SD_SINK_COLS = [f.name for f in SENSOR_SINK.fields if f.name != "processing_time"] + ["event_date"]
 
 
 def _ua_table_out(df):
@@ -47,21 +39,11 @@ UA_TABLE_ORACLE = """SELECT user_id, event_type, event_time, session_id, ip_addr
 FROM ua"""
 
 
-_TOPICS: dict[tuple, str] = {}
-
-
 def _topic(spark, sf_dir, family, run, corrupt_every=None):
-    """The topic folder of one family, published once per (shared root, tables,
-    fixture) and then consumed by every streaming query, each with its own
-    checkpoint -- as independent jobs consume one broker topic."""
-    from tidewater.session import shared_root
-    key = (shared_root(spark), os.path.abspath(sf_dir), family, corrupt_every)
-    if key not in _TOPICS:
-        path = os.path.join(run_dir(spark, "topic"), family)
-        env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every)
-        publish(env, path, num_files=_parallelism(spark))
-        _TOPICS[key] = path
-    return _TOPICS[key]
+    """The topic folder of one family, published for this run."""
+    path = os.path.join(run, "topic", family)
+    publish((user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every), path)
+    return path
 
 
 def _ingest_once(spark, family, topic_path, table, ckpt):
@@ -79,9 +61,11 @@ def q_ingest_user_activity(spark, sf_dir):
     return _ua_table_out(spark.read.parquet(table))
 
 
-@query("ingest_sensor_data", with_(SD) + """
-SELECT sensor_id, sensor_type, event_time, latitude, longitude, facility, battery_level, reading, unit,
-       CAST(event_time AS DATE) AS event_date FROM sd""")
+SD_TABLE_ORACLE = """SELECT sensor_id, sensor_type, event_time, latitude, longitude, facility, battery_level, reading, unit,
+       CAST(event_time AS DATE) AS event_date FROM sd"""
+
+
+@query("ingest_sensor_data", with_(SD) + SD_TABLE_ORACLE)
 def q_ingest_sensor_data(spark, sf_dir):
     run = run_dir(spark, "ingest_sd")
     topic = _topic(spark, sf_dir, "sensor_data", run)
@@ -90,18 +74,54 @@ def q_ingest_sensor_data(spark, sf_dir):
     return spark.read.parquet(table).select(*SD_SINK_COLS)
 
 
+def _ingest_by_sql(spark, sf_dir, family):
+    run = run_dir(spark, "ingest_sql")
+    table = os.path.join(run, "tables", family)
+    rows = I.ingest_sql(spark, read_events(spark, family, _topic(spark, sf_dir, family, run)), family,
+                        f"{family}_decoded_" + os.path.basename(run).replace("-", "_"))
+    I.run_to_end(rows.writeStream.format("parquet").outputMode("append").partitionBy(*I.PARTITIONS[family])
+                 .option("path", table).option("checkpointLocation", os.path.join(run, "ckpt")).trigger(**NOW).start())
+    return spark.read.parquet(table)
+
+
 @query("ingest_sql_user_activity", with_(UA) + UA_TABLE_ORACLE)
 def q_ingest_sql_user_activity(spark, sf_dir):
-    run = run_dir(spark, "ingest_sql")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    return _ua_table_out(_ingest_by_sql(spark, sf_dir, "user_activity"))
+
+
+@query("ingest_sql_sensor_data", with_(SD) + SD_TABLE_ORACLE)
+def q_ingest_sql_sensor_data(spark, sf_dir):
+    return _ingest_by_sql(spark, sf_dir, "sensor_data").select(*SD_SINK_COLS)
+
+
+@query("processor_rows", with_(UA) + UA_TABLE_ORACLE + f" WHERE event_id % {CORRUPT_EVERY} <> 0")
+def q_processor_rows(spark, sf_dir):
+    """The production processor over a topic with broken messages: its table."""
+    run = run_dir(spark, "processor")
+    topic = _topic(spark, sf_dir, "user_activity", run, CORRUPT_EVERY)
     table = os.path.join(run, "tables", "user_activity")
-    rows = I.ingest_sql(spark, read_events(spark, "user_activity", topic), "user_activity",
-                        "user_activity_decoded_" + os.path.basename(run).replace("-", "_"))
-    q = (rows.writeStream.format("parquet").outputMode("append").partitionBy("event_date")
-         .option("path", table).option("checkpointLocation", os.path.join(run, "ckpt"))
-         .trigger(**NOW).start())
-    I.run_to_end(q)
-    return _ua_table_out(spark.read.parquet(table))
+    I.run_to_end(I.start_processor(read_events(spark, "user_activity", topic), "user_activity", table,
+                                   table + "_dead_letters", os.path.join(run, "ckpt"), NOW))
+    return _ua_table_out(I.read_batches(spark, table))
+
+
+@query("warehouse_job_hourly", with_(WUA) + """
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
+def q_warehouse_job_hourly(spark, sf_dir):
+    """The view over the jobs' tables: processor, warehouse job, compaction of the closed
+    days, hourly view over the whole."""
+    from tidewater import jobs
+    run = run_dir(spark, "warehouse_job")
+    table, warehouse = os.path.join(run, "tables", "user_activity"), os.path.join(run, "warehouse", "user_activity")
+    I.run_to_end(I.start_processor(read_events(spark, "user_activity", _topic(spark, sf_dir, "user_activity", run)),
+                                   "user_activity", table, table + "_dead_letters", os.path.join(run, "ckpt"), NOW))
+    I.run_to_end(jobs.start_warehouse(spark, "user_activity", table, warehouse, os.path.join(run, "ckpt_wh"), NOW))
+    log = I.read_batches(spark, warehouse)
+    L.compact(spark, log, warehouse + "_compacted", CLOSED_BEFORE)
+    return V.hourly_user_activity(L.with_compacted(log, spark.read.parquet(warehouse + "_compacted"), CLOSED_BEFORE))
+
+
+CLOSED_BEFORE = "2024-01-15"
 
 
 @query("restart_no_duplicates", with_(UA) + UA_TABLE_ORACLE)
@@ -134,7 +154,6 @@ def q_sink_csv_roundtrip(spark, sf_dir):
     q = I.start_csv_sink(read_events(spark, "user_activity", topic), "user_activity", out,
                          os.path.join(run, "ckpt"), trigger=NOW)
     I.run_to_end(q)
-    from tidewater.schemas import USER_ACTIVITY_SINK
     schema = ", ".join(f"{f.name} {'string' if f.name == 'product_ids' else f.dataType.simpleString()}"
                        for f in USER_ACTIVITY_SINK.fields) + ", event_date date"
     back = (spark.read.schema(schema).option("header", "true")
@@ -213,8 +232,7 @@ def _three_waves(spark, sf_dir, run, family):
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
     path = os.path.join(run, "topics", family)
     waves = [(F.col("offset") >= t50) & (F.col("offset") < t90), F.col("offset") >= t90, F.col("offset") < t50]
-    n = _parallelism(spark)
-    return path, [(lambda c=c: publish(env.where(c), path, num_files=n)) for c in waves]
+    return path, [(lambda c=c: publish(env.where(c), path)) for c in waves]
 
 
 @query("tumbling_late_drop", _windows_oracle(False, WAVE_SQL))
@@ -243,48 +261,49 @@ def q_watermark_passthrough(spark, sf_dir):
     return _ua_table_out(spark.read.parquet(table))
 
 
-@query("tumbling_count_proctime")
+@query("tumbling_count_proctime", with_(SD) + """
+SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start,
+       time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end,
+       COUNT(*) AS message_count FROM sd GROUP BY 1, 2""")
 def q_tumbling_count_proctime(spark, sf_dir):
-    """Processing-time 10 s windows (no oracle: window bounds are wall-clock time;
-    the message counts sum to the number of decodable messages)."""
-    return _proctime_counts(spark, sf_dir)
+    """The counter's 10 s windows over arrival time, which the envelope gives."""
+    return _arrival_counts(spark, sf_dir)
 
 
 @query("tumbling_count_proctime_total", "SELECT COUNT(*) AS message_count FROM events")
 def q_tumbling_count_proctime_total(spark, sf_dir):
     """The counter's windows summed: every decodable message is counted once."""
-    w = _proctime_counts(spark, sf_dir)
-    return w.agg(F.sum("message_count").alias("message_count"))
+    return _arrival_counts(spark, sf_dir).agg(F.sum("message_count").alias("message_count"))
 
 
-def _proctime_counts(spark, sf_dir):
-    run = run_dir(spark, "proctime")
-    topic = _topic(spark, sf_dir, "sensor_data", run)
+def _arrival_counts(spark, sf_dir):
+    run = run_dir(spark, "counter")
     out = os.path.join(run, "tables", "message_counts")
-    q = W.start_update_log(W.processing_time_window_count(read_events(spark, "sensor_data", topic)),
-                           out, os.path.join(run, "ckpt"), NOW)
-    I.run_to_end(q)
-    return W.read_update_log(spark, out, ["window_start", "window_end"])
+    I.run_to_end(W.start_partial_log(read_events(spark, "sensor_data", _topic(spark, sf_dir, "sensor_data", run)),
+                                     W.arrival_window_count, out, os.path.join(run, "ckpt"), NOW))
+    return W.read_partial_log(spark, out, ["window_start", "window_end"], ["message_count"])
 
 
 @query("stream_from_table", with_(WUA) + """
 SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
 def q_stream_from_table(spark, sf_dir):
-    """The lake table the processor writes, consumed again as a stream: a
-    streaming hourly rollup over it (event-time windows with a watermark, so
-    finished hours leave the state; update mode into a per-batch log) equals
-    the batch view."""
+    """The lake table the processor writes, consumed again as a stream: each micro-batch
+    adds its own hourly counts to a log, and the log added up equals the batch view,
+    whatever the order of the files and the batches."""
     run = run_dir(spark, "table_stream")
     topic = _topic(spark, sf_dir, "user_activity", run)
     table = os.path.join(run, "tables", "user_activity")
     _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt_ingest"))
-    from tidewater.functions.timefn import to_event_time
-    from tidewater.streaming.alerts import streaming_hourly_counts
-    rows = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
-    hourly = streaming_hourly_counts(rows.withColumn("_et", to_event_time("event_time")), "_et", watermark="1 hour")
+    return hourly_from_table(spark, table, run)
+
+
+def hourly_from_table(spark, table, run, max_files_per_trigger=None):
+    rows = spark.readStream.schema(spark.read.parquet(table).schema)
+    if max_files_per_trigger:
+        rows = rows.option("maxFilesPerTrigger", max_files_per_trigger)
     out = os.path.join(run, "tables", "hourly")
-    I.run_to_end(W.start_update_log(hourly, out, os.path.join(run, "ckpt_rollup"), NOW))
-    return W.read_update_log(spark, out, ["hour", "event_type"])
+    I.run_to_end(W.start_partial_log(rows.parquet(table), V.hourly_user_activity, out, os.path.join(run, "ckpt_rollup"), NOW))
+    return W.read_partial_log(spark, out, ["hour", "event_type"], ["event_count"])
 
 
 @query("enrich_stream", with_(UA) + """

@@ -67,7 +67,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = 8,
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only if none is configured."""
+    """The shared checkpoint folder.  A private one is made only for a local master (tests);
+    elsewhere a missing setting is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, read the setting
@@ -85,7 +86,9 @@ def shared_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return jsc.sc().getCheckpointDir().get()
-    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")  # unset: local runs and tests only
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(local)
     return jsc.sc().getCheckpointDir().get()
 
@@ -93,17 +96,3 @@ def shared_root(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared root for one run of one job."""
     return os.path.join(shared_root(spark), "runs", f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a CPU-heavy stage over the cluster when its input has fewer splits
-    than cores (e.g. one small file).  Inputs that are already split finely are
-    left alone, so at scale this adds no shuffle.  Round-robin, not by key: a
-    hot key cannot make one task hot."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; leave the plan alone
-        return df
-    return df.repartition(target)

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.schemas import SENSOR_DATA_TOPIC, USER_ACTIVITY_TOPIC
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -101,6 +99,3 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def family_payload(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return user_activity_payload(ev) if family == "user_activity" else sensor_payload(ev)
-
-
-TOPIC_OF = {"user_activity": USER_ACTIVITY_TOPIC, "sensor_data": SENSOR_DATA_TOPIC}

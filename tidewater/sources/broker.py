@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.config import kafka_sink_options, kafka_source_options
-from tidewater.functions.codec import encode_keyed_json
+from tidewater.functions.codec import encode_keyed_json, partition_by_key
 from tidewater.schemas import ENVELOPE, FAMILIES
 
 
-def envelope(payload: DataFrame, family: str, num_partitions: int = 1,
+PARTITIONS = 8
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def envelope(payload: DataFrame, family: str, num_partitions: int = PARTITIONS,
              offset_col: str = "event_id") -> DataFrame:
     """Payload rows -> envelope rows.  ``partition`` is a hash of the key, so
     equal keys share a partition; ``offset`` is the row's position in the log;
@@ -40,34 +44,29 @@ def truncate_every(env: DataFrame, n: int, keep_chars: int = 10) -> DataFrame:
 
 
 def publish(env: DataFrame, path: str, mode: str = "append", cfg: dict | None = None,
-            family: str | None = None, num_files: int | None = None, by_key: bool = False) -> None:
+            family: str | None = None, num_files: int | None = None, by_key: bool = False,
+            max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Write envelope rows to a topic: the broker if configured (it partitions by
-    key itself), else a Parquet topic directory of ``num_files`` files.  By
-    default each file holds a contiguous offset range, as a topic folder that
-    accumulates files over time does (balanced, and a consumer task then covers
-    a short stretch of event time, so partitioned sinks get few files);
-    ``by_key`` keeps each key's messages in one file (per-key order, at the
-    price of a hot file for a hot key)."""
+    key itself), else a Parquet topic directory, written as the rows are read, in
+    files of bounded length; no shuffle.  ``by_key`` keeps each key's messages in
+    one of ``num_files`` tasks' files (per-key order, at the price of a hot file
+    for a hot key)."""
     if cfg and cfg.get("source") == "kafka":
         (env.select("key", "value").write.format("kafka")
          .options(**kafka_sink_options(cfg, family)).save())
         return
     if by_key:
-        env = env.repartition(num_files or env.sparkSession.sparkContext.defaultParallelism, "key")
-    elif num_files:
-        env = env.repartitionByRange(num_files, "offset")
-    env.write.mode(mode).parquet(path)
+        env = partition_by_key(env, num_files or env.sparkSession.sparkContext.defaultParallelism)
+    env.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
 def read_events(spark: SparkSession, family: str, path: str | None = None,
                 cfg: dict | None = None, stream: bool = True,
-                max_files_per_trigger: int | None = None, group_id: str | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, group_prefix: str | None = None) -> DataFrame:
     """The envelope of one topic, as a stream (default) or a bounded frame."""
     if cfg and cfg.get("source") == "kafka":
         reader = spark.readStream if stream else spark.read
-        opts = kafka_source_options(cfg, family, group_id or f"{family}-processor")
-        if stream and cfg.get("maxOffsetsPerTrigger"):
-            opts["maxOffsetsPerTrigger"] = str(cfg["maxOffsetsPerTrigger"])
+        opts = kafka_source_options(cfg, family, group_prefix or f"{family}-processor", stream=stream)
         raw = reader.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"),
                           "topic", "partition", "offset", "timestamp")

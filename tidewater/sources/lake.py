@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidewater.functions.timefn import event_date
+from tidewater.functions.timefn import event_date, hour_sql
 
 USER_ACTIVITY_DDL = """
 CREATE TABLE IF NOT EXISTS {db}.user_activity (
@@ -31,13 +32,13 @@ CREATE TABLE IF NOT EXISTS {db}.sensor_data (
 
 HOURLY_VIEW_DDL = """
 CREATE OR REPLACE {temp} VIEW {name} AS
-SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP_NTZ) AS hour, event_type, COUNT(*) AS event_count
+SELECT {hour} AS hour, event_type, COUNT(*) AS event_count
 FROM {source} GROUP BY 1, 2
 """
 
 SENSOR_STATS_VIEW_DDL = """
 CREATE OR REPLACE {temp} VIEW {name} AS
-SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP_NTZ) AS hour, sensor_type, facility,
+SELECT {hour} AS hour, sensor_type, facility,
        COUNT(*) AS reading_count, AVG(sensor_value) AS avg_value,
        MIN(sensor_value) AS min_value, MAX(sensor_value) AS max_value
 FROM {source} GROUP BY 1, 2, 3
@@ -71,11 +72,11 @@ def create_tables(spark: SparkSession, db: str, root: str | None = None) -> None
 
 def create_views(spark: SparkSession, db: str | None = None, temp: bool = False,
                  user_source: str | None = None, sensor_source: str | None = None) -> None:
-    pre = f"{db}." if db else ""
+    pre, hour = f"{db}." if db else "", hour_sql("event_time")
     t = "TEMP" if temp else ""
-    spark.sql(HOURLY_VIEW_DDL.format(temp=t, name=f"{'' if temp else pre}hourly_user_activity",
+    spark.sql(HOURLY_VIEW_DDL.format(temp=t, hour=hour, name=f"{'' if temp else pre}hourly_user_activity",
                                      source=user_source or f"{pre}user_activity"))
-    spark.sql(SENSOR_STATS_VIEW_DDL.format(temp=t, name=f"{'' if temp else pre}sensor_stats",
+    spark.sql(SENSOR_STATS_VIEW_DDL.format(temp=t, hour=hour, name=f"{'' if temp else pre}sensor_stats",
                                            source=sensor_source or f"{pre}sensor_data"))
 
 
@@ -103,22 +104,39 @@ def read_range(df: DataFrame, lo: str, hi: str, time_col: str = "event_time",
     return df.where(cond)
 
 
-def as_of(df: DataFrame, t: str, stamp_col: str = "processing_time") -> DataFrame:
-    """Historical read of an append-only table: the rows that had landed by ``t``."""
-    return df.where(F.col(stamp_col) <= F.lit(t).cast("timestamp_ntz"))
+def as_of(df: DataFrame, t: str, stamp_col: str = "processing_time", date_col: str = "ingest_date") -> DataFrame:
+    """Historical read of an append-only table: the rows that had landed by ``t``.  On a
+    table partitioned by the day of landing, later days are not read."""
+    at = F.lit(t).cast("timestamp_ntz")
+    cond = F.col(stamp_col) <= at
+    if date_col in df.columns:
+        cond &= F.col(date_col) <= F.to_date(at)
+    return df.where(cond)
+
 
+def read_evolving(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read files written under successive schema versions by the declared current schema:
+    columns that a file lacks are NULL.  No file's footer is opened to find the schema."""
+    return spark.read.schema(schema).parquet(path)
 
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """Read files written under successive schema versions (added columns are NULL
-    for rows written before them)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
 
+def compact(spark: SparkSession, log: DataFrame, path: str, before: str, partitions: tuple[str, ...] = ("event_date",),
+            files_per_partition: int = 1) -> None:
+    """Rewrite the closed days (event_date < ``before``) of a table into ``path``, with at
+    most ``files_per_partition`` files for each of their partitions.  Days are overwritten
+    one by one, so a repeated run changes nothing.  Rows are spread over a partition's
+    files by their content, so a hot day is not one task's work."""
+    closed = log.where(F.col("event_date") < F.to_date(F.lit(before)))
+    salt = F.pmod(F.xxhash64(*closed.columns), F.lit(files_per_partition))
+    (closed.repartition(*[F.col(c) for c in partitions], salt).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
-def union_evolving(*frames: DataFrame) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+
+def with_compacted(log: DataFrame, compacted: DataFrame, before: str) -> DataFrame:
+    """The whole table: closed days from the compacted copy, the rest from the log."""
+    day = F.to_date(F.lit(before))
+    rest = log.where((F.col("event_date") >= day) | F.col("event_date").isNull())
+    return compacted.where(F.col("event_date") < day).unionByName(rest.select(*compacted.columns))
 
 
 def register_memory_table(df: DataFrame, name: str) -> DataFrame:
@@ -132,10 +150,3 @@ def drop_memory_table(spark: SparkSession, name: str) -> None:
     if spark.catalog.tableExists(name):
         spark.table(name).unpersist()
         spark.catalog.dropTempView(name)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    from tidewater.session import shared_root
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)

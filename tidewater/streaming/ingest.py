@@ -3,8 +3,10 @@ append to a date-partitioned Parquet table.
 
 Exactly-once: the Parquet file sink commits each micro-batch through its own
 metadata log, and the source offsets through the checkpoint, so a restarted or
-re-run query adds no duplicate rows.  Stateless: the watermark is declared (the
-table is an event-time table) but drops nothing here; late rows are kept.
+re-run query adds no duplicate rows.  The processor, which writes rows and dead
+letters from one parse, overwrites a folder per micro-batch instead.  Stateless:
+the watermark is declared (the table is an event-time table) but drops nothing
+here; late rows are kept.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.functions.codec import dead_letters, decode_valid
+from tidewater.functions.codec import dead_letters, decode, decode_valid, split_dead_letters, valid_rows
 from tidewater.functions.timefn import event_date, to_rest
 from tidewater.operators.conform import sensor_sink_row, user_activity_sink_row
 from tidewater.schemas import FAMILIES, SENSOR_DATA_PARTITIONS, USER_ACTIVITY_PARTITIONS
@@ -53,15 +55,19 @@ def cluster_for_sink(rows: DataFrame, partition_cols, files_per_partition: int)
 
 def start_ingest(env: DataFrame, family: str, table_path: str, checkpoint: str,
                  trigger: dict | None = None, watermark: str | None = WATERMARK_DELAY,
-                 query_name: str | None = None, files_per_partition: int | None = None) -> StreamingQuery:
-    """Processor: topic -> sink rows -> partitioned Parquet.  Map-only by default;
+                 query_name: str | None = None, files_per_partition: int | None = None,
+                 ingest_date: bool = False) -> StreamingQuery:
+    """Continuous insert: topic -> sink rows -> partitioned Parquet.  Map-only by default;
     ``files_per_partition`` adds one shuffle per micro-batch to bound the files
-    written per partition (for backfills spanning many days)."""
-    rows = ingest_frame(env, family, watermark)
+    written per partition (for backfills spanning many days).  ``ingest_date`` also
+    partitions by the day of landing, for pruned as-of reads."""
+    rows, partitions = ingest_frame(env, family, watermark), PARTITIONS[family]
+    if ingest_date:
+        rows, partitions = rows.withColumn("ingest_date", event_date("processing_time")), ("ingest_date", *partitions)
     if files_per_partition:
-        rows = cluster_for_sink(rows, PARTITIONS[family], files_per_partition)
+        rows = cluster_for_sink(rows, partitions, files_per_partition)
     w = (rows.writeStream.format("parquet").outputMode("append")
-         .partitionBy(*PARTITIONS[family])
+         .partitionBy(*partitions)
          .option("path", table_path).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or PRODUCTION_TRIGGER)))
     if query_name:
@@ -69,22 +75,53 @@ def start_ingest(env: DataFrame, family: str, table_path: str, checkpoint: str,
     return w.start()
 
 
+def start_processor(env: DataFrame, family: str, table_path: str, dead_letter_path: str, checkpoint: str,
+                    trigger: dict | None = None, query_name: str | None = None,
+                    files_per_partition: int | None = None) -> StreamingQuery:
+    """Processor: each message is read and parsed once; valid rows go to
+    ``<table>/batch_id=<n>``, dead letters to ``<dead letters>/batch_id=<n>``, both
+    overwritten, so a batch replayed after a failure between the two changes nothing."""
+    schema, partitions = FAMILIES[family]["payload"], PARTITIONS[family]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = decode(batch, schema).persist()
+        try:
+            rows = sink_rows(valid_rows(parsed, schema), family)
+            if files_per_partition:
+                rows = cluster_for_sink(rows, partitions, files_per_partition)
+            rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{table_path}/batch_id={batch_id}")
+            (split_dead_letters(parsed).withColumn("failed_at", to_rest(F.current_timestamp()))
+             .write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}"))
+        finally:
+            parsed.unpersist()
+
+    w = (env.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or PRODUCTION_TRIGGER)))
+    return (w.queryName(query_name) if query_name else w).start()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table of one folder per micro-batch."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
 # SQL entry point: the same transform as text over a temp view of decoded rows.
-USER_ACTIVITY_INGEST_SQL = """
-SELECT user_id, event_type, CAST(timestamp AS TIMESTAMP_NTZ) AS event_time, session_id, ip_address,
-       user_agent, page_url, referrer, time_spent, element_id, search_query, results_count,
-       order_id, product_ids, total_amount, currency,
-       CAST(CURRENT_TIMESTAMP AS TIMESTAMP_NTZ) AS processing_time,
-       to_date(CAST(timestamp AS TIMESTAMP_NTZ)) AS event_date
-FROM {view}
-"""
+SINK_SOURCES = {"event_time": "CAST(timestamp AS TIMESTAMP_NTZ)",
+                "processing_time": "CAST(CURRENT_TIMESTAMP AS TIMESTAMP_NTZ)",
+                "latitude": "location.lat", "longitude": "location.lon", "facility": "location.facility"}
+
+
+def ingest_text(family: str, view: str) -> str:
+    """The sink row of ``family`` as SQL over decoded rows, from the declared schemas."""
+    columns = [f"{SINK_SOURCES[f.name]} AS {f.name}" if f.name in SINK_SOURCES else f.name
+               for f in FAMILIES[family]["sink"].fields]
+    return f"SELECT {', '.join(columns)}, to_date({SINK_SOURCES['event_time']}) AS event_date FROM {view}"
 
 
 def ingest_sql(spark: SparkSession, env: DataFrame, family: str, view: str) -> DataFrame:
     """Register the decoded stream as a temp view and express the reshape in SQL."""
-    assert family == "user_activity", "SQL text is declared for the user-activity family"
     decoded_events(env, family).createOrReplaceTempView(view)
-    return spark.sql(USER_ACTIVITY_INGEST_SQL.format(view=view))
+    return spark.sql(ingest_text(family, view))
 
 
 def start_dead_letters(env: DataFrame, family: str, path: str, checkpoint: str,

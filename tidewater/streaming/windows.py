@@ -1,9 +1,11 @@
-"""Tumbling windows over event time (watermarked, append mode) and over
-processing time (watermarked state, update mode).  Windows are epoch-aligned and [start, end)."""
+"""Tumbling windows over event time (watermarked, append mode) and over arrival
+time (partial counts per micro-batch).  Windows are epoch-aligned and [start, end)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +16,9 @@ from tidewater.functions.timefn import to_rest
 WINDOW = "10 seconds"
 
 
-def decodable_messages(env: DataFrame) -> DataFrame:
+def decodable_messages(env: DataFrame, *columns: str) -> DataFrame:
     """The counter's input: messages that decode to a JSON object; no field is read."""
-    return env.where(is_record(F.col("value"), COUNTER_PAYLOAD)).select("offset")
+    return env.where(is_record(F.col("value"), COUNTER_PAYLOAD)).select(*(columns or ["offset"]))
 
 
 def event_time_window_stats(events: DataFrame, time_col: str = "timestamp", duration: str = WINDOW,
@@ -34,17 +36,13 @@ def event_time_window_stats(events: DataFrame, time_col: str = "timestamp", dura
                     *[c for c in g.columns if c != "w"])
 
 
-def processing_time_window_count(env: DataFrame, duration: str = WINDOW,
-                                 state_ttl: str | None = WINDOW) -> DataFrame:
-    """Processing-time tumbling count: the window of each row is the micro-batch
-    time.  ``state_ttl`` is a watermark on processing time, so windows that can
-    no longer change leave the state store (a long-running counter keeps a
-    bounded state)."""
-    stamped = decodable_messages(env).withColumn("proc_time", F.current_timestamp())
-    if state_ttl:
-        stamped = stamped.withWatermark("proc_time", state_ttl)
-    g = stamped.groupBy(F.window("proc_time", duration).alias("w")).agg(
-        F.count(F.lit(1)).alias("message_count"))
+def arrival_window_count(env: DataFrame, duration: str = WINDOW, watermark: str | None = WINDOW) -> DataFrame:
+    """Tumbling count over the broker's arrival time, whatever the micro-batches' times.
+    On a stream the watermark lets windows that can no longer change leave the state."""
+    counted = decodable_messages(env, "timestamp")
+    if watermark and env.isStreaming:
+        counted = counted.withWatermark("timestamp", watermark)
+    g = counted.groupBy(F.window("timestamp", duration).alias("w")).agg(F.count(F.lit(1)).alias("message_count"))
     return g.select(to_rest("w.start").alias("window_start"), to_rest("w.end").alias("window_end"),
                     "message_count")
 
@@ -54,17 +52,36 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> St
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def start_update_log(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Update mode: each micro-batch writes only the rows it changed, with its
-    batch id, to ``<path>/batch_id=<n>`` (overwrite, so a replayed batch is
-    harmless).  Output per batch stays proportional to that batch."""
+def start_partial_log(stream: DataFrame, aggregate: Callable[[DataFrame], DataFrame], path: str,
+                      checkpoint: str, trigger: dict, query_name: str | None = None) -> StreamingQuery:
+    """Each micro-batch's own partial aggregate goes to ``<path>/batch_id=<n>`` (overwrite,
+    so a replayed batch is harmless).  There is no state and no watermark: rows may come
+    in any order and in any batches, and none is lost.  Output stays in proportion to a
+    batch's groups."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return (df.writeStream.outputMode("update").foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+        aggregate(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return (w.queryName(query_name) if query_name else w).start()
+
+
+def folded_path(path: str) -> str:
+    return path.rstrip("/") + "_folded"
+
+
+def read_partial_log(spark: SparkSession, path: str, keys: list[str], counts: list[str],
+                     upto: int | None = None) -> DataFrame:
+    """The log's partial counts added up, with what :func:`fold_partial_log` has folded up
+    to batch ``upto``."""
+    partial = spark.read.parquet(path)
+    if upto is not None:
+        folded = spark.read.parquet(f"{folded_path(path)}/upto={upto}")
+        partial = partial.where(F.col("batch_id") > upto).drop("batch_id").unionByName(folded)
+    return partial.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
 
 
-def read_update_log(spark, path: str, keys: list[str]) -> DataFrame:
-    """Current result of an update log: the latest batch's row for every key."""
-    from tidewater.operators.keys import latest_by_key
-    return latest_by_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
+def fold_partial_log(spark: SparkSession, path: str, keys: list[str], counts: list[str], upto: int) -> None:
+    """Add up the batches to ``upto`` into one small table beside the log; their folders may
+    then be removed.  Repeating it changes nothing."""
+    partial = spark.read.parquet(path).where(F.col("batch_id") <= upto)
+    (partial.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+     .write.mode("overwrite").parquet(f"{folded_path(path)}/upto={upto}"))
