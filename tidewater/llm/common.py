@@ -35,3 +35,13 @@ def keep_where(docs: DataFrame, verdict: Column) -> DataFrame:
     """The rows whose ``verdict`` (often a UDF) is true, with the columns of ``docs`` only."""
     flag = free_name(docs.columns, "_keep")
     return docs.withColumn(flag, verdict).where(F.col(flag)).drop(flag)
+
+
+def hash_share(key: Column, group: Column, wanted: dict, counts: dict) -> Column:
+    """Whether a row's hash is low enough to be among the ``wanted[g]`` least of its group of
+    ``counts[g]`` rows: keeps about three times as many, so that ranking them is little
+    work, and nearly surely all of those."""
+    share = F.lit(None).cast("double")
+    for g, n in counts.items():
+        share = F.when(group == g, min(1.0, (3 * wanted[g] + 50) / max(n, 1))).otherwise(share)
+    return F.shiftrightunsigned(key, 11) / float(1 << 53) < share

@@ -29,8 +29,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewater.llm.common import checkpointed, hash_share
+
 ORDER, DISCOUNT = 6, 0.75
-SAMPLE, SAMPLE_CHARS = 4_000, 20_000
+SAMPLE, SAMPLE_CHARS = 2_500, 20_000
 STRETCHES = (1, 3, 10, 40)  # words
 WORDS_KEPT, WORD_CHARS = 400_000, 64
 _words = re.compile(r"[^\W\d_]+").findall
@@ -80,21 +82,27 @@ def shared_backoff(rows: np.ndarray) -> np.ndarray:
     return p
 
 
+def gram_counts(words) -> tuple[list[str], np.ndarray]:
+    """The distinct n-grams of words and how often each occurs."""
+    found, times = np.unique(np.array(words, dtype=object), return_counts=True)
+    rows, word = windows(found.tolist())
+    _, first, index = np.unique(keys(rows), return_index=True, return_inverse=True)
+    grams = rows[first].tobytes().decode("utf-32-le", "surrogatepass")
+    return [grams[i:i + ORDER] for i in range(0, len(grams), ORDER)], grouped(times[word], index, len(first)).astype(np.int64)
+
+
 class ToxicityModel:
     """Log-likelihood ratios of n-grams and, for n-grams not seen, of their contexts."""
 
-    def __init__(self, counts: pd.DataFrame):
-        """``counts``: word, toxic (0 or 1), n."""
-        words = counts["word"].tolist()
-        rows, word = windows(words)
-        found, first, index = np.unique(keys(rows), return_index=True, return_inverse=True)
-        rows = rows[first]
+    def __init__(self, grams: list[str], ordinary: np.ndarray, toxic: np.ndarray):
+        """Distinct n-grams and their counts in either class."""
+        rows = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, ORDER)
+        found, order = np.unique(keys(rows), return_index=True)
+        rows, n_of = rows[order], (ordinary[order], toxic[order])
         backoff = shared_backoff(rows)
         contexts, context = np.unique(keys(rows[:, :-1]), return_inverse=True)
         ratio, held_back = np.zeros(len(found)), np.zeros(len(contexts))
-        weight, label = counts["n"].to_numpy()[word], counts["toxic"].to_numpy()[word]
-        for y, sign in ((1, 1), (0, -1)):
-            n = grouped(weight * (label == y), index, len(found))
+        for n, sign in zip(n_of, (-1, 1)):
             total, kinds = grouped(n, context, len(contexts)), grouped(n > 0, context, len(contexts))
             rest = np.divide(DISCOUNT * kinds, total, out=np.ones(len(contexts)), where=total > 0)
             p = np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1)[context] + rest[context] * backoff
@@ -172,31 +180,38 @@ class WordRatios(dict):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int) -> DataFrame:
-    """(text, toxic, rank) of the bounded sample; ranks count within a class."""
+    """(text, toxic, rank) of the bounded sample; ranks count within a class.  The rows are
+    chosen by id, so no text is shuffled; the chosen ids, 3 * sample at most, are broadcast."""
+    short = docs.where(F.length("text") <= sample_chars)
     known = (labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
-             .join(docs.where(F.length("text") <= sample_chars).select("doc_id", "text"), "doc_id"))
-    by = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", "toxic"), "doc_id")
-    ids = (known.select("doc_id", "toxic").distinct().withColumn("rank", F.row_number().over(by))
-           .where((F.col("rank") <= 2 * sample) & ((F.col("toxic") == 0) | (F.col("rank") <= sample))))
-    return known.join(F.broadcast(ids), ["doc_id", "toxic"]).select("text", "toxic", "rank")
+             .join(short.select("doc_id"), "doc_id", "left_semi").distinct())
+    wanted, key = {0: 2 * sample, 1: sample}, F.xxhash64("doc_id", "toxic")
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    by = Window.partitionBy("toxic").orderBy(key, "doc_id")
+    ids = (known.where(hash_share(key, F.col("toxic"), wanted, counts)).withColumn("rank", F.row_number().over(by))
+           .where(F.col("rank") <= F.when(F.col("toxic") == 1, wanted[1]).otherwise(wanted[0])))
+    return short.join(F.broadcast(ids), "doc_id").select("text", "toxic", "rank")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel | None:
     """A model of ``labels`` (doc_id, toxic) for ``docs`` (doc_id, text); None if a class is
     missing.  What the driver gets is bounded by the sample."""
-    rows = sampled(docs, labels, sample, sample_chars)
+    rows = checkpointed(sampled(docs.select("doc_id", "text"), labels, sample, sample_chars))
     for_curve = F.col("rank") % 4 == 0
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            words = frame.assign(word=frame["text"].map(words_of)).explode("word").dropna(subset=["word"])
-            yield words.groupby(["word", "toxic"]).size().reset_index(name="n")
-
-    counts = (rows.where(~for_curve).select("text", "toxic").mapInPandas(counted, "word string, toxic int, n long")
-              .groupBy("word", "toxic").agg(F.sum("n").alias("n")).toPandas())
-    if counts["toxic"].nunique() < 2:
+            for toxic, texts in frame.groupby("toxic")["text"]:
+                words = [w for t in texts for w in words_of(t)]
+                if words:
+                    grams, n = gram_counts(words)
+                    yield pd.DataFrame({"gram": grams, "ordinary": n * (toxic == 0), "toxic": n * (toxic == 1)})
+
+    counts = (rows.where(~for_curve).select("text", "toxic").mapInPandas(counted, "gram string, ordinary long, toxic long")
+              .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toPandas())
+    if not (len(counts) and counts["ordinary"].any() and counts["toxic"].any()):
         return None
-    model = ToxicityModel(counts.sort_values(["word", "toxic"], ignore_index=True))
+    model = ToxicityModel(counts["gram"].tolist(), counts["ordinary"].to_numpy(), counts["toxic"].to_numpy())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
