@@ -66,20 +66,17 @@ def test_view_reads_only_needed_columns(spark):
 
 def test_small_dimension_is_broadcast_and_large_is_not(spark):
     ua = B.user_activity(spark, SF_SMALL)
-    customer = B.read_table(spark, SF_SMALL, "customer")
-    dim = EN.customer_dimension(customer, B.read_table(spark, SF_SMALL, "nation"), B.read_table(spark, SF_SMALL, "region"))
-    size = EN.dimension_size(customer)
-    assert size is not None and size < EN.MAX_BROADCAST_BYTES
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dims = [B.read_table(spark, SF_SMALL, t) for t in ("customer", "nation", "region")]
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        small = plan(EN.enrich_user_activity(ua, dim, dim_size=size))
-        big = plan(EN.enrich_user_activity(ua, dim, max_bytes=0, dim_size=size))
+        small = plan(EN.enrich_user_activity(ua, *dims))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = plan(EN.enrich_user_activity(ua, *dims))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    assert "SortMergeJoin" in big
+    assert small.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
 
 
 BATCH = ["hourly_user_activity", "sensor_stats", "activity_rollup", "enrich_user_activity", "sensor_zscores",

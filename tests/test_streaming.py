@@ -43,10 +43,9 @@ def test_independent_consumers_have_own_progress(spark):
 
 def test_stream_static_enrichment(spark):
     run, topic = _topic(spark, "enrich")
-    dim = EN.customer_dimension(B.read_table(spark, SF_SMALL, "customer"), B.read_table(spark, SF_SMALL, "nation"),
-                                B.read_table(spark, SF_SMALL, "region"))
+    dims = [B.read_table(spark, SF_SMALL, t) for t in ("customer", "nation", "region")]
     rows = I.ingest_frame(read_events(spark, "user_activity", topic), "user_activity")
-    out = EN.enrich_user_activity(rows.select("user_id", "event_type", "event_time"), dim)
+    out = EN.enrich_user_activity(rows.select("user_id", "event_type", "event_time"), *dims)
     q = (out.writeStream.format("parquet").option("path", run + "/e").option("checkpointLocation", run + "/c")
          .trigger(availableNow=True).start())
     I.run_to_end(q)
@@ -232,10 +231,9 @@ def test_non_numeric_ids_are_not_poison(spark):
     payload = B.user_activity_payload(B.read_table(spark, SF_SMALL, "events").limit(20)).withColumn(
         "user_id", F.when(F.col("event_id") % 3 == 0, "abc").when(F.col("event_id") % 3 == 1, None).otherwise(F.col("user_id")))
     publish(envelope(payload, "user_activity"), run + "/topic")
-    customer = B.read_table(spark, SF_SMALL, "customer")
-    dim = EN.customer_dimension(customer, B.read_table(spark, SF_SMALL, "nation"), B.read_table(spark, SF_SMALL, "region"))
+    dims = [B.read_table(spark, SF_SMALL, t) for t in ("customer", "nation", "region")]
     rows = I.ingest_frame(read_events(spark, "user_activity", run + "/topic"), "user_activity")
-    q = (EN.enrich_user_activity(rows.select("user_id"), dim).writeStream.format("parquet").option("path", run + "/e")
+    q = (EN.enrich_user_activity(rows.select("user_id"), *dims).writeStream.format("parquet").option("path", run + "/e")
          .option("checkpointLocation", run + "/c").trigger(availableNow=True).start())
     I.run_to_end(q)
     got = spark.read.parquet(run + "/e")

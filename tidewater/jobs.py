@@ -103,9 +103,8 @@ def alerts(spark: SparkSession, args) -> list[StreamingQuery]:
 
 def enrich(spark: SparkSession, args) -> list[StreamingQuery]:
     """``--source``: the folder of the customer, nation and region tables."""
-    customer, nation, region = (B.read_table(spark, args.source, t) for t in ("customer", "nation", "region"))
     rows = I.ingest_frame(_source(spark, "user_activity", args, "enrich-job"), "user_activity")
-    out = EN.enrich_user_activity(rows, EN.customer_dimension(customer, nation, region), dim_size=EN.dimension_size(customer))
+    out = EN.enrich_user_activity(rows, *[B.read_table(spark, args.source, t) for t in ("customer", "nation", "region")])
     return [out.writeStream.format("parquet").outputMode("append").partitionBy("event_date").option("path", args.table)
             .option("checkpointLocation", _checkpoint(args, "enrich")).trigger(**_trigger(args)).start()]
 

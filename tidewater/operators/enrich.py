@@ -7,57 +7,21 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timefn import hour_trunc
 
-# Largest dimension we broadcast; beyond it the join stays a shuffle join (with
-# AQE splitting skewed partitions of the fact side).
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a frame (the statistic Catalyst itself uses for
-    broadcast decisions); None when not available."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
-    except Exception:  # noqa: BLE001 - e.g. a Connect session
-        return None
-
-
-def maybe_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, size: int | None = None) -> DataFrame:
-    """Broadcast ``dim`` only when its size (estimated, or given by the caller) is
-    known and under ``max_bytes``."""
-    size = estimated_size(dim) if size is None else size
-    return F.broadcast(dim) if size is not None and size <= max_bytes else dim
-
-
-DIM_COLS = ("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-
-
-def dimension_size(customer: DataFrame) -> int | None:
-    """Size of the customer dimension: the projected customer scan.  (Catalyst
-    estimates a join as the product of its inputs, so the joined dimension's own
-    estimate is useless; the lookups on nation/region keep one row per customer
-    and add two short names.)"""
-    s = estimated_size(customer.select(*DIM_COLS))
-    return None if s is None else s * 2
-
-
-def customer_dimension(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """customer -> (c_custkey, c_name, c_mktsegment, n_name, r_name).  nation and
-    region are fixed 25/5-row tables, broadcast after the size check."""
-    nr = nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey, "left") \
-        .select("n_nationkey", "n_name", "r_name")
-    return (customer.join(maybe_broadcast(nr), customer.c_nationkey == nr.n_nationkey, "left")
-            .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name"))
-
-
-def enrich_user_activity(ua: DataFrame, dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
-                         dim_size: int | None = None) -> DataFrame:
-    """Left join of events with the customer dimension on user_id = c_custkey.
-    Broadcast when the dimension is small, else a shuffle join (AQE splits
-    skewed event partitions).  An id that is not a number finds no customer.
-    Works unchanged on a streaming ``ua``."""
-    d = maybe_broadcast(dim, max_bytes, dim_size)
-    joined = ua.join(d, ua.user_id.try_cast("long") == d.c_custkey, "left")
-    return joined.drop("c_custkey")
+def enrich_user_activity(ua: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Events with their customer's c_name, c_mktsegment, n_name and r_name (left joins on
+    user_id = c_custkey and the customer's nation and region).  An id that is not a number
+    finds no customer.  Works unchanged on a streaming ``ua``.
+
+    Nothing is forced: each dimension is joined by itself, so the optimizer knows its
+    projected scan's size and broadcasts it below its own limit; a larger one is joined by
+    shuffle, where AQE corrects the choice and splits skewed event partitions."""
+    c = customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    n = nation.select("n_nationkey", "n_name", "n_regionkey")
+    r = region.select("r_regionkey", "r_name")
+    return (ua.join(c, ua["user_id"].try_cast("long") == c["c_custkey"], "left")
+            .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+            .join(r, n["n_regionkey"] == r["r_regionkey"], "left")
+            .select(*[ua[x] for x in ua.columns], "c_name", "c_mktsegment", "n_name", "r_name"))
 
 
 def hourly_cross_source(ua: DataFrame, sd: DataFrame, value_col: str = "sensor_value") -> DataFrame:

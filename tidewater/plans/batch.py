@@ -110,9 +110,7 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def q_enrich_user_activity(spark, sf_dir):
     ua = B.user_activity(spark, sf_dir).select("event_id", "user_id", "event_type", "event_time")
-    customer = B.read_table(spark, sf_dir, "customer")
-    dim = E.customer_dimension(customer, B.read_table(spark, sf_dir, "nation"), B.read_table(spark, sf_dir, "region"))
-    return E.enrich_user_activity(ua, dim, dim_size=E.dimension_size(customer))
+    return E.enrich_user_activity(ua, *[B.read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")])
 
 
 @query("hourly_cross_source", with_(WUA, WSD) + f"""

@@ -314,16 +314,14 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def q_enrich_stream(spark, sf_dir):
     """Stream-static enrichment: decoded events joined, as they stream, with the
-    customer dimension (broadcast after its size check)."""
+    customer dimension."""
     from tidewater.operators import enrich as EN
     from tidewater.sources import bindings as B
     run = run_dir(spark, "enrich_stream")
     topic = _topic(spark, sf_dir, "user_activity", run)
-    customer = B.read_table(spark, sf_dir, "customer")
-    dim = EN.customer_dimension(customer, B.read_table(spark, sf_dir, "nation"), B.read_table(spark, sf_dir, "region"))
     rows = I.ingest_frame(read_events(spark, "user_activity", topic), "user_activity")
-    out = EN.enrich_user_activity(rows.select("user_id", "event_type", "event_time"), dim,
-                                  dim_size=EN.dimension_size(customer))
+    out = EN.enrich_user_activity(rows.select("user_id", "event_type", "event_time"),
+                                  *[B.read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")])
     path = os.path.join(run, "tables", "enriched")
     I.run_to_end(out.writeStream.format("parquet").option("path", path)
                  .option("checkpointLocation", os.path.join(run, "ckpt")).trigger(**NOW).start())
