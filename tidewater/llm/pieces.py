@@ -99,8 +99,8 @@ def round_trip(text: Column, path: str) -> Column:
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         of = codec(path)
         for texts in batches:
-            rows = [row for part in by_size(list(texts)) for row in of(part)]
-            yield pd.DataFrame(rows, columns=["ids", "decoded"])
+            for part in by_size(list(texts)):
+                yield pd.DataFrame(list(of(part)), columns=["ids", "decoded"])
 
     return coded(text)
 
