@@ -11,8 +11,8 @@ turns these means into a score.
 
 Bound: models and curve are fitted on a sample of at most ``sample`` toxic and
 ``2 * sample`` ordinary labelled rows of up to ``sample_chars`` characters, those with the
-least hashes, three quarters for the models and a quarter for the curve.  Scoring reads
-every text whole.
+least hashes.  The curve sees each of them through a model of the other folds, the final
+model counts all.  Scoring reads every text whole.
 
 Edge cases: null, empty or word-free text gets the score of a text that says nothing.
 Null labels, and labels but 0 and 1, are not learned from.  Without labels of both classes
@@ -34,6 +34,7 @@ from tidewater.llm.common import checkpointed, hash_share
 ORDER, DISCOUNT = 6, 0.75
 SAMPLE, SAMPLE_CHARS = 2_500, 20_000
 STRETCHES = (1, 3, 10, 40)  # words
+FOLDS = 4
 WORDS_KEPT, WORD_CHARS = 400_000, 64
 _words = re.compile(r"[^\W\d_]+").findall
 _BEFORE, _AFTER = "\x01" * (ORDER - 1), "\x02"
@@ -196,33 +197,47 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int)
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel | None:
     """A model of ``labels`` (doc_id, toxic) for ``docs`` (doc_id, text); None if a class is
     missing.  What the driver gets is bounded by the sample."""
-    rows = checkpointed(sampled(docs.select("doc_id", "text"), labels, sample, sample_chars))
-    for_curve = F.col("rank") % 4 == 0
+    rows = checkpointed(sampled(docs.select("doc_id", "text"), labels, sample, sample_chars)
+                        .select("text", F.col("toxic").cast("int"), (F.col("rank") % FOLDS).alias("fold")))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for toxic, texts in frame.groupby("toxic")["text"]:
+            for (toxic, fold), texts in frame.groupby(["toxic", "fold"])["text"]:
                 words = [w for t in texts for w in words_of(t)]
                 if words:
                     grams, n = gram_counts(words)
-                    yield pd.DataFrame({"gram": grams, "ordinary": n * (toxic == 0), "toxic": n * (toxic == 1)})
+                    yield pd.DataFrame({"gram": grams, "toxic": toxic, "fold": fold, "n": n})
 
-    counts = (rows.where(~for_curve).select("text", "toxic").mapInPandas(counted, "gram string, ordinary long, toxic long")
-              .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toPandas())
-    if not (len(counts) and counts["ordinary"].any() and counts["toxic"].any()):
+    cells = [(y, k) for y in (0, 1) for k in range(FOLDS)]
+    counts = (rows.mapInPandas(counted, "gram string, toxic int, fold int, n long").groupBy("gram")
+              .agg(*[F.sum(F.when((F.col("toxic") == y) & (F.col("fold") == k), F.col("n")).otherwise(0)).alias(f"n{y}{k}")
+                     for y, k in cells]).toPandas())
+
+    def model_of(folds) -> ToxicityModel | None:
+        n = [counts[[f"n{y}{k}" for k in folds]].sum(axis=1).to_numpy(dtype=np.int64) for y in (0, 1)]
+        seen = n[0] + n[1] > 0
+        if not (n[0].any() and n[1].any()):
+            return None
+        return ToxicityModel(counts["gram"][seen].tolist(), n[0][seen], n[1][seen])
+
+    model = model_of(range(FOLDS))
+    if model is None:
         return None
-    model = ToxicityModel(counts["gram"].tolist(), counts["ordinary"].to_numpy(), counts["toxic"].to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = [model_of([j for j in range(FOLDS) if j != k]) for k in range(FOLDS)]
+    shared = docs.sparkSession.sparkContext.broadcast(others)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratios = WordRatios(shared.value)
+        ratios = [None if m is None else WordRatios(m) for m in shared.value]
         for frame in batches:
-            yield pd.DataFrame({"toxic": frame["toxic"], "x": list(ratios.features(frame["text"]))})
+            for fold, own in frame.groupby("fold"):
+                if ratios[fold] is not None:
+                    yield pd.DataFrame({"toxic": own["toxic"], "x": list(ratios[fold].features(own["text"]))})
 
-    seen = rows.where(for_curve).select("text", "toxic").mapInPandas(measured, "toxic int, x array<double>").toPandas()
+    seen = rows.mapInPandas(measured, "toxic int, x array<double>").toPandas()
     if seen["toxic"].nunique() == 2:
         seen = seen.iloc[np.lexsort([*np.stack(seen["x"]).T, seen["toxic"]])]
         model.fit_curve(np.stack(seen["x"]), seen["toxic"].to_numpy())
+    shared.unpersist()
     return model
 
 
