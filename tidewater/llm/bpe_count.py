@@ -21,7 +21,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, functions as F
 
-PIECES_KEPT, PIECE_CHARS = 400_000, 64
+PIECES_KEPT, PIECE_CHARS = 1_000_000, 64
 
 
 def byte_alphabet() -> dict[int, str]:
