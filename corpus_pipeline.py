@@ -15,13 +15,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import decontam, langid, pieces, simhash, toxicity
-from tidewater.llm.common import keep_where, table
+from tidewater.llm.common import importable, keep_where, table
 from tidewater.session import run_dir
 
 MIN_LANGUAGE_SCORE = 0.26  # with four languages, a quarter tells nothing
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     found = langid.language(F.col("text"), model, docs)
     return keep_where(docs, (found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
@@ -33,6 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return simhash.deduplicate(docs)
 
 
@@ -42,6 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the packed ids and their number."""
+    importable(spark)
     coded = pieces.round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
     return docs.select("doc_id", coded["ids"].alias("ids")).withColumn(
         "n_tokens", (F.octet_length("ids") / 4).cast("long"))

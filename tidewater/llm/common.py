@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import tidewater
 from tidewater.session import shared_root
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets the session's Python workers import this package from where the driver has it,
+    wherever the driver was started.  Where workers have other folders, ship it with
+    ``--py-files``."""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(tidewater.__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``, for a query that runs this package's code in workers."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
