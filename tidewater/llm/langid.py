@@ -29,6 +29,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewater.llm.common import hash_share
+
 LENGTHS = (1, 2, 3)
 LANDMARKS, SAMPLE, SAMPLE_CHARS = 240, 2_400, 20_000
 MAX_LANGUAGES = 200
@@ -109,14 +111,16 @@ class LanguageModel:
 def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> LanguageModel | None:
     """A model of ``docs`` (doc_id, text, lang); None without any labelled text."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(F.length("text") <= sample_chars)
-    languages = sorted(r["lang"] for r in known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect())
-    if not languages:
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
+    if not counts:
         return None
-    if len(languages) > MAX_LANGUAGES:
+    if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
-    ids = (known.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(by))
-           .where(F.col("rank") <= max(1, sample // len(languages))))
+    each = max(1, sample // len(counts))
+    key = F.xxhash64("doc_id", "lang")
+    by = Window.partitionBy("lang").orderBy(key, "doc_id")
+    ids = (known.where(hash_share(key, F.col("lang"), dict.fromkeys(counts, each), counts)).select("doc_id", "lang").distinct()
+           .withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= each))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
