@@ -21,7 +21,8 @@ with the least ids stand for all, as no result can hold more: exact, whatever th
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and
 rows without id, take no part.  Rows equal in id and vector count once.  Ties go to the
-smaller id.  Empty tables give no rows.  Extra columns play no part.
+smaller id.  Vectors that take part must have one length; others raise.  Empty tables give
+no rows.  Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewater.llm.common import checkpointed
 
 TABLES, WIDTH, PROBES, TARGET, TUNING = 10, 0.8, 128, 0.96, 64
-PART_ROWS, CHUNK = 32_768, 512
+PART_ROWS, CHUNK = 65_536, 1_024
 SEED = 7
 
 
@@ -274,19 +275,25 @@ def unpacked(vectors: pd.Series) -> np.ndarray:
 
 def exact(index: DataFrame, ids: np.ndarray, queries: np.ndarray, n: int) -> pd.DataFrame:
     """The true ``n`` best rows of a few queries: query (its number), rep, score, embedding.
-    One pass over ``index``; every task returns at most n rows a query and batch."""
+    One pass over ``index``; every task returns at most n rows a query."""
     shared = index.sparkSession.sparkContext.broadcast((ids, queries))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, queries = shared.value
+        held = None
         for frame in batches:
             x, rep = np.stack(frame["embedding"]), frame["rep"].to_numpy()
             score = queries @ x.T
             score[ids[:, None] == rep[None, :]] = -np.inf
             q = np.repeat(np.arange(len(queries)), min(n, len(x)))
             r = np.argpartition(-score, min(n, len(x)) - 1, axis=1)[:, :n].ravel()
-            ok = score[q, r] > -np.inf
-            yield pd.DataFrame({"query": q[ok], "rep": rep[r[ok]], "score": score[q, r][ok], "embedding": list(x[r[ok]])})
+            found = q, rep[r], score[q, r], x[r]
+            held = found if held is None else tuple(map(np.concatenate, zip(held, found)))
+            keep = best_of(*held[:3], n)
+            held = tuple(h[keep] for h in held)
+        if held is not None:
+            q, rep, score, x = (h[held[2] > -np.inf] for h in held)
+            yield pd.DataFrame({"query": q, "rep": rep, "score": score, "embedding": list(x)})
 
     order = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     return (index.mapInPandas(best, "query int, rep long, score double, embedding array<double>")
