@@ -191,14 +191,16 @@ def test_rollup_over_a_table_does_not_depend_on_batches(spark):
 
 def test_rewritten_table_gives_the_new_result(spark):
     from tidewater.plans.lifecycle import q_partition_pruned_range
+    from tidewater.plans.streams import q_stream_from_table
     folder = run_dir(spark, "rewritten").replace("file:", "", 1)
     os.makedirs(folder)
     events = B.read_table(spark, SF_SMALL, "events")
-    counts = []
+    counts, hours = [], []
     for n in (1, 2):
         events.where(F.col("event_id") % 2 < n).write.mode("overwrite").parquet(folder + "/events.parquet")
         counts.append(q_partition_pruned_range(spark, folder).count())
-    assert 0 < counts[0] < counts[1]
+        hours.append(q_stream_from_table(spark, folder).agg(F.sum("event_count")).first()[0])
+    assert 0 < counts[0] < counts[1] and hours == [500, 1000]
 
 
 def test_processor_survives_a_failure_between_its_two_writes(spark, monkeypatch):

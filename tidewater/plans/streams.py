@@ -14,7 +14,8 @@ from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelo
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.schemas import SENSOR_SINK, USER_ACTIVITY_SINK
-from tidewater.session import run_dir
+from tidewater.session import run_dir, shared_root
+from tidewater.sources import bindings as B
 from tidewater.sources import lake as L
 from tidewater.sources.broker import publish, read_events
 from tidewater.streaming import ingest as I
@@ -39,11 +40,27 @@ UA_TABLE_ORACLE = """SELECT user_id, event_type, event_time, session_id, ip_addr
 FROM ua"""
 
 
-def _topic(spark, sf_dir, family, run, corrupt_every=None):
-    """The topic folder of one family, published for this run."""
-    path = os.path.join(run, "topic", family)
-    publish((user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every), path)
-    return path
+_TOPICS: dict[tuple, str] = {}
+
+
+def _topic(spark, sf_dir, family, run=None, corrupt_every=None):
+    """The topic folder of one family, published once for the files that ``events`` has now
+    (their paths, sizes and times) and read by every streaming query with a checkpoint of
+    its own, as independent jobs read one topic.  A rewritten table is published anew."""
+    events = B.read_table(spark, sf_dir, "events")
+    files = events.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    state = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*files.columns)), F.sum("file_size")).first()
+    key = (shared_root(spark), family, corrupt_every, *state)
+    if key not in _TOPICS:
+        path = os.path.join(run_dir(spark, "topic"), family)
+        _publish((user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir, corrupt_every), path)
+        _TOPICS[key] = path
+    return _TOPICS[key]
+
+
+def _publish(env, path):
+    """Files of 12,500 messages or, of a large topic, some 20,000 files."""
+    publish(env, path, max_records_per_file=max(12_500, env.count() // 20_000))
 
 
 def _ingest_once(spark, family, topic_path, table, ckpt):
@@ -226,13 +243,12 @@ WAVE_SQL = ("event_id >= (SELECT MIN(event_id) + (MAX(event_id) - MIN(event_id)
 def _three_waves(spark, sf_dir, run, family):
     """Publish the topic in three waves: ids [50 %, 90 %), then [90 %, 100 %], then
     the oldest half [0, 50 %) last -- it arrives after the watermark has passed it."""
-    from tidewater.sources import bindings as B
     ev = B.read_table(spark, sf_dir, "events")
     t50, t90 = wave_bounds(spark, ev)
     env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
     path = os.path.join(run, "topics", family)
     waves = [(F.col("offset") >= t50) & (F.col("offset") < t90), F.col("offset") >= t90, F.col("offset") < t50]
-    return path, [(lambda c=c: publish(env.where(c), path)) for c in waves]
+    return path, [(lambda c=c: _publish(env.where(c), path)) for c in waves]
 
 
 @query("tumbling_late_drop", _windows_oracle(False, WAVE_SQL))
@@ -316,7 +332,6 @@ def q_enrich_stream(spark, sf_dir):
     """Stream-static enrichment: decoded events joined, as they stream, with the
     customer dimension."""
     from tidewater.operators import enrich as EN
-    from tidewater.sources import bindings as B
     run = run_dir(spark, "enrich_stream")
     topic = _topic(spark, sf_dir, "user_activity", run)
     rows = I.ingest_frame(read_events(spark, "user_activity", topic), "user_activity")
