@@ -174,6 +174,16 @@ def test_ann_split_parts(spark, monkeypatch):
     assert found >= 0.9 * 100
 
 
+@pytest.mark.parametrize("rows", [1, 2, 15, 21])
+def test_ann_returns_all_candidates_of_a_small_table(spark, rows):
+    rng = np.random.default_rng(rows)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(rows, 8)))],
+                                    "vec_id long, embedding array<float>")
+    got = ann.nearest(vectors, F.col("vec_id") % 20 == 0).toPandas()
+    assert len(got) == (rows - 1) * len(range(0, rows, 20))
+    assert all(own["score"].is_monotonic_decreasing for _, own in got.sort_values("rank").groupby("query_id"))
+
+
 def test_probe_sequence_is_in_order_of_cost():
     place = np.array([0.1, 0.6, 0.45])
     seen = ann.probe_sequence(place, 27)

@@ -11,7 +11,7 @@ inner product of the original vectors in double precision.
 The index is tuned on a bounded sample of ``TUNING`` queries, whose exact neighbours one
 pass over all rows finds: k starts from the number of vectors, and the number of probes is
 the least with which the sample's recall reaches ``TARGET`` (k is lowered where ``PROBES``
-do not suffice).  Every row is indexed.
+do not suffice, to none where every candidate is asked for).  Every row is indexed.
 
 On Spark: buckets are dealt to parts (table, group of buckets); a part holding too many
 rows is salted, and its queries go to each salt.  A task holds the rows of one part and
@@ -56,6 +56,8 @@ def probe_sequence(place: np.ndarray, probes: int) -> list[tuple[int, ...]]:
     """The first ``probes`` moves of a point's cell, likeliest first; ``place``: where in
     its cell each projection lies, 0 to 1."""
     k = len(place)
+    if not k:
+        return [()]
     cost = np.concatenate([place, 1 - place]) ** 2
     order = np.argsort(cost, kind="stable")
     cost, order = cost[order].tolist(), order.tolist()
@@ -301,6 +303,8 @@ def exact(index: DataFrame, ids: np.ndarray, queries: np.ndarray, n: int) -> pd.
 
 
 def fit(index: DataFrame, queries: DataFrame, n: int, dims: int, scale: float, size: int) -> Hashing:
+    if size <= n + 1:  # every candidate is asked for: no projection, one bucket
+        return Hashing(dims, scale, 0, tables=1)
     sample = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(TUNING).toPandas()
     if not len(sample):
         return Hashing(dims, scale, 1)
