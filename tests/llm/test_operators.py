@@ -217,13 +217,13 @@ def test_kneser_ney():
     more, m = toxicity.gram_counts(["abc"] * 2)
     every = sorted({*grams, *more})
     ordinary, toxic = (np.array([dict(zip(g, c)).get(x, 0) for x in every]) for g, c in ((grams, n), (more, m)))
-    rows = np.frombuffer("".join(every).encode("utf-32-le"), dtype="<u4").reshape(-1, toxicity.ORDER)
+    rows = toxicity.codes(every)
     p = toxicity.shared_backoff(rows)
     assert ((p > 0) & (p < 1)).all()
     tails, at = np.unique(rows[:, 1:], axis=0, return_index=True)
     _, prefix = np.unique(tails[:, :-1], axis=0, return_inverse=True)
     assert (np.bincount(prefix.ravel(), weights=p[at]) <= 1 + 1e-9).all()
-    model = toxicity.ToxicityModel(every, ordinary, toxic)
+    model = toxicity.ToxicityModel(rows, ordinary, toxic)
     score = dict(zip(["abc", "abab", "zzzz"], model.of_words(["abc", "abab", "zzzz"])))
     assert score["abc"] > 0 > score["abab"] and np.isfinite(score["zzzz"])
 

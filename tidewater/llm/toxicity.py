@@ -92,12 +92,16 @@ def gram_counts(words) -> tuple[list[str], np.ndarray]:
     return [grams[i:i + ORDER] for i in range(0, len(grams), ORDER)], grouped(times[word], index, len(first)).astype(np.int64)
 
 
+def codes(grams) -> np.ndarray:
+    """N-grams as rows of code points."""
+    return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, ORDER)
+
+
 class ToxicityModel:
     """Log-likelihood ratios of n-grams and, for n-grams not seen, of their contexts."""
 
-    def __init__(self, grams: list[str], ordinary: np.ndarray, toxic: np.ndarray):
-        """Distinct n-grams and their counts in either class."""
-        rows = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, ORDER)
+    def __init__(self, rows: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray):
+        """Distinct n-grams, as :func:`codes`, and their counts in either class."""
         found, order = np.unique(keys(rows), return_index=True)
         rows, n_of = rows[order], (ordinary[order], toxic[order])
         backoff = shared_backoff(rows)
@@ -213,18 +217,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars:
               .agg(*[F.sum(F.when((F.col("toxic") == y) & (F.col("fold") == k), F.col("n")).otherwise(0)).alias(f"n{y}{k}")
                      for y, k in cells]).toPandas())
 
+    grams = codes(counts.pop("gram"))
+    n = counts.to_numpy(dtype=np.int64).reshape(-1, 2, FOLDS)
+    del counts  # the driver's memory is small
+
     def model_of(folds) -> ToxicityModel | None:
-        n = [counts[[f"n{y}{k}" for k in folds]].sum(axis=1).to_numpy(dtype=np.int64) for y in (0, 1)]
-        seen = n[0] + n[1] > 0
-        if not (n[0].any() and n[1].any()):
-            return None
-        return ToxicityModel(counts["gram"][seen].tolist(), n[0][seen], n[1][seen])
+        ordinary, toxic = n[:, 0, folds].sum(axis=1), n[:, 1, folds].sum(axis=1)
+        seen = ordinary + toxic > 0
+        return ToxicityModel(grams[seen], ordinary[seen], toxic[seen]) if ordinary.any() and toxic.any() else None
 
-    model = model_of(range(FOLDS))
+    model = model_of([*range(FOLDS)])
     if model is None:
         return None
-    others = [model_of([j for j in range(FOLDS) if j != k]) for k in range(FOLDS)]
-    shared = docs.sparkSession.sparkContext.broadcast(others)
+    shared = docs.sparkSession.sparkContext.broadcast([model_of([j for j in range(FOLDS) if j != k]) for k in range(FOLDS)])
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ratios = [None if m is None else WordRatios(m) for m in shared.value]
@@ -237,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars:
     if seen["toxic"].nunique() == 2:
         seen = seen.iloc[np.lexsort([*np.stack(seen["x"]).T, seen["toxic"]])]
         model.fit_curve(np.stack(seen["x"]), seen["toxic"].to_numpy())
-    shared.unpersist()
+    shared.destroy()
     return model
 
 
