@@ -228,6 +228,15 @@ def test_kneser_ney():
     assert score["abc"] > 0 > score["abab"] and np.isfinite(score["zzzz"])
 
 
+def test_toxicity_keeps_the_ratio_of_all_labels(spark):
+    """A word that marks a text as toxic in three of ten cases, whatever the sample."""
+    rows = [(i, fixtures.prose(i, 12) + (" moron" if i % 8 == 0 else ""), int(i % 80 in (0, 8, 16) or i % 80 == 1)) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    marked = [t for _, t, _ in rows[::8]]
+    all_of_them, fewer = (toxicity.model_score(toxicity.WordRatios(toxicity.fit(docs, docs, n)), marked).mean() for n in (4_000, 100))
+    assert abs(all_of_them - 0.3) < 0.05 and abs(fewer - all_of_them) < 0.1
+
+
 def test_lm_slices_words_and_blocks(spark, monkeypatch):
     texts = ["A b  c", "", None, "x\n a b c d é", "a" * 50 + " b", " "]
     raw = [(t or "").encode() for t in texts]

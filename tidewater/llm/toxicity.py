@@ -12,7 +12,8 @@ turns these means into a score.
 Bound: models and curve are fitted on a sample of at most ``sample`` toxic and
 ``2 * sample`` ordinary labelled rows of up to ``sample_chars`` characters, those with the
 least hashes.  The curve sees each of them through a model of the other folds, the final
-model counts all.  Scoring reads every text whole.
+model counts all; its intercept is moved by the log of the classes' sampled shares, so
+scores follow the classes' ratio among all labels.  Scoring reads every text whole.
 
 Edge cases: null, empty or word-free text gets the score of a text that says nothing.
 Null labels, and labels but 0 and 1, are not learned from.  Without labels of both classes
@@ -184,9 +185,10 @@ class WordRatios(dict):
         return rows
 
 
-def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int) -> DataFrame:
+def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int) -> tuple[DataFrame, dict[int, float]]:
     """(text, toxic, rank) of the bounded sample; ranks count within a class.  The rows are
-    chosen by id, so no text is shuffled; the chosen ids, 3 * sample at most, are broadcast."""
+    chosen by id, so no text is shuffled; the chosen ids, 3 * sample at most, are broadcast.
+    Beside it the share of each class's labels that the sample has."""
     short = docs.where(F.length("text") <= sample_chars)
     known = (labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
              .join(short.select("doc_id"), "doc_id", "left_semi").distinct())
@@ -195,14 +197,15 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int)
     by = Window.partitionBy("toxic").orderBy(key, "doc_id")
     ids = (known.where(hash_share(key, F.col("toxic"), wanted, counts)).withColumn("rank", F.row_number().over(by))
            .where(F.col("rank") <= F.when(F.col("toxic") == 1, wanted[1]).otherwise(wanted[0])))
-    return short.join(F.broadcast(ids), "doc_id").select("text", "toxic", "rank")
+    shares = {y: min(1.0, wanted[y] / n) for y, n in counts.items()}
+    return short.join(F.broadcast(ids), "doc_id").select("text", "toxic", "rank"), shares
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel | None:
     """A model of ``labels`` (doc_id, toxic) for ``docs`` (doc_id, text); None if a class is
     missing.  What the driver gets is bounded by the sample."""
-    rows = checkpointed(sampled(docs.select("doc_id", "text"), labels, sample, sample_chars)
-                        .select("text", F.col("toxic").cast("int"), (F.col("rank") % FOLDS).alias("fold")))
+    chosen, shares = sampled(docs.select("doc_id", "text"), labels, sample, sample_chars)
+    rows = checkpointed(chosen.select("text", F.col("toxic").cast("int"), (F.col("rank") % FOLDS).alias("fold")))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -242,6 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars:
     if seen["toxic"].nunique() == 2:
         seen = seen.iloc[np.lexsort([*np.stack(seen["x"]).T, seen["toxic"]])]
         model.fit_curve(np.stack(seen["x"]), seen["toxic"].to_numpy())
+        model.curve[0] += np.log(shares[0] / shares[1])
     shared.destroy()
     return model
 
