@@ -158,6 +158,15 @@ def test_deduplicate_keeps_one_row_of_each_group(spark, awkward):
     assert sorted([r["doc_id"] for r in kept.select("doc_id").collect()], key=repr) == want
 
 
+def test_deduplicate_with_repeated_and_null_ids(spark):
+    one, other = fixtures.prose(1, 300), " ".join(f"w{i}" for i in range(300))
+    near = next(t for i in range(300) if 0 < (brute.fingerprint(one) ^ brute.fingerprint(t := one + " " + fixtures.WORDS[i % 16] * (i // 16 + 1))).bit_count() <= 3)
+    schema = "doc_id long, text string"
+    twice = spark.createDataFrame([(1, one), (2, one), (1, other), (3, other)], schema)
+    assert sorted(map(tuple, simhash.deduplicate(twice).collect())) == sorted([(1, one), (1, other)])
+    assert simhash.deduplicate(spark.createDataFrame([(None, one), (None, near)], schema)).count() == 1
+
+
 def test_ann_split_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART_ROWS", 20)
     monkeypatch.setattr(ann, "CHUNK", 4)

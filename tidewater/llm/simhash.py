@@ -239,13 +239,13 @@ def stars(edges: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) for each distinct fingerprint of ``prints`` (doc_id, fp): the
-    least id of the group."""
+    """(fp, root, component_id) for each distinct fingerprint of ``prints`` (doc_id, fp): the
+    group's least fingerprint and least id."""
     distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = stars(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return checkpointed(rooted.join(least, "root").select("fp", "component_id"))
+    return checkpointed(rooted.join(least, "root").select("fp", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -262,7 +262,7 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
     slim = checkpointed(docs.select("doc_id", content[0].alias("k1"), content[1].alias("k2"),
                                     fingerprint(F.col("text"), shingle).alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2"))
-    kept = (slim.join(groups(slim, radius), "fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("f"))
+    kept = (slim.join(groups(slim, radius), "fp").groupBy("root")
             .agg(first.alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2)).distinct())
     keyed = docs.withColumns({k1: content[0], k2: content[1]}).join(kept, [k1, k2])
     rank = free_name(keyed.columns, "_rank")
