@@ -18,14 +18,16 @@ from tidewater.llm import decontam, langid, pieces, simhash, toxicity
 from tidewater.llm.common import importable, keep_where, table
 from tidewater.session import run_dir
 
-MIN_LANGUAGE_SCORE = 0.26  # with four languages, a quarter tells nothing
+MIN_LANGUAGE_SCORE = 0.26  # with four languages, a quarter tells nothing; with more, the bar is lower in proportion
+MIN_KNOWN = 0.1  # of a text's n-grams; below it no language is told, however many were learned
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     found = langid.language(F.col("text"), model, docs)
-    return keep_where(docs, (found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
+    bar = MIN_LANGUAGE_SCORE * min(1.0, 4 / len(model.languages)) if model else MIN_LANGUAGE_SCORE
+    return keep_where(docs, (found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= bar) & (found["known"] >= MIN_KNOWN))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

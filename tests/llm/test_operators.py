@@ -220,6 +220,17 @@ def test_language_and_toxicity_without_labels(spark, empty, awkward):
     assert {r[0] for r in docs.select(toxicity.toxicity(F.col("text"), None, docs)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("counts", [(40, 40), (90, 10), (40, 0)])
+def test_text_of_an_unlearned_script_goes(spark, counts):
+    greek = str.maketrans("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψωάέ")
+    texts = [(fixtures.prose(i, 40), "en") for i in range(counts[0])] + [(fixtures.prose(i, 40).translate(greek), "el") for i in range(counts[1])]
+    rows = [(i, t, g) for i, (t, g) in enumerate(texts)] + [(1000, "ж", None), (1001, "мост через реку и старый камень", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()) == list(range(len(texts)))
+    score = [s for _, s, *_ in langid.fit(docs).predict([rows[-1][1]])][0]
+    assert abs(score - 1 / sum(n > 0 for n in counts)) < 0.1
+
+
 def test_kneser_ney():
     grams, n = toxicity.gram_counts(["abab"] * 3 + ["bca"])
     assert dict(zip(grams, n))["\x01" * 5 + "a"] == 3 and sum(n) == 3 * 5 + 4

@@ -6,7 +6,8 @@ divided by the geometric mean of either's own number.  Texts are lower-cased and
 of characters other than letters is one blank.  The kernel is approximated by ``LANDMARKS``
 texts (Nyström): a text's features are its kernel values with the landmarks times the
 inverse square root of the landmarks' own kernel matrix.  Ridge regression on them learns
-one function for each language against the rest.  All of this is linear in a text's
+one function for each language against the rest, each language's rows weighing the same
+together.  All of this is linear in a text's
 presences of the landmarks' n-grams, so batches are scored as products of presence
 matrices with one weight matrix.
 
@@ -39,6 +40,7 @@ SHARPNESS = 4.0  # of the score's softmax over the languages' functions
 SLICE, BATCH = 1 << 18, 64
 _others = re.compile(r"[\W\d_]+").sub
 _CHAR = 21  # bits of a code point
+_BLANKS = np.array([0x20, 0x20 << _CHAR | 0x20, 0x20 << 2 * _CHAR | 0x20 << _CHAR | 0x20])  # n-grams without a letter
 
 
 def grams(text: str | None) -> np.ndarray:
@@ -76,8 +78,10 @@ class LanguageModel:
         to_features = own.T.astype(np.float64) @ root  # presences, normalised, to Nyström features
         z = np.concatenate([self.normalised(texts[i:i + BATCH]) @ to_features for i in range(0, len(texts), BATCH)])
         y = np.where(labels[:, None] == np.arange(len(languages)), 1.0, -1.0)
-        self.offset = y.mean(axis=0)
-        solved = np.linalg.solve(z.T @ z + ridge * len(z) / len(languages) * np.eye(z.shape[1]), z.T @ (y - self.offset))
+        weight = len(z) / len(languages) / np.bincount(labels, minlength=len(languages))[labels]
+        self.offset = np.full(len(languages), 2 / len(languages) - 1)  # the weighted mean of y
+        weighted = z * weight[:, None]
+        solved = np.linalg.solve(weighted.T @ z + ridge * len(z) / len(languages) * np.eye(z.shape[1]), weighted.T @ (y - self.offset))
         self.weights = (to_features @ solved).astype(np.float32)
 
     def presence(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -87,10 +91,11 @@ class LanguageModel:
             row[at[self.vocabulary[at] == found]] = 1
         return out
 
-    def normalised(self, texts: list[np.ndarray]) -> np.ndarray:
-        return self.presence(texts) / np.sqrt([max(1, len(t)) for t in texts])[:, None].astype(np.float32)
+    def normalised(self, texts: list[np.ndarray], presence: np.ndarray | None = None) -> np.ndarray:
+        presence = self.presence(texts) if presence is None else presence
+        return presence / np.sqrt([max(1, len(t)) for t in texts])[:, None].astype(np.float32)
 
-    def predict(self, texts) -> Iterator[tuple[str, float]]:
+    def predict(self, texts) -> Iterator[tuple[str, float, float]]:
         held: list[np.ndarray] = []
         for text in texts:
             held.append(grams(text))
@@ -100,12 +105,15 @@ class LanguageModel:
         if held:
             yield from self._predict(held)
 
-    def _predict(self, texts: list[np.ndarray]) -> Iterator[tuple[str, float]]:
-        value = SHARPNESS * (self.normalised(texts) @ self.weights + self.offset)
+    def _predict(self, texts: list[np.ndarray]) -> Iterator[tuple[str, float, float]]:
+        presence = self.presence(texts)
+        known = presence @ (~np.isin(self.vocabulary, _BLANKS)).astype(np.float32)
+        known /= [max(1, len(t) - np.isin(_BLANKS, t).sum()) for t in texts]
+        value = SHARPNESS * (self.normalised(texts, presence) @ self.weights + self.offset)
         value = np.exp(value - value.max(axis=1, keepdims=True))
         value /= value.sum(axis=1, keepdims=True)
-        for found, k, p in zip(texts, value.argmax(axis=1), value.max(axis=1)):
-            yield (self.languages[k], float(p)) if len(found) else (UNDETERMINED, 0.0)
+        for found, k, p, share in zip(texts, value.argmax(axis=1), value.max(axis=1), known):
+            yield (self.languages[k], float(p), float(share)) if len(found) else (UNDETERMINED, 0.0, 0.0)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> LanguageModel | None:
@@ -136,14 +144,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS)
 
 
 def language(text: Column, model: LanguageModel | None, docs: DataFrame) -> Column:
-    """A struct per text: lang_pred and score.  ``docs`` gives the session."""
+    """A struct per text: lang_pred, score and known, the share of its n-grams with a letter
+    that the landmarks have.  ``docs`` gives the session."""
     if model is None:
-        return F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, known double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame(list(shared.value.predict(texts)), columns=["lang_pred", "score"])
+            yield pd.DataFrame(list(shared.value.predict(texts)), columns=["lang_pred", "score", "known"])
 
     return predicted(text)
