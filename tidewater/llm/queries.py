@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
+from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, linededup, pieces, sharding, simhash, toxicity, urlfilter
 from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -83,9 +83,16 @@ def op10_interpolated_lm(spark, sf_dir):
     return model.score()
 
 
+def op13_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.deduplicate(docs).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_multiprobe_ann, op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
-    op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm)}
+    op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm, op13_line_dedup)}
 
 ORACLE = {
     "op3_url_filter": r"""
@@ -149,5 +156,19 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids)
        sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""",
+    "op13_line_dedup": r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT r, doc_id, i, ls[i] AS line, translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM docs)),
+keepers AS (SELECT k, min(doc_id) AS keeper FROM lines WHERE length(k) >= 10 GROUP BY k),
+judged AS (
+  SELECT r, lines.doc_id, i, line, length(lines.k) < 10 OR lines.doc_id IS NOT DISTINCT FROM keeper AS keep
+  FROM lines LEFT JOIN keepers ON lines.k = keepers.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '')) AS kept_sha256
+FROM judged GROUP BY r
 """,
 }
