@@ -1,0 +1,103 @@
+"""VA-file clustering against plain integer k-means."""
+
+import hashlib
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tidewater.llm import vafile
+from tidewater.llm.queries import QUERIES
+
+
+def usable(v, dims):
+    return v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+
+
+def plain(rows, k=16, rounds=3, dims=64, scale=64):
+    """(vec_id, cluster, distance, digest, cluster inertia, inertia) by definition."""
+    limit = 2**27
+    kept = [(i, [math.floor(max(-limit, min(limit, scale * float(np.float32(x))))) for x in v]) for i, v in rows if usable(v, dims)]
+    order = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centroids = [v for _, v in order[:k]]
+    if not centroids:
+        return []
+    square = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    assign = lambda: [min((square(v, c), j) for j, c in enumerate(centroids)) for _, v in kept]
+    for _ in range(rounds):
+        found = assign()
+        for j in range(len(centroids)):
+            mine = [v for (_, v), (_, c) in zip(kept, found) if c == j]
+            if mine:
+                centroids[j] = [sum(x) // len(mine) for x in zip(*mine)]
+    found, most = assign(), 2**63 - 1
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    inertia = [sum(d for d, c in found if c == j) for j in range(len(centroids))]
+    return sorted([(i, c, d, digest[c], min(inertia[c], most), min(sum(inertia), most)) for (i, _), (d, c) in zip(kept, found)], key=repr)
+
+
+def result(spark, rows, **how):
+    df = spark.createDataFrame([(i, v, 1, "own") for i, v in rows], "vec_id long, embedding array<float>, cluster int, v string")
+    return sorted(map(tuple, vafile.cluster(df, F.col("vec_id"), F.col("embedding"), **how).collect()), key=repr)
+
+
+rng = np.random.default_rng(3)
+CLUSTERED = [(i, (rng.normal(size=64) / 9 + (i % 20) / 5 - 2).tolist()) for i in range(400)]
+NAN, INF = float("nan"), float("inf")
+AWKWARD = CLUSTERED[:90] + [
+    (500, None), (501, []), (502, [0.5] * 63), (503, [0.5] * 65), (504, [NAN] + [0.0] * 63), (505, [INF] * 64), (506, [None] * 64),
+    (None, [0.25] * 64), (None, CLUSTERED[7][1]), (508, [0.0] * 64), (509, [-0.0] * 64), (7, CLUSTERED[7][1]), (7, CLUSTERED[8][1]),
+    (510, [2e6] * 64), (511, [-3e38] * 64), *[(600 + i, [0.125] * 64) for i in range(40)]]
+
+
+@pytest.mark.parametrize("rows,how", [(CLUSTERED, {}), (CLUSTERED, {"bits": 2}), (CLUSTERED, {"bits": 1, "k": 5, "rounds": 1}),
+                                      (AWKWARD, {}), (AWKWARD, {"bits": 8, "k": 40}), (AWKWARD, {"k": 1, "rounds": 0}), ([], {})])
+def test_by_definition(spark, rows, how):
+    assert result(spark, rows, **how) == plain(rows, **{k: v for k, v in how.items() if k != "bits"})
+
+
+def test_fewer_vectors_than_centroids_and_only_rows_without_id(spark):
+    assert result(spark, CLUSTERED[:3]) == plain(CLUSTERED[:3])
+    assert result(spark, [(None, [0.5] * 64)]) == []
+
+
+def test_intervals_hold_the_distances():
+    v = rng.integers(-40, 40, (300, 12))
+    starts = [vafile.cell_starts(np.sort(v[:, d])[np.linspace(0, 299, 65).astype(int)], 8) for d in range(12)]
+    low = np.array([s + [vafile.LIMIT + 1] * (8 - len(s)) for s in starts])
+    high = np.array([[e - 1 for e in s[1:]] + [int(v[:, d].max())] + [vafile.LIMIT + 1] * (8 - len(s)) for d, s in enumerate(starts)])
+    cells, centroids = vafile.Cells(low, high, 3), rng.integers(-40, 40, (9, 12))
+    packed = cells.pack(v)
+    assert packed.shape == (300, 12 * 3 // 8 + 1)
+    numbers, (least, most) = cells.unpack(packed), vafile.interval_tables(cells, centroids)
+    exact = ((v[:, None, :] - centroids) ** 2).sum(axis=2)
+    lower = sum(least[d, numbers[:, d]] for d in range(12))
+    upper = sum(most[d, numbers[:, d]] for d in range(12))
+    assert (lower <= exact).all() and (exact <= upper).all()
+    left = vafile.candidates(cells, (least, most), packed)
+    assert (vafile.nearest(v, centroids, left) == exact.argmin(axis=1)).all() and left.mean() < 0.9
+
+
+def test_vectors_are_fetched_only_where_intervals_overlap(spark):
+    df = spark.createDataFrame(CLUSTERED, "vec_id long, embedding array<float>")
+    ints = vafile.integer_vectors(df, F.col("vec_id"), F.col("embedding"), 64, 64)
+    cells, centroids = vafile.fit_cells(ints, 64, 6), vafile.seeds(ints, 16, 1)
+    got = vafile.assigned(vafile.write_va_file(ints, cells), cells, centroids)
+    assert 0 < got.where("not fetched").count() and got.where("cluster < 0").count() == 0
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.lists(st.integers(-3, 3).map(lambda x: x / 2), min_size=4, max_size=4)),
+                max_size=30), st.integers(1, 6), st.integers(1, 4))
+def test_random_with_ties(spark, rows, k, bits):
+    assert result(spark, rows, k=k, bits=bits, dims=4) == plain(rows, k=k, dims=4)
+
+
+def test_query(spark):
+    table = pd.read_parquet(f"{SF_SMALL}/embeddings.parquet")
+    got = QUERIES["op12_va_clusters"](spark, SF_SMALL).select("vec_id", "cluster", "distance", "centroid_sha256", "cluster_inertia", "inertia")
+    assert sorted(map(tuple, got.collect()), key=repr) == plain(list(zip(table["vec_id"], table["embedding"])))

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, linededup, pieces, sharding, simhash, toxicity, urlfilter
+from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, linededup, pieces, sharding, simhash, toxicity, urlfilter, vafile
 from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -83,6 +83,10 @@ def op10_interpolated_lm(spark, sf_dir):
     return model.score()
 
 
+def op12_va_clusters(spark, sf_dir):
+    return vafile.cluster(table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("embedding"))
+
+
 def op13_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.deduplicate(docs).select(
@@ -92,7 +96,17 @@ def op13_line_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_multiprobe_ann, op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
-    op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm, op13_line_dedup)}
+    op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm,
+    op12_va_clusters, op13_line_dedup)}
+
+SQUARE = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+CLUSTER_ROUNDS = ",".join(f"""
+a{i} AS (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT r, vec_id, v, k, {SQUARE} AS d FROM ints, c{i}) GROUP BY r),
+m{i} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS c
+  FROM (SELECT k, i, sum(x) AS s, count(*) AS n FROM (SELECT k, unnest(v) AS x, unnest(range(64)) AS i FROM a{i}) GROUP BY k, i)
+  GROUP BY k),
+c{i + 1} AS (SELECT c{i}.k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} ON c{i}.k = m{i}.k)""" for i in range(3))
 
 ORACLE = {
     "op3_url_filter": r"""
@@ -170,5 +184,17 @@ judged AS (
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '')) AS kept_sha256
 FROM judged GROUP BY r
+""",
+    "op12_va_clusters": f"""
+WITH ints AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v AS c
+  FROM ints WHERE vec_id IS NOT NULL ORDER BY k LIMIT 16),{CLUSTER_ROUNDS},
+last AS (SELECT r, any_value(vec_id) AS vec_id, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT r, vec_id, k, {SQUARE} AS d FROM ints, c3) GROUP BY r)
+SELECT vec_id, last.k::INTEGER AS cluster, d AS distance, sha256(array_to_string(c, ',')) AS centroid_sha256,
+       (sum(d) OVER (PARTITION BY last.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia
+FROM last JOIN c3 ON last.k = c3.k
 """,
 }
