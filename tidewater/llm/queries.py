@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, linededup, pieces, sharding, simhash, toxicity, urlfilter, vafile
+from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, lexical, linededup, pieces, sharding, simhash, toxicity, urlfilter, vafile
 from tidewater.llm.common import fold, table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -83,6 +83,11 @@ def op10_interpolated_lm(spark, sf_dir):
     return model.score()
 
 
+def op11_lexical_search(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.search(docs, F.col("doc_id"), F.col("text"), items, F.col("item_id"), F.col("text"))
+
+
 def op12_va_clusters(spark, sf_dir):
     return vafile.cluster(table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("embedding"))
 
@@ -97,7 +102,7 @@ def op13_line_dedup(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_multiprobe_ann, op2_simhash, op3_url_filter, op4_lookup_sharding, op5_language_id, op6_piece_codec,
     op7_toxicity, op8_token_count, op9_decontamination, op10_interpolated_lm,
-    op12_va_clusters, op13_line_dedup)}
+    op11_lexical_search, op12_va_clusters, op13_line_dedup)}
 
 SQUARE = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
 CLUSTER_ROUNDS = ",".join(f"""
@@ -184,6 +189,28 @@ judged AS (
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '')) AS kept_sha256
 FROM judged GROUP BY r
+""",
+    "op11_lexical_search": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+stats AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM docs WHERE len(t) > 0),
+bag AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM docs) GROUP BY r, term),
+weighted AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM bag, stats GROUP BY term),
+items AS (SELECT q, any_value(item_id) AS item_id, term, count(*) AS times FROM (
+    SELECT q, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)) GROUP BY q, term),
+scored AS (
+  SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN bag USING (term) JOIN weighted USING (term), stats GROUP BY q, r)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
 """,
     "op12_va_clusters": f"""
 WITH ints AS (
