@@ -47,16 +47,18 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
+def folded(line: Column) -> Column:
+    """A-Z lower-cased: by the quick ``lower`` where the line is ASCII, else letter by letter."""
+    ascii_only = F.octet_length(line) == F.char_length(line)
+    return F.when(ascii_only, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
 
 
 def line_entries(docs: DataFrame, doc_id: Column, text: Column, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc, print, pos, h1, h2: one row per line whose key is long enough."""
     lines = docs.select(doc_id.alias("doc"), F.xxhash64(text).alias("print"), text_lines(text).alias("lines"))
     keyed = (lines.select("doc", "print", F.posexplode("lines").alias("pos", "line"))
-             .select("doc", "print", "pos", line_key(F.col("line")).alias("key"))
-             .where(F.char_length("key") >= min_chars))
+             .withColumn("line", F.btrim("line", F.lit(BLANKS))).where(F.char_length("line") >= min_chars)
+             .select("doc", "print", "pos", folded(F.col("line")).alias("key")))
     # the second hash is seeded by a constant before the key, so it does not follow from the first
     return keyed.select("doc", "print", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
 
