@@ -81,21 +81,6 @@ def test_use_catalog_and_database(spark):
     L.use(spark, database="default")
 
 
-def test_compaction_bounds_files_and_keeps_rows(spark):
-    import glob
-    root = run_dir(spark, "compact")
-    rows = B.user_activity(spark, SF_SMALL).select("event_id", "event_time", F.to_date("event_time").alias("event_date"))
-    for i in range(4):
-        rows.where(F.col("event_id") % 4 == i).repartition(3).write.partitionBy("event_date").parquet(f"{root}/log/batch_id={i}")
-    log = spark.read.parquet(root + "/log").drop("batch_id")
-    for _ in range(2):  # a repeated run changes nothing
-        L.compact(spark, log, root + "/small", "2024-01-20", files_per_partition=2)
-    files = glob.glob(root.replace("file:", "", 1) + "/small/event_date=*")
-    assert files and max(len(glob.glob(d + "/*.parquet")) for d in files) <= 2
-    whole = L.with_compacted(log, spark.read.parquet(root + "/small"), "2024-01-20")
-    assert whole.select(*rows.columns).exceptAll(rows).count() == 0 and whole.count() == rows.count()
-
-
 def test_no_shared_folder_off_local_is_an_error():
     import pytest
     from tidewater import session

@@ -59,6 +59,13 @@ def event_date(ts) -> Column:
     return F.to_date(col_(ts))
 
 
+def event_hour(ts) -> Column:
+    """Hours since a fixed local origin.  Parquet files skip by the range of an integer column;
+    by that of a timestamp without zone Spark does not let them."""
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(F.timestamp_diff("SECOND", origin, col_(ts).cast("timestamp_ntz")) / 3600).cast("int")
+
+
 def zone_window_offset(spark, duration_s: int) -> str:
     """``startTime`` that aligns ``window(ts, duration)`` to wall-clock boundaries
     of the session zone.  Windows are epoch (UTC) aligned; a zone whose offset is

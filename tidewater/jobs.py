@@ -3,7 +3,7 @@
 * ``user_activity``, ``sensor_data``: processors, topic -> lake table and dead letters;
 * ``message_counter``: 10 s counts of a topic's messages by arrival time;
 * ``warehouse``: a processor's table -> the warehouse table the views read;
-* ``compact``: closed days of a warehouse table -> few files (runs once);
+* ``compact``: folds a warehouse table's new batches into few clustered files (runs once);
 * ``alerts``: hourly counts above a threshold; ``enrich``: events with their customer.
 
     python -m tidewater.jobs user_activity --topic-path ... --table ... --checkpoint ...
@@ -22,14 +22,16 @@ import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidewater.config import load_config
 from tidewater.operators import conform as C
 from tidewater.operators import enrich as EN
 from tidewater.sources import bindings as B
-from tidewater.sources import lake as L
+from tidewater.schemas import WAREHOUSE_SENSOR_DATA, WAREHOUSE_USER_ACTIVITY
 from tidewater.sources.broker import read_events
 from tidewater.streaming import alerts as A
+from tidewater.streaming import batches, folds
 from tidewater.streaming import ingest as I
 from tidewater.streaming import windows as W
 
@@ -75,24 +77,40 @@ def message_counter(spark: SparkSession, args) -> list[StreamingQuery]:
 CONFORM = {"user_activity": C.conform_user_activity, "sensor_data": C.conform_sensor_data}
 
 
-def start_warehouse(spark: SparkSession, family: str, source: str, table: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """A processor's table, as a stream of files, conformed and appended to the warehouse
-    table, a folder per micro-batch."""
-    rows = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-
-    def write(batch, batch_id: int) -> None:
-        (CONFORM[family](batch, with_partition=True).write.mode("overwrite")
+def start_warehouse(spark: SparkSession, family: str, source: str, table: str, checkpoint: str, trigger: dict,
+                    **how) -> StreamingQuery:
+    """A processor's table, finished batch by finished batch, conformed and appended to the
+    warehouse table.  Neither side's replays add or lose rows, and the job may start first."""
+    def write(rows, batch_id: int, before: dict | None) -> None:
+        (CONFORM[family](rows, with_partition=True).write.mode("overwrite")
          .partitionBy(*I.PARTITIONS[family]).parquet(f"{table}/batch_id={batch_id}"))
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return batches.follow(spark, source, I.table_schema(family), table, checkpoint, write, trigger, **how)
 
 
 def warehouse(spark: SparkSession, args) -> list[StreamingQuery]:
     return [start_warehouse(spark, args.family, args.source, args.table, _checkpoint(args, "warehouse"), _trigger(args))]
 
 
+CLUSTER_BY = {"user_activity": ["event_time", "user_id"], "sensor_data": ["event_time", "sensor_id"]}
+
+
+def warehouse_schema(family: str) -> StructType:
+    """The rows of a warehouse table."""
+    fields = {"user_activity": WAREHOUSE_USER_ACTIVITY, "sensor_data": WAREHOUSE_SENSOR_DATA}[family].fields
+    return StructType([*fields, StructField("event_date", DateType())])
+
+
+def read_warehouse(spark: SparkSession, family: str, table: str, upto: int | None = None):
+    """The whole warehouse table, folded or not, as the views read it."""
+    return folds.read_whole(spark, table, warehouse_schema(family), upto).drop("batch_id")
+
+
 def compact(spark: SparkSession, args) -> list[StreamingQuery]:
-    L.compact(spark, I.read_batches(spark, args.source), args.table, args.before, I.PARTITIONS[args.family],
-              args.files_per_partition or 1)
+    """Fold what has come since the last run; ``--drop`` removes what earlier runs folded."""
+    if args.drop:
+        folds.drop_folded(spark, args.table)
+    folds.fold(spark, args.table, warehouse_schema(args.family), I.PARTITIONS[args.family], CLUSTER_BY[args.family],
+               args.rows_per_file, args.whole)
     return []
 
 
@@ -133,9 +151,11 @@ def main(argv=None):
     ap.add_argument("--topic-path")
     ap.add_argument("--table", required=True)
     ap.add_argument("--checkpoint", help="folder of the job's progress; needed by all jobs but compact")
-    ap.add_argument("--source", help="input table of warehouse and compact; dimension folder of enrich")
+    ap.add_argument("--source", help="input table of warehouse; dimension folder of enrich")
     ap.add_argument("--family", choices=sorted(CONFORM), default="user_activity")
-    ap.add_argument("--before", help="compact: the first day (yyyy-mm-dd) that is still open")
+    ap.add_argument("--rows-per-file", type=int, default=folds.ROWS_PER_FILE, help="compact: rows a file")
+    ap.add_argument("--whole", action="store_true", help="compact: take in all earlier folds")
+    ap.add_argument("--drop", action="store_true", help="compact: first remove the batch folders that earlier runs folded")
     ap.add_argument("--threshold", type=int, default=1000, help="alerts: events an hour")
     ap.add_argument("--env", default="local")
     ap.add_argument("--kafka", action="store_true")
@@ -157,6 +177,7 @@ def main(argv=None):
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.shuffle.partitions": STREAMING_STATE_PARTITIONS if args.profile == "cluster" else "8"})
+    spark.streams.resetTerminated()  # a query that failed earlier in this session is not this job's
     queries = JOBS[args.job](spark, args)
     await_all(spark, queries)
     return queries

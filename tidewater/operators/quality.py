@@ -24,16 +24,29 @@ SENSOR_RANGES = {
 }
 
 
+def rule_counts(rules: Rules) -> list[Column]:
+    """Aggregates ``<rule>.checked`` and ``<rule>.failed`` of every rule."""
+    aggs = []
+    for name, (applies, holds) in rules.items():
+        aggs.append(F.count_if(applies).alias(f"{name}.checked"))
+        aggs.append(F.count_if(applies & ~F.coalesce(holds, F.lit(False))).alias(f"{name}.failed"))
+    return aggs
+
+
 def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
     """(rule, checked, failed) for every rule, from a single scan."""
-    aggs = []
-    for i, (applies, holds) in enumerate(rules.values()):
-        aggs.append(F.count_if(applies).alias(f"c{i}"))
-        aggs.append(F.count_if(applies & ~F.coalesce(holds, F.lit(False))).alias(f"f{i}"))
-    one = df.agg(*aggs)
-    names = list(rules)
-    stack = ", ".join(f"'{n}', c{i}, f{i}" for i, n in enumerate(names))
-    return one.select(F.expr(f"stack({len(names)}, {stack}) AS (rule, checked, failed)"))
+    one = df.agg(*rule_counts(rules))
+    stack = ", ".join(f"'{n}', `{n}.checked`, `{n}.failed`" for n in rules)
+    return one.select(F.expr(f"stack({len(rules)}, {stack}) AS (rule, checked, failed)"))
+
+
+def report_from_log(log: DataFrame) -> DataFrame:
+    """(rule, checked, failed) from the numbers that a processor's log holds for each batch:
+    the same report, without reading a row again."""
+    seen = log.select(F.explode("metrics").alias("name", "n")).where(F.col("name").contains("."))
+    part, n = F.substring_index("name", ".", -1), F.col("n")
+    return (seen.groupBy(F.regexp_extract("name", r"^(.*)\.[a-z]+$", 1).alias("rule"))
+            .agg(F.sum(F.when(part == "checked", n)).alias("checked"), F.sum(F.when(part == "failed", n)).alias("failed")))
 
 
 def user_activity_rules() -> Rules:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import keys as K
 from tidewater.operators import quality as Q
 from tidewater.operators.conform import conform_user_activity
+from tidewater.plans.batch import CORRUPT_EVERY
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.session import run_dir
@@ -41,22 +42,22 @@ FIRST_HALF_SQL = "event_id < (SELECT MIN(event_id) + (MAX(event_id) - MIN(event_
 @query("as_of_read", with_(UA) + f"""
 SELECT user_id, event_type, event_time, order_id FROM ua WHERE {FIRST_HALF_SQL}""")
 def q_as_of_read(spark, sf_dir):
-    """Two waves go through ingest; the read as of the moment between them, over a table
-    partitioned by the day of landing, gives the first."""
+    """Two waves go through the processor, each a batch; the read as of an instant at which
+    the second was running (its rows are stamped, its entry is not written) gives the first,
+    though both have landed since."""
     from tidewater.plans.batch import user_envelope
     from tidewater.sources.broker import publish, read_events
-    from tidewater.streaming import ingest as I
+    from tidewater.streaming import batches, ingest as I
     run = run_dir(spark, "as_of")
-    topic, table = os.path.join(run, "topic"), os.path.join(run, "table")
+    topic, table, schema = os.path.join(run, "topic"), os.path.join(run, "table"), I.table_schema("user_activity")
     env, split = user_envelope(spark, sf_dir), _middle(spark, sf_dir)
-    moments = []
     for wave in (F.col("offset") < split, F.col("offset") >= split):
         publish(env.where(wave), topic)
-        I.run_to_end(I.start_ingest(read_events(spark, "user_activity", topic), "user_activity", table,
-                                    os.path.join(run, "ckpt"), trigger=I.TEST_TRIGGER, ingest_date=True))
-        moments.append(spark.sql("SELECT CAST(CAST(current_timestamp() AS TIMESTAMP_NTZ) AS STRING)").first()[0])
-    rows = spark.read.parquet(table)
-    return L.as_of(rows, moments[0]).select("user_id", "event_type", "event_time", "order_id")
+        I.run_to_end(I.start_processor(read_events(spark, "user_activity", topic), "user_activity", table,
+                                       table + "_dead_letters", os.path.join(run, "ckpt"), I.TEST_TRIGGER))
+    began = batches.read(spark, table, schema).agg(F.max("processing_time").cast("string")).first()[0]
+    rows = batches.read_as_of(spark, table, schema, began or "2024-01-01 00:00:00")
+    return rows.select("user_id", "event_type", "event_time", "order_id")
 
 
 def _middle(spark, sf_dir):
@@ -139,3 +140,16 @@ QUALITY_SQL = with_(UA) + "\nUNION ALL\n".join([
 @query("quality_report", QUALITY_SQL)
 def q_quality_report(spark, sf_dir):
     return Q.rule_report(B.user_activity(spark, sf_dir), driver_rules())
+
+
+@query("quality_stream", QUALITY_SQL.replace(" FROM ua", f" FROM ua WHERE event_id % {CORRUPT_EVERY} <> 0"))
+def q_quality_stream(spark, sf_dir):
+    """The quality report of a topic with broken messages, from what the processor observed
+    while it wrote its batches: no row is read a second time."""
+    from tidewater.plans.streams import _process, _topic
+    from tidewater.streaming import batches
+    run = run_dir(spark, "quality_stream")
+    table = os.path.join(run, "tables", "user_activity")
+    _process(spark, _topic(spark, sf_dir, "user_activity", CORRUPT_EVERY), table, os.path.join(run, "ckpt"),
+             max_files_per_trigger=4, rules=driver_rules())
+    return Q.report_from_log(batches.entries(spark, table))

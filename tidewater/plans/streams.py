@@ -14,7 +14,7 @@ from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelo
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.schemas import SENSOR_SINK, USER_ACTIVITY_SINK
-from tidewater.session import run_dir, shared_root
+from tidewater.session import filesystem, run_dir, shared_root
 from tidewater.sources import bindings as B
 from tidewater.sources import lake as L
 from tidewater.sources.broker import publish, read_events
@@ -43,7 +43,7 @@ FROM ua"""
 _TOPICS: dict[tuple, str] = {}
 
 
-def _topic(spark, sf_dir, family, run=None, corrupt_every=None):
+def _topic(spark, sf_dir, family, corrupt_every=None):
     """The topic folder of one family, published once for the files that ``events`` has now
     (their paths, sizes and times) and read by every streaming query with a checkpoint of
     its own, as independent jobs read one topic.  A rewritten table is published anew."""
@@ -72,7 +72,7 @@ def _ingest_once(spark, family, topic_path, table, ckpt):
 @query("ingest_user_activity", with_(UA) + UA_TABLE_ORACLE)
 def q_ingest_user_activity(spark, sf_dir):
     run = run_dir(spark, "ingest_ua")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     table = os.path.join(run, "tables", "user_activity")
     _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt"))
     return _ua_table_out(spark.read.parquet(table))
@@ -85,7 +85,7 @@ SD_TABLE_ORACLE = """SELECT sensor_id, sensor_type, event_time, latitude, longit
 @query("ingest_sensor_data", with_(SD) + SD_TABLE_ORACLE)
 def q_ingest_sensor_data(spark, sf_dir):
     run = run_dir(spark, "ingest_sd")
-    topic = _topic(spark, sf_dir, "sensor_data", run)
+    topic = _topic(spark, sf_dir, "sensor_data")
     table = os.path.join(run, "tables", "sensor_data")
     _ingest_once(spark, "sensor_data", topic, table, os.path.join(run, "ckpt"))
     return spark.read.parquet(table).select(*SD_SINK_COLS)
@@ -94,7 +94,7 @@ def q_ingest_sensor_data(spark, sf_dir):
 def _ingest_by_sql(spark, sf_dir, family):
     run = run_dir(spark, "ingest_sql")
     table = os.path.join(run, "tables", family)
-    rows = I.ingest_sql(spark, read_events(spark, family, _topic(spark, sf_dir, family, run)), family,
+    rows = I.ingest_sql(spark, read_events(spark, family, _topic(spark, sf_dir, family)), family,
                         f"{family}_decoded_" + os.path.basename(run).replace("-", "_"))
     I.run_to_end(rows.writeStream.format("parquet").outputMode("append").partitionBy(*I.PARTITIONS[family])
                  .option("path", table).option("checkpointLocation", os.path.join(run, "ckpt")).trigger(**NOW).start())
@@ -115,37 +115,101 @@ def q_ingest_sql_sensor_data(spark, sf_dir):
 def q_processor_rows(spark, sf_dir):
     """The production processor over a topic with broken messages: its table."""
     run = run_dir(spark, "processor")
-    topic = _topic(spark, sf_dir, "user_activity", run, CORRUPT_EVERY)
+    topic = _topic(spark, sf_dir, "user_activity", CORRUPT_EVERY)
     table = os.path.join(run, "tables", "user_activity")
     I.run_to_end(I.start_processor(read_events(spark, "user_activity", topic), "user_activity", table,
                                    table + "_dead_letters", os.path.join(run, "ckpt"), NOW))
     return _ua_table_out(I.read_batches(spark, table))
 
 
-@query("warehouse_job_hourly", with_(WUA) + """
-SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2""")
-def q_warehouse_job_hourly(spark, sf_dir):
-    """The view over the jobs' tables: processor, warehouse job, compaction of the closed
-    days, hourly view over the whole."""
+HOURLY_ORACLE = with_(WUA) + """
+SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2"""
+
+
+def _process(spark, topic, table, ckpt, family="user_activity", **how):
+    how.setdefault("trigger", NOW)
+    files = how.pop("max_files_per_trigger", None)
+    I.run_to_end(I.start_processor(read_events(spark, family, topic, max_files_per_trigger=files), family, table,
+                                   table + "_dead_letters", ckpt, **how))
+
+
+def _lose_commit(spark, ckpt):
+    """What a query that dies between its sink and its checkpoint leaves: the last batch's
+    commit is missing, and the next start replays that batch."""
+    fs, commits = filesystem(spark, os.path.join(ckpt, "commits"))
+    ids = [int(n) for n in (s.getPath().getName() for s in fs.listStatus(commits)) if n.isdigit()]
+    for name in (str(max(ids)), f".{max(ids)}.crc"):
+        fs.delete(filesystem(spark, os.path.join(ckpt, "commits", name))[1], False)
+
+
+def warehouse_with_replays(spark, sf_dir, run, after_first=None):
+    """Processor and warehouse job over three waves of one topic (the oldest rows last); after
+    each wave both lose their last commit and replay a batch.  ``after_first(warehouse)`` runs
+    when the first wave is in.  The warehouse table's path."""
     from tidewater import jobs
-    run = run_dir(spark, "warehouse_job")
+    topic, waves = _three_waves(spark, sf_dir, run, "user_activity")
     table, warehouse = os.path.join(run, "tables", "user_activity"), os.path.join(run, "warehouse", "user_activity")
-    I.run_to_end(I.start_processor(read_events(spark, "user_activity", _topic(spark, sf_dir, "user_activity", run)),
-                                   "user_activity", table, table + "_dead_letters", os.path.join(run, "ckpt"), NOW))
-    I.run_to_end(jobs.start_warehouse(spark, "user_activity", table, warehouse, os.path.join(run, "ckpt_wh"), NOW))
-    log = I.read_batches(spark, warehouse)
-    L.compact(spark, log, warehouse + "_compacted", CLOSED_BEFORE)
-    return V.hourly_user_activity(L.with_compacted(log, spark.read.parquet(warehouse + "_compacted"), CLOSED_BEFORE))
+    ckpts = [os.path.join(run, c) for c in ("ckpt", "ckpt_wh")]
+
+    def both():
+        _process(spark, topic, table, ckpts[0], max_files_per_trigger=2)
+        I.run_to_end(jobs.start_warehouse(spark, "user_activity", table, warehouse, ckpts[1], NOW))
+
+    for n, publish_wave in enumerate(waves):
+        publish_wave()
+        both()
+        for c in ckpts:
+            _lose_commit(spark, c)
+        if n == 0 and after_first:
+            after_first(warehouse)
+    both()
+    return warehouse
+
+
+@query("warehouse_replay_hourly", HOURLY_ORACLE)
+def q_warehouse_replay_hourly(spark, sf_dir):
+    """The hourly view over a warehouse table whose processor and job replayed batches."""
+    from tidewater import jobs
+    warehouse = warehouse_with_replays(spark, sf_dir, run_dir(spark, "replay"))
+    return V.hourly_user_activity(jobs.read_warehouse(spark, "user_activity", warehouse))
 
 
-CLOSED_BEFORE = "2024-01-15"
+@query("warehouse_job_hourly", HOURLY_ORACLE)
+def q_warehouse_job_hourly(spark, sf_dir):
+    """The view over the jobs' tables: the warehouse table is folded and its folded batches
+    removed after the first wave; the rows of the older days arrive behind the fold."""
+    from tidewater import jobs
+    from tidewater.streaming import folds
+
+    def compact(warehouse):
+        folds.fold(spark, warehouse, jobs.warehouse_schema("user_activity"), I.PARTITIONS["user_activity"],
+                   jobs.CLUSTER_BY["user_activity"])
+        folds.drop_folded(spark, warehouse)
+
+    warehouse = warehouse_with_replays(spark, sf_dir, run_dir(spark, "warehouse_job"), compact)
+    return V.hourly_user_activity(jobs.read_warehouse(spark, "user_activity", warehouse))
+
+
+@query("rollup_replay", HOURLY_ORACLE)
+def q_rollup_replay(spark, sf_dir):
+    """Hourly partial counts of a processor's table, batch by batch, added up; both the
+    processor and the rollup replay a batch."""
+    run = run_dir(spark, "rollup_replay")
+    topic, table = _topic(spark, sf_dir, "user_activity"), os.path.join(run, "tables", "user_activity")
+    out, ckpts = os.path.join(run, "tables", "hourly"), [os.path.join(run, c) for c in ("ckpt", "ckpt_rollup")]
+    for _ in range(2):
+        _process(spark, topic, table, ckpts[0], max_files_per_trigger=3)
+        I.run_to_end(W.start_table_rollup(spark, table, I.table_schema("user_activity"), V.hourly_user_activity, out, ckpts[1], NOW))
+        for c in ckpts:
+            _lose_commit(spark, c)
+    return W.read_partial_log(spark, out, ["hour", "event_type"], ["event_count"])
 
 
 @query("restart_no_duplicates", with_(UA) + UA_TABLE_ORACLE)
 def q_restart_no_duplicates(spark, sf_dir):
     """Same checkpoint started twice: the second run finds nothing new."""
     run = run_dir(spark, "restart")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     table, ckpt = os.path.join(run, "tables", "user_activity"), os.path.join(run, "ckpt")
     _ingest_once(spark, "user_activity", topic, table, ckpt)
     _ingest_once(spark, "user_activity", topic, table, ckpt)
@@ -157,7 +221,7 @@ SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_cou
 def q_stream_equals_batch(spark, sf_dir):
     """The batch view over the table the stream writes equals the view over the source."""
     run = run_dir(spark, "stream_batch")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     table = os.path.join(run, "tables", "user_activity")
     _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt"))
     return V.hourly_user_activity(conform_user_activity(spark.read.parquet(table)))
@@ -166,7 +230,7 @@ def q_stream_equals_batch(spark, sf_dir):
 @query("sink_csv_roundtrip", with_(UA) + UA_TABLE_ORACLE)
 def q_sink_csv_roundtrip(spark, sf_dir):
     run = run_dir(spark, "csv")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     out = os.path.join(run, "tables", "user_activity_csv")
     q = I.start_csv_sink(read_events(spark, "user_activity", topic), "user_activity", out,
                          os.path.join(run, "ckpt"), trigger=NOW)
@@ -185,7 +249,7 @@ SELECT CAST(user_id AS VARCHAR) AS key, 'user-activity' AS topic, event_id AS of
 FROM events WHERE event_id % {CORRUPT_EVERY} = 0""")
 def q_dead_letter_stream(spark, sf_dir):
     run = run_dir(spark, "dlq")
-    topic = _topic(spark, sf_dir, "user_activity", run, CORRUPT_EVERY)
+    topic = _topic(spark, sf_dir, "user_activity", CORRUPT_EVERY)
     path = os.path.join(run, "tables", "dead_letters")
     q = I.start_dead_letters(read_events(spark, "user_activity", topic), "user_activity", path,
                              os.path.join(run, "ckpt"), trigger=NOW)
@@ -210,7 +274,7 @@ HAVING time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds'
 
 def _sensor_windows(spark, sf_dir, value_aggs: bool):
     run = run_dir(spark, "tumble")
-    topic = _topic(spark, sf_dir, "sensor_data", run)
+    topic = _topic(spark, sf_dir, "sensor_data")
     dec = I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None)
     out = os.path.join(run, "tables", "windows")
     stats = W.event_time_window_stats(dec, "timestamp", value_col="reading" if value_aggs else None)
@@ -295,7 +359,7 @@ def q_tumbling_count_proctime_total(spark, sf_dir):
 def _arrival_counts(spark, sf_dir):
     run = run_dir(spark, "counter")
     out = os.path.join(run, "tables", "message_counts")
-    I.run_to_end(W.start_partial_log(read_events(spark, "sensor_data", _topic(spark, sf_dir, "sensor_data", run)),
+    I.run_to_end(W.start_partial_log(read_events(spark, "sensor_data", _topic(spark, sf_dir, "sensor_data")),
                                      W.arrival_window_count, out, os.path.join(run, "ckpt"), NOW))
     return W.read_partial_log(spark, out, ["window_start", "window_end"], ["message_count"])
 
@@ -307,7 +371,7 @@ def q_stream_from_table(spark, sf_dir):
     adds its own hourly counts to a log, and the log added up equals the batch view,
     whatever the order of the files and the batches."""
     run = run_dir(spark, "table_stream")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     table = os.path.join(run, "tables", "user_activity")
     _ingest_once(spark, "user_activity", topic, table, os.path.join(run, "ckpt_ingest"))
     return hourly_from_table(spark, table, run)
@@ -333,7 +397,7 @@ def q_enrich_stream(spark, sf_dir):
     customer dimension."""
     from tidewater.operators import enrich as EN
     run = run_dir(spark, "enrich_stream")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     rows = I.ingest_frame(read_events(spark, "user_activity", topic), "user_activity")
     out = EN.enrich_user_activity(rows.select("user_id", "event_type", "event_time"),
                                   *[B.read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")])
@@ -356,7 +420,7 @@ def q_hourly_alerts_stream(spark, sf_dir):
     alerted at most once) when the watermark passes its end."""
     from tidewater.streaming import alerts as A
     run = run_dir(spark, "alerts")
-    topic = _topic(spark, sf_dir, "user_activity", run)
+    topic = _topic(spark, sf_dir, "user_activity")
     events = I.decoded_events(read_events(spark, "user_activity", topic), "user_activity")
     path = os.path.join(run, "tables", "alerts")
     I.run_to_end(A.start_hourly_alerts(events, ALERT_THRESHOLD_STREAM, path, os.path.join(run, "ckpt"), NOW))

@@ -96,3 +96,9 @@ def shared_root(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared root for one run of one job."""
     return os.path.join(shared_root(spark), "runs", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - small driver-side steps: exists, rename, delete
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewater.functions.timefn import event_date, hour_sql
+from tidewater.functions.timefn import event_date, event_hour, hour_sql
 
 USER_ACTIVITY_DDL = """
 CREATE TABLE IF NOT EXISTS {db}.user_activity (
@@ -94,19 +94,24 @@ def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] = ("
 
 
 def read_range(df: DataFrame, lo: str, hi: str, time_col: str = "event_time",
-               date_col: str = "event_date") -> DataFrame:
+               date_col: str = "event_date", hour_col: str = "event_hour") -> DataFrame:
     """Rows with lo <= time < hi, with the derived partition bounds added so the
-    scan reads only the days in range."""
+    scan reads only the days in range, and inside them, where the table has an hour
+    column (folded tables do), only files and row groups that hold hours in range."""
     lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
     cond = (F.col(time_col) >= lo_c) & (F.col(time_col) < hi_c)
     if date_col in df.columns:
         cond &= (F.col(date_col) >= F.to_date(lo_c)) & (F.col(date_col) <= F.to_date(hi_c))
+    if hour_col in df.columns:
+        cond &= (F.col(hour_col) >= event_hour(lo_c)) & (F.col(hour_col) <= event_hour(hi_c))
     return df.where(cond)
 
 
 def as_of(df: DataFrame, t: str, stamp_col: str = "processing_time", date_col: str = "ingest_date") -> DataFrame:
-    """Historical read of an append-only table: the rows that had landed by ``t``.  On a
-    table partitioned by the day of landing, later days are not read."""
+    """Rows stamped by ``t``.  A stamp is taken when a batch begins, so rows of a batch that
+    runs at ``t`` come in later; for a read that is the same whenever it is asked, of a
+    processor's table, see ``streaming/batches.read_as_of``.  On a table partitioned by the
+    day of landing, later days are not read."""
     at = F.lit(t).cast("timestamp_ntz")
     cond = F.col(stamp_col) <= at
     if date_col in df.columns:
@@ -120,25 +125,6 @@ def read_evolving(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def compact(spark: SparkSession, log: DataFrame, path: str, before: str, partitions: tuple[str, ...] = ("event_date",),
-            files_per_partition: int = 1) -> None:
-    """Rewrite the closed days (event_date < ``before``) of a table into ``path``, with at
-    most ``files_per_partition`` files for each of their partitions.  Days are overwritten
-    one by one, so a repeated run changes nothing.  Rows are spread over a partition's
-    files by their content, so a hot day is not one task's work."""
-    closed = log.where(F.col("event_date") < F.to_date(F.lit(before)))
-    salt = F.pmod(F.xxhash64(*closed.columns), F.lit(files_per_partition))
-    (closed.repartition(*[F.col(c) for c in partitions], salt).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
-
-
-def with_compacted(log: DataFrame, compacted: DataFrame, before: str) -> DataFrame:
-    """The whole table: closed days from the compacted copy, the rest from the log."""
-    day = F.to_date(F.lit(before))
-    rest = log.where((F.col("event_date") >= day) | F.col("event_date").isNull())
-    return compacted.where(F.col("event_date") < day).unionByName(rest.select(*compacted.columns))
-
-
 def register_memory_table(df: DataFrame, name: str) -> DataFrame:
     """Small, hot table kept in executor memory and queryable by name."""
     cached = df.persist()

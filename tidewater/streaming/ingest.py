@@ -4,21 +4,24 @@ append to a date-partitioned Parquet table.
 Exactly-once: the Parquet file sink commits each micro-batch through its own
 metadata log, and the source offsets through the checkpoint, so a restarted or
 re-run query adds no duplicate rows.  The processor, which writes rows and dead
-letters from one parse, overwrites a folder per micro-batch instead.  Stateless:
+letters from one parse, writes a folder per micro-batch and a log of finished ones.  Stateless:
 the watermark is declared (the table is an event-time table) but drops nothing
 here; late rows are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidewater.functions.codec import dead_letters, decode, decode_valid, split_dead_letters, valid_rows
 from tidewater.functions.timefn import event_date, to_rest
 from tidewater.operators.conform import sensor_sink_row, user_activity_sink_row
+from tidewater.operators.quality import Rules, rule_counts
 from tidewater.schemas import FAMILIES, SENSOR_DATA_PARTITIONS, USER_ACTIVITY_PARTITIONS
+from tidewater.streaming import batches
 
 WATERMARK_DELAY = "5 seconds"
 PRODUCTION_TRIGGER = {"processingTime": "60 seconds"}
@@ -77,27 +80,35 @@ def start_ingest(env: DataFrame, family: str, table_path: str, checkpoint: str,
 
 def start_processor(env: DataFrame, family: str, table_path: str, dead_letter_path: str, checkpoint: str,
                     trigger: dict | None = None, query_name: str | None = None,
-                    files_per_partition: int | None = None) -> StreamingQuery:
+                    files_per_partition: int | None = None, rules: Rules | None = None) -> StreamingQuery:
     """Processor: each message is read and parsed once; valid rows go to
-    ``<table>/batch_id=<n>``, dead letters to ``<dead letters>/batch_id=<n>``, both
-    overwritten, so a batch replayed after a failure between the two changes nothing."""
+    ``<table>/batch_id=<n>``, dead letters to ``<dead letters>/batch_id=<n>``, and then the
+    batch is entered in the table's log (``streaming/batches``).  The entry holds what was
+    observed while the rows were written, in the same pass: rows, dead letters and, for each
+    of ``rules``, rows checked and failed."""
     schema, partitions = FAMILIES[family]["payload"], PARTITIONS[family]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = decode(batch, schema).persist()
+    def write(batch: DataFrame, batch_id: int) -> dict:
+        parsed, seen, lost = decode(batch, schema).persist(), Observation(), Observation()
         try:
             rows = sink_rows(valid_rows(parsed, schema), family)
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *rule_counts(rules or {}))
             if files_per_partition:
                 rows = cluster_for_sink(rows, partitions, files_per_partition)
             rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{table_path}/batch_id={batch_id}")
             (split_dead_letters(parsed).withColumn("failed_at", to_rest(F.current_timestamp()))
+             .observe(lost, F.count(F.lit(1)).alias("dead_letters"))
              .write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}"))
+            return {"metrics": {**seen.get, **lost.get}}
         finally:
             parsed.unpersist()
 
-    w = (env.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or PRODUCTION_TRIGGER)))
-    return (w.queryName(query_name) if query_name else w).start()
+    return batches.start(env, table_path, checkpoint, write, trigger or PRODUCTION_TRIGGER, query_name)
+
+
+def table_schema(family: str) -> StructType:
+    """The rows of a processor's table."""
+    return StructType([*FAMILIES[family]["sink"].fields, StructField("event_date", DateType())])
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidewater.functions.codec import is_record
 from tidewater.schemas import COUNTER_PAYLOAD
 from tidewater.functions.timefn import to_rest
+from tidewater.streaming import batches
 
 WINDOW = "10 seconds"
 
@@ -64,6 +66,15 @@ def start_partial_log(stream: DataFrame, aggregate: Callable[[DataFrame], DataFr
     return (w.queryName(query_name) if query_name else w).start()
 
 
+def start_table_rollup(spark: SparkSession, source: str, schema: StructType, aggregate: Callable[[DataFrame], DataFrame],
+                       path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """The partial aggregates of a processor's table, of whole source batches: a batch that
+    the processor or this job replays is counted once."""
+    def write(rows: DataFrame, batch_id: int, before: dict | None) -> None:
+        aggregate(rows).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return batches.follow(spark, source, schema, path, checkpoint, write, trigger)
+
+
 def folded_path(path: str) -> str:
     return path.rstrip("/") + "_folded"
 
