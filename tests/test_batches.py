@@ -211,8 +211,8 @@ def test_clustered_files_skip(spark):
         table = spark.read.parquet(f"{run}/{n}")
         ranged = L.read_range(table, "2024-01-01 10:00:00", "2024-01-01 11:00:00")
         hour[n], user[n], both[n] = (scanned(x) for x in (ranged, table.where("user_id = 'user-321'"), ranged.where("user_id = 'user-321'")))
-    assert hour["time"] < 2_500 and user["time"] == 20_000 and both["time"] == hour["time"]
-    assert hour["curve"] < 6_000 and user["curve"] < 6_000 and both["curve"] <= 1_000
+    assert hour["time"] < 2_500 and user["time"] > 15_000 and both["time"] > 1_000  # some files lack the user
+    assert hour["curve"] < 6_000 and user["curve"] < 6_000 and both["curve"] <= 800
     assert spark.read.parquet(run + "/curve").count() == 20_000
 
 
