@@ -336,9 +336,10 @@ def test_stage_on_empty_tables(spark, empty, name, stage):
 def test_pipeline_by_brute_force(spark, awkward):
     """Each stage's decisions against plain versions (the models' against their queries)."""
     docs = spark.read.parquet(f"{awkward}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
-    kept = docs
+    kept, stages = docs, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before, kept = kept.collect(), stage(spark, kept, awkward).cache()
+        stages.append(kept)
         after = kept.collect()
         ids = sorted([r["doc_id"] for r in after], key=repr)
         if name == "language_id":
@@ -350,3 +351,5 @@ def test_pipeline_by_brute_force(spark, awkward):
             assert ids == sorted([r["doc_id"] for r in before if not brute.contamination(r["text"], bench)[1]], key=repr)
     final = corpus_pipeline.run(spark, awkward)
     assert final.columns == ["doc_id", "ids", "n_tokens"] and final.count() == kept.count()
+    for stage in stages:
+        stage.unpersist()
