@@ -5,6 +5,8 @@ import datetime as dt
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -143,6 +145,36 @@ def test_bursts_ties_and_null_times_are_split(spark):
     assert sizes[0] <= 2500 and sizes[1] >= 30 and sizes[2] == 60_000
 
 
+def _dense(spark, share, gap_us, n=200_000):
+    """Evenly spread rows of one sensor, but for ``share`` of them ``gap_us`` apart."""
+    t, i = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("id")
+    dense = F.timestamp_add("MICROSECOND", i * gap_us, F.timestamp_add("SECOND", F.lit(777_777), t))
+    return spark.range(n).select(i.alias("event_id"), F.lit("s").alias("sensor_id"), F.when(
+        F.pmod(F.xxhash64("id"), F.lit(1000)) < int(share * 1000), dense).otherwise(F.timestamp_add("SECOND", i * 13, t)).alias("event_time"))
+
+
+@pytest.mark.parametrize("share,gap_us", [(0.01, 0), (0.02, 0), (0.02, 5), (0.03, 1), (0.6, 0), (1.0, 0)])
+def test_dense_intervals_of_any_share_are_split(spark, share, gap_us):
+    """400 targets, and a few hundredths of the rows in one second or at one instant."""
+    sizes = _group_sizes(_dense(spark, share, gap_us), 500).agg(F.max("own"), F.count("*"), F.sum("own"), F.max("carried")).first()
+    assert sizes[0] <= 1000 and sizes[1] >= 200 and sizes[2] == 200_000 and sizes[3] <= 500
+
+
+def test_many_cuts_and_tables_joined_by_shuffle(spark, monkeypatch):
+    df = _skewed_readings(spark)
+    w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id").rowsBetween(-5, -1)
+    want = sorted(map(tuple, df.select("event_id", F.count("reading").over(w), F.max("reading").over(w)).collect()), key=repr)
+    got = lambda target: sorted(map(tuple, D.cut(df, "sensor_id", ("event_time", "event_id"), target, carry=5).withColumn(
+        "c", F.count("reading").over(v)).withColumn("m", F.max("reading").over(v)).where(~F.col("_carry"))
+        .select("event_id", "c", "m").collect()), key=repr)
+    v = Window.partitionBy("sensor_id", "_b").orderBy("event_time", "event_id").rowsBetween(-5, -1)
+    assert got(1) == want
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    assert got(20) == want
+    monkeypatch.setattr(D, "MAX_CUTS", 3)  # the target grows
+    assert got(1) == want and D.cut(df, "sensor_id", ("event_time", "event_id"), 1).select("sensor_id", "_b").distinct().count() <= 20
+
+
 def test_buckets_follow_row_order(spark):
     b = D.cut(_skewed_readings(spark), "sensor_id", ("event_time", "event_id"), 50)
     w = Window.partitionBy("sensor_id").orderBy("event_time", "event_id")

@@ -7,12 +7,13 @@ rows, and there are only ~100 sensors.  Instead an entity with more than
 and each (entity, bucket) group gets exactly what it needs from earlier rows,
 so parallelism follows the data, not the number of entities.
 
-The cuts come from two aggregates.  The first takes each entity's row count and
-quantiles of its times; the second counts the rows of the hot entities' cells
-(a quantile interval, divided evenly), and buckets are runs of cells.  Buckets
-therefore follow the rows, whatever the density: a stray or bursty timestamp
-changes nothing.  Rows without a time come first and are cut by their id, as are
-instants that hold many rows.  The results do not depend on the cuts.
+The cuts are found by counting.  A hot entity's rows are split at quantiles of their
+times into cells; a cell that still holds too many rows is split again at quantiles of its
+own rows, and so on; an instant that holds too many is a cell of its own and is split at
+quantiles of the ids.  Buckets are runs of cells.  So they follow the rows whatever the
+density: a stray timestamp, a burst or a crowded instant of any share of the rows changes
+nothing.  Rows without a time come first and are cut by their id.  The results do not depend
+on the cuts.
 """
 
 from __future__ import annotations
@@ -23,53 +24,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-TARGET_ROWS = 200_000  # rows per (entity, bucket) group; a window task handles one group
-MAX_CUTS = 4_000       # at most so many targets in all rows: beyond, the target grows
-# Quantiles of the times: denser at the ends, so that outliers get intervals of their own.
-FRACTIONS = [0.0, 0.0005, 0.005, *[k / 40 for k in range(1, 40)], 0.995, 0.9995, 1.0]
+from tidewater.session import checkpointed
+
+TARGET_ROWS = 200_000   # rows per (entity, bucket) group; a window task handles one group
+MAX_CUTS = 1_000_000    # at most so many targets in all rows: beyond, the target grows
 CELLS_PER_TARGET = 4
+FAN_OUT = 64            # quantile ranges of one split
+LEVELS = 8              # splits of splits: 64^8 cells; beyond are only rows equal in time and id
+BROADCAST_ROWS = 100_000  # counted rows (some 500 bytes each); a larger table is joined by shuffle
+STEP = 128              # of a cell's number from one level to the next
 
 
 def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Adds ``_timed`` (has a time; rows without sort first, as in a window) and ``_at``:
-    microseconds from a fixed local origin, which no time zone touches, or the id."""
+    """Adds ``_timed`` (has a time; rows without sort first, as in a window), ``_tie``, the id,
+    and ``_at``: microseconds from a fixed local origin, which no time zone touches."""
     time, tie = F.col(order[0]), F.col(order[1]).cast("long")
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return df.withColumns({"_timed": time.isNotNull(), "_tie": tie, "_at": F.coalesce(
-        F.timestamp_diff("MICROSECOND", origin, time.cast("timestamp_ntz")), tie, F.lit(0))})
-
-
-def _hot(rows: DataFrame, key: str, target_rows: int) -> DataFrame:
-    """One or two rows (with and without time) for each key of more than the target.  The
-    target grows with the input so that there are at most 2 * MAX_CUTS of them."""
-    stats = rows.groupBy(key, "_timed").agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_at", FRACTIONS).alias("_edges"),
-        F.min("_tie").alias("_tie0"), F.max("_tie").alias("_tie1"))
-    total = rows.agg(F.count(F.lit(1)).alias("n"))  # a scan of no columns
-    target = F.greatest(F.lit(target_rows).cast("double"), total.scalar() / MAX_CUTS)
-    whole = F.sum("_n").over(Window.partitionBy(key))
-    return (stats.withColumns({"_whole": whole, "_target": target}).where(F.col("_whole") > F.col("_target"))
-            .select(F.col(key).alias("_hk"), F.col("_timed").alias("_ht"), "_edges", "_tie0", "_tie1", "_target",
-                    F.ceil(CELLS_PER_TARGET * F.col("_n") / F.col("_target")).alias("_cells")))
-
-
-def _celled(rows: DataFrame, hot: DataFrame, key: str, how: str) -> DataFrame:
-    """Adds ``_cell`` and ``_sub``: in row order of a hot key, NULL for the others."""
-    j = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["_hk"]) & (rows["_timed"] == hot["_ht"]), how)
-    edges, at = F.col("_edges"), F.col("_at")
-    i = F.size(F.filter(edges, lambda e: e <= at))
-    low, high = F.get(edges, i - 1), F.get(edges, i)
-    parts = F.ceil(F.col("_cells") / 40)
-    inside = F.least(parts - 1, F.floor((at - low).cast("double") / (high - low) * parts))
-    tied = F.size(F.filter(edges, lambda e: e == at)) >= 2
-    spread = (F.col("_tie1") - F.col("_tie0") + 1).cast("double")
-    return j.withColumns({
-        # a crowded instant is the least of its interval: it comes before the interval's first cell
-        "_cell": F.when(edges.isNotNull(), F.when(tied, 2 * i * parts).otherwise(
-            2 * (i * parts + F.coalesce(inside, F.lit(0))) + 1)).cast("long"),
-        "_sub": F.when(edges.isNotNull(), F.when(tied, F.coalesce(F.floor(
-            (F.col("_tie") - F.col("_tie0")) / spread * F.col("_cells")), F.lit(-1))).otherwise(0)).cast("long"),
-    }).drop("_hk", "_ht", "_edges", "_tie0", "_tie1", "_cells")
+    return df.withColumns({"_timed": time.isNotNull(), "_tie": F.coalesce(tie, F.lit(-(1 << 62))), "_at": F.coalesce(
+        F.timestamp_diff("MICROSECOND", origin, time.cast("timestamp_ntz")), F.lit(0))})
+
+
+def _hinted(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def _splits(x: DataFrame, key: str, most: float) -> DataFrame:
+    """For each open cell of more than ``most`` rows: ``_by_tie``, whether ids split it (all its
+    rows are of one instant), and ``_edges``, the least values of the parts after the first.
+    Rows equal in time and id are not split."""
+    shares = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    stats = x.where("_open").groupBy(key, "_timed", "_cell").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("_at") == F.max("_at")).alias("_by_tie"), (F.min("_tie") == F.max("_tie")).alias("one_tie"),
+        F.percentile_approx("_at", shares).alias("at"), F.percentile_approx("_tie", shares).alias("tie"))
+    parts = F.least(F.ceil(F.col("n") / most), F.lit(FAN_OUT)).cast("int")
+    found = F.when(F.col("_by_tie"), F.col("tie")).otherwise(F.col("at"))
+    edges = F.transform(F.sequence(F.lit(1), parts - 1), lambda j: F.get("found", F.round(j * FAN_OUT / parts).cast("int") - 1))
+    # a value that stands at two edges is crowded: it gets a part of its own
+    crowded = F.transform(F.filter("edges", lambda e, i: e == F.get("edges", i + 1)), lambda e: e + 1)
+    return (stats.where((F.col("n") > most) & ~(F.col("_by_tie") & F.col("one_tie")))
+            .withColumn("found", found).withColumn("edges", edges)
+            .select(F.col(key).alias("_sk"), F.col("_timed").alias("_st"), F.col("_cell").alias("_sc"), "_by_tie",
+                    F.array_sort(F.array_distinct(F.concat("edges", crowded))).alias("_edges")))
+
+
+def _celled(rows: DataFrame, hot: DataFrame, n_hot: int, key: str, most: float) -> DataFrame:
+    """Adds ``_cell``: numbers in row order of a hot key's rows, NULL for other keys."""
+    x = rows.join(_hinted(hot.select(F.col(key).alias("_hk"), F.lit(0).cast("long").alias("_cell")), n_hot),
+                  rows[key].eqNullSafe(F.col("_hk")), "left").drop("_hk")
+    x = x.withColumn("_open", F.col("_cell").isNotNull())
+    for _ in range(LEVELS):
+        splits = checkpointed(_splits(x, key, most))
+        n = splits.count()
+        if not n:
+            break
+        j = x.join(_hinted(splits, n), x["_open"] & x[key].eqNullSafe(splits["_sk"]) & (x["_timed"] == splits["_st"])
+                   & (x["_cell"] == splits["_sc"]), "left")
+        value = F.when(F.col("_by_tie"), F.col("_tie")).otherwise(F.col("_at"))
+        part = F.coalesce(F.size(F.filter("_edges", lambda e: e <= value)), F.lit(0))
+        part = F.when(F.col("_edges").isNull(), 0).otherwise(part)
+        x = j.withColumns({"_cell": F.col("_cell") * STEP + part, "_open": F.col("_edges").isNotNull()}).drop(*splits.columns)
+    return x.drop("_open")
 
 
 def cut(df: DataFrame, key: str, order: Sequence[str], target_rows: int = TARGET_ROWS, carry: int = 0,
@@ -78,18 +92,29 @@ def cut(df: DataFrame, key: str, order: Sequence[str], target_rows: int = TARGET
     that begin within so many rows after the row's cell also get the row, marked ``_carry``.
     ``latest``: ``_before`` is the largest value of that column in earlier buckets.
 
-    Both tables joined are broadcast: the hot keys are at most 2 * MAX_CUTS, and their cells
-    some 50 a key, 5 a target, and 4 a target for each of at most 40 crowded instants."""
+    Without a hot key this is one count by key.  With hot keys each level of cells is one
+    aggregate over their rows, done while the plan is built.  A bucket holds less than twice
+    the target, but for rows equal in time and id.  Tables joined to the rows (hot keys, splits,
+    cells) are counted, and broadcast up to ``BROADCAST_ROWS``; a larger cell table is joined by
+    (key, cell), where no group is large."""
     rows = _placed(df, order)
-    hot = _hot(rows, key, target_rows)
-    cell = ["_timed", "_cell", "_sub"]
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.first("_target").alias("_target")]
-    aggs += [F.max(latest).alias("_latest")] if latest is not None else []
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    target = max(target_rows, -(-rows.count() // MAX_CUTS))
+    hot = checkpointed(counts.where(F.col("_n") > target))
+    n_hot = hot.count()
+    if not n_hot:
+        own = {"_b": F.lit(0).cast("long")} | ({"_carry": F.lit(False)} if carry else {})
+        if latest is not None:
+            own["_before"] = F.lit(None).cast(df.select(latest.alias("c")).schema["c"].dataType)
+        return df.withColumns(own)
+    x = _celled(rows, hot, n_hot, key, max(1, target / CELLS_PER_TARGET))
+    cell = ["_timed", "_cell"]
+    aggs = [F.count(F.lit(1)).alias("_cnt")] + ([F.max(latest).alias("_latest")] if latest is not None else [])
     in_order = Window.partitionBy(key).orderBy(*cell)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    cells = (_celled(rows, hot, key, "inner").groupBy(key, *cell).agg(*aggs)
+    cells = (x.where(F.col("_cell").isNotNull()).groupBy(key, *cell).agg(*aggs)
              .withColumn("_end", F.sum("_cnt").over(so_far))
-             .withColumn("_b", F.floor((F.col("_end") - F.col("_cnt")) / F.col("_target"))))
+             .withColumn("_b", F.floor((F.col("_end") - F.col("_cnt")) / target)))
     added = {}
     if carry:
         next_b = F.lead("_b").over(in_order)
@@ -100,13 +125,11 @@ def cut(df: DataFrame, key: str, order: Sequence[str], target_rows: int = TARGET
         cells = cells.withColumn("_earlier", F.max("_latest").over(
             in_order.rowsBetween(Window.unboundedPreceding, -1)))
         added["_before"] = F.first("_earlier").over(Window.partitionBy(key, "_b").orderBy(*cell))
-    cells = cells.select(F.col(key).alias("_ck"), *[F.col(c).alias(f"_c{c}") for c in cell], "_b",
-                         *[c.alias(name) for name, c in added.items()])
-    x = _celled(rows, hot, key, "left")
-    x = x.join(F.broadcast(cells), x[key].eqNullSafe(cells["_ck"])
-               & (x["_timed"] == cells["_c_timed"]) & (x["_cell"] == cells["_c_cell"]) & (x["_sub"] == cells["_c_sub"]), "left")
-    own = F.coalesce("_b", F.lit(0)).cast("long")
-    x = x.withColumn("_b", own)
+    cells = checkpointed(cells.select(F.col(key).alias("_ck"), *[F.col(c).alias(f"_c{c}") for c in cell], "_b",
+                                      *[c.alias(name) for name, c in added.items()]))
+    x = x.join(_hinted(cells, cells.count()), x[key].eqNullSafe(cells["_ck"]) & (x["_timed"] == cells["_c_timed"])
+               & (x["_cell"] == cells["_c_cell"]), "left")
+    x = x.withColumn("_b", F.coalesce("_b", F.lit(0)).cast("long"))
     if carry:
         place = F.concat(F.array(F.struct(F.col("_b"), F.lit(False).alias("_carry"))), F.transform(
             F.coalesce("_later", F.array().cast("array<bigint>")), lambda b: F.struct(b.cast("long").alias("_b"), F.lit(True).alias("_carry"))))
@@ -125,7 +148,8 @@ def previous_rows_stats(df: DataFrame, key: str, value: str, n: int = 20,
 
     Plan: the cells that hold the last n rows before a bucket are copied to it
     with the shuffle by (key, bucket); one window runs per group and the copies
-    are dropped.  Three scans, one full shuffle, one sort."""
+    are dropped.  One full shuffle, one sort; scans of the key for its counts and, with hot
+    keys, of key, time and id for each level of cells."""
     x = cut(df, key, order, target_rows, carry=n)
     w = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(-n, -1)
     v = F.col(value)

@@ -98,6 +98,13 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), "runs", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def checkpointed(df):
+    """``df`` written once below the shared root: what follows neither repeats the work nor
+    loses it with an executor."""
+    shared_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def filesystem(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as it knows it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - small driver-side steps: exists, rename, delete
