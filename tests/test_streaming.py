@@ -86,6 +86,8 @@ def test_jobs_run_processor_and_counter(spark, capsys):
     common = ["--topic-path", topic, "--available-now", "--profile", "local"]
     jobs.main(["alerts", *common, "--table", run + "/al", "--checkpoint", run + "/c4", "--threshold", "1"])
     assert spark.read.parquet(run + "/al").where("event_count <= 1").count() == 0
+    jobs.main(["conversions", *common, "--table", run + "/cv", "--checkpoint", run + "/c6"])
+    assert spark.read.parquet(run + "/cv").count() == 0  # the bound events have no page_view
     jobs.main(["enrich", *common, "--source", SF_SMALL, "--table", run + "/en", "--checkpoint", run + "/c5"])
     assert spark.read.parquet(run + "/en").where("c_name IS NOT NULL").count() == 1000
     c = jobs.main(["message_counter", "--topic-path", topic, "--table", run + "/mc", "--checkpoint", run + "/c2",

@@ -4,6 +4,7 @@
 * ``message_counter``: 10 s counts of a topic's messages by arrival time;
 * ``warehouse``: a processor's table -> the warehouse table the views read;
 * ``compact``: folds a warehouse table's new batches into few clustered files (runs once);
+* ``anomalies``: z-score anomalies of sensors; ``conversions``: purchases after a page view;
 * ``alerts``: hourly counts above a threshold; ``enrich``: events with their customer.
 
     python -m tidewater.jobs user_activity --topic-path ... --table ... --checkpoint ...
@@ -32,6 +33,7 @@ from tidewater.schemas import WAREHOUSE_SENSOR_DATA, WAREHOUSE_USER_ACTIVITY
 from tidewater.sources.broker import read_events
 from tidewater.streaming import alerts as A
 from tidewater.streaming import batches, folds
+from tidewater.streaming import carry as CA
 from tidewater.streaming import ingest as I
 from tidewater.streaming import windows as W
 
@@ -119,6 +121,17 @@ def alerts(spark: SparkSession, args) -> list[StreamingQuery]:
     return [A.start_hourly_alerts(events, args.threshold, args.table, _checkpoint(args, "alerts"), _trigger(args))]
 
 
+def anomalies(spark: SparkSession, args) -> list[StreamingQuery]:
+    decoded = I.decoded_events(_source(spark, "sensor_data", args, "anomalies-job"), "sensor_data", watermark=None)
+    return [CA.start_sensor_anomalies(CA.sensor_readings(decoded), args.table, _checkpoint(args, "anomalies"), _trigger(args))]
+
+
+def conversions(spark: SparkSession, args) -> list[StreamingQuery]:
+    decoded = I.decoded_events(_source(spark, "user_activity", args, "conversions-job"), "user_activity", watermark=None)
+    return [CA.start_view_then_purchase(CA.user_events(decoded), args.table, _checkpoint(args, "conversions"), _trigger(args),
+                                        view="page_view")]
+
+
 def enrich(spark: SparkSession, args) -> list[StreamingQuery]:
     """``--source``: the folder of the customer, nation and region tables."""
     rows = I.ingest_frame(_source(spark, "user_activity", args, "enrich-job"), "user_activity")
@@ -128,6 +141,7 @@ def enrich(spark: SparkSession, args) -> list[StreamingQuery]:
 
 
 JOBS = {"message_counter": message_counter, "warehouse": warehouse, "compact": compact, "alerts": alerts, "enrich": enrich,
+        "anomalies": anomalies, "conversions": conversions,
         **{f: (lambda spark, args, f=f: processor(spark, f, args)) for f in CONFORM}}
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import detect as D
 from tidewater.operators import views as V
+from tidewater.plans import streams as S
 from tidewater.plans.batch import R, warehouse_user_activity
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
@@ -42,12 +43,15 @@ def q_sensor_zscores(spark, sf_dir):
     return _round_z(D.sensor_zscores(_readings(spark, sf_dir), N_PREV))
 
 
-@query("sensor_anomalies", ZSCORE_SQL + f" WHERE abs(z_score) >= {Z_THRESHOLD}")
+ANOMALY_SQL = ZSCORE_SQL + f" WHERE abs(z_score) >= {Z_THRESHOLD}"
+
+
+@query("sensor_anomalies", ANOMALY_SQL)
 def q_sensor_anomalies(spark, sf_dir):
     return _round_z(D.sensor_anomalies(_readings(spark, sf_dir), Z_THRESHOLD, N_PREV))
 
 
-@query("view_then_purchase", with_(UA) + """
+VIEW_PURCHASE_SQL = with_(UA) + """
 , s AS (
   SELECT event_id, user_id, event_type, event_time,
          MAX(CASE WHEN event_type = 'view' THEN event_time END) OVER (
@@ -57,7 +61,10 @@ def q_sensor_anomalies(spark, sf_dir):
 )
 SELECT event_id, user_id, event_time AS purchase_time, last_view_time FROM s
 WHERE event_type = 'purchase' AND last_view_time IS NOT NULL
-  AND event_time - last_view_time <= INTERVAL '30 minutes'""")
+  AND event_time - last_view_time <= INTERVAL '30 minutes'"""
+
+
+@query("view_then_purchase", VIEW_PURCHASE_SQL)
 def q_view_then_purchase(spark, sf_dir):
     return D.view_then_purchase(B.user_activity(spark, sf_dir))
 
@@ -90,3 +97,7 @@ SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_cou
 FROM wua GROUP BY 1, 2 HAVING COUNT(*) > {ALERT_THRESHOLD}""")
 def q_hourly_alerts(spark, sf_dir):
     return D.hourly_alerts(V.hourly_user_activity(warehouse_user_activity(spark, sf_dir)), ALERT_THRESHOLD)
+
+
+query("sensor_anomalies_stream", ANOMALY_SQL)(S.q_sensor_anomalies_stream)
+query("view_then_purchase_stream", VIEW_PURCHASE_SQL)(S.q_view_then_purchase_stream)

@@ -425,3 +425,39 @@ def q_hourly_alerts_stream(spark, sf_dir):
     path = os.path.join(run, "tables", "alerts")
     I.run_to_end(A.start_hourly_alerts(events, ALERT_THRESHOLD_STREAM, path, os.path.join(run, "ckpt"), NOW))
     return spark.read.parquet(path).drop("batch_id")
+
+
+# ---- detection in the stream -----------------------------------------------------------
+
+def _in_waves(spark, sf_dir, family, start, n=4):
+    """A topic published in ``n`` waves in the order of its ids, each taken by a start of the
+    same query; after each wave but the last its commit is lost and the batch replayed."""
+    run = run_dir(spark, "waves")
+    topic, ckpt = os.path.join(run, "topic"), os.path.join(run, "ckpt")
+    ids = B.read_table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    env = (user_envelope if family == "user_activity" else sensor_envelope)(spark, sf_dir)
+    wave = F.floor((F.col("offset") - (ids[0] or 0)) * n / ((ids[1] or 0) - (ids[0] or 0) + 1))
+    out = os.path.join(run, "tables", "out")
+    for k in range(n):
+        _publish(env.where(wave == k), topic)
+        decoded = I.decoded_events(read_events(spark, family, topic), family, watermark=None)
+        I.run_to_end(start(decoded, out, ckpt))
+        if k < n - 1:
+            _lose_commit(spark, ckpt)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def q_sensor_anomalies_stream(spark, sf_dir):
+    """z-score anomalies found batch by batch; the last readings of each sensor are carried."""
+    from tidewater.plans.detection import N_PREV, Z_THRESHOLD, _round_z
+    from tidewater.streaming import carry as CA
+    found = _in_waves(spark, sf_dir, "sensor_data", lambda decoded, out, ckpt: CA.start_sensor_anomalies(
+        CA.sensor_readings(decoded), out, ckpt, NOW, Z_THRESHOLD, N_PREV, delay_s=0))
+    return _round_z(found)
+
+
+def q_view_then_purchase_stream(spark, sf_dir):
+    """View-then-purchase batch by batch; the last view of each user is carried."""
+    from tidewater.streaming import carry as CA
+    return _in_waves(spark, sf_dir, "user_activity", lambda decoded, out, ckpt: CA.start_view_then_purchase(
+        CA.user_events(decoded), out, ckpt, NOW, delay_s=0))
