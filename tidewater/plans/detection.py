@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import detect as D
+from tidewater.operators import enrich as EN
 from tidewater.operators import views as V
 from tidewater.plans import streams as S
 from tidewater.plans.batch import R, warehouse_user_activity
@@ -89,6 +90,21 @@ def q_out_of_range(spark, sf_dir):
     return D.out_of_range(sd, limits)
 
 
+@query("enrich_as_of", with_(UA) + """
+SELECT f.event_id, f.user_id, f.event_type, f.event_time, v.plan, v.agent
+FROM (SELECT * FROM ua WHERE event_type <> 'signup') f
+ASOF LEFT JOIN (SELECT user_id, event_time AS valid_from, session_id AS plan, user_agent AS agent
+                FROM ua WHERE event_type = 'signup') v
+  ON f.user_id = v.user_id AND f.event_time >= v.valid_from""")
+def q_enrich_as_of(spark, sf_dir):
+    """Events with what their user's last signup by then had set: a dimension that changes."""
+    ua = B.user_activity(spark, sf_dir)
+    signups = ua.where("event_type = 'signup'").select(
+        "user_id", F.col("event_time").alias("valid_from"), F.col("session_id").alias("plan"), F.col("user_agent").alias("agent"))
+    facts = ua.where("event_type <> 'signup'").select("event_id", "user_id", "event_type", "event_time")
+    return EN.enrich_as_of(facts, signups, "user_id", "event_time", "event_id", "valid_from", ["plan", "agent"])
+
+
 ALERT_THRESHOLD = 5
 
 

@@ -8,13 +8,14 @@ import os
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.timefn import day_trunc, hour_trunc
 from tidewater.operators import views as V
 from tidewater.operators.conform import conform_user_activity
 from tidewater.plans.batch import CORRUPT_EVERY, R, sensor_envelope, user_envelope
 from tidewater.plans.oracle_base import SD, UA, WUA, with_
 from tidewater.plans.registry import query
 from tidewater.schemas import SENSOR_SINK, USER_ACTIVITY_SINK
-from tidewater.session import filesystem, run_dir, shared_root
+from tidewater.session import checkpointed, filesystem, run_dir, shared_root
 from tidewater.sources import bindings as B
 from tidewater.sources import lake as L
 from tidewater.sources.broker import publish, read_events
@@ -461,3 +462,47 @@ def q_view_then_purchase_stream(spark, sf_dir):
     from tidewater.streaming import carry as CA
     return _in_waves(spark, sf_dir, "user_activity", lambda decoded, out, ckpt: CA.start_view_then_purchase(
         CA.user_events(decoded), out, ckpt, NOW, delay_s=0))
+
+
+# ---- mergeable sketches ----------------------------------------------------------------
+
+SKETCH_QUANTILES = (0.5, 0.95)
+
+
+@query("activity_sketch_rollup", with_(WUA) + """
+SELECT date_trunc('day', event_time) AS day, date_trunc('hour', event_time) AS hour, event_type,
+       GROUPING(date_trunc('day', event_time), date_trunc('hour', event_time), event_type) AS grain,
+       COUNT(*) AS event_count, TRUE AS users_ok, TRUE AS median_ok, TRUE AS p95_ok
+FROM wua GROUP BY ROLLUP (1, 2, 3)""")
+def q_activity_sketch_rollup(spark, sf_dir):
+    """Counts, distinct users and amounts' quantiles at each grain, from hourly sketches that a
+    rollup logs batch by batch: whether they lie within three standard errors (one more user)
+    and within the stated rank error (one more row) of the exact ones."""
+    from tidewater.operators import sketches as K
+    run = run_dir(spark, "sketches")
+    table, out = os.path.join(run, "tables", "user_activity"), os.path.join(run, "tables", "partials")
+    _process(spark, _topic(spark, sf_dir, "user_activity"), table, os.path.join(run, "ckpt"), max_files_per_trigger=3)
+    partials = lambda rows: K.sketch_partials(rows, "user_id", "total_amount", ["event_type"])
+    I.run_to_end(W.start_table_rollup(spark, table, I.table_schema("user_activity"), partials, out, os.path.join(run, "ckpt_s"), NOW))
+    found = K.sketch_rollup(spark.read.parquet(out).drop("batch_id"), ["event_type"], SKETCH_QUANTILES)
+    keys = ["day", "hour", "event_type", "grain"]
+    found = checkpointed(found.withColumnsRenamed({"entities": "users"}))
+    # the exact counts, and the exact ranks of the values found
+    rows = (conform_user_activity(B.user_activity(spark, sf_dir)).select(
+        day_trunc("event_time").alias("day"), hour_trunc("event_time").alias("hour"), "event_type", "user_id", "total_amount"))
+    at = lambda n: F.struct(*[F.col(k).alias(k) if i < n else F.lit(None).cast(rows.schema[k].dataType).alias(k)
+                              for i, k in enumerate(keys[:3])], F.lit((1 << (3 - n)) - 1).cast("long").alias("grain"))
+    each = rows.select("user_id", "total_amount", F.inline(F.array(*[at(n) for n in range(4)])))
+    same = lambda a, b: F.expr(" AND ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
+    users = each.groupBy(*keys, "user_id").agg(F.count("user_id").alias("n")).groupBy(*keys).agg(F.count_if(F.col("n") > 0).alias("exact_users"))
+    below = lambda i, op: F.count_if(op(F.col("total_amount"), F.col("quantiles")[i]))
+    j = each.alias("e").join(found.alias("f"), same("e", "f"))
+    ranks = j.groupBy(*[F.col(f"f.{k}") for k in keys]).agg(
+        F.count("total_amount").alias("n"), *[below(i, o).alias(f"{name}{i}") for i in range(2)
+                                              for name, o in (("lt", lambda a, b: a < b), ("le", lambda a, b: a <= b))])
+    within = lambda i, q: (F.col("n") == 0) | (
+        (F.col(f"lt{i}") <= (q + K.RANK_ERROR) * F.col("n") + 1) & (F.col(f"le{i}") >= (q - K.RANK_ERROR) * F.col("n") - 1))
+    return (found.alias("f").join(users.alias("u"), same("f", "u")).join(ranks.alias("r"), same("f", "r"))
+            .select(*[F.col(f"f.{k}").alias(k) for k in keys], "event_count",
+                    (F.abs(F.col("users") - F.col("exact_users")) <= 3 * K.COUNT_ERROR * F.col("exact_users") + 1).alias("users_ok"),
+                    within(0, SKETCH_QUANTILES[0]).alias("median_ok"), within(1, SKETCH_QUANTILES[1]).alias("p95_ok")))
