@@ -506,3 +506,44 @@ def q_activity_sketch_rollup(spark, sf_dir):
             .select(*[F.col(f"f.{k}").alias(k) for k in keys], "event_count",
                     (F.abs(F.col("users") - F.col("exact_users")) <= 3 * K.COUNT_ERROR * F.col("exact_users") + 1).alias("users_ok"),
                     within(0, SKETCH_QUANTILES[0]).alias("median_ok"), within(1, SKETCH_QUANTILES[1]).alias("p95_ok")))
+
+
+# ---- late rows and latest rows ---------------------------------------------------------
+
+@query("windows_late_corrected", _windows_oracle(True))
+def q_windows_late_corrected(spark, sf_dir):
+    """The late replay of ``tumbling_late_drop``, but nothing is dropped: late rows correct the
+    windows they belong to, and the windows closed in the end are those of the whole topic."""
+    from tidewater.streaming import carry as CA, late as LA
+    run = run_dir(spark, "late_corrected")
+    topic, waves = _three_waves(spark, sf_dir, run, "sensor_data")
+    out, ckpt = os.path.join(run, "tables", "windows"), os.path.join(run, "ckpt")
+    for publish_wave in waves:
+        publish_wave()
+        decoded = I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None)
+        I.run_to_end(LA.start_windows(CA.sensor_readings(decoded), out, ckpt, NOW, "reading"))
+        _lose_commit(spark, ckpt)
+    return LA.corrected(spark, out).withColumn("avg_value", F.round("avg_value", R))
+
+
+def latest_readings(decoded):
+    return decoded.select("sensor_id", "sensor_type", F.col("timestamp").cast("timestamp_ntz").alias("event_time"),
+                          "battery_level", "reading", "unit", F.col("offset").alias("event_id"))
+
+
+@query("latest_by_key_stream", with_(SD) + """
+SELECT sensor_id, sensor_type, event_time, battery_level, reading, unit, event_id
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id ORDER BY event_time DESC, event_id DESC) AS rn FROM sd)
+WHERE rn = 1""")
+def q_latest_by_key_stream(spark, sf_dir):
+    """The latest reading of each sensor, kept batch by batch; the newest rows come first."""
+    from tidewater.streaming import latest as LB
+    run = run_dir(spark, "latest")
+    topic, waves = _three_waves(spark, sf_dir, run, "sensor_data")
+    out, ckpt = os.path.join(run, "tables", "latest"), os.path.join(run, "ckpt")
+    for publish_wave in waves:
+        publish_wave()
+        events = latest_readings(I.decoded_events(read_events(spark, "sensor_data", topic), "sensor_data", watermark=None))
+        I.run_to_end(LB.start_latest(events, out, ckpt, NOW, ["sensor_id"]))
+        _lose_commit(spark, ckpt)
+    return LB.read_latest(spark, out, events.schema)
