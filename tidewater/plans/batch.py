@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from tidewater.functions.codec import dead_letters, decode_valid
@@ -182,9 +184,12 @@ def _published(spark, family, env):
 @query("topic_key_partitions", """
 SELECT CAST(user_id AS VARCHAR) AS key, COUNT(*) AS messages, 1::BIGINT AS partitions FROM events GROUP BY 1""")
 def q_topic_key_partitions(spark, sf_dir):
-    """Messages of one key share one partition of the topic."""
-    topic = _published(spark, "user_activity", user_envelope(spark, sf_dir))
-    per = topic.groupBy("key", "partition").agg(F.count(F.lit(1)).alias("n"))
+    """Messages of one key share one partition of a topic published by key: the partition is
+    read off the files that hold them."""
+    path = os.path.join(run_dir(spark, "by_key"), "user_activity")
+    publish(user_envelope(spark, sf_dir), path, by_key=True, num_files=16)
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    per = read_events(spark, "user_activity", path, stream=False).groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("key").agg(F.sum("n").alias("messages"), F.count(F.lit(1)).alias("partitions"))
 
 
