@@ -1,8 +1,12 @@
 """The operators' own interfaces: real outputs, parameters, forced splits."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -34,6 +38,33 @@ def test_spans_map_to_the_original(spark):
         decontam.benchmark_hits(F.col("text"), bench, max_bytes=3)
 
 
+def test_items_in_groups_and_parts(spark):
+    """Several automata in turn, and a benchmark searched in parts, against brute force."""
+    items = [(i, fixtures.prose(i, 25)) for i in range(12)] + [(3, "alpha Bravo"), (12, fixtures.prose(1, 25)), (None, "of the"), (13, None)]
+    texts = [fixtures.prose(i, 25) + " and " + fixtures.prose(50 + i, 30) for i in range(6)] + [None, "", "ALPHA, bravo; alpha bravo", fixtures.prose(70, 3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = [brute.contamination(t, items)[:3] for t in texts]
+    for group_words in (1, 60, 10_000):
+        hits = docs.select("doc_id", decontam.benchmark_hits(F.col("text"), bench, group_words=group_words).alias("h")).orderBy("doc_id").collect()
+        assert [(r["h"]["n_words"], r["h"]["n_hit"], len(r["h"]["items"])) for r in hits] == want
+        assert all(len(r["h"]["spans"]) > 0 for r, w in zip(hits, want) if w[1])
+    assert len(decontam.item_groups(items, 60)) > 4
+    clean = [i for i, w in enumerate(want) if not w[1]]
+    for max_bytes in (200, 1 << 20):
+        assert sorted(r["doc_id"] for r in decontam.decontaminate(docs, bench, max_bytes=max_bytes).collect()) == clean
+
+
+def test_automaton_memory():
+    """Two megabytes of items in groups: no automaton above some hundred megabytes."""
+    rng = np.random.default_rng(1)
+    words = np.array([f"{'abcdefghij'[i % 10]}{i}" for i in range(20_000)])
+    items = [(i, " ".join(rng.choice(words, 500))) for i in range(700)]
+    groups = decontam.item_groups(items)
+    assert len(groups) == 2 and max(g.words for g in groups) <= decontam.GROUP_WORDS
+    assert groups[0].automaton(10).get_stats()["total_size"] < 120e6
+
+
 def test_url_rules_longest_host_and_block():
     trie = urlfilter.build_trie([("allow", "b.net", "/x/y"), ("block", "a.b.net", "/x"), ("allow", "c.org", ""),
                                  ("block", "c.org", ""), ("block", "d.org", "/en")])
@@ -350,6 +381,12 @@ def test_pipeline_by_brute_force(spark, awkward):
             bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{awkward}/benchmark.parquet").collect()]
             assert ids == sorted([r["doc_id"] for r in before if not brute.contamination(r["text"], bench)[1]], key=repr)
     final = corpus_pipeline.run(spark, awkward)
-    assert final.columns == ["doc_id", "ids", "n_tokens"] and final.count() == kept.count()
+    assert final.columns == ["doc_id", "ids", "n_tokens", "decoded_sha256"]
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = []
+    for r in kept.collect():
+        ids = sp.encode(r["text"] or "", add_bos=True, add_eos=True)
+        want.append((r["doc_id"], np.array(ids, dtype="<u4").tobytes(), len(ids), hashlib.sha256(sp.decode(ids).encode()).hexdigest()))
+    assert sorted([(r[0], bytes(r[1]), *r[2:]) for r in final.collect()], key=repr) == sorted(want, key=repr)
     for stage in stages:
         stage.unpersist()
