@@ -45,11 +45,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the packed ids and their number."""
+    """doc_id, the packed ids, their number and the SHA-256 of the text that they decode to."""
     importable(spark)
     coded = pieces.round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
-    return docs.select("doc_id", coded["ids"].alias("ids")).withColumn(
-        "n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    return docs.select("doc_id", coded.alias("c")).select(
+        "doc_id", F.col("c.ids").alias("ids"), (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("c.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("language_id", identify_language), ("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates),
