@@ -60,3 +60,13 @@ def hash_share(key: Column, group: Column, wanted: dict, counts: dict) -> Column
     for g, n in counts.items():
         share = F.when(group == g, min(1.0, (3 * wanted[g] + 50) / max(n, 1))).otherwise(share)
     return F.shiftrightunsigned(key, 11) / float(1 << 53) < share
+
+
+def within_reach(length: Column, group: Column, shortest: dict, limit: int) -> Column:
+    """Whether a row is short enough to learn from: ``limit`` characters, or for a group without
+    such rows as many as its shortest row has (``shortest``: group -> that length)."""
+    far = {g: n for g, n in shortest.items() if n > limit}
+    reach = F.lit(limit)
+    for g, n in far.items():
+        reach = F.when(group == g, n).otherwise(reach)
+    return length <= reach

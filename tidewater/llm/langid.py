@@ -13,12 +13,13 @@ matrices with one weight matrix.
 
 Bound: landmarks and regression use at most ``sample`` labelled rows of up to
 ``sample_chars`` characters, an equal number of each language, those with the least
-hashes; more than ``MAX_LANGUAGES`` languages raise ValueError.  Scoring reads every text
+hashes; a language without such rows is learned from its shortest text.  More than
+``MAX_LANGUAGES`` languages raise ValueError.  Scoring reads every text
 whole, in slices.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0.  Ties go to the
 first language in order.  Null languages are not learned from; without any, all is
-``und``.  Repeated rows are scored each.
+``und``.  Repeated rows are scored each.  Empty tables give no rows, extra columns play no part.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import hash_share
+from tidewater.llm.common import hash_share, importable, within_reach
 
 LENGTHS = (1, 2, 3)
 LANDMARKS, SAMPLE, SAMPLE_CHARS = 240, 2_400, 20_000
@@ -118,12 +119,16 @@ class LanguageModel:
 
 def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> LanguageModel | None:
     """A model of ``docs`` (doc_id, text, lang); None without any labelled text."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(F.length("text") <= sample_chars)
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
-    if not counts:
+    importable(docs.sparkSession)
+    known, length = docs.where("lang IS NOT NULL AND text IS NOT NULL"), F.length("text")
+    found = (known.groupBy("lang").agg(F.count_if(length <= sample_chars).alias("short"), F.min(length).alias("shortest"))
+             .orderBy("lang").limit(MAX_LANGUAGES + 1).collect())
+    if not found:
         return None
-    if len(counts) > MAX_LANGUAGES:
+    if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = {r["lang"]: max(1, r["short"]) for r in found}
+    known = known.where(within_reach(length, F.col("lang"), {r["lang"]: r["shortest"] for r in found}, sample_chars))
     each = max(1, sample // len(counts))
     key = F.xxhash64("doc_id", "lang")
     by = Window.partitionBy("lang").orderBy(key, "doc_id")

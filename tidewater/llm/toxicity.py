@@ -11,14 +11,14 @@ turns these means into a score.
 
 Bound: models and curve are fitted on a sample of at most ``sample`` toxic and
 ``2 * sample`` ordinary labelled rows of up to ``sample_chars`` characters, those with the
-least hashes.  The curve sees each of them through a model of the other folds, the final
+least hashes; a class without such rows is learned from its shortest labelled text.  The curve sees each of them through a model of the other folds, the final
 model counts all; its intercept is moved by the log of the classes' sampled shares, so
 scores follow the classes' ratio among all labels.  Scoring reads every text whole.
 
 Edge cases: null, empty or word-free text gets the score of a text that says nothing.
 Null labels, and labels but 0 and 1, are not learned from.  Without labels of both classes
-(empty tables) every score is 0.  Repeated rows are scored each; a repeated label repeats
-its text in the sample.
+(empty tables) every score is 0.  Repeated rows are scored each; a repeated label counts
+once.  Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import checkpointed, hash_share
+from tidewater.llm.common import checkpointed, hash_share, importable, within_reach
 
 ORDER, DISCOUNT = 6, 0.75
 SAMPLE, SAMPLE_CHARS = 2_500, 20_000
@@ -189,21 +189,25 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int, sample_chars: int)
     """(text, toxic, rank) of the bounded sample; ranks count within a class.  The rows are
     chosen by id, so no text is shuffled; the chosen ids, 3 * sample at most, are broadcast.
     Beside it the share of each class's labels that the sample has."""
-    short = docs.where(F.length("text") <= sample_chars)
-    known = (labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
-             .join(short.select("doc_id"), "doc_id", "left_semi").distinct())
+    lengths = docs.where("text IS NOT NULL").groupBy("doc_id").agg(F.min(F.length("text")).alias("length"))
+    known = labels.where("toxic IN (0, 1)").select("doc_id", "toxic").distinct().join(lengths, "doc_id")
     wanted, key = {0: 2 * sample, 1: sample}, F.xxhash64("doc_id", "toxic")
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    found = known.groupBy("toxic").agg(F.count_if(F.col("length") <= sample_chars).alias("short"),
+                                       F.min("length").alias("shortest")).collect()  # two rows
+    counts, shortest = {r["toxic"]: max(1, r["short"]) for r in found}, {r["toxic"]: r["shortest"] for r in found}
+    known = known.where(within_reach(F.col("length"), F.col("toxic"), shortest, sample_chars)).drop("length")
     by = Window.partitionBy("toxic").orderBy(key, "doc_id")
     ids = (known.where(hash_share(key, F.col("toxic"), wanted, counts)).withColumn("rank", F.row_number().over(by))
            .where(F.col("rank") <= F.when(F.col("toxic") == 1, wanted[1]).otherwise(wanted[0])))
     shares = {y: min(1.0, wanted[y] / n) for y, n in counts.items()}
-    return short.join(F.broadcast(ids), "doc_id").select("text", "toxic", "rank"), shares
+    chosen = docs.join(F.broadcast(ids), "doc_id").where(within_reach(F.length("text"), F.col("toxic"), shortest, sample_chars))
+    return chosen.select("text", "toxic", "rank"), shares
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel | None:
     """A model of ``labels`` (doc_id, toxic) for ``docs`` (doc_id, text); None if a class is
     missing.  What the driver gets is bounded by the sample."""
+    importable(docs.sparkSession)
     chosen, shares = sampled(docs.select("doc_id", "text"), labels, sample, sample_chars)
     rows = checkpointed(chosen.select("text", F.col("toxic").cast("int"), (F.col("rank") % FOLDS).alias("fold")))
 
