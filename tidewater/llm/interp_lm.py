@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewater.llm.common import checkpointed, free_name
 
 BLOCK_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+TASK_BYTES, SHARDS_PER_TASK = 32 << 20, 4  # of texts; tasks hold one block or shard at a time
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SLICE = 1 << 20
 STEPS, OCTAVES = 8, 48  # per octave; estimates below 2^-48 share the last cell
@@ -311,7 +312,10 @@ class InterpolatedModel:
         asked = self.blocks.select("block", "deleted", "data", "sizes", "roles").mapInPandas(
             lambda batches: (part for frame in batches for part in ask(frame, bits)),
             "block long, deleted boolean, kind string, shard long, n long, keys binary, counts binary")
-        self.answers = checkpointed(asked.groupBy("kind", "shard").applyInPandas(answer, ANSWER))
+        # tasks by the input's size: some shards, or some blocks, each, whatever the session's partitions
+        self.tasks = -(-size // TASK_BYTES) or 1
+        shards = max(1, 2 * (1 << bits) // SHARDS_PER_TASK)
+        self.answers = checkpointed(asked.repartition(shards, "kind", "shard").groupBy("kind", "shard").applyInPandas(answer, ANSWER))
         uni = self.answers.where("block = -1 AND kind = 'uni'").agg(*[
             F.coalesce(F.sum(c), F.lit(0)) for c in ("v_kept", "n_kept", "v_every", "n_every")]).first()
         self.v_kept, self.n_kept, self.v, self.n = uni
@@ -319,8 +323,8 @@ class InterpolatedModel:
 
     def joined(self, which: str, totals: str, columns: list[str], fn, schema: str) -> DataFrame:
         """``fn(block frame, answers frame)`` for each block that ``which`` selects."""
-        ours = self.blocks.where(which).select("block", "data", "sizes", *columns)
-        theirs = self.answers.where(f"block >= 0 AND {which}").select("block", "kind", "shard", "n", totals)
+        ours = self.blocks.where(which).select("block", "data", "sizes", *columns).repartition(self.tasks, "block")
+        theirs = self.answers.where(f"block >= 0 AND {which}").select("block", "kind", "shard", "n", totals).repartition(self.tasks, "block")
         return ours.groupBy("block").cogroup(theirs.groupBy("block")).applyInPandas(fn, schema)
 
     def learned(self) -> np.ndarray:
