@@ -2,17 +2,17 @@
 
 Texts are lower-cased (A-Z) and reduced to words of letters, digits and non-ASCII
 characters.  Every ``window`` consecutive words of a test item is a pattern; an item with
-fewer words is one pattern.  The automaton is over word numbers: a node a word, so some ten
-nodes a pattern whatever the words' lengths, and it scans a text's words once.  Normalising
-keeps every byte in place, so a match maps back to the original text.
+fewer words is one pattern.  The automaton is over words, each spelt as two or three letters
+that stand for its number: some twenty or thirty nodes a pattern whatever the words' lengths,
+and a text's words are scanned once.  Normalising keeps every byte in place, so a match maps
+back to the original text.
 
 Memory: each Python worker builds the automaton once and keeps it (1 MB of items, 150,000
-patterns: some 90 MB and 1.3 s).  Items of more than ``GROUP_WORDS`` words go in groups, each
-with an automaton of its own; they are then built in turn for every batch of texts, one alive
-at a time, which costs time only.  The items' words are broadcast: their texts may hold
-``max_bytes`` (64 MB; 4 bytes a word and the vocabulary in each worker).  More is searched in
-parts: :func:`decontaminate` does so by itself, :func:`benchmark_hits` raises ValueError.
-Nothing is cut off.
+patterns: 155 MB and 1 s).  Items of more than ``GROUP_WORDS`` words go in groups, each with
+an automaton of its own; they are then built in turn for every batch of texts, one alive at
+a time, which costs time only.  The items' words are broadcast: their texts may hold
+``max_bytes`` (64 MB).  More is searched in parts: :func:`decontaminate` does so by itself,
+:func:`benchmark_hits` raises ValueError.  Nothing is cut off.
 
 Edge cases: null or word-free text: no words, no hits.  Null or word-free items, and items
 without an id: no pattern.  Repeated items count once per item id.  Empty tables: no rows,
@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewater.llm.common import keep_where
 
 WINDOW = 10
-GROUP_WORDS = 250_000
+GROUP_WORDS, BASE = 150_000, 64
 MAX_BYTES = 64 << 20
 
 HITS = ("n_words long, n_hit long, items array<string>, "
@@ -50,45 +51,52 @@ def fold_bytes(text: str) -> bytes:
 
 
 class ItemGroup:
-    """The words of some test items as numbers, from 1; what is broadcast."""
+    """The words of some test items, spelt by number: ``size`` letters a word, the first of
+    them from an alphabet of its own, so that matches begin where words begin.  Few letters
+    keep the automaton's nodes small and its steps quick.  This is what is broadcast."""
 
-    def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.items: list[tuple[str, np.ndarray]] = []
-        self.key, self.words = uuid.uuid4().hex, 0
+    def __init__(self, items: list[tuple[str, list[bytes]]]):
+        words = sorted({w for _, ws in items for w in ws})
+        self.key, self.size = uuid.uuid4().hex, next(k for k in range(2, 9) if len(words) <= BASE**k)
+        self.spelling = {w: self.spelt_number(i) for i, w in enumerate(words)}
+        self.unknown = "\0" * self.size
+        self.items = [(item_id, self.spelt(ws)) for item_id, ws in items]
 
-    def add(self, item_id, words: list[bytes]) -> None:
-        number = self.number
-        self.items.append((str(item_id), np.array([number.setdefault(w, len(number) + 1) for w in words], dtype=np.int32)))
-        self.words += len(words)
+    def spelt_number(self, i: int) -> str:
+        places = [i // BASE**k % BASE for k in reversed(range(self.size))]
+        return chr(1 + places[0]) + "".join(chr(1 + BASE + p) for p in places[1:])
+
+    def spelt(self, words: list[bytes]) -> str:
+        return "".join(map(self.spelling.get, words, repeat(self.unknown)))
 
     def automaton(self, window: int):
-        """Over the windows' word numbers; a pattern's value: its words, ids of its items."""
-        found: dict[tuple, set] = {}
-        for item_id, words in self.items:
-            words = words.tolist()
-            n = min(window, len(words))
-            for i in range(len(words) - n + 1):
-                found.setdefault(tuple(words[i:i + n]), set()).add(item_id)
-        auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        """Over the windows' letters; a pattern's value: its words, ids of its items."""
+        found: dict[str, set] = {}
+        for item_id, text in self.items:
+            n = min(window * self.size, len(text))
+            for i in range(0, len(text) - n + 1, self.size):
+                found.setdefault(text[i:i + n], set()).add(item_id)
+        auto = ahocorasick.Automaton()
         while found:  # the patterns leave as the automaton grows
             pattern, ids = found.popitem()
-            auto.add_word(pattern, (len(pattern), tuple(ids)))
+            auto.add_word(pattern, (len(pattern) // self.size, tuple(ids)))
         auto.make_automaton()
         return auto
 
 
 def item_groups(items, group_words: int = GROUP_WORDS) -> list[ItemGroup]:
     """Groups of (item_id, text) pairs, an item to a group."""
-    groups: list[ItemGroup] = []
+    groups, held, size = [], [], 0
     for item_id, text in items:
         words = fold_bytes(text or "").split()
         if item_id is None or not words:
             continue
-        if not groups or groups[-1].words + len(words) > group_words:
-            groups.append(ItemGroup())
-        groups[-1].add(item_id, words)
-    return groups
+        if held and size + len(words) > group_words:
+            groups.append(ItemGroup(held))
+            held, size = [], 0
+        held.append((str(item_id), words))
+        size += len(words)
+    return [*groups, ItemGroup(held)] if held else groups
 
 
 _HELD: dict[tuple[str, int], object] = {}  # the automaton that this worker has built last
@@ -125,10 +133,11 @@ class Judged:
         self.folded = fold_bytes(self.text)
         self.marks, self.items, self.n_words = None, set(), None
 
-    def scan(self, auto, number: dict[bytes, int]) -> None:
+    def scan(self, auto, group: ItemGroup) -> None:
         words = self.folded.split()
         self.n_words = len(words)
-        for end, (n, ids) in auto.iter(tuple([number.get(w, 0) for w in words])) if words else ():
+        for last, (n, ids) in auto.iter(group.spelt(words)):
+            end = last // group.size
             if self.marks is None:
                 self.marks = np.zeros(len(words) + 1, dtype=np.int64)
             self.marks[end + 1 - n] += 1
@@ -161,7 +170,7 @@ def benchmark_hits(text: Column, benchmark: DataFrame, window: int = WINDOW, max
             for group in shared:
                 auto = held_automaton(group.value, window)
                 for j in judged:
-                    j.scan(auto, group.value.number)
+                    j.scan(auto, group.value)
             yield pd.DataFrame([j.row() for j in judged], columns=["n_words", "n_hit", "items", "spans"])
 
     return hits(text)
