@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import Column, functions as F
 
 MARK = "▁"
-CHUNKS_KEPT, CHUNK_CHARS, BATCH_CHARS = 300_000, 64, 2_000_000
+CHUNKS_KEPT, CHUNK_CHARS, BATCH_CHARS = 150_000, 64, 2_000_000
 _chunks = re.compile(r" +[^ ]*").findall
 
 
