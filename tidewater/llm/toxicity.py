@@ -36,7 +36,7 @@ ORDER, DISCOUNT = 6, 0.75
 SAMPLE, SAMPLE_CHARS = 2_500, 20_000
 STRETCHES = (1, 3, 10, 40)  # words
 FOLDS = 4
-WORDS_KEPT, WORD_CHARS = 400_000, 64
+WORDS_KEPT, WORD_CHARS = 200_000, 64
 _words = re.compile(r"[^\W\d_]+").findall
 _BEFORE, _AFTER = "\x01" * (ORDER - 1), "\x02"
 
