@@ -354,7 +354,7 @@ def test_stage_on_awkward_rows(spark, awkward, name, stage):
     docs = spark.read.parquet(f"{awkward}/documents.parquet")
     got = stage(spark, docs, awkward)
     if name == "sentencepiece":
-        assert got.columns == ["doc_id", "ids", "n_tokens"] and got.count() == docs.count()
+        assert got.columns == ["doc_id", "ids", "n_tokens", "decoded_sha256"] and got.count() == docs.count()
     else:
         assert got.columns == docs.columns and 0 < got.count() < docs.count()
 
