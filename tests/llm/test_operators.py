@@ -231,6 +231,36 @@ def test_probe_sequence_is_in_order_of_cost():
     assert len(set(seen)) == len(seen) == 27 and cost == sorted(cost) and seen[0] == (0, 0, 0)
 
 
+def test_ranks_follow_the_probe_sequence(monkeypatch):
+    monkeypatch.setattr(ann, "PROBES", 50)
+    rng = np.random.default_rng(2)
+    owner = np.sort(rng.integers(0, 3, 60))
+    mine = rng.normal(size=(3, 4))
+    theirs = mine[owner] + 0.5 * rng.normal(size=(60, 4))
+    want = []
+    for q, x in zip(owner, theirs):
+        base = np.floor(mine[q])
+        place = {m: r for r, m in enumerate(ann.probe_sequence(mine[q] - base, 50))}
+        want.append(place.get(tuple((np.floor(x) - base).astype(int).tolist()), 50))
+    assert ann.ranks(mine, theirs, owner).tolist() == want and len(set(want)) > 10
+
+
+def test_tuning_takes_tables_and_widths_by_the_work():
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(100, 16))
+    for near, far in (0.05, 0.2), (1.0, 1.01):  # clear neighbours, and none to speak of
+        x = centre[rng.integers(0, 100, 4000)] * (near < 1) + near * rng.normal(size=(4000, 16))
+        queries, scale = x[:32], np.linalg.norm(x, axis=1).max()
+        score = queries @ x.T
+        true = [x[np.argsort(-s)[:20]] for s in score]
+        h = ann.tuned(queries, true, x[1000:2000], 16, scale, 4000)
+        met = lambda rows: np.stack([[np.isin(h.keys(t, np.floor(c)), h.probed(t, q)) for q in own]
+                                     for t, (c, own) in enumerate(zip(h.cells(rows, False), h.cells(queries, True)))])
+        found = np.mean([met(t)[:, i].any(axis=0).mean() for i, t in enumerate(true)])
+        work = met(x).sum(axis=0).mean()
+        assert found >= ann.TARGET - 0.005 and work < (0.5 if near < 1 else 1)
+
+
 def test_language_grams():
     assert len(langid.grams(None)) == len(langid.grams("12 .,")) == 0
     long = fixtures.prose(1, 30) * 3

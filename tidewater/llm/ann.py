@@ -3,20 +3,25 @@
 Vectors are divided by the largest norm and get one more component that makes all of them
 unit vectors; queries are normalised.  Then the largest inner product is the least
 Euclidean distance.  A table hashes a vector with ``k`` Gaussian projections cut into cells
-of width ``WIDTH``.  A query visits its own bucket and those reached by moving some
+of one width.  A query visits its own bucket and those reached by moving some
 projections one cell up or down, in the order of the estimated success, the sum of squared
 distances to the cell walls.  The candidates of all tables are merged and ranked by the
 inner product of the original vectors in double precision.
 
-The index is tuned on a bounded sample of ``TUNING`` queries, whose exact neighbours one
-pass over all rows finds: k starts from the number of vectors, and the number of probes is
-the least with which the sample's recall reaches ``TARGET`` (k is lowered where ``PROBES``
-do not suffice, to none where every candidate is asked for).  Every row is indexed.
+The index is tuned on a bounded sample: ``TUNING`` queries, whose exact neighbours one pass
+over all rows finds, and ``OTHERS`` rows.  For each number of tables, k and width it takes the
+least number of probes (up to ``PROBES``) with which the sample's recall reaches ``TARGET``, and
+of those settings the one with the least work: inner products, a row met in several tables
+counted in each, and ``PROBE_COST`` of them for a probe.  Easy data get several tables of small buckets; data whose neighbours are hardly
+nearer than other rows get one or two, as each further table finds mostly rows that another
+has found.  Where no setting reaches ``TARGET``, or every candidate is asked for, there is one
+bucket.  Every row is indexed.
 
 On Spark: buckets are dealt to parts (table, group of buckets); a part holding too many
 rows is salted, and its queries go to each salt.  A task holds the rows of one part and
 streams the queries past it, bucket by bucket as matrix products; it returns the best
-``n + 1`` of each query.  Equal vectors are indexed once, and of their rows the ``n + 1``
+``n + 1`` of each query.  Vectors of floats cross the shuffle as floats and are widened in the
+task, which changes no digit.  Equal vectors are indexed once, and of their rows the ``n + 1``
 with the least ids stand for all, as no result can hold more: exact, whatever the number.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and
@@ -29,16 +34,18 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from math import ceil, log2
+from math import ceil
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import FloatType
 
 from tidewater.llm.common import checkpointed
 
-TABLES, WIDTH, PROBES, TARGET, TUNING = 10, 0.8, 128, 0.96, 64
-PART_ROWS, CHUNK = 65_536, 1_024
+TABLES, WIDTHS, MOST_K = (1, 2, 3, 4, 6), (0.8, 1.2, 1.6, 2.0, 2.6), 8
+PROBES, PROBE_COST, TARGET, TUNING, OTHERS = 512, 2, 0.97, 64, 1_000
+PARTS, LEAST_ROWS, PART_ROWS, CHUNK = 32, 4_096, 65_536, 1_024
 SEED = 7
 
 
@@ -80,19 +87,20 @@ def probe_sequence(place: np.ndarray, probes: int) -> list[tuple[int, ...]]:
 class Hashing:
     """The tables' projections, for vectors of ``dims`` components and norms up to ``scale``."""
 
-    def __init__(self, dims: int, scale: float, k: int, probes: int = 1, tables: int = TABLES):
+    def __init__(self, dims: int, scale: float, k: int, probes: int = 1, tables: int = 1, width: float = WIDTHS[-1]):
         rng = np.random.default_rng(SEED)
-        self.axes = rng.standard_normal((tables, 16, dims + 1))[:, :k]
-        self.shift = rng.uniform(0, 1, (tables, 16))[:, :k]
-        self.scale, self.k, self.probes, self.tables = scale, k, probes, tables
-        self.mix = rng.integers(1, 1 << 62, (tables, 16))[:, :k] | 1
+        self.axes = rng.standard_normal((max(TABLES), 16, dims + 1))[:tables, :k]
+        self.shift = rng.uniform(0, 1, (max(TABLES), 16))[:tables, :k]
+        self.mix = rng.integers(1, 1 << 62, (max(TABLES), 16))[:tables, :k] | 1
+        self.scale, self.k, self.probes, self.tables, self.width = scale, k, probes, tables, width
 
     def cells(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """(tables, rows, k) real-valued cells."""
+        vectors = vectors.astype(np.float64)
         x = vectors / (np.linalg.norm(vectors, axis=1, keepdims=True) if query else self.scale)
         rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
         x = np.column_stack([x, rest])
-        return np.stack([x @ a.T / WIDTH + s for a, s in zip(self.axes, self.shift)])
+        return np.stack([x @ a.T / self.width + s for a, s in zip(self.axes, self.shift)])
 
     def keys(self, table: int, cells: np.ndarray) -> np.ndarray:
         """A bucket's number from whole cells (rows, k)."""
@@ -105,25 +113,50 @@ class Hashing:
         return np.unique(self.keys(table, base + np.array(probe_sequence(cells - base, self.probes))))
 
 
-def tuned(queries: np.ndarray, near: list[np.ndarray], dims: int, scale: float, rows: int) -> Hashing:
-    """Hashing that finds TARGET of the sample queries' true neighbours (``near``)."""
-    for k in range(max(2, min(10, round(log2(max(rows, 2)) / 4))), 0, -1):
-        h = Hashing(dims, scale, k)
-        mine, first = h.cells(queries, True), []
-        theirs = [h.cells(x, False) for x in near]
-        for i, cells in enumerate(theirs):
-            best = np.full(cells.shape[1], PROBES)
-            for t in range(h.tables):
-                base = np.floor(mine[t, i])
-                rank = {m: r for r, m in enumerate(probe_sequence(mine[t, i] - base, PROBES))}
-                moves = (np.floor(cells[t]) - base).astype(int).tolist()
-                best = np.minimum(best, [rank.get(tuple(m), PROBES) for m in moves])
-            first += best.tolist()
-        first = np.sort(first)
-        need = int(first[min(len(first) - 1, ceil(TARGET * len(first)))]) + 1 if len(first) else 1
-        if need <= PROBES or k == 1:
-            return Hashing(dims, scale, k, min(need, PROBES))
-    raise AssertionError
+def ranks(mine: np.ndarray, theirs: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """At which place of its query's probe sequence each row is met: ``mine`` (queries, k) and
+    ``theirs`` (rows, k) are real-valued cells, ``owner`` (ascending) gives a row's query.
+    ``PROBES`` where the first ``PROBES`` moves do not meet it."""
+    base = np.floor(mine)
+    steps = np.stack([np.zeros_like(mine), (mine - base) ** 2, (1 - mine + base) ** 2], axis=2)
+    every = np.zeros((len(mine), 1))
+    for j in range(mine.shape[1]):
+        every = (every[:, :, None] + steps[:, None, j]).reshape(len(mine), -1)
+        if every.shape[1] > PROBES:  # a sum beyond the first PROBES stays beyond them
+            every = np.partition(every, PROBES - 1, axis=1)[:, :PROBES]
+    every.sort(axis=1)
+    move = np.floor(theirs) - base[owner]
+    own = steps[owner]
+    cost = np.zeros(len(theirs))
+    for j in range(mine.shape[1]):  # in the same order, so that equal moves give equal sums
+        cost += np.where(move[:, j] == 0, 0, np.where(move[:, j] < 0, own[:, j, 1], own[:, j, 2]))
+    cost[(np.abs(move) > 1).any(axis=1)] = np.inf
+    cuts = np.searchsorted(owner, np.arange(len(mine) + 1))
+    place = [np.searchsorted(every[q], cost[a:b]) for q, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    return np.where(np.isinf(cost), PROBES, np.minimum(np.concatenate(place), PROBES))
+
+
+def tuned(queries: np.ndarray, near: list[np.ndarray], others: np.ndarray, dims: int, scale: float, rows: int) -> Hashing:
+    """The setting that finds TARGET of the sample queries' true neighbours (``near``) among ``rows``
+    rows with the least work, estimated on the sample rows ``others``."""
+    owner = np.repeat(np.arange(len(near)), [len(x) for x in near])
+    every = np.repeat(np.arange(len(near)), len(others))
+    best, found = np.inf, Hashing(dims, scale, 0)
+    for width in WIDTHS:
+        for k in range(1, MOST_K + 1):
+            h = Hashing(dims, scale, k, PROBES, max(TABLES), width)
+            mine, theirs, rest = h.cells(queries, True), h.cells(np.concatenate(near), False), h.cells(others, False)
+            wanted = np.stack([ranks(m, x, owner) for m, x in zip(mine, theirs)])
+            if np.mean(wanted.min(axis=0) < PROBES) < TARGET:
+                continue
+            met = np.stack([ranks(m, np.tile(x, (len(near), 1)), every) for m, x in zip(mine, rest)])
+            for tables in TABLES:
+                first = np.sort(wanted[:tables].min(axis=0))
+                probes = int(first[min(len(first) - 1, ceil(TARGET * len(first)))]) + 1
+                work = (met[:tables] < probes).sum(axis=0).mean() * rows + PROBE_COST * probes * tables
+                if probes <= PROBES and work < best:
+                    best, found = work, Hashing(dims, scale, k, probes, tables, width)
+    return found
 
 
 def best_of(query: np.ndarray, row: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
@@ -189,8 +222,10 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
     """The ``n`` rows of ``vectors`` (vec_id, embedding) with the largest inner product for
     each row that ``is_query`` marks, itself left out: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
+    single = vectors.schema["embedding"].dataType.elementType == FloatType()
+    kind, packing = ("array<float>", np.float32) if single else ("array<double>", np.float64)
     rows = (vectors.withColumn("_query", F.coalesce(is_query, F.lit(False))).where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-            .select(F.col("vec_id").cast("long").alias("vec_id"), "_query", F.col("embedding").cast("array<double>").alias("embedding"))
+            .select(F.col("vec_id").cast("long").alias("vec_id"), "_query", F.col("embedding").cast(kind).alias("embedding"))
             .distinct())
     rows = checkpointed(rows)
     equal = Window.partitionBy("embedding").orderBy("vec_id")
@@ -206,13 +241,15 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
         return shape
     hashing = fit(index, queries, n, dims, scale, size)
     shared = spark.sparkContext.broadcast(hashing)
-    groups = max(1, ceil(size / PART_ROWS))
+    # large parts, as queries go to each of them, but enough for some tasks
+    part_rows = min(PART_ROWS, max(LEAST_ROWS, ceil(size * hashing.tables / PARTS)))
+    groups = ceil(size / part_rows)
 
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = shared.value
         for frame in batches:
             x = np.stack(frame["embedding"])
-            packed = [v.tobytes() for v in x]
+            packed = [v.astype(packing).tobytes() for v in x]
             for t, cells in enumerate(h.cells(x, False)):
                 key = h.keys(t, np.floor(cells))
                 yield pd.DataFrame({"t": t, "g": key % groups, "id": frame["rep"], "vector": packed,
@@ -227,18 +264,18 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
                 for query, vector, own in zip(frame["query_id"], x, cells):
                     keys = h.probed(t, own)
                     for g in np.unique(keys % groups):
-                        out.append((t, g, query, vector.tobytes(), keys[keys % groups == g]))
+                        out.append((t, g, query, vector.astype(packing).tobytes(), keys[keys % groups == g]))
                 yield pd.DataFrame(out, columns=["t", "g", "id", "vector", "keys"])
 
     schema = "t int, g long, id long, vector binary, keys array<long>"
     stored, asked = index.mapInPandas(indexed, schema), queries.mapInPandas(probing, schema)
-    # one row a part: TABLES * (size / PART_ROWS), 16 bytes each
-    parts = stored.groupBy("t", "g").count().select("t", "g", F.ceil(F.col("count") / (2 * PART_ROWS)).alias("salts"))
-    parts = F.broadcast(parts) if TABLES * groups <= 1_000_000 else parts
+    # one row a part: tables * (size / part_rows), 16 bytes each
+    parts = stored.groupBy("t", "g").count().select("t", "g", F.ceil(F.col("count") / part_rows).alias("salts"))
+    parts = F.broadcast(parts) if hashing.tables * groups <= 1_000_000 else parts
     dealt = (stored.join(parts, ["t", "g"]).select("t", "g", F.pmod(F.xxhash64("id"), "salts").alias("s"), F.lit(0).alias("q"), "id", "vector", "keys")
              .union(asked.join(parts, ["t", "g"]).select("t", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("s"),
                                                          F.lit(1).alias("q"), "id", "vector", "keys"))
-             .repartition("t", "g", "s").sortWithinPartitions("t", "g", "s", "q"))
+             .repartition(2 * hashing.tables * groups, "t", "g", "s").sortWithinPartitions("t", "g", "s", "q"))
 
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, held, part = None, [], None
@@ -253,12 +290,12 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
                     own_rows = pd.concat(held)
                     held = []
                     part = Part(own_rows["id"].to_numpy(), np.concatenate(own_rows["keys"].tolist()),
-                                unpacked(own_rows["vector"]))
+                                unpacked(own_rows["vector"], packing))
                 if part is None:
                     continue
                 for at in range(0, len(rows_), CHUNK):
                     some = rows_.iloc[at:at + CHUNK]
-                    q, rep, score = part.search(unpacked(some["vector"]), some["keys"].tolist(), n + 1)
+                    q, rep, score = part.search(unpacked(some["vector"], packing), some["keys"].tolist(), n + 1)
                     yield pd.DataFrame({"query_id": some["id"].to_numpy()[q], "rep": rep, "score": score})
 
     found = dealt.mapInPandas(searched, "query_id long, rep long, score double")
@@ -271,8 +308,8 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def unpacked(vectors: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
+def unpacked(vectors: pd.Series, packing: type) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors), dtype=packing).reshape(len(vectors), -1).astype(np.float64)
 
 
 def exact(index: DataFrame, ids: np.ndarray, queries: np.ndarray, n: int) -> pd.DataFrame:
@@ -284,7 +321,7 @@ def exact(index: DataFrame, ids: np.ndarray, queries: np.ndarray, n: int) -> pd.
         ids, queries = shared.value
         held = None
         for frame in batches:
-            x, rep = np.stack(frame["embedding"]), frame["rep"].to_numpy()
+            x, rep = np.stack(frame["embedding"]).astype(np.float64), frame["rep"].to_numpy()
             score = queries @ x.T
             score[ids[:, None] == rep[None, :]] = -np.inf
             q = np.repeat(np.arange(len(queries)), min(n, len(x)))
@@ -304,12 +341,13 @@ def exact(index: DataFrame, ids: np.ndarray, queries: np.ndarray, n: int) -> pd.
 
 def fit(index: DataFrame, queries: DataFrame, n: int, dims: int, scale: float, size: int) -> Hashing:
     if size <= n + 1:  # every candidate is asked for: no projection, one bucket
-        return Hashing(dims, scale, 0, tables=1)
+        return Hashing(dims, scale, 0)
     sample = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(TUNING).toPandas()
     if not len(sample):
         return Hashing(dims, scale, 1)
-    x = np.stack(sample["embedding"])
+    x = np.stack(sample["embedding"]).astype(np.float64)
+    others = index.orderBy(F.xxhash64("rep"), "rep").limit(OTHERS).toPandas()
     true = exact(index, sample["query_id"].to_numpy(), x, n)
     near = {q: np.stack(own["embedding"]) for q, own in true.groupby("query")}
     known = sorted(near)
-    return tuned(x[known], [near[q] for q in known], dims, scale, size)
+    return tuned(x[known], [near[q] for q in known], np.stack(others["embedding"]).astype(np.float64), dims, scale, size)
