@@ -186,6 +186,7 @@ class Part:
         order = np.argsort(at, kind="stable")
         buckets, starts = np.unique(at[order], return_index=True)
         worst = np.full(len(visits), -np.inf)
+        slack = 1e-12 * np.linalg.norm(vectors, axis=1) * np.linalg.norm(self.vectors, axis=1).max()  # of the product's last bits
         held, pending = [], 0
 
         def settle():
@@ -203,12 +204,15 @@ class Part:
             for x in range(self.starts[b], self.ends[b], 4096):
                 rows = slice(x, min(x + 4096, self.ends[b]))
                 score = vectors[qs] @ self.vectors[rows].T
-                i, j = np.nonzero(score >= worst[qs, None] - 1e-9)
-                if len(i):
-                    q, r = qs[i], j + x
+                cut = worst[qs]
+                if score.shape[1] > n:  # a block's own n best bound what it can add
+                    cut = np.maximum(cut, np.partition(score, -n, axis=1)[:, -n])
+                i, j = np.nonzero(score >= (cut - slack[qs])[:, None])
+                for y in range(0, len(i), 32_768):
+                    q, r = qs[i[y:y + 32_768]], j[y:y + 32_768] + x
                     # the product's last bits depend on its shape; those of this sum do not
                     held.append((q, r, (vectors[q] * self.vectors[r]).sum(axis=1)))
-                    pending += len(i)
+                    pending += len(q)
                     if pending > 100_000:
                         settle()
         if not held:
