@@ -45,7 +45,7 @@ from tidewater.llm.common import checkpointed
 
 TABLES, WIDTHS, MOST_K = (1, 2, 3, 4, 6), (0.8, 1.2, 1.6, 2.0, 2.6), 8
 PROBES, PROBE_COST, TARGET, TUNING, OTHERS = 512, 2, 0.97, 64, 1_000
-PARTS, LEAST_ROWS, PART_ROWS, CHUNK = 32, 4_096, 65_536, 1_024
+PARTS, PART_ROWS, CHUNK = 4, 65_536, 1_024
 SEED = 7
 
 
@@ -245,9 +245,7 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
         return shape
     hashing = fit(index, queries, n, dims, scale, size)
     shared = spark.sparkContext.broadcast(hashing)
-    # large parts, as queries go to each of them, but enough for some tasks
-    part_rows = min(PART_ROWS, max(LEAST_ROWS, ceil(size * hashing.tables / PARTS)))
-    groups = ceil(size / part_rows)
+    groups = max(PARTS, ceil(size / PART_ROWS))  # large parts, as queries go to each that they visit
 
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h = shared.value
@@ -273,8 +271,8 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
 
     schema = "t int, g long, id long, vector binary, keys array<long>"
     stored, asked = index.mapInPandas(indexed, schema), queries.mapInPandas(probing, schema)
-    # one row a part: tables * (size / part_rows), 16 bytes each
-    parts = stored.groupBy("t", "g").count().select("t", "g", F.ceil(F.col("count") / part_rows).alias("salts"))
+    # one row a part: tables * (size / PART_ROWS), 16 bytes each
+    parts = stored.groupBy("t", "g").count().select("t", "g", F.ceil(F.col("count") / (2 * PART_ROWS)).alias("salts"))
     parts = F.broadcast(parts) if hashing.tables * groups <= 1_000_000 else parts
     dealt = (stored.join(parts, ["t", "g"]).select("t", "g", F.pmod(F.xxhash64("id"), "salts").alias("s"), F.lit(0).alias("q"), "id", "vector", "keys")
              .union(asked.join(parts, ["t", "g"]).select("t", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("s"),
