@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute, fixtures
-from tidewater.llm import ann, bpe_count, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
+from tidewater.llm import ann, bpe_count, common, decontam, interp_lm, langid, pieces, sharding, simhash, toxicity, urlfilter
 
 EXTRA = [c for c in fixtures.CLASHING]
 
@@ -198,6 +198,18 @@ def test_deduplicate_with_repeated_and_null_ids(spark):
     assert simhash.deduplicate(spark.createDataFrame([(None, one), (None, near)], schema)).count() == 1
 
 
+def test_hubs_and_common_fingerprints_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    edges = [(i, 0) for i in range(1, 40)] + [(i, i + 1) for i in range(100, 110)] + [(110, 39)]
+    got = {r["fp"]: r["root"] for r in simhash.stars(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in [*range(1, 40), *range(100, 111)]}
+    docs = spark.createDataFrame([(i, "" if i % 3 else f"some text of number {i}") for i in range(60)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["fp"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert len(got) == 60 and all(got[i] == (0, 1) for i in range(60) if i % 3)
+    kept = sorted(r["doc_id"] for r in simhash.deduplicate(docs).collect())
+    assert kept == sorted({c for _, c in got.values()})
+
+
 def test_ann_split_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART_ROWS", 20)
     monkeypatch.setattr(ann, "CHUNK", 4)

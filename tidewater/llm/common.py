@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import tidewater
 from tidewater.session import shared_root
 
+HOT_ROWS = 100_000  # of one key, from which a join broadcasts what the key meets
+
 
 def importable(spark: SparkSession) -> None:
     """Lets the session's Python workers import this package from where the driver has it,
@@ -46,6 +48,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def join_counted(rows: DataFrame, found: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` (``total`` of them) with the columns of ``found``, which has one row a key and says
+    in ``count`` how many rows hold it.  Keys of many rows are joined by broadcast, so that no key
+    gathers its rows in one task: at most a million keys, as each holds a millionth of all rows."""
+    many = max(HOT_ROWS, total // 1_000_000)
+    hot = F.broadcast(found.where(F.col(count) > many))
+    rest = rows.join(hot.select(key), key, "left_anti").join(found.where(F.col(count) <= many), key)
+    return rows.join(hot, key).unionByName(rest).drop(count)
+
+
 def keep_where(docs: DataFrame, verdict: Column) -> DataFrame:
     """The rows whose ``verdict`` (often a UDF) is true, with the columns of ``docs`` only."""
     flag = free_name(docs.columns, "_keep")

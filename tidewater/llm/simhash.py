@@ -30,10 +30,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import checkpointed, free_name
+from tidewater.llm.common import checkpointed, free_name, join_counted
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 BUCKET = 8_192  # rows that one task compares at most, twice over
+MOST_CROWDED = 1_000_000  # buckets above BUCKET whose counts are broadcast
 TASK_ROWS = 1 << 18
 _PIECE = 1 << 16
 
@@ -176,12 +177,14 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
         for t, m in enumerate(cuts)])).alias("k")).select("fp", "k.t", "k.key")
-    met = keyed.groupBy("t", "key").count().where("count > 1")
-    parts = F.ceil(F.col("count") / BUCKET)
+    # buckets of one part need no count; the others are few: each holds more than BUCKET rows
+    crowded = checkpointed(keyed.groupBy("t", "key").count().where(F.col("count") > BUCKET))
+    crowded = F.broadcast(crowded) if crowded.count() <= MOST_CROWDED else crowded
+    parts = F.coalesce(F.ceil(F.col("count") / BUCKET), F.lit(1).cast("long"))
     part = F.pmod(F.xxhash64("fp"), parts)
     others = F.when(parts == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.filter(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: j != part))
-    dealt = (keyed.join(met, ["t", "key"]).select("fp", "t", "key", part.alias("p"), F.explode(others).alias("q"))
+    dealt = (keyed.join(crowded, ["t", "key"], "left").select("fp", "t", "key", part.alias("p"), F.explode(others).alias("q"))
              .select("fp", "t", "key", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
              .repartition("t", "key", "a", "b").sortWithinPartitions("t", "key", "a", "b"))
 
@@ -219,9 +222,9 @@ def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (u, v) that is not its group's least node.
     Alternates large and small stars; every step keeps at most as many edges."""
 
-    def to_least(both: DataFrame) -> DataFrame:
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        return both.join(least, "u").withColumn("m", F.least("u", "m"))
+    def to_least(both: DataFrame, rows: int) -> DataFrame:
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        return join_counted(both, least, "u", "n", rows).withColumn("m", F.least("u", "m"))
 
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
@@ -231,27 +234,27 @@ def stars(edges: DataFrame) -> DataFrame:
     while (now := state(edges)) != before:
         before = now
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = to_least(large).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
+        large = checkpointed(to_least(both, 2 * now[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        small = to_least(large, now[0]).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                          F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = checkpointed(small.select("e.*").where("u != v").distinct())
     return edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
 
 
 def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, root, component_id) for each distinct fingerprint of ``prints`` (doc_id, fp): the
-    group's least fingerprint and least id."""
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    """(fp, root, component_id, n) for each distinct fingerprint of ``prints`` (doc_id, fp): the
+    group's least fingerprint and least id, and the fingerprint's rows."""
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = stars(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(roots, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return checkpointed(rooted.join(least, "root").select("fp", "root", "component_id"))
+    return checkpointed(rooted.join(least, "root").select("fp", "root", "component_id", "n"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text)."""
     prints = checkpointed(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")))
-    return prints.join(groups(prints, radius), "fp").select("doc_id", "fp", "component_id")
+    return join_counted(prints, groups(prints, radius), "fp", "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -262,7 +265,7 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
     slim = checkpointed(docs.select("doc_id", content[0].alias("k1"), content[1].alias("k2"),
                                     fingerprint(F.col("text"), shingle).alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2"))
-    kept = (slim.join(groups(slim, radius), "fp").groupBy("root")
+    kept = (join_counted(slim, groups(slim, radius), "fp", "n", slim.count()).groupBy("root")
             .agg(first.alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2)).distinct())
     keyed = docs.withColumns({k1: content[0], k2: content[1]}).join(kept, [k1, k2])
     rank = free_name(keyed.columns, "_rank")
