@@ -8,7 +8,8 @@ Each worker keeps a table of short pieces already counted; when it reaches its b
 starts anew, which costs time only.
 
 Edge cases: null or empty text: zero tokens.  Texts of any length are counted whole; a
-long run without a piece boundary costs n log n.  Rows are judged one by one.
+long run without a piece boundary costs n log n.  Rows are judged one by one, repeated ones
+each; empty tables give no rows, extra columns play no part.
 """
 
 from __future__ import annotations

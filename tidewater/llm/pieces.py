@@ -12,7 +12,8 @@ an array.
 
 Edge cases: null counts as the empty text, which has no ids besides begin and end.  The
 marker character itself counts as a blank, as in the library.  Texts and words of any
-length are encoded whole.  Rows are judged one by one, extra columns play no part.
+length are encoded whole.  Rows are judged one by one, repeated ones each; extra columns play
+no part, empty tables give no rows.
 """
 
 from __future__ import annotations

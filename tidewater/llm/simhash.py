@@ -17,7 +17,8 @@ and stars of minima join the forests to groups.
 
 Edge cases: null or word-free text has fingerprint zero and links like any other.  Null
 ids are grouped but never represent a group that has another id.  Repeated rows link to
-each other.  Empty tables give no rows.  Very long texts are hashed in pieces.
+each other.  Empty tables give no rows.  Very long texts are hashed in pieces.  Extra columns
+play no part in ``near_duplicates``; ``deduplicate`` keeps them.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Bound: the entries are an argument, not a table, and are broadcast; more than
 ``MAX_RULES`` raise ValueError.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path and fits no entry.
-Very long URLs are matched whole.  Repeated rows and extra columns play no part.
+Very long URLs are matched whole.  Repeated rows are judged each, extra columns play no part.
+Empty tables give no rows.
 """
 
 from __future__ import annotations
