@@ -3,6 +3,7 @@ independent checkpoints per consumer, stream-static enrichment."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -293,3 +294,20 @@ def test_job_cli_runs_in_its_own_process(spark):
     assert table.count() == 1000 and {"batch_id", "event_date"} <= set(table.columns)
     assert table.where("user_id IS NULL OR event_time IS NULL").count() == 0
     assert spark.read.parquet(run + "/ua_dead_letters").count() == 0
+
+
+@pytest.mark.parametrize("name", ["rollup_replay", "quality_stream", "warehouse_replay_hourly"])
+def test_batches_do_not_multiply_with_the_topic(spark, monkeypatch, name):
+    """A topic of 40 files: few batches, and every message in them."""
+    from __spark_entry__ import queries
+    from tidewater.plans import streams
+    from tidewater.streaming import batches
+    written, put = [], batches.put_entry
+    monkeypatch.setattr(batches, "put_entry", lambda s, table, fields: (written.append((table, fields["metrics"])) if "metrics" in fields else None, put(s, table, fields)))
+    monkeypatch.setattr(streams, "_publish", lambda env, path: publish(env, path, max_records_per_file=25))
+    monkeypatch.setattr(streams, "_TOPICS", {})
+    found = queries()[name](spark, SF_SMALL).collect()
+    assert 2 <= len(written) <= 2 * streams.BATCHES
+    assert sum(m["rows"] + m["dead_letters"] for _, m in written) == 1000
+    if name != "quality_stream":
+        assert sum(r["event_count"] for r in found) == 1000

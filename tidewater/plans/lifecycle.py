@@ -151,5 +151,5 @@ def q_quality_stream(spark, sf_dir):
     run = run_dir(spark, "quality_stream")
     table = os.path.join(run, "tables", "user_activity")
     _process(spark, _topic(spark, sf_dir, "user_activity", CORRUPT_EVERY), table, os.path.join(run, "ckpt"),
-             max_files_per_trigger=4, rules=driver_rules())
+             min_files_per_trigger=4, rules=driver_rules())
     return Q.report_from_log(batches.entries(spark, table))

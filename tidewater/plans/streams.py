@@ -127,9 +127,21 @@ HOURLY_ORACLE = with_(WUA) + """
 SELECT date_trunc('hour', event_time) AS hour, event_type, COUNT(*) AS event_count FROM wua GROUP BY 1, 2"""
 
 
-def _process(spark, topic, table, ckpt, family="user_activity", **how):
+BATCHES, MOST_FILES = 4, 200  # of a topic whose files hold 12,500 messages: 2.5 million a batch
+
+
+def _files_per_trigger(spark, topic, least):
+    """Files of a micro-batch: ``least`` of a small topic, a quarter of a larger one, 200 at most.
+    A batch's fixed costs (its plan, entries, commits, a file a day and task) are then paid for
+    millions of messages, not for ``least`` files."""
+    fs, folder = filesystem(spark, topic)
+    files = sum(1 for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet"))
+    return max(least, min(-(-files // BATCHES), MOST_FILES))
+
+
+def _process(spark, topic, table, ckpt, family="user_activity", min_files_per_trigger=1, **how):
     how.setdefault("trigger", NOW)
-    files = how.pop("max_files_per_trigger", None)
+    files = _files_per_trigger(spark, topic, min_files_per_trigger)
     I.run_to_end(I.start_processor(read_events(spark, family, topic, max_files_per_trigger=files), family, table,
                                    table + "_dead_letters", ckpt, **how))
 
@@ -153,7 +165,7 @@ def warehouse_with_replays(spark, sf_dir, run, after_first=None):
     ckpts = [os.path.join(run, c) for c in ("ckpt", "ckpt_wh")]
 
     def both():
-        _process(spark, topic, table, ckpts[0], max_files_per_trigger=2)
+        _process(spark, topic, table, ckpts[0], min_files_per_trigger=2)
         I.run_to_end(jobs.start_warehouse(spark, "user_activity", table, warehouse, ckpts[1], NOW))
 
     for n, publish_wave in enumerate(waves):
@@ -199,7 +211,7 @@ def q_rollup_replay(spark, sf_dir):
     topic, table = _topic(spark, sf_dir, "user_activity"), os.path.join(run, "tables", "user_activity")
     out, ckpts = os.path.join(run, "tables", "hourly"), [os.path.join(run, c) for c in ("ckpt", "ckpt_rollup")]
     for _ in range(2):
-        _process(spark, topic, table, ckpts[0], max_files_per_trigger=3)
+        _process(spark, topic, table, ckpts[0], min_files_per_trigger=3)
         I.run_to_end(W.start_table_rollup(spark, table, I.table_schema("user_activity"), V.hourly_user_activity, out, ckpts[1], NOW))
         for c in ckpts:
             _lose_commit(spark, c)
@@ -481,7 +493,7 @@ def q_activity_sketch_rollup(spark, sf_dir):
     from tidewater.operators import sketches as K
     run = run_dir(spark, "sketches")
     table, out = os.path.join(run, "tables", "user_activity"), os.path.join(run, "tables", "partials")
-    _process(spark, _topic(spark, sf_dir, "user_activity"), table, os.path.join(run, "ckpt"), max_files_per_trigger=3)
+    _process(spark, _topic(spark, sf_dir, "user_activity"), table, os.path.join(run, "ckpt"), min_files_per_trigger=3)
     partials = lambda rows: K.sketch_partials(rows, "user_id", "total_amount", ["event_type"])
     I.run_to_end(W.start_table_rollup(spark, table, I.table_schema("user_activity"), partials, out, os.path.join(run, "ckpt_s"), NOW))
     found = K.sketch_rollup(spark.read.parquet(out).drop("batch_id"), ["event_type"], SKETCH_QUANTILES)
