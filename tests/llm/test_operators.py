@@ -120,6 +120,22 @@ def test_piece_ids_unpack(spark):
     assert got[1]["decoded"] == "" and got[1]["ids"] == [1, 2]
 
 
+def test_workers_let_go_of_a_finished_jobs_tables(spark):
+    """The codec and the automaton of a stage are gone when a worker runs the next one."""
+    docs = spark.createDataFrame([(i, fixtures.prose(i, 40)) for i in range(64)], "doc_id long, text string").repartition(4)
+    bench = docs.where("doc_id < 4").selectExpr("CAST(doc_id AS string) AS item_id", "text")
+    assert decontam.decontaminate(docs, bench).count() < 64
+    docs.select(pieces.round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model")).alias("c")).agg(F.max("c.ids")).collect()
+
+    def held(batches):
+        import gc
+        gc.collect()
+        for _ in batches:
+            yield pd.DataFrame({"n": [sum(type(o).__name__ in ("ChunkCodec", "ItemGroup") for o in gc.get_objects()) + len(decontam._HELD)]})
+
+    assert docs.mapInPandas(held, "n long").agg(F.max("n")).first()[0] == 0
+
+
 def test_tables_start_anew_without_loss(monkeypatch):
     import public_tokenizers
     texts = [fixtures.prose(i, 60) for i in range(20)]

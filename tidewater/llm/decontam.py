@@ -23,9 +23,9 @@ part beyond the text, so clashing names cannot matter.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from itertools import repeat
+from weakref import WeakKeyDictionary
 
 import ahocorasick
 import numpy as np
@@ -57,7 +57,7 @@ class ItemGroup:
 
     def __init__(self, items: list[tuple[str, list[bytes]]]):
         words = sorted({w for _, ws in items for w in ws})
-        self.key, self.size = uuid.uuid4().hex, next(k for k in range(2, 9) if len(words) <= BASE**k)
+        self.size = next(k for k in range(2, 9) if len(words) <= BASE**k)
         self.spelling = {w: self.spelt_number(i) for i, w in enumerate(words)}
         self.unknown = "\0" * self.size
         self.items = [(item_id, self.spelt(ws)) for item_id, ws in items]
@@ -99,14 +99,15 @@ def item_groups(items, group_words: int = GROUP_WORDS) -> list[ItemGroup]:
     return [*groups, ItemGroup(held)] if held else groups
 
 
-_HELD: dict[tuple[str, int], object] = {}  # the automaton that this worker has built last
+# the automaton that this worker has built last, until its group, a broadcast value, is let go
+_HELD: WeakKeyDictionary[ItemGroup, tuple[int, object]] = WeakKeyDictionary()
 
 
 def held_automaton(group: ItemGroup, window: int):
-    if (group.key, window) not in _HELD:
+    if group not in _HELD or _HELD[group][0] != window:
         _HELD.clear()
-        _HELD[group.key, window] = group.automaton(window)
-    return _HELD[group.key, window]
+        _HELD[group] = window, group.automaton(window)
+    return _HELD[group][1]
 
 
 def text_spans(text: str, folded: bytes, hit: np.ndarray) -> list[dict]:

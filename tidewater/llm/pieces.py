@@ -5,7 +5,8 @@ marker after another character, no merge crosses from a character to a marker: t
 falls into chunks, each a run of markers and the word after it, that are segmented alone.
 Each worker keeps a table of distinct chunks; the library segments and decodes each chunk
 of a batch that is not yet in it, once, and the ids of a text are joined back by position.
-A full table starts anew, which costs time only.  No rows are moved between tasks.
+A full table starts anew, which costs time only; a worker that
+goes on to another job drops it.  No rows are moved between tasks.
 
 ``ids`` are little-endian unsigned 32-bit integers in a binary value; ``unpack_ids`` gives
 an array.
@@ -21,14 +22,15 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import sentencepiece
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 MARK = "▁"
-CHUNKS_KEPT, CHUNK_CHARS, BATCH_CHARS = 150_000, 64, 2_000_000
+CHUNKS_KEPT, CHUNK_CHARS, BATCH_CHARS = 150_000, 64, 1_000_000
 _chunks = re.compile(r" +[^ ]*").findall
 
 
@@ -50,7 +52,7 @@ class ChunkCodec:
         new = [c for c in chunks if c not in table]
         # a chunk's first marker is the prefix that the library adds and takes away
         ids = [i or self.mark for i in self.model.encode([c[1:] for c in new], num_threads=1)]
-        made = {c: (np.array(i, dtype="<u4").tobytes(), " " + d)
+        made = {c: (np.array(i, dtype="<u4").tobytes(), c if c[1:] == d else " " + d)  # one string where they are equal
                 for c, i, d in zip(new, ids, self.model.decode(ids, num_threads=1) if new else [])}
         if len(table) + len(made) > CHUNKS_KEPT:
             made |= {c: table[c] for c in chunks if c in table}
@@ -70,13 +72,16 @@ class ChunkCodec:
                    "".join([e[1] for e in entries])[1:])
 
 
-_CODECS: dict[str, ChunkCodec] = {}  # one per worker process, reused by its tasks
+class WorkersCodec:
+    """The codec of a model file, made where it is used.  Broadcast, a worker keeps it for the
+    tasks of one job and lets go of it, table and all, with the next job's."""
 
+    def __init__(self, path: str):
+        self.path = path
 
-def codec(path: str) -> ChunkCodec:
-    if path not in _CODECS:
-        _CODECS[path] = ChunkCodec(path)
-    return _CODECS[path]
+    @cached_property
+    def codec(self) -> ChunkCodec:
+        return ChunkCodec(self.path)
 
 
 def by_size(texts: list[str]) -> Iterator[list[str]]:
@@ -95,10 +100,11 @@ def by_size(texts: list[str]) -> Iterator[list[str]]:
 def round_trip(text: Column, path: str) -> Column:
     """A struct per text: ids (binary, begin and end included) and decoded (what the ids
     decode to).  ``path``: the model file, at the same place on every worker."""
+    shared = SparkSession.active().sparkContext.broadcast(WorkersCodec(path))
 
     @F.pandas_udf("ids binary, decoded string")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        of = codec(path)
+        of = shared.value.codec
         for texts in batches:
             for part in by_size(list(texts)):
                 yield pd.DataFrame(list(of(part)), columns=["ids", "decoded"])
